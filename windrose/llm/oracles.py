@@ -2,6 +2,71 @@
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+OP1 = f"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+  FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS s
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM (SELECT item_id, w, least(10, len(w)) AS m FROM iw WHERE len(w) > 0))),
+dwin AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS s
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM dw, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
+hit AS (SELECT doc_id, dwin.m, i, item_id FROM dwin JOIN win ON dwin.m = win.m AND dwin.s = win.s),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM (SELECT DISTINCT doc_id, i, m FROM hit)) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+OP4 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM p WHERE 2 * (i + 100) <= length(h)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS rn FROM win) WHERE rn > 1),
+gone AS (
+  SELECT p.doc_id, p.i, p.h, coalesce(l.i > p.i - 100, false) AS gone
+  FROM p ASOF LEFT JOIN later l ON p.doc_id = l.doc_id AND p.i >= l.i),
+kept AS (
+  SELECT doc_id, count(*) AS n_bytes, cast(sum(gone::int) AS bigint) AS n_removed,
+         cast(sum((gone AND NOT coalesce(before, false))::int) AS bigint) AS n_spans,
+         coalesce(string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) FILTER (WHERE NOT gone), '') AS k
+  FROM (SELECT *, lag(gone) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(k, ''))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+OP7 = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM win) WHERE doc_id > first),
+p AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+gone AS (
+  SELECT p.doc_id, p.i, p.word, coalesce(l.i > p.i - 13, false) AS gone
+  FROM p ASOF LEFT JOIN later l ON p.doc_id = l.doc_id AND p.i >= l.i),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, cast(sum(gone::int) AS bigint) AS n_removed,
+         coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS k
+  FROM gone GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP9 = f"""
 WITH u AS (
   SELECT page_id,
@@ -21,4 +86,29 @@ SELECT page_id, host, path, rule,
 FROM r
 """
 
-ORACLE_SQL = {"op9_url_filter": OP9}
+OP10 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT x, y FROM common JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach(x, y) AS (
+  SELECT doc_id, doc_id FROM d
+  UNION
+  SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, low AS component_id, doc_id = low AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS low FROM reach GROUP BY x) USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op1_decontamination": OP1,
+    "op4_suffix_dedup": OP4,
+    "op7_substring_dedup": OP7,
+    "op9_url_filter": OP9,
+    "op10_minhash_dedup": OP10,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import url_filter
+from . import decontaminate, minhash, substring_dedup, url_filter
 from .oracles import ORACLE_SQL
 
 #: The rules that op9 judges by (host, path, verdict).
@@ -24,12 +24,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return decontaminate.with_digest(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
