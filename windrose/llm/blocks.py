@@ -101,7 +101,14 @@ class Buckets:
         self.partitions = max(shuffle_partitions(docs.sparkSession), -(-self.n // 2))
         bucket = F.pmod(F.xxhash64(spread), F.lit(self.n)).cast("int")
         packed = docs.withColumn("__bucket", bucket).mapInArrow(_packer(self.schema), "bucket int, block binary")
-        self.blocks = packed.repartition(self.partitions, "bucket").checkpoint()
+        # without adaptive planning the checkpoint keeps its partitioning, and later passes need no exchange of blocks
+        conf = docs.sparkSession.conf
+        adaptive = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            self.blocks = packed.repartition(self.partitions, "bucket").checkpoint()
+        finally:
+            conf.set("spark.sql.adaptive.enabled", adaptive)
 
     def each(self, f, schema) -> DataFrame:
         """f(bucket number, table of its documents) -> table."""
@@ -113,7 +120,7 @@ class Buckets:
         read = reader(self.schema)
 
         def run(key, blocks, answers):
-            got = sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True))
+            got = sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True)) if answers.num_rows else []
             return f(key[0].as_py(), read(blocks), got)
 
         return self.blocks.groupBy("bucket").cogroup(messages.groupBy("bucket")).applyInArrow(run, schema)

@@ -203,12 +203,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = signed.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low")).checkpoint()
     n_class = classes.select("cls", "id", "n")
 
-    # step 2: stars
-    buckets = classes.select(F.explode("bands").alias("k"), "cls", "n")
-    stars = buckets.groupBy("k").agg(F.min(F.struct("cls", "n")).alias("least"), F.count("*").alias("members")).where("members > 1")
+    # step 2: members of buckets that have more than one, and stars
+    keys = classes.select(F.explode("bands").alias("k"), "cls", "n")
+    shared = keys.groupBy("k").agg(F.count("*").alias("members")).where("members > 1")
+    members = keys.join(shared, "k").select("k", "cls", "n").checkpoint()
+    least = members.groupBy("k").agg(F.min(F.struct("cls", "n")).alias("least"))
     pairs = (
-        buckets.join(stars, "k")
-        .where("cls != least.cls and 100 * least(n, least.n) >= {0} * greatest(n, least.n)".format(percent))
+        members.join(least, "k")
+        .where(f"cls != least.cls and 100 * least(n, least.n) >= {percent} * greatest(n, least.n)")
         .select(F.col("least.cls").alias("a"), F.col("cls").alias("b"))
         .distinct()
         .checkpoint()
@@ -231,15 +233,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(linked)
 
     # step 5: buckets that still hold several components
-    placed = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "n", "bands", "low", F.coalesce("root", "cls").alias("comp"))
-    member = placed.select(F.explode("bands").alias("k"), "cls", "n", "bands", "low", "comp")
-    open_buckets = (
-        member.select("k", "comp").groupBy("k").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-        .select("k", F.ceil(F.col("members") / BLOCK).cast("int").alias("n_blocks"))
-    )
-    block = member.join(open_buckets, "k").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int"))
-    meeting = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")})
-    more = meeting.select("k", "i", "j", "blk", "cls", "n", "bands", "low", "comp").groupBy("k", "i", "j").applyInArrow(_estimator(percent, ROWS), "a binary, b binary").distinct().checkpoint()
+    placed = members.join(roots, F.col("cls") == F.col("node"), "left").select("k", "cls", F.coalesce("root", "cls").alias("comp"))
+    still = placed.groupBy("k").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+    still = still.select("k", F.ceil(F.col("members") / BLOCK).cast("int").alias("n_blocks"))
+    block = placed.join(still, "k").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int"))
+    block = block.join(classes.select("cls", "n", "bands", "low"), "cls")
+    meeting = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    meeting = meeting.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")}).select("k", "i", "j", "blk", "cls", "n", "bands", "low", "comp")
+    more = meeting.groupBy("k", "i", "j").applyInArrow(_estimator(percent, ROWS), "a binary, b binary").distinct().checkpoint()
     if not more.isEmpty():
         linked = linked.union(links(more))
         roots = components(linked)

@@ -29,19 +29,28 @@ SELECT doc_id, cast(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# texts are cut into stretches of 500 bytes, with what windows that start in them need, as hexadecimal digits
 OP4 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-p AS (SELECT doc_id, h, unnest(range(0, length(h) // 2)) AS i FROM d),
-win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM p WHERE 2 * (i + 100) <= length(h)),
+c AS (
+  SELECT doc_id, c, substr(h, 2 * c + 1, 2 * 599) AS x
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2, 500)) AS c FROM d)),
+win AS (
+  SELECT doc_id, c + j AS i, substr(x, 2 * j + 1, 200) AS s
+  FROM (SELECT doc_id, c, x, unnest(range(0, least(500, length(x) // 2 - 99))) AS j FROM c WHERE length(x) >= 200)),
 later AS (
   SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS rn FROM win) WHERE rn > 1),
-gone AS (
-  SELECT p.doc_id, p.i, p.h, coalesce(l.i > p.i - 100, false) AS gone
-  FROM p ASOF LEFT JOIN later l ON p.doc_id = l.doc_id AND p.i >= l.i),
+p AS (
+  SELECT doc_id, c + j AS i, substr(x, 2 * j + 1, 2) AS byte
+  FROM (SELECT doc_id, c, x, unnest(range(0, least(500, length(x) // 2))) AS j FROM c)),
+last AS (
+  SELECT doc_id, i, byte, max(l) OVER (PARTITION BY doc_id ORDER BY i) AS l
+  FROM (SELECT p.doc_id, p.i, p.byte, later.i AS l FROM p LEFT JOIN later ON p.doc_id = later.doc_id AND p.i = later.i)),
+gone AS (SELECT doc_id, i, byte, coalesce(l > i - 100, false) AS gone FROM last),
 kept AS (
   SELECT doc_id, count(*) AS n_bytes, cast(sum(gone::int) AS bigint) AS n_removed,
          cast(sum((gone AND NOT coalesce(before, false))::int) AS bigint) AS n_spans,
-         coalesce(string_agg(substr(h, 2 * i + 1, 2), '' ORDER BY i) FILTER (WHERE NOT gone), '') AS k
+         coalesce(string_agg(byte, '' ORDER BY i) FILTER (WHERE NOT gone), '') AS k
   FROM (SELECT *, lag(gone) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM gone) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
        sha256(unhex(coalesce(k, ''))) AS kept_sha256

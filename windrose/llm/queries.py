@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, substring_dedup, url_filter
+from . import chroma, decontaminate, gru_lm, minhash, packing, quality, substring_dedup, suffix_dedup, toxicity, url_filter
+from .common import fold
 from .oracles import ORACLE_SQL
 
 #: The rules that op9 judges by (host, path, verdict).
@@ -30,11 +31,56 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.with_digest(found).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    trees = quality.train_quality(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs, trees)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = gru_lm.score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+def op5_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recordings made of all vectors: class, and the best of the queries (ids divisible by 50) that align with it."""
+    recordings = chroma.as_recordings(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    membership, pairs = chroma.match_recordings(chroma.fingerprints(recordings, "id", "audio"))
+    best = pairs.groupBy("class_id").agg(
+        F.count("*").alias("n_queries"),
+        F.min(F.struct((F.col("errors") / F.col("bits")).alias("bit_error"), "query_class", "offset")).alias("best"),
+    )
+    return membership.join(best, "class_id", "left").select(
+        F.col("id").alias("vec_id"), "class_id", "n_integers", F.coalesce("n_queries", F.lit(0)).alias("n_queries"),
+        "best.query_class", "best.offset", "best.bit_error",
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, str(public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.train_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, machine)
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")

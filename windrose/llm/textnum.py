@@ -88,11 +88,11 @@ def chunks(sizes, most: int = 1 << 20):
 class Words:
     """The words of several texts: bounds in `data`, the text that each belongs to, and the first word of each text.
 
-    Texts are joined with a line feed between them, so that no word spans two.
+    A line feed follows each text, so that no word spans two.
     """
 
     def __init__(self, texts: list[bytes], kind: np.ndarray, lower: bool):
-        joined = b"\n".join(texts)
+        joined = b"\n".join([*texts, b""])
         self.joined = joined.translate(LOWER_ASCII) if lower else joined
         self.data = np.frombuffer(self.joined, np.uint8)
         self.start, self.end = bounds(kind[self.data])
