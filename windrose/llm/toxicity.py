@@ -1,13 +1,15 @@
 """Toxicity: a support vector machine on a gapped subsequence kernel, with Nystroem landmarks.
 
-The subsequence kernel of order 3 (Lodhi et al., 2002) compares two strings by their common subsequences of three
+The subsequence kernel of order 4 (Lodhi et al., 2002) compares two strings by their common subsequences of four
 characters, each weighted by DECAY to the length that it spans in both. Characters put into an insult, or left out of
 it, only lower the weight.
 
 A sentence is a bag of terms: words in lower case without ASCII punctuation; single letters in a row are one term. Its
-feature for a landmark is the kernel with the term that is most alike; terms that share less than SHARED of the
-landmark's letters count as 0. Landmarks are the terms that set toxic labelled documents most apart. The Nystroem map,
-features times the inverse square root of the landmarks' own kernel matrix, makes them inputs of a linear machine.
+feature for a landmark is the kernel with the term that is most alike, as a share of the landmark's own kernel, 1 at
+most: how much of the landmark the term holds, whatever else it has. Terms that share less than SHARED of the
+landmark's letters count as 0. Landmarks are strings of LENGTHS characters, inside terms, that set toxic labelled
+documents most apart; of strings that are alike one is taken. The Nystroem map, features times the inverse square root
+of the landmarks' own kernel matrix, makes them inputs of a linear machine.
 
 Labels are of documents. The machine is trained on sentences: those of clean documents are negative; of a toxic
 document, the sentence that scores highest is positive, and all that score above 0, chosen again after each round. A
@@ -38,9 +40,12 @@ from .textnum import ALNUM, U, chunks, encode, prefix_hash, ragged, range_hash,
 
 MAX_ROWS = 8_000
 MAX_SENTENCES = 60_000
-LANDMARKS = 20
-ORDER, DECAY = 3, 0.6
-SHARED = 0.6
+LANDMARKS = 32
+#: lengths of landmarks, and how many candidates reach the driver
+LENGTHS = (4, 8)
+CANDIDATES = 2_000
+ORDER, DECAY = 4, 0.5
+SHARED = 0.75
 #: longer terms are met in overlapping stretches of this length
 LONGEST = 32
 
@@ -92,17 +97,17 @@ def padded(data: np.ndarray, start: np.ndarray, end: np.ndarray, width: int) ->
     return np.where(inside, data[np.minimum(place, max(0, len(data) - 1))].astype(np.int16) + 1, 0)
 
 
-def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
+def kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Subsequence kernel of each row of s with the same row of t; both are rows of characters, filled with 0."""
     n, width = t.shape
     k = np.zeros(n, np.float32)
     decay, square = np.float32(DECAY), np.float32(DECAY**2)
     # ahead[i][:, j]: weighted common subsequences of i + 1 characters of s so far and t[:j], up to the strings' ends
-    ahead = np.zeros((ORDER - 1, n, width + 1), np.float32)
+    ahead = np.zeros((order - 1, n, width + 1), np.float32)
     for x in s.T:
         same = (x[:, None] == t) & (x[:, None] > 0)
         k += square * (ahead[-1][:, :-1] * same).sum(axis=1)
-        for i in range(ORDER - 2, -1, -1):
+        for i in range(order - 2, -1, -1):
             before = ahead[i - 1][:, :-1] if i else np.ones((n, width), np.float32)
             step = square * before * same
             run = np.zeros(n, np.float32)
@@ -112,10 +117,6 @@ def kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
     return k
 
 
-def _self_kernel(rows: np.ndarray) -> np.ndarray:
-    return kernel(rows, rows)
-
-
 @dataclass
 class Landmarks:
     terms: list[str]
@@ -126,7 +127,7 @@ class Landmarks:
         ends = np.cumsum([len(r) for r in raw]) if raw else np.empty(0, np.int64)
         data = np.frombuffer(b"".join(raw), np.uint8)
         self.rows = padded(data, ends - np.array([len(r) for r in raw], np.int64), ends, self.width) if raw else np.zeros((0, 1), np.int16)
-        self.own = _self_kernel(self.rows)
+        self.own = kernel(self.rows, self.rows)
         self.counts = [dict(zip(*(x.tolist() for x in np.unique(np.frombuffer(r, np.uint8), return_counts=True)), strict=True)) for r in raw]
         self.least = [max(ORDER, int(np.ceil(SHARED * len(r)))) for r in raw]
         a, b = np.indices((len(raw), len(raw))).reshape(2, -1)
@@ -155,18 +156,12 @@ class Landmarks:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
         term, mark = np.concatenate(terms), np.concatenate(marks)
         value = np.zeros(len(term), np.float32)
-        wanted = np.unique(term)
-        own = np.zeros(n, np.float32)
         for low, high in ((0, 8), (8, 16), (16, LONGEST)):
-            some = wanted[(size[wanted] > low) & (size[wanted] <= high)]
-            for a in range(0, len(some), 20_000):
-                part = some[a : a + 20_000]
-                own[part] = _self_kernel(padded(t.data, t.start[part], t.end[part], high))
             some = np.flatnonzero((size[term] > low) & (size[term] <= high))
             for a in range(0, len(some), 20_000):
                 part = some[a : a + 20_000]
                 value[part] = kernel(padded(t.data, t.start[term[part]], t.end[term[part]], high), self.rows[mark[part]])
-        return term, mark, value / np.sqrt(np.maximum(own[term] * self.own[mark], 1e-12))
+        return term, mark, np.minimum(value / self.own[mark], 1)
 
     def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Text and features of each sentence in which something is alike."""
@@ -210,7 +205,7 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.best(texts) + self.level, -60, 60)))
 
 
-def fit_linear(z: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 40) -> tuple[np.ndarray, float]:
+def fit_linear(z: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 12) -> tuple[np.ndarray, float]:
     """Linear machine by dual coordinate descent (Hsieh et al., 2008); classes weigh the same; the bias is a feature."""
     x = np.column_stack([z, np.ones(len(z))])
     sign = np.where(y > 0, 1.0, -1.0)
@@ -240,6 +235,21 @@ def fit_logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(a[0], 0)), float(a[1])
 
 
+def choose(candidates: list[str], n: int) -> list[str]:
+    """The first n candidates that are not much alike an earlier choice, in either direction."""
+    out: list[str] = []
+    for c in candidates:
+        if len(out) == n:
+            break
+        marks = Landmarks([*out, c])
+        k = len(out)
+        own = kernel(marks.rows, marks.rows, 3)
+        both = kernel(marks.rows[[k] * k], marks.rows[:k], 3) if k else np.zeros(0)
+        if not k or (both / np.minimum(own[:k], own[k])).max() < 0.3:
+            out.append(c)
+    return out
+
+
 def _term_uses(batches):
     """(term, y) once for each document that has the term."""
     for batch in batches:
@@ -282,8 +292,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
         return nothing
     n_toxic, n_clean = int(y.sum()), int(len(y) - y.sum())
     counts = sample.select("t", "y").mapInArrow(_term_uses, "term string, y int").groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+    # characters of LENGTHS inside terms, with uses in documents of both classes
+    low, high = LENGTHS
+    starts = F.sequence(F.lit(1), F.greatest(F.length("term") - (low - 1), F.lit(1)))
+    inside = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), lambda n: F.transform(starts, lambda i: F.substr(F.col("term"), i, n)))))
+    strings = counts.where(F.length("term") <= LONGEST).select(F.explode(inside).alias("s"), "bad", "n").groupBy("s").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
     odds = F.log(((F.col("bad") + 0.5) / n_toxic) / ((F.col("n") - F.col("bad") + 0.5) / n_clean))
-    marks = [r["term"] for r in counts.where("bad >= 2").orderBy((F.col("bad") * odds).desc(), "term").limit(LANDMARKS).collect()]
+    ranked = strings.where((F.length("s") >= low) & (F.col("bad") >= 3) & (odds > 2)).orderBy((F.col("bad") * odds * (1 + 0.5 * F.length("s"))).desc(), "s")
+    marks = choose([r["s"] for r in ranked.limit(CANDIDATES).collect()], LANDMARKS)
     if not marks:
         return nothing
     landmarks = Landmarks(marks)
@@ -299,16 +315,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     # sentences in which nothing is alike are one more negative
     z, doc, bad = np.vstack([z, np.zeros(z.shape[1])]), np.append(doc, -1), np.append(bad, False)
     value = np.append(x.max(axis=1), 0.0)
-    for _ in range(3):
+    for k in range(3):
         best = np.zeros(len(doc), bool)
         order = np.lexsort((-value, doc))
         head = np.ones(len(order), bool)
         head[1:] = doc[order][1:] != doc[order][:-1]
         best[order[head]] = True
-        positive = bad & (best | (value > 0 if _ else best))
+        positive = bad & (best | (value > 0 if k else best))
         use = positive | ~bad
         # equal sentences need one row each; clean ones are many
-        rows, index = np.unique(np.column_stack([np.round(z[use], 4), positive[use]]), axis=0, return_index=True)
+        rows, index = np.unique(np.column_stack([np.round(z[use], 2), positive[use]]), axis=0, return_index=True)
         del rows
         weight, bias = fit_linear(z[use][index], positive[use][index].astype(int))
         value = z @ weight + bias
