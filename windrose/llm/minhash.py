@@ -14,8 +14,10 @@ documents take a step together in numpy.
 4. Union-find over the links (components.py).
 5. A link between two members of a bucket can join components that step 4 left apart. Buckets whose members lie in more
    than one component are cut into blocks of members. Each two blocks meet in one group, which compares signatures in
-   numpy, and passes on pairs of different components whose estimate is not far below the limit. They are verified
-   like the others, and union-find runs again over all links.
+   numpy and keeps pairs of different components whose estimate is not far below the limit. Such pairs are not rows:
+   they go, as packed lists, to the two places that their members' sets are sent to, and are verified there. Places
+   hold classes that share a least partner, up to PLACE shingles, so a set travels a few times, not once for each pair.
+   Union-find then runs again over all links.
 
 With 32 bands of 4 of 128 registers, two documents at an index of 0.85 share no bucket with a probability of 6e-11;
 the margin of the estimate is 4.7 standard deviations there. Links themselves are decided on full sets.
@@ -42,8 +44,8 @@ from .url_filter import bloom_blocks, probe
 REGISTERS, ROWS = 128, 4
 #: estimates this far below the limit are still verified
 MARGIN = 0.15
-#: members of a block in step 5
-BLOCK = 512
+#: members of a block, and shingles of a place, in step 5
+BLOCK, PLACE = 512, 1_000_000
 FRACTION = 48
 
 
@@ -178,22 +180,58 @@ def _estimator(percent: int, rows: int):
         comp = [np.array(t["comp"].to_pylist(), dtype="S16") for t in (left, right)]
         cls = [t["cls"].to_pylist() for t in (left, right)]
         least = (percent / 100 - MARGIN) * low[0].shape[1]
-        out_a, out_b = [], []
+        place = [t["place"].to_numpy() for t in (left, right)]
+        found: dict[tuple[int, int], list[bytes]] = {}
         for p in range(len(left)):
             other = np.arange(p + 1 if i == j else 0, len(right))
             small, large = np.minimum(n[0][p], n[1][other]), np.maximum(n[0][p], n[1][other])
             other = other[(comp[1][other] != comp[0][p]) & (100 * small >= percent * large)]
             other = other[(low[1][other] == low[0][p]).sum(axis=1) >= least]
-            # a pair is passed on from the first of the buckets that it shares
+            # a pair is kept in the first of the buckets that it shares
             shared = bands[1][other] == bands[0][p]
             other = other[bands[0][p][shared.argmax(axis=1)] == k] if len(other) else other
-            out_a += [cls[0][p]] * len(other)
-            out_b += [cls[1][q] for q in other]
-        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+            for q in other.tolist():
+                x, y = sorted([(int(place[0][p]), cls[0][p]), (int(place[1][q]), cls[1][q])])
+                found.setdefault((x[0], y[0]), []).append(x[1] + y[1])
+        rows = [(x, y, b"".join(pairs)) for (x, y), pairs in found.items()]
+        return pa.table({"ga": pa.array([x for x, _, _ in rows], pa.int64()), "gb": pa.array([y for _, y, _ in rows], pa.int64()), "pairs": pa.array([z for _, _, z in rows], pa.binary())})
 
     return estimate
 
 
+def _list_verifier(percent: int):
+    """Links among listed pairs of two places; a pair that earlier links of the task join already is passed over."""
+
+    def verify(key, lists, members):
+        parent: dict[bytes, bytes] = {}
+
+        def root(x):
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = parent[p]
+                x = p
+            return x
+
+        out_a, out_b = [], []
+        if lists.num_rows:
+            sets = {c: np.frombuffer(x, U) for c, x in zip(members["cls"].to_pylist(), members["shingles"].to_pylist(), strict=True)}
+            for c, x in zip(members["cls"].to_pylist(), members["comp"].to_pylist(), strict=True):
+                parent[root(c)] = root(x)
+            for pairs in lists["pairs"].to_pylist():
+                for at in range(0, len(pairs), 32):
+                    a, b = pairs[at : at + 16], pairs[at + 16 : at + 32]
+                    if root(a) == root(b):
+                        continue
+                    x, y = sets[a], sets[b]
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * common >= percent * (len(x) + len(y) - common):
+                        parent[root(a)] = root(b)
+                        out_a.append(a)
+                        out_b.append(b)
+        return pa.table({"a": pa.array(out_a, pa.binary()), "b": pa.array(out_b, pa.binary())})
+
+    return verify
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 85) -> DataFrame:
     """docs' ids with n_shingles, cls (key of the set), and component_id; one row for each row of docs."""
     spark = docs.sparkSession
@@ -216,12 +254,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .checkpoint()
     )
 
-    def links(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select("a").union(pairs.select("b")).distinct().join(n_class, F.col("a") == F.col("cls")).select("cls", "id").checkpoint()
-        # documents are read again; a bounded filter of wanted ids lets few others through, and the join removes them
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(cls, shingles) of wanted (cls, id). Documents are read again; a bounded filter of wanted ids lets few others
+        through, and the join removes them."""
         blocks = spark.sparkContext.broadcast(bloom_blocks(wanted.select(F.coalesce("id", F.lit(-1)).alias("id")), "id"))
         read = texts.select("t", F.xxhash64(F.coalesce("id", F.lit(-1))).alias("h")).mapInArrow(_set_reader("t", size, blocks), "cls binary, shingles binary")
-        sets = read.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+        return read.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+
+    def links(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select("a").union(pairs.select("b")).distinct().join(n_class, F.col("a") == F.col("cls")).select("cls", "id").checkpoint()
+        sets = sets_of(wanted)
         return (
             pairs.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
@@ -236,13 +278,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(roots, F.col("cls") == F.col("node"), "left").select("k", "cls", F.coalesce("root", "cls").alias("comp"))
     still = placed.groupBy("k").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
     still = still.select("k", F.ceil(F.col("members") / BLOCK).cast("int").alias("n_blocks"))
-    block = placed.join(still, "k").withColumn("blk", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int"))
-    block = block.join(classes.select("cls", "n", "bands", "low"), "cls")
-    meeting = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    meeting = meeting.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")}).select("k", "i", "j", "blk", "cls", "n", "bands", "low", "comp")
-    more = meeting.groupBy("k", "i", "j").applyInArrow(_estimator(percent, ROWS), "a binary, b binary").distinct().checkpoint()
-    if not more.isEmpty():
-        linked = linked.union(links(more))
+    opened = placed.join(still, "k").checkpoint()
+    # places of members: by the least partner that they share, cut by a hash where there are many
+    label = members.join(least, "k").groupBy("cls").agg(F.min("least.cls").alias("label"))
+    joined = opened.select("cls", "comp").distinct().join(classes, "cls").join(label, "cls")
+    room = joined.groupBy("label").agg(F.ceil(F.sum("n") / PLACE).alias("rooms"))
+    member = joined.join(room, "label").select("cls", "comp", "id", "n", "bands", "low", F.xxhash64("label", F.pmod(F.xxhash64("cls"), F.col("rooms"))).alias("place")).checkpoint()
+    meeting = opened.select("k", "cls", "n_blocks", F.pmod(F.xxhash64("cls"), F.col("n_blocks")).cast("int").alias("blk")).join(member, "cls")
+    meeting = meeting.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    meeting = meeting.withColumns({"i": F.least("blk", "other"), "j": F.greatest("blk", "other")}).select("k", "i", "j", "blk", "cls", "n", "bands", "low", "comp", "place")
+    lists = meeting.groupBy("k", "i", "j").applyInArrow(_estimator(percent, ROWS), "ga long, gb long, pairs binary").checkpoint()
+    if not lists.isEmpty():
+        met = lists.select("ga", "gb").distinct()
+        # new names, as both sides of the cogroup come from these lists
+        met = met.select(F.col("ga").alias("pa"), F.col("gb").alias("pb"), F.explode(F.array_distinct(F.array("ga", "gb"))).alias("place"))
+        sent = met.join(member.select("cls", "comp", "place").join(sets_of(member.select("cls", "id")), "cls"), "place").select("pa", "pb", "cls", "comp", "shingles")
+        more = lists.groupBy("ga", "gb").cogroup(sent.groupBy("pa", "pb")).applyInArrow(_list_verifier(percent), "a binary, b binary")
+        linked = linked.union(more).checkpoint()
         roots = components(linked)
 
     group = classes.select("cls", "id").join(roots, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("root", "cls").alias("comp"), "id")
