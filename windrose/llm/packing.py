@@ -28,19 +28,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
+from .textnum import chunks, encode, prefix_hash, ragged, range_hash
 
-#: distinct strings whose ids a worker remembers
-MEMORY = 300_000
+#: distinct strings whose ids a worker remembers, about 40 bytes each
+MEMORY = 1_000_000
+#: bytes of text that are encoded together
+TOGETHER = 4 << 20
 #: slots of a plan that are sent to all executors, at most
 BROADCAST_SLOTS = 100_000
 END = 2
 
 
+#: ASCII white space, and first bytes of characters that can be other white space
+_NO_CUT = np.zeros(256, bool)
+_NO_CUT[[0x20, *range(0x09, 0x0E), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
 class Encoder:
     """Ids of a tokenizer file of the byte-level kind, as the tokenizers library gives them with add_special_tokens=False.
 
-    The pre-tokenizer cuts between a word and the space before the next one. A text is therefore encoded in pieces cut
-    before spaces that stand alone between two characters that are no white space, and each distinct piece only once.
+    Its pre-tokenizer puts a space before a word with the word, and ends what stands before. So texts are cut before
+    spaces that no white space follows, and each distinct string is encoded once and remembered, under 128 bits of hash.
     """
 
     def __init__(self, path: str):
@@ -48,40 +56,62 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-
-    def number(self, pieces: list[str]) -> np.ndarray:
-        known = self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > MEMORY:
-                known.clear()
-                self.ids.clear()
-                new = list(dict.fromkeys(pieces))
-            for i in range(0, len(new), 20_000):
-                for p, e in zip(new[i : i + 20_000], self.tokenizer.encode_batch_fast(new[i : i + 20_000], add_special_tokens=False), strict=True):
-                    known[p] = len(self.ids)
-                    self.ids.append(np.array(e.ids, np.uint32))
-        return np.fromiter((known[p] for p in pieces), np.int64, len(pieces))
-
-    def pieces(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        words = text.split(" ")
-        if len(words) > 1 and any(not w or w[0].isspace() or w[-1].isspace() for w in words):
-            return [text]
-        return [words[0], *(" " + w for w in words[1:])] if words[0] else [text]
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
-        pieces = self.pieces(text)
-        if len(pieces) == 1 and len(text) > 64:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        at = self.number(pieces)
-        return np.concatenate([self.ids[i] for i in at.tolist()])
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        self.hash = self.check = np.empty(0, np.uint64)
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.ids = np.empty(0, np.uint32)
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has."""
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[:-1] = data == 0x20
+        cut[: max(0, len(data) - 1)] &= ~_NO_CUT[data[1:]]
+        cut[max(0, len(data) - 1) :] = False
+        for i, t in enumerate(texts):
+            if any(x in t for x in self.special):  # such a text is encoded whole
+                cut[ends[i] - sizes[i] : ends[i]] = False
+        last = ends[sizes > 0] - 1
+        cut[last] = False  # a space at a text's end
+        cut[(ends - sizes)[sizes > 0]] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(data))[: len(start)]
+        one, two = (range_hash(prefix_hash(data, k), start, end, k) for k in (0, 1))
+        distinct, first, where = np.unique(one, return_index=True, return_inverse=True)
+        self._learn(distinct, two[first], data.tobytes(), start[first], end[first])
+        at = np.searchsorted(self.hash, distinct)
+        if not (two == self.check[at][where]).all():
+            raise ValueError("two strings have one 64-bit hash")
+        size, begin = self.size[at][where].astype(np.int64), self.start[at][where]
+        text = np.searchsorted(ends, start, side="right")
+        return self.ids[ragged(begin, size)], np.bincount(text, size, len(texts)).astype(np.int64)
+
+    def _learn(self, distinct, check, raw: bytes, start, end) -> None:
+        at = np.searchsorted(self.hash, distinct)
+        known = np.zeros(len(distinct), bool)
+        known[at < len(self.hash)] = self.hash[at[at < len(self.hash)]] == distinct[at < len(self.hash)]
+        if len(self.hash) + (~known).sum() > MEMORY:
+            self.forget()
+            known[:] = False
+        new = np.flatnonzero(~known)
+        parts, size = [self.ids], []
+        for i in range(0, len(new), 20_000):
+            strings = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[new[i : i + 20_000]].tolist(), end[new[i : i + 20_000]].tolist(), strict=True)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+            size += [len(x) for x in found]
+            parts.append(np.fromiter((y for x in found for y in x), np.uint32, sum(size[i:])))
+        size = np.array(size, np.int32)
+        begin = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
+        self.ids = np.concatenate(parts)
+        order = np.argsort(h := np.concatenate([self.hash, distinct[new]]), kind="stable")
+        self.hash = h[order]
+        self.check = np.concatenate([self.check, check[new]])[order]
+        self.start, self.size = np.concatenate([self.start, begin])[order], np.concatenate([self.size, size])[order]
 
 
 _encoders: dict[str, Encoder] = {}  # one in each worker
@@ -102,16 +132,19 @@ def _cutter(path: str, limit: int):
         e = encoder(path)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("t").to_pylist(), strict=True):
-                ids = np.append(e.encode(text or ""), np.uint32(END)).astype("<u4")
-                n = len(ids)
-                start, piece = 0, 0
-                stop = n % limit or min(n, limit)
-                while start < n:
-                    size = stop - start
-                    rows.append((doc, piece, start, size, zlib.crc32(ids[start:stop].tobytes()), seen[size]))
-                    seen[size] += 1
-                    start, stop, piece = stop, stop + limit, piece + 1
+            docs, texts = batch.column("id").to_pylist(), encode(batch.column("t").to_pylist())
+            for a, b in chunks([len(t) for t in texts], TOGETHER):
+                all_ids, sizes = e.encode(texts[a:b])
+                for doc, n, stop_at in zip(docs[a:b], sizes.tolist(), np.cumsum(sizes).tolist(), strict=True):
+                    ids = np.append(all_ids[stop_at - n : stop_at], np.uint32(END)).astype("<u4")
+                    n += 1
+                    start, piece = 0, 0
+                    stop = n % limit or min(n, limit)
+                    while start < n:
+                        size = stop - start
+                        rows.append((doc, piece, start, size, zlib.crc32(ids[start:stop].tobytes()), seen[size]))
+                        seen[size] += 1
+                        start, stop, piece = stop, stop + limit, piece + 1
             if rows:
                 doc, piece, start, size, crc, rank = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
