@@ -68,7 +68,7 @@ def test_buckets_and_states(spark):
     assert values(spark, S.wind_sector, [0, 45, 134, 225, 315, 360, -10, None], "int") == ["N", "E", "E", "W", "N", "N", "N", None]
     assert values(spark, S.state_code, ["tx", "Texas", "new york", "XX", "", None]) == ["TX", "TX", "NY", None, None, None]
     assert values(spark, S.state_name, ["tx", "Ohio"]) == ["Texas", "Ohio"]
-    assert values(spark, lambda c: S.cut(c, [0, 1, 2], ["a", "b"]), [0, 1, 1.5, 2, 3], "double") == [None, "a", "b", "b", None]
+    assert values(spark, lambda c: S.cut(c, [0, 1, 2], ["a", "b"]), [0.0, 1.0, 1.5, 2.0, 3.0], "double") == [None, "a", "b", "b", None]
 
 
 def test_player_keys(spark):
