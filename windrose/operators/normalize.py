@@ -126,6 +126,7 @@ def normalize_holes(rounds: DataFrame) -> DataFrame:
     return out.drop("__scored", "__n", "__at", "h", "__spec", "hole_scores", "hole_specs")
 
 
+#: Hourly arrays of a weather payload, and the columns that they become.
 HOURLY = {
     "wind_speed_10m": "wind_speed_mps", "wind_gusts_10m": "wind_gust_mps", "wind_direction_10m": "wind_dir_deg", "temperature_2m": "temperature_c",
     "pressure_msl": "pressure_hpa", "relative_humidity_2m": "relative_humidity_pct", "precipitation": "precip_mm",
@@ -175,6 +176,15 @@ def split_location(c) -> Column:
     return F.struct(city.alias("city"), state.alias("state"), country.alias("country"))
 
 
+#: What pages of events without details say.
+PLACEHOLDERS = [
+    r"\bnot\s+scheduled\s+yet\b",
+    r"\bevent\s+has\s+not\s+been\s+scheduled\b",
+    r"\btournament\s+has\s+not\s+been\s+scheduled\b",
+    r"\bdetails\s+for\s+this\s+event\s+are\s+not\s+available\s+yet\b",
+]
+
+
 def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     """pages with title, heading, date text, status, location, largest round of each division heading, content hash."""
     text = F.regexp_replace(F.regexp_replace(F.col(html), r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]+>", " ")
@@ -189,7 +199,7 @@ def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
         {"title": first(r"(?is)<title[^>]*>(.*?)</title>"), "heading": first(r"(?is)<h1[^>]*>(.*?)</h1>"), "date_text": labelled("Date"), "status_text": labelled("Status"), "location_text": labelled("Location"), "division_rounds": rounds}
     )
     empty = (F.col("date_text") == "") & (F.size("division_rounds") == 0) & (F.col("status_text") == "")
-    said = plain.rlike(r"(?i)\b(not\s+scheduled\s+yet|(event|tournament)\s+has\s+not\s+been\s+scheduled|details\s+for\s+this\s+event\s+are\s+not\s+available\s+yet)\b")
+    said = plain.rlike("(?i)" + "|".join(PLACEHOLDERS))
     out = out.withColumn("is_placeholder", F.coalesce(said | (empty & plain.rlike("(?i)scheduled") & plain.rlike("(?i)yet")), F.lit(False)))
     return out.withColumn("content_sha256", S.canonical_sha256(["date_text", "division_rounds", "heading", "is_placeholder", "location_text", "status_text", "title"]))
 

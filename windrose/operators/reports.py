@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from .core import dmean
 
+#: Reference weather.
 REFERENCE = {"reference_wind_mph": 0.0, "reference_gust_mph": 1.0, "reference_temp_f": 80.0, "reference_precipitation": "No Precipitation"}
 
 #: what reports average: name of the mean, column of the base
