@@ -33,7 +33,7 @@ from .textnum import chunks, encode, prefix_hash, ragged, range_hash
 #: distinct strings whose ids a worker remembers, about 40 bytes each
 MEMORY = 1_000_000
 #: bytes of text that are encoded together
-TOGETHER = 4 << 20
+TOGETHER = 1 << 20
 #: slots of a plan that are sent to all executors, at most
 BROADCAST_SLOTS = 100_000
 END = 2

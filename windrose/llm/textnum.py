@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 U = np.uint64
@@ -32,20 +30,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    mult = int(MULT[which])
-    out = []
-    for base in (mult, pow(mult, -1, 1 << 64)):
-        p = np.full(n, base, U)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # one pair of tables for each multiplier, as long as was needed yet
 
 
 def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of a multiplier and of its inverse modulo 2**64, at least n of each."""
-    return _powers(which, 1 << max(16, (n + 1).bit_length()))
+    if which not in _powers or len(_powers[which][0]) < n:
+        mult, size = int(MULT[which]), max(1 << 16, n + (n >> 3))
+        out = []
+        for base in (mult, pow(mult, -1, 1 << 64)):
+            p = np.full(size, base, U)
+            p[0] = 1
+            out.append(np.multiply.accumulate(p))
+        _powers[which] = (out[0], out[1])
+    return _powers[which]
 
 
 def prefix_hash(data: np.ndarray, which: int = 0) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import fold, prepare
 from .quality import training_sample
-from .textnum import ALNUM, U, chunks, encode, prefix_hash, ragged, range_hash, space_words
+from .textnum import ALNUM, chunks, encode, prefix_hash, ragged, range_hash, space_words
 
 MAX_ROWS = 8_000
 MAX_SENTENCES = 60_000
