@@ -10,10 +10,10 @@ the class of other tokens, P is (c + 1) / (sum of c + 1 over its tokens, + 1), w
 for all tokens that were never seen. So probabilities of all tokens sum to at most 1.
 
 Training. Truncated backpropagation through WINDOW steps, in numpy, with the state carried from window to window to
-the end of each document. Documents lie side by side in lanes. Training reads the whole text of each training document
-whose hash falls in the first SHARE of its range, a share that does not depend on the input's size. In each of ROUNDS
-rounds every partition with training text goes on from the common weights over its part of the round's documents;
-weights are then averaged, by number of tokens, in two steps on Spark.
+the end of each document. Documents lie side by side in lanes. Training reads the whole text of every training document
+once: a hash of id and text deals documents to ROUNDS rounds. In each round every partition with training text goes on
+from the common weights over its part of the round's documents; weights are then averaged, by number of tokens, in two
+steps on Spark.
 
 Scores. The state is carried across windows, so that a document's log-likelihood is that of the complete document.
 
@@ -41,7 +41,9 @@ WINDOW = 16
 LANES = 256
 #: tokens that are side by side in one go, and whose outputs are computed together
 TOKENS, OUTPUTS = 2_000_000, 8_192
-SHARE, ROUNDS = 0.08, 2
+#: bytes of text that are learnt from side by side: long texts then lie beside many others
+LEARN_BYTES = 8 << 20
+ROUNDS = 2
 RATE, CLIP = 0.01, 1.0
 #: bytes of text for each shard of tokens
 SHARD_BYTES = 16 << 20
@@ -156,15 +158,24 @@ def _log_softmax(a: np.ndarray) -> np.ndarray:
     return a - np.log(np.exp(a).sum(axis=1, keepdims=True))
 
 
+def _with_softmax(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the softmax, and the softmax itself, with one exponential for both."""
+    a -= a.max(axis=1, keepdims=True)
+    p = np.exp(a)
+    total = p.sum(axis=1, keepdims=True)
+    p /= total
+    a -= np.log(total)
+    return a, p
+
+
 def outputs(m: dict, h: np.ndarray, y: np.ndarray, learn: bool = False):
     """Natural log of the probability of each word y (WORDS: of the class of the rest), and what training needs."""
     cls = np.minimum(y // PER_CLASS, CLASSES)
-    lc = _log_softmax(h @ m["wc"] + m["bc"])
+    lc, d = _with_softmax(h @ m["wc"] + m["bc"]) if learn else (_log_softmax(h @ m["wc"] + m["bc"]), None)
     out = lc[np.arange(len(y)), cls]
     grad = {}
     dh = None
     if learn:
-        d = np.exp(lc)
         d[np.arange(len(y)), cls] -= 1
         grad["wc"], grad["bc"] = h.T @ d, d.sum(axis=0)
         dh = d @ m["wc"].T
@@ -176,11 +187,11 @@ def outputs(m: dict, h: np.ndarray, y: np.ndarray, learn: bool = False):
         if not len(some):
             continue
         part = slice(k * PER_CLASS, (k + 1) * PER_CLASS)
-        lw = _log_softmax(h[some] @ m["ww"][:, part] + m["bw"][part])
+        a = h[some] @ m["ww"][:, part] + m["bw"][part]
+        lw, d = _with_softmax(a) if learn else (_log_softmax(a), None)
         word = y[some] - k * PER_CLASS
         out[some] += lw[np.arange(len(some)), word]
         if learn:
-            d = np.exp(lw)
             d[np.arange(len(some)), word] -= 1
             grad["ww"][:, part] = h[some].T @ d
             grad["bw"][part] = d.sum(axis=0)
@@ -315,8 +326,7 @@ class Trainer:
         d_out = np.zeros((real.size, n), np.float32)
         d_out[real] = d_some
         d_out = d_out.reshape(b - a, -1, n)
-        gates = np.empty((b - a, k, 3 * n), np.float32)
-        d_wh = np.zeros_like(m["wh"])
+        gates, inners = np.empty((2, b - a, k, 3 * n), np.float32)
         dh = np.zeros_like(state)
         for t in range(b - a - 1, -1, -1):
             before, z, q, c, rc = saved[t]
@@ -324,10 +334,12 @@ class Trainer:
             dc = dh * (1 - z) * (1 - c * c)
             dz = dh * (before - c) * z * (1 - z)
             dq = dc * rc * q * (1 - q)
-            gates[t] = np.concatenate([dz, dq, dc], axis=1)
-            inner = np.concatenate([dz, dq, dc * q], axis=1)
-            d_wh += before.T @ inner
+            gates[t, :, :n], gates[t, :, n : 2 * n], gates[t, :, 2 * n :] = dz, dq, dc
+            inner = inners[t]
+            inner[:, : 2 * n] = gates[t, :, : 2 * n]
+            inner[:, 2 * n :] = dc * q
             dh = (dh * z + inner @ m["wh"].T) * (~lanes.first[a + t, :k])[:, None]
+        d_wh = np.concatenate([s[0] for s in saved]).T @ inners.reshape(-1, 3 * n)
         order = np.argsort(x, axis=None, kind="stable")  # sums by word that was read
         words, first = np.unique(x.ravel()[order], return_index=True)
         d_table = np.zeros((WORDS + 2, 3 * n), np.float32)
@@ -360,12 +372,25 @@ def _shaped(flat: np.ndarray) -> dict:
     return out
 
 
+def _gathered(batches, text_col: str):
+    """Texts of as many batches as make LEARN_BYTES."""
+    texts, size = [], 0
+    for batch in batches:
+        new = encode(batch.column(text_col).to_pylist())
+        if texts and size + sum(map(len, new)) > LEARN_BYTES:
+            yield texts
+            texts, size = [], 0
+        texts += new
+        size += sum(map(len, new))
+    if texts:
+        yield texts
+
+
 def _train_part(text_col: str, vocabulary, model):
     def run(batches):
         trainer = None
-        for batch in batches:
-            texts = encode(batch.column(text_col).to_pylist())
-            for a, b in chunks([len(t) + 1 for t in texts], 8 << 20):
+        for texts in _gathered(batches, text_col):
+            for a, b in chunks([len(t) + 1 for t in texts], LEARN_BYTES):
                 h, at = tokens(texts[a:b])
                 trainer = trainer or Trainer(model.value)
                 trainer.learn(vocabulary.value.number(h), at)
@@ -381,13 +406,17 @@ def _sum_weights(key, table):
     return pa.table({"tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
 
 
-def train(docs: DataFrame, text_col: str, learn_col: str, vocabulary) -> dict:
-    """Weights after ROUNDS rounds over the share of the training documents that the model learns from."""
+def learning_round(id_col: str, text_col: str):
+    """The round in which a training document is learnt; copies under other ids are learnt in any."""
+    return F.pmod(F.xxhash64(id_col, text_col, F.lit("round")), F.lit(ROUNDS))
+
+
+def train(docs: DataFrame, id_col: str, text_col: str, learn_col: str, vocabulary) -> dict:
+    """Weights after ROUNDS rounds, which together read each training document once."""
     spark = docs.sparkSession
     model = initial()
-    place = F.pmod(F.xxhash64(text_col, F.lit("round")), F.lit(10_000)) / 10_000
     for k in range(ROUNDS):
-        part = docs.where(F.col(learn_col) & (place >= k * SHARE / ROUNDS) & (place < (k + 1) * SHARE / ROUNDS)).select(text_col)
+        part = docs.where(F.col(learn_col) & (learning_round(id_col, text_col) == k)).select(text_col)
         sums = part.mapInArrow(_train_part(text_col, vocabulary, spark.sparkContext.broadcast(model)), "tokens long, total binary")
         # sums of up to 16 groups of partitions, then their sum on the driver: one row of weights for each group
         grouped = sums.withColumn("g", F.pmod(F.xxhash64("total"), F.lit(16))).groupBy("g").applyInArrow(_sum_weights, "tokens long, total binary").toArrow()
@@ -443,7 +472,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n, v = tops.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     common = tops.where("h is not null").orderBy(F.col("count").desc(), "h").limit(WORDS).toPandas()
     vocabulary = spark.sparkContext.broadcast(Vocabulary(common["h"].to_numpy(np.int64).view(U), common["count"].to_numpy(np.int64), n, v))
-    model = spark.sparkContext.broadcast(train(marked, text_col, LEARN, vocabulary))
+    model = spark.sparkContext.broadcast(train(marked, id_col, text_col, LEARN, vocabulary))
     scorer = _scorer(text_col, n_shards, vocabulary, model, schema.fieldNames(), to_arrow_schema(schema))
     return buckets.each_with(counted.where("kind = 0"), scorer, schema)
 
