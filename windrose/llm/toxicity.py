@@ -1,15 +1,16 @@
 """Toxicity: a support vector machine on a gapped subsequence kernel, with Nystroem landmarks.
 
-The subsequence kernel of order 4 (Lodhi et al., 2002) compares two strings by their common subsequences of four
-characters, each weighted by DECAY to the length that it spans in both. Characters put into an insult, or left out of
-it, only lower the weight.
+The subsequence kernels of orders 2 to 4 (Lodhi et al., 2002) compare two strings by their common subsequences of two,
+three and four characters, each weighted by DECAY to the length that it spans in both. The mean of the orders that a
+string is long enough for is used. Characters put into an insult, replaced, or left out of it, only lower the weight.
 
 A sentence is a bag of terms: words in lower case without ASCII punctuation; single letters in a row are one term. Its
 feature for a landmark is the kernel with the term that is most alike, as a share of the landmark's own kernel, 1 at
 most: how much of the landmark the term holds, whatever else it has. Terms that share less than SHARED of the
 landmark's letters count as 0. Landmarks are strings of LENGTHS characters, inside terms, that set toxic labelled
 documents most apart; of strings that are alike one is taken. The Nystroem map, features times the inverse square root
-of the landmarks' own kernel matrix, makes them inputs of a linear machine.
+of the landmarks' own kernel matrix, makes them inputs of a linear machine. There are LANDMARKS of them, and as many more
+as it takes until every toxic training document that has any candidate holds a landmark, or a string much like one.
 
 Labels are of documents. The machine is trained on sentences: those of clean documents are negative; of a toxic
 document, the sentence that scores highest is positive, and all that score above 0, chosen again after each round. A
@@ -41,8 +42,8 @@ from .textnum import ALNUM, chunks, encode, prefix_hash, ragged, range_hash, spa
 MAX_ROWS = 8_000
 MAX_SENTENCES = 60_000
 LANDMARKS = 32
-#: lengths of landmarks, and how many candidates reach the driver
-LENGTHS = (4, 8)
+#: lengths of landmarks, and how many candidates reach the driver at a time
+LENGTHS = (3, 8)
 CANDIDATES = 2_000
 ORDER, DECAY = 4, 0.5
 SHARED = 0.75
@@ -97,16 +98,20 @@ def padded(data: np.ndarray, start: np.ndarray, end: np.ndarray, width: int) ->
     return np.where(inside, data[np.minimum(place, max(0, len(data) - 1))].astype(np.int16) + 1, 0)
 
 
-def kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
-    """Subsequence kernel of each row of s with the same row of t; both are rows of characters, filled with 0."""
+def kernels(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """Subsequence kernels of orders 2 to order, one row each, of each row of s with the same row of t.
+
+    Both are rows of characters, filled with 0.
+    """
     n, width = t.shape
-    k = np.zeros(n, np.float32)
+    k = np.zeros((order - 1, n), np.float32)
     decay, square = np.float32(DECAY), np.float32(DECAY**2)
     # ahead[i][:, j]: weighted common subsequences of i + 1 characters of s so far and t[:j], up to the strings' ends
     ahead = np.zeros((order - 1, n, width + 1), np.float32)
     for x in s.T:
         same = (x[:, None] == t) & (x[:, None] > 0)
-        k += square * (ahead[-1][:, :-1] * same).sum(axis=1)
+        for i in range(order - 1):
+            k[i] += square * np.einsum("ij,ij->i", ahead[i][:, :-1], same)
         for i in range(order - 2, -1, -1):
             before = ahead[i - 1][:, :-1] if i else np.ones((n, width), np.float32)
             step = square * before * same
@@ -117,21 +122,34 @@ def kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
     return k
 
 
+def kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
+    """Subsequence kernel of one order."""
+    return kernels(s, t, order)[-1]
+
+
+def _rows(strings: list[str]) -> np.ndarray:
+    raw = [t.encode() for t in strings]
+    if not raw:
+        return np.zeros((0, 1), np.int16)
+    size = np.array([len(x) for x in raw], np.int64)
+    ends = np.cumsum(size)
+    return padded(np.frombuffer(b"".join(raw), np.uint8), ends - size, ends, int(size.max()))
+
+
 @dataclass
 class Landmarks:
     terms: list[str]
 
     def __post_init__(self):
         raw = [t.encode() for t in self.terms]
-        self.width = max((len(r) for r in raw), default=1)
-        ends = np.cumsum([len(r) for r in raw]) if raw else np.empty(0, np.int64)
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        self.rows = padded(data, ends - np.array([len(r) for r in raw], np.int64), ends, self.width) if raw else np.zeros((0, 1), np.int16)
-        self.own = kernel(self.rows, self.rows)
+        self.rows = _rows(self.terms)
+        self.own = kernels(self.rows, self.rows)
+        self.orders = (self.own > 0).sum(axis=0)
         self.counts = [dict(zip(*(x.tolist() for x in np.unique(np.frombuffer(r, np.uint8), return_counts=True)), strict=True)) for r in raw]
-        self.least = [max(ORDER, int(np.ceil(SHARED * len(r)))) for r in raw]
+        self.least = [int(np.ceil(SHARED * len(r))) for r in raw]
         a, b = np.indices((len(raw), len(raw))).reshape(2, -1)
-        own = kernel(self.rows[a], self.rows[b]) / np.sqrt(self.own[a] * self.own[b]) if raw else np.zeros(0)
+        both = np.sqrt(self.own[:, a] * self.own[:, b])
+        own = (kernels(self.rows[a], self.rows[b]) / np.where(both > 0, both, 1)).sum(axis=0) / np.sqrt(self.orders[a] * self.orders[b]) if raw else np.zeros(0)
         values, vectors = np.linalg.eigh(own.reshape(len(raw), len(raw)).astype(float)) if raw else (np.zeros(0), np.zeros((0, 0)))
         keep = values > 1e-3
         self.map = vectors[:, keep] / np.sqrt(values[keep])
@@ -149,7 +167,7 @@ class Landmarks:
                     c = np.concatenate([[0], np.cumsum(t.data == letter, dtype=np.int32)])
                     prefix[letter] = c[t.end] - c[t.start]
                 shared += np.minimum(prefix[letter], most)
-            found = np.flatnonzero((shared >= least) & (size >= ORDER))
+            found = np.flatnonzero(shared >= least)
             terms.append(found)
             marks.append(np.full(len(found), mark))
         if not terms:
@@ -160,8 +178,13 @@ class Landmarks:
             some = np.flatnonzero((size[term] > low) & (size[term] <= high))
             for a in range(0, len(some), 20_000):
                 part = some[a : a + 20_000]
-                value[part] = kernel(padded(t.data, t.start[term[part]], t.end[term[part]], high), self.rows[mark[part]])
-        return term, mark, np.minimum(value / self.own[mark], 1)
+                value[part] = self.share(padded(t.data, t.start[term[part]], t.end[term[part]], high), mark[part])
+        return term, mark, value
+
+    def share(self, rows: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Of each row, how much of its landmark it holds: the mean over the orders that the landmark has."""
+        own = self.own[:, mark]
+        return np.minimum(kernels(rows, self.rows[mark]) / np.where(own > 0, own, 1), 1).sum(axis=0) / self.orders[mark]
 
     def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Text and features of each sentence in which something is alike."""
@@ -237,17 +260,84 @@ def fit_logistic(d: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def choose(candidates: list[str], n: int) -> list[str]:
     """The first n candidates that are not much alike an earlier choice, in either direction."""
-    out: list[str] = []
+    chosen = Chosen([])
     for c in candidates:
-        if len(out) == n:
+        if len(chosen.terms) == n:
             break
-        marks = Landmarks([*out, c])
-        k = len(out)
-        own = kernel(marks.rows, marks.rows, 3)
-        both = kernel(marks.rows[[k] * k], marks.rows[:k], 3) if k else np.zeros(0)
-        if not k or (both / np.minimum(own[:k], own[k])).max() < 0.3:
-            out.append(c)
-    return out
+        chosen.add(c)
+    return chosen.terms
+
+
+class Chosen:
+    """Landmarks so far; one that is much alike an earlier one, in either direction, is not added."""
+
+    def __init__(self, terms: list[str]):
+        self.terms: list[str] = []
+        self.rows, self.own = np.zeros((0, 4 * LENGTHS[1]), np.int16), np.empty(0, np.float32)
+        for t in terms:
+            self.add(t)
+
+    def add(self, term: str) -> bool:
+        row = _rows([term])
+        row = np.pad(row, ((0, 0), (0, self.rows.shape[1] - row.shape[1])))
+        own = kernel(row, row, 3)
+        k = len(self.terms)
+        if k and (kernel(np.repeat(row, k, axis=0), self.rows, 3) / np.minimum(self.own, own)).max() >= 0.3:
+            return False
+        self.terms.append(term)
+        self.rows, self.own = np.concatenate([self.rows, row]), np.concatenate([self.own, own])
+        return True
+
+
+def _document_terms(batches):
+    """Of each document its distinct terms, between line feeds, and the batch."""
+    for batch in batches:
+        texts = encode(batch.column("t").to_pylist())
+        for a, b in chunks([len(t) for t in texts]):
+            t = Terms(texts[a:b])
+            strings = t.strings()
+            of: list[set[str]] = [set() for _ in range(b - a)]
+            for i, k in zip(t.text.tolist(), t.term.tolist(), strict=True):
+                of[i].add(strings[k])
+            yield batch.slice(a, b - a), ["\n".join(x) for x in of]
+
+
+def _without(marks: list[str]):
+    """Documents that hold none of the marks."""
+
+    def run(batches):
+        for batch, terms in _document_terms(batches):
+            yield batch.filter(pa.array([not any(m in t for m in marks) for t in terms], pa.bool_()))
+
+    return run
+
+
+def _held(candidates: list[str]):
+    """Of each document, which of the candidates it holds."""
+
+    def run(batches):
+        for _, terms in _document_terms(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([[k for k, c in enumerate(candidates) if c in t] for t in terms], pa.list_(pa.int32()))], names=["held"])
+
+    return run
+
+
+def cover(chosen: Chosen, candidates: list[str], held: list[list[int]]) -> int:
+    """Adds candidates, in their order, until each document that holds one holds one that was added, or is alike one.
+
+    held: of each document, the candidates that it holds. Returns how many documents are met now.
+    """
+    holders: list[list[int]] = [[] for _ in candidates]
+    for d, some in enumerate(held):
+        for c in some:
+            holders[c].append(d)
+    left = {d for d, some in enumerate(held) if some}
+    n = len(left)
+    for c, docs in zip(candidates, holders, strict=True):
+        if left.intersection(docs):
+            chosen.add(c)
+            left.difference_update(docs)
+    return n
 
 
 def _term_uses(batches):
@@ -260,7 +350,7 @@ def _term_uses(batches):
             strings = t.strings()
             pairs = np.unique(t.text * np.int64(len(strings) + 1) + t.term)
             text, term = np.divmod(pairs, len(strings) + 1)
-            long = [(strings[k], y[a + i]) for i, k in zip(text.tolist(), term.tolist(), strict=True) if len(strings[k]) >= ORDER]
+            long = [(strings[k], y[a + i]) for i, k in zip(text.tolist(), term.tolist(), strict=True) if len(strings[k]) >= LENGTHS[0]]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in long], pa.string()), pa.array([v for _, v in long], pa.int32())], names=["term", "y"])
 
 
@@ -276,6 +366,36 @@ def _sentence_features(landmarks):
     return run
 
 
+def find_landmarks(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """LANDMARKS strings that set toxic documents most apart, and more until those that have any such string are met."""
+    chosen = Chosen(choose(_candidates(toxic, clean, n_toxic, n_clean), LANDMARKS))
+    left = toxic
+    while chosen.terms:
+        known = len(chosen.terms)
+        left = left.mapInArrow(_without(chosen.terms), left.schema)
+        n = left.count()
+        if not n:
+            break
+        candidates = _candidates(left, clean, n, n_clean)
+        held = [r["held"] for r in left.mapInArrow(_held(candidates), "held array<int>").collect()]
+        cover(chosen, candidates, held)
+        if len(chosen.terms) == known:
+            break
+    return chosen.terms
+
+
+def _candidates(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """The CANDIDATES strings of LENGTHS characters inside terms that set toxic documents most apart, best first."""
+    counts = toxic.union(clean).select("t", "y").mapInArrow(_term_uses, "term string, y int").groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+    low, high = LENGTHS
+    starts = F.sequence(F.lit(1), F.greatest(F.length("term") - (low - 1), F.lit(1)))
+    inside = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), lambda n: F.transform(starts, lambda i: F.substr(F.col("term"), i, n)))))
+    strings = counts.where(F.length("term") <= LONGEST).select(F.explode(inside).alias("s"), "bad", "n").groupBy("s").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+    odds = F.log(((F.col("bad") + 0.5) / n_toxic) / ((F.col("n") - F.col("bad") + 0.5) / n_clean))
+    ranked = strings.where((F.length("s") >= low) & (F.col("bad") >= 3) & (odds > 2)).orderBy((F.col("bad") * odds * (1 + 0.5 * F.length("s"))).desc(), "s")
+    return [r["s"] for r in ranked.limit(CANDIDATES).collect()]
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_rows: int = MAX_ROWS) -> Machine:
     """A machine trained on labelled documents whose fold, crc32(id as text) mod folds, is not 0."""
     spark = docs.sparkSession
@@ -283,23 +403,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     # toxic documents are rare: half of the rows, where there are as many, come from each class
     train = fold(id_col, folds) != 0
     halves = [training_sample(docs, labels.where(F.col(label) == y), label, id_col, text_col, train, max_rows // 2) for y in (1, 0)]
-    sample = halves[0].union(halves[1])
+    sample = halves[0].union(halves[1]).checkpoint()  # at most max_rows texts, which are read several times
     known = sample.select("id", "y").distinct().toPandas().sort_values("id")
     y = known["y"].to_numpy()
     share = float((y.sum() + 1) / (len(y) + 2))
     nothing = Machine(Landmarks([]), np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
     if len(set(y.tolist())) < 2:
         return nothing
-    n_toxic, n_clean = int(y.sum()), int(len(y) - y.sum())
-    counts = sample.select("t", "y").mapInArrow(_term_uses, "term string, y int").groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
-    # characters of LENGTHS inside terms, with uses in documents of both classes
-    low, high = LENGTHS
-    starts = F.sequence(F.lit(1), F.greatest(F.length("term") - (low - 1), F.lit(1)))
-    inside = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), lambda n: F.transform(starts, lambda i: F.substr(F.col("term"), i, n)))))
-    strings = counts.where(F.length("term") <= LONGEST).select(F.explode(inside).alias("s"), "bad", "n").groupBy("s").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    odds = F.log(((F.col("bad") + 0.5) / n_toxic) / ((F.col("n") - F.col("bad") + 0.5) / n_clean))
-    ranked = strings.where((F.length("s") >= low) & (F.col("bad") >= 3) & (odds > 2)).orderBy((F.col("bad") * odds * (1 + 0.5 * F.length("s"))).desc(), "s")
-    marks = choose([r["s"] for r in ranked.limit(CANDIDATES).collect()], LANDMARKS)
+    marks = find_landmarks(sample.where("y = 1"), sample.where("y = 0"), int(y.sum()), int(len(y) - y.sum()))
     if not marks:
         return nothing
     landmarks = Landmarks(marks)
