@@ -16,8 +16,8 @@ Labels are of documents. The machine is trained on sentences: those of clean doc
 document, the sentence that scores highest is positive, and all that score above 0, chosen again after each round. A
 document's score is a logistic function, fitted to labelled documents, of its highest sentence score.
 
-The texts of at most ``max_rows`` labelled documents train; only counts of terms and features of sentences reach the
-driver, at most MAX_SENTENCES of each class. Scoring runs over all documents.
+The texts of at most ``max_rows`` labelled documents train, each with all of its sentences; only candidates and each
+document's distinct features reach the driver. Scoring runs over all documents.
 
 Defined results: a null text counts as empty; a text without terms scores like a sentence in which nothing is alike.
 Labels that are null are left out; of several labels of one id the largest counts. Rows with repeated or null ids are
@@ -40,7 +40,6 @@ from .quality import training_sample
 from .textnum import ALNUM, chunks, encode, prefix_hash, ragged, range_hash, space_words
 
 MAX_ROWS = 8_000
-MAX_SENTENCES = 60_000
 LANDMARKS = 32
 #: lengths of landmarks, and how many candidates reach the driver at a time
 LENGTHS = (3, 8)
@@ -355,17 +354,43 @@ def _term_uses(batches):
 
 
 def _sentence_features(landmarks):
+    """(id, y, x) of each document: x has the distinct features of its sentences, row by row, as 32-bit numbers."""
+
     def run(batches):
         for batch in batches:
             texts = encode(batch.column("t").to_pylist())
             for a, b in chunks([len(t) for t in texts]):
                 text, x = landmarks.value.features(texts[a:b])
-                at = pa.array(text + a)
-                yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("y").take(at), pa.array(list(x.astype(float)), pa.list_(pa.float64()))], names=["id", "y", "x"])
+                at = np.searchsorted(text, np.arange(b - a + 1))
+                distinct = [np.unique(x[i:j], axis=0).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("y").slice(a, b - a), pa.array(distinct, pa.binary())], names=["id", "y", "x"])
 
     return run
 
 
+def fit_sentences(x: np.ndarray, row: np.ndarray, doc: np.ndarray, bad: np.ndarray, landmarks: Landmarks):
+    """(weight, bias, value of each use) from distinct features x; uses are of row of x, in a document that is bad or not."""
+    z = x.astype(float) @ landmarks.map
+    # sentences in which nothing is alike are one more negative
+    z = np.vstack([z, np.zeros(z.shape[1])])
+    row, doc, bad = np.append(row, len(x)), np.append(doc, -1), np.append(bad, False)
+    near = np.unique(np.round(z, 2), axis=0, return_inverse=True)[1].ravel()
+    value = np.append(x.max(axis=1), 0.0).astype(float)[row]
+    for k in range(3):
+        best = np.zeros(len(doc), bool)
+        order = np.lexsort((row, -value, doc))
+        head = np.ones(len(order), bool)
+        head[1:] = doc[order][1:] != doc[order][:-1]
+        best[order[head]] = True
+        positive = bad & (best | (value > 0 if k else best))
+        use = positive | ~bad
+        # equal sentences need one row each; clean ones are many
+        index = np.unique(near[row[use]] * 2 + positive[use], return_index=True)[1]
+        weight, bias = fit_linear(z[row[use][index]], positive[use][index].astype(int))
+        value = (z @ weight + bias)[row]
+    return weight, bias, value[:-1]
+
+
 def find_landmarks(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     """LANDMARKS strings that set toxic documents most apart, and more until those that have any such string are met."""
     chosen = Chosen(choose(_candidates(toxic, clean, n_toxic, n_clean), LANDMARKS))
@@ -415,30 +440,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
         return nothing
     landmarks = Landmarks(marks)
     shared = spark.sparkContext.broadcast(landmarks)
-    parts = [
-        half.mapInArrow(_sentence_features(shared), "id long, y int, x array<double>").orderBy(F.xxhash64("id"), "id", "x").limit(MAX_SENTENCES).toPandas()
-        for half in halves
-    ]
-    x = np.array([v for p in parts for v in p["x"]], float).reshape(-1, len(marks))
-    doc = np.concatenate([p["id"].to_numpy() for p in parts])
-    bad = np.concatenate([p["y"].to_numpy() for p in parts]) == 1
-    z = x @ landmarks.map
-    # sentences in which nothing is alike are one more negative
-    z, doc, bad = np.vstack([z, np.zeros(z.shape[1])]), np.append(doc, -1), np.append(bad, False)
-    value = np.append(x.max(axis=1), 0.0)
-    for k in range(3):
-        best = np.zeros(len(doc), bool)
-        order = np.lexsort((-value, doc))
-        head = np.ones(len(order), bool)
-        head[1:] = doc[order][1:] != doc[order][:-1]
-        best[order[head]] = True
-        positive = bad & (best | (value > 0 if k else best))
-        use = positive | ~bad
-        # equal sentences need one row each; clean ones are many
-        rows, index = np.unique(np.column_stack([np.round(z[use], 2), positive[use]]), axis=0, return_index=True)
-        del rows
-        weight, bias = fit_linear(z[use][index], positive[use][index].astype(int))
-        value = z @ weight + bias
+    found = sample.mapInArrow(_sentence_features(shared), "id long, y int, x binary").toArrow()
+    found = found.sort_by([("id", "ascending"), ("x", "ascending")])
+    width = 4 * len(marks)
+    sizes = np.array([len(v.as_buffer()) // width if v.as_buffer() else 0 for v in found["x"]], np.int64)
+    raw = np.frombuffer(b"".join(v.as_buffer() for v in found["x"]), f"V{width}")
+    # sentences of different documents are often equal: each is kept once
+    distinct, row = np.unique(raw.view(np.uint32).reshape(-1, len(marks)), axis=0, return_inverse=True)
+    doc, bad = np.repeat(found["id"].to_numpy(), sizes), np.repeat(found["y"].to_numpy() == 1, sizes)
+    weight, bias, value = fit_sentences(distinct.view(np.float32), row.ravel(), doc, bad, landmarks)
     machine = Machine(landmarks, weight, bias, 1.0, 0.0)
     top = dict.fromkeys(known["id"].tolist(), bias)
     for i, v in zip(doc.tolist(), value.tolist(), strict=True):
