@@ -18,7 +18,10 @@ A segment is a run of windows with one anchor; equal windows have equal anchors.
    strings; all but the first by (id, start) are gone.
 3. Each bucket removes the bytes that its gone windows cover.
 
-An anchor that very many different segments share is met in one part; equal segments are collapsed before.
+An anchor whose different segments would pass PART_BYTES is met window by window instead: each bucket sends 128 bits of
+hash of each distinct window of such segments, with its first place, to a part that the hash chooses, so that they spread
+over all parts; a part answers which windows start earlier elsewhere. Only the hashes of the first pass (28 bytes for each
+different segment) meet by anchor.
 
 Defined results: a null text is empty. Of rows that share an id, at one place of both, either
 counts as earlier; each string stays once. A null id counts as larger than all others. Removal may cut a character:
@@ -48,8 +51,11 @@ PART_BYTES = 1 << 20
 PLACE = 22
 PIECE = 1 << 20
 
-ALONE, COPY, CLOSE = 0, 1, 2
-FIRST_PASS, TEXT, GONE = 0, 1, 2
+#: parts of windows for each part of texts
+WINDOW_PARTS = 4
+
+ALONE, COPY, CLOSE, WIDE = 0, 1, 2, 3
+FIRST_PASS, TEXT, GONE, WINDOW = 0, 1, 2, 3
 
 RESULT = [
     T.StructField("n_bytes", T.LongType()),
@@ -144,23 +150,48 @@ def _send_segments(id_col: str, text_col: str, length: int, n_shards: int):
     return run
 
 
-def _compare_segments(shard, sent):
-    """Answers with a kind for each segment."""
-    parts = [unpack(data) for _, _, data in sent]
-    sizes = [len(p["h"]) for p in parts]
-    h, s, doc = (np.concatenate([p[k] for p in parts]) for k in ("h", "s", "doc"))
-    start = np.concatenate([p["start"].astype(np.int64) for p in parts])
-    order = np.lexsort((start, doc, s, h))
-    h, s = h[order], s[order]
-    same_h = np.zeros(len(h), bool)
-    same_h[1:] = h[1:] == h[:-1]
-    same = same_h.copy()
-    same[1:] &= s[1:] == s[:-1]
-    group = np.cumsum(~same_h) - 1
-    different = np.bincount(group, weights=~same)[group] > 1
-    kind = np.empty(len(h), np.uint8)
-    kind[order] = np.where(same, COPY, np.where(different, CLOSE, ALONE))
-    return messages([(FIRST_PASS, bucket, shard, pack(kind=k)) for (_, bucket, _), k in zip(sent, np.split(kind, np.cumsum(sizes)[:-1]), strict=True)])
+def _compare_segments(wide: int):
+    """wide: how many different segments of one anchor are met by their text."""
+
+    def run(shard, sent):
+        """Answers with a kind for each segment."""
+        parts = [unpack(data) for _, _, data in sent]
+        sizes = [len(p["h"]) for p in parts]
+        h, s, doc = (np.concatenate([p[k] for p in parts]) for k in ("h", "s", "doc"))
+        start = np.concatenate([p["start"].astype(np.int64) for p in parts])
+        order = np.lexsort((start, doc, s, h))
+        h, s = h[order], s[order]
+        same_h = np.zeros(len(h), bool)
+        same_h[1:] = h[1:] == h[:-1]
+        same = same_h.copy()
+        same[1:] &= s[1:] == s[:-1]
+        group = np.cumsum(~same_h) - 1
+        different = np.bincount(group, weights=~same)[group]
+        kind = np.empty(len(h), np.uint8)
+        kind[order] = np.where(same, COPY, np.where(different > wide, WIDE, np.where(different > 1, CLOSE, ALONE)))
+        return messages([(FIRST_PASS, bucket, shard, pack(kind=k)) for (_, bucket, _), k in zip(sent, np.split(kind, np.cumsum(sizes)[:-1]), strict=True)])
+
+    return run
+
+
+def _windows(texts: list[bytes], seg: dict[str, np.ndarray], some: np.ndarray, doc: np.ndarray, length: int):
+    """All windows of some segments, by hash and then place: 128 bits of hash, doc, row, start; and which are the first of their kind."""
+    row, windows = seg["row"][some], seg["windows"][some]
+    one, two = [], []
+    for a, b in chunks((windows + length - 1).tolist(), PIECE):
+        data = np.frombuffer(b"".join([texts[r][s : s + w + length - 1] for r, s, w in zip(row[a:b].tolist(), seg["start"][some[a:b]].tolist(), windows[a:b].tolist(), strict=True)]), np.uint8)
+        sizes = windows[a:b] + length - 1
+        place = ragged(np.cumsum(sizes) - sizes, windows[a:b])
+        one.append(mix(range_hash(prefix_hash(data, 0), place, place + length)))
+        two.append(range_hash(prefix_hash(data, 1), place, place + length, 1))
+    one, two = np.concatenate(one), np.concatenate(two)
+    where = np.repeat(np.arange(len(some)), windows)
+    start, doc, row = ragged(seg["start"][some], windows), doc[some][where], row[where]
+    order = np.lexsort((start, doc, two, one))
+    one, two = one[order], two[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+    return {"one": one, "two": two, "doc": doc[order], "row": row[order], "start": start[order]}, new
 
 
 def _spread_text(id_col: str, text_col: str, length: int, n_shards: int, n_parts: int):
@@ -187,6 +218,16 @@ def _spread_text(id_col: str, text_col: str, length: int, n_shards: int, n_parts
             row, start, windows = seg["row"][x], seg["start"][x], seg["windows"][x]
             text = b"".join([texts[r][s : s + w + length - 1] for r, s, w in zip(row.tolist(), start.tolist(), windows.tolist(), strict=True)])
             out.append((TEXT, bucket, p, pack(h=seg["h"][x], doc=doc[x], row=row, start=start, windows=windows, text=np.frombuffer(text, np.uint8))))
+        wide = first[kind == WIDE]
+        if len(wide):
+            w, new = _windows(texts, seg, wide, doc, length)
+            out.append((GONE, bucket, 0, pack(row=w["row"][~new], start=w["start"][~new], windows=np.ones(int((~new).sum()), np.int64))))
+            w = {k: v[new] for k, v in w.items()}
+            # hashes are in order, so parts, ranges of the hash, are runs
+            part = ((w["one"] >> U(32)) * U(WINDOW_PARTS * n_parts) >> U(32)).astype(np.int64)
+            at = np.searchsorted(part, np.arange(WINDOW_PARTS * n_parts + 1))
+            for p in np.flatnonzero(np.diff(at)).tolist():
+                out.append((WINDOW, bucket, n_parts + p, pack(**{k: v[at[p] : at[p + 1]] for k, v in w.items()})))
         return messages(out)
 
     return run
@@ -287,12 +328,37 @@ def repeated_windows(data: np.ndarray, windows: np.ndarray, doc: np.ndarray, sta
     return seg[~head], window[~head]
 
 
+def _later_windows(parts: list[tuple[int, dict]]):
+    """(bucket, row, start) of each window that starts earlier in another bucket."""
+    x = {k: np.concatenate([p[k] for _, p in parts]) for k in ("one", "two", "doc", "row", "start")}
+    bucket = np.repeat([b for b, _ in parts], [len(p["one"]) for _, p in parts])
+    order = np.lexsort((x["start"], x["doc"], x["two"], x["one"]))
+    one, two = x["one"][order], x["two"][order]
+    later = np.zeros(len(order), bool)
+    later[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+    some = order[later]
+    return bucket[some], x["row"][some], x["start"][some]
+
+
+def _gone(shard: int, of: np.ndarray, row: np.ndarray, start: np.ndarray):
+    """Windows that are gone, to the bucket of each."""
+    order = np.lexsort((start, row, of))
+    of, row, start = of[order], row[order], start[order]
+    out = []
+    for b in np.unique(of).tolist():
+        lo, hi = np.searchsorted(of, [b, b + 1])
+        out.append((GONE, b, shard + 1, pack(row=row[lo:hi], start=start[lo:hi], windows=np.ones(hi - lo, np.int64))))
+    return messages(out)
+
+
 def _expand(length: int):
     def run(shard, sent):
         """Windows of close segments that start earlier in another one, back to the bucket of each."""
         parts = [(bucket, unpack(data)) for _, bucket, data in sent]
         if not parts:
             return messages([])
+        if sent[0][0] == WINDOW:
+            return _gone(shard, *_later_windows(parts))
         x = {k: np.concatenate([p[k] for _, p in parts]) for k in ("h", "doc", "row", "start", "windows", "text")}
         bucket = np.repeat([b for b, _ in parts], [len(p["h"]) for _, p in parts])
         sizes = x["windows"] + length - 1
@@ -310,14 +376,7 @@ def _expand(length: int):
             found.append((some[seg], window))
         seg, window = (np.concatenate([f[i] for f in found]) for i in (0, 1))
         start = x["start"][seg] + window
-        of = bucket[seg]
-        order = np.lexsort((start, x["row"][seg], of))
-        of, row, start = of[order], x["row"][seg][order], start[order]
-        out = []
-        for b in np.unique(of).tolist():
-            lo, hi = np.searchsorted(of, [b, b + 1])
-            out.append((GONE, b, shard + 1, pack(row=row[lo:hi], start=start[lo:hi], windows=np.ones(hi - lo, np.int64))))
-        return messages(out)
+        return _gone(shard, bucket[seg], x["row"][seg], start)
 
     return run
 
@@ -356,9 +415,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.drop(*(c for c in docs.columns if c in results and c not in (id_col, text_col))).withColumn(text_col, F.col(text_col).cast("string"))
     buckets = Buckets(docs, text_col, F.col(id_col))
     n_shards = n_parts = 1 + buckets.bytes // SHARD_BYTES
-    compared = each_shard(buckets.each(_send_segments(id_col, text_col, length, n_shards), MESSAGE), _compare_segments).checkpoint()
+    compared = each_shard(buckets.each(_send_segments(id_col, text_col, length, n_shards), MESSAGE), _compare_segments(PART_BYTES // (2 * length))).checkpoint()
     spread = buckets.each_with(compared, _spread_text(id_col, text_col, length, n_shards, n_parts), MESSAGE).checkpoint()
-    expanded = each_shard(spread.where(F.col("kind") == TEXT), _expand(length))
+    expanded = each_shard(spread.where(F.col("kind").isin(TEXT, WINDOW)), _expand(length))
     gone = spread.where(F.col("kind") == GONE).union(expanded)
     schema = T.StructType([*docs.schema.fields, *added])
     return buckets.each_with(gone, _remover(text_col, length, schema.fieldNames(), to_arrow_schema(schema)), schema)
