@@ -21,8 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return minhash.keep_first(docs)
+    """Of each group of near duplicates, alike from 0.8 on, the document with the smallest id stays."""
+    return minhash.keep_first(docs, percent=80)
 
 
 def repeated_text_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
