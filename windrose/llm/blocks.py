@@ -15,7 +15,7 @@ import json
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_schema, shuffle_partitions, text_bytes
@@ -93,13 +93,13 @@ def _packer(schema: pa.Schema):
 class Buckets:
     """Documents as (bucket, block), written once to the shared checkpoint folder, a bucket's blocks side by side."""
 
-    def __init__(self, docs: DataFrame, text_col: str, spread: Column, bucket_bytes: int = BUCKET_BYTES):
-        """spread: what deals rows to buckets, for example an id."""
+    def __init__(self, docs: DataFrame, text_col: str, spread: list[str], bucket_bytes: int = BUCKET_BYTES):
+        """spread: the columns whose values deal rows to buckets: id and text, so that one id does not fill a bucket."""
         self.schema = arrow_schema(docs)
         self.bytes = text_bytes(docs, text_col)
         self.n = 1 + self.bytes // bucket_bytes
         self.partitions = max(shuffle_partitions(docs.sparkSession), -(-self.n // 2))
-        bucket = F.pmod(F.xxhash64(spread), F.lit(self.n)).cast("int")
+        bucket = F.pmod(F.xxhash64(*spread), F.lit(self.n)).cast("int")
         packed = docs.withColumn("__bucket", bucket).mapInArrow(_packer(self.schema), "bucket int, block binary")
         # without adaptive planning the checkpoint keeps its partitioning, and later passes need no exchange of blocks
         conf = docs.sparkSession.conf

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 from .components import components
-from .textnum import MULT, U, chunks, encode, mix, space_words, window_hashes
+from .textnum import SALT, U, chunks, encode, mix, multipliers, space_words, window_hashes
 from .url_filter import bloom_blocks, probe
 
 REGISTERS, ROWS = 128, 4
@@ -61,9 +61,9 @@ def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]
         if len(short):
             x = np.zeros(len(short), U)
             for i in range(n):
-                x = x * MULT[0] + h[w.first[short] + i]
+                x += h[w.first[short] + i] * multipliers(size)[i]
             text.append(short)
-            value.append(mix(x + U(n * int(MULT[1]) % (1 << 64))))
+            value.append(mix(x + U(n * int(SALT[1]) % (1 << 64))))
     text, value = np.concatenate(text), np.concatenate(value)
     order = np.lexsort((value, text))
     text, value = text[order], value[order]
@@ -98,8 +98,8 @@ def band_keys(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     n, m = sig.shape
     out = np.zeros((n, m // rows), U)
     for i in range(rows):
-        out = mix(out * MULT[0] + sig[:, i::rows][:, : m // rows])
-    return mix(out + np.arange(m // rows, dtype=U) * MULT[1])
+        out = mix(out * SALT[0] + sig[:, i::rows][:, : m // rows])
+    return mix(out + np.arange(m // rows, dtype=U) * SALT[1])
 
 
 def _classes(text: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndarray, list[bytes]]:

@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
-from .textnum import chunks, encode, prefix_hash, ragged, range_hash
+from .textnum import SHORT, FIRST, chunks, encode, loads, ragged, span_hashes
 
-#: distinct strings whose ids a worker remembers, about 40 bytes each
+#: distinct strings whose ids a worker remembers, about 80 bytes each
 MEMORY = 1_000_000
 #: bytes of text that are encoded together
 TOGETHER = 1 << 20
@@ -48,7 +48,8 @@ class Encoder:
     """Ids of a tokenizer file of the byte-level kind, as the tokenizers library gives them with add_special_tokens=False.
 
     Its pre-tokenizer puts a space before a word with the word, and ends what stands before. So texts are cut before
-    spaces that no white space follows, and each distinct string is encoded once and remembered, under 128 bits of hash.
+    spaces that no white space follows, and each distinct string of up to SHORT bytes is encoded once and remembered, with
+    its bytes.
     """
 
     def __init__(self, path: str):
@@ -60,13 +61,15 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.hash = self.check = np.empty(0, np.uint64)
+        self.hash = np.empty(0, np.uint64)
+        self.key, self.length = np.empty((0, SHORT // 8), np.uint64), np.empty(0, np.uint8)
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        raw = b"".join(texts)
+        data = np.frombuffer(raw, np.uint8)
         sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
         ends = np.cumsum(sizes)
         cut = np.zeros(len(data) + 1, bool)
@@ -81,17 +84,49 @@ class Encoder:
         cut[(ends - sizes)[sizes > 0]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(data))[: len(start)]
-        one, two = (range_hash(prefix_hash(data, k), start, end, k) for k in (0, 1))
-        distinct, first, where = np.unique(one, return_index=True, return_inverse=True)
-        self._learn(distinct, two[first], data.tobytes(), start[first], end[first])
-        at = np.searchsorted(self.hash, distinct)
-        if not (two == self.check[at][where]).all():
-            raise ValueError("two strings have one 64-bit hash")
-        size, begin = self.size[at][where].astype(np.int64), self.start[at][where]
+        begin, size = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+        short = end - start <= SHORT
+        begin[short], size[short] = self._remembered(raw, start[short], end[short])
+        long = np.flatnonzero(~short)  # few: each is encoded where it stands
+        begin[long], size[long] = self._add([raw[a:b] for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)])
         text = np.searchsorted(ends, start, side="right")
-        return self.ids[ragged(begin, size)], np.bincount(text, size, len(texts)).astype(np.int64)
+        out = self.ids[ragged(begin, size)], np.bincount(text, size, len(texts)).astype(np.int64)
+        if len(long):  # what was not remembered goes
+            self.ids = self.ids[: int(begin[long].min())]
+        return out
+
+    def _remembered(self, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of short strings stand, and how many: strings are found by their hash, and their bytes are compared."""
+        h, size = span_hashes(raw, start, end), end - start
+        eight = loads(raw)
+        block = lambda some, k: eight[start[some] + 8 * k] & FIRST[np.minimum(size[some] - 8 * k, 8)]
+        distinct, first, where = np.unique(h, return_index=True, return_inverse=True)
+        self._learn(distinct, raw, start[first], end[first], block, first)
+        at = np.searchsorted(self.hash, distinct)[where]
+        # of strings of one length up to 8, equal hashes mean equal bytes
+        odd = self.length[at] != size
+        some = np.flatnonzero(size > 8)
+        for k in range(SHORT // 8):
+            some = some[size[some] > 8 * k]
+            odd[some] |= self.key[at[some], k] != block(some, k)
+        begin, count = self.start[at], self.size[at].astype(np.int64)
+        if odd.any():  # another string has that hash
+            begin[odd], count[odd] = self._add([raw[a:b] for a, b in zip(start[odd].tolist(), end[odd].tolist(), strict=True)])
+        return begin, count
 
-    def _learn(self, distinct, check, raw: bytes, start, end) -> None:
+    def _add(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes strings and puts their ids at the end of all."""
+        parts, size = [self.ids], []
+        for i in range(0, len(strings), 20_000):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in strings[i : i + 20_000]], add_special_tokens=False)]
+            size += [len(x) for x in found]
+            parts.append(np.fromiter((y for x in found for y in x), np.uint32, sum(size[i:])))
+        size = np.array(size, np.int64)
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate(parts)
+        return begin, size
+
+    def _learn(self, distinct, raw: bytes, start, end, block, first) -> None:
         at = np.searchsorted(self.hash, distinct)
         known = np.zeros(len(distinct), bool)
         known[at < len(self.hash)] = self.hash[at[at < len(self.hash)]] == distinct[at < len(self.hash)]
@@ -99,19 +134,16 @@ class Encoder:
             self.forget()
             known[:] = False
         new = np.flatnonzero(~known)
-        parts, size = [self.ids], []
-        for i in range(0, len(new), 20_000):
-            strings = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[new[i : i + 20_000]].tolist(), end[new[i : i + 20_000]].tolist(), strict=True)]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-            size += [len(x) for x in found]
-            parts.append(np.fromiter((y for x in found for y in x), np.uint32, sum(size[i:])))
-        size = np.array(size, np.int32)
-        begin = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
-        self.ids = np.concatenate(parts)
+        length = (end - start)[new]
+        key = np.zeros((len(new), SHORT // 8), np.uint64)
+        for k in range(SHORT // 8):
+            some = np.flatnonzero(length > 8 * k)
+            key[some, k] = block(first[new[some]], k)
+        begin, size = self._add([raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
         order = np.argsort(h := np.concatenate([self.hash, distinct[new]]), kind="stable")
         self.hash = h[order]
-        self.check = np.concatenate([self.check, check[new]])[order]
-        self.start, self.size = np.concatenate([self.start, begin])[order], np.concatenate([self.size, size])[order]
+        for name, more in (("key", key), ("length", length.astype(np.uint8)), ("start", begin), ("size", size.astype(np.int32))):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
 
 
 _encoders: dict[str, Encoder] = {}  # one in each worker

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fold, prepare
-from .textnum import chunks, encode, range_hash, prefix_hash, space_words
+from .textnum import chunks, encode, space_words, span_hashes
 
 #: labelled documents that trees are fitted to, at most
 MAX_ROWS = 20_000
@@ -90,7 +90,7 @@ def statistics(texts: list[bytes]) -> np.ndarray:
     begin, end = begin[filled], breaks[filled]
     line_text = of_byte[begin]
     n_lines = np.bincount(line_text, minlength=n)
-    distinct_lines, _ = _distinct(line_text, range_hash(prefix_hash(w.data), begin, end), n)
+    distinct_lines, _ = _distinct(line_text, span_hashes(w.joined, begin, end), n)
     columns = [
         np.log1p(size), *(_share(classes[:, i], size) for i in range(N_CLASS)),
         np.log1p(words), mean, spread, _share(distinct, words), _share(top, words), _share(repeated, words), _share(marked, words), _share(capital, words),
@@ -168,13 +168,17 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: flo
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str, train: Column, max_rows: int) -> DataFrame:
-    """(id, t, y) of at most max_rows labelled documents, the first by a hash of the id; they are few by that bound."""
+    """(id, t, y) of at most max_rows labelled ids, the first by a hash of the id, one row for each; few by that bound."""
     some = (
         labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & train)
         .groupBy(F.col(id_col).alias("id")).agg(F.max(label).cast("int").alias("y"))
         .orderBy(F.xxhash64("id"), "id").limit(max_rows)
     )
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(some), "id")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).join(F.broadcast(some), "id")
+    # an id may stand in many rows: of each id one row learns, the one whose text has the least hash
+    key = F.xxhash64(F.coalesce("t", F.lit("")))
+    least = rows.groupBy("id").agg(F.min(key).alias("k"))
+    return rows.withColumn("k", key).join(F.broadcast(least), ["id", "k"]).dropDuplicates(["id"]).select("id", "t", "y")
 
 
 def _measured(batches):

@@ -209,7 +209,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prepare(docs.sparkSession)
     results = {f.name for f in RESULT}
     docs = docs.drop(*(c for c in docs.columns if c in results and c not in (id_col, text_col))).withColumn(text_col, F.col(text_col).cast("string"))
-    buckets = Buckets(docs, text_col, F.col(id_col))
+    buckets = Buckets(docs, text_col, [id_col, text_col])
     n_shards = 1 + buckets.bytes // SHARD_BYTES
     sketched = each_shard(buckets.each(_send_sketch(text_col, size, n_shards), MESSAGE), _merge_sketches).checkpoint()
     sent = buckets.each_with(sketched, _send_candidates(id_col, text_col, size, n_shards), MESSAGE)

@@ -40,9 +40,8 @@ from pyspark.sql import types as T
 from .blocks import MESSAGE, Buckets, each_shard, messages, pack, unpack
 from .common import prepare
 from .substring_dedup import ids_of
-from .textnum import U, chunks, encode, merge_spans, mix, powers, prefix_hash, ragged, range_hash
+from .textnum import GRAM, U, chunks, combined_grams, encode, gram_hashes, merge_spans, mix, ragged
 
-GRAM = 32
 #: bytes of text for each shard of anchors: about 500,000 segments
 SHARD_BYTES = 16 << 20
 #: bytes of segments that are sorted together, if one anchor has no more
@@ -90,12 +89,10 @@ def segments(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
     out: dict[str, list[np.ndarray]] = {k: [] for k in ("row", "start", "windows", "h", "s")}
     width = length - GRAM + 1
     for a, _, offset, part in _pieces(texts, length):
-        data = np.frombuffer(b"".join(part), np.uint8)
-        if len(data) < length:
+        raw = b"".join(part)
+        if len(raw) < length:
             continue
-        prefix = prefix_hash(data, 0)
-        _, down = powers(0, len(prefix))
-        gram = mix((prefix[GRAM:] - prefix[:-GRAM]) * down[: len(prefix) - GRAM])
+        gram = gram_hashes(raw)
         key = ((gram >> U(PLACE)) << U(PLACE)) | np.arange(len(gram), dtype=U)
         anchor = (_least_in_windows(key, width) & U((1 << PLACE) - 1)).astype(np.int64)
         ends = np.cumsum(np.fromiter((len(t) for t in part), np.int64, len(part)))
@@ -108,14 +105,13 @@ def segments(texts: list[bytes], length: int) -> dict[str, np.ndarray]:
         # a run ends at the next one, or where windows no longer fit in the text
         stop = np.minimum(np.append(np.flatnonzero(new), n)[np.searchsorted(np.flatnonzero(new), begin) + 1], ends[row[begin]] - length + 1)
         windows = stop - begin
-        second = prefix_hash(data, 1)
-        whole = range_hash(second, begin, stop + length - 1, 1)
+        whole = combined_grams(gram, begin, windows + length - 1)
         out["row"].append(row[begin] + a)
         out["start"].append(begin - (ends - np.fromiter((len(t) for t in part), np.int64, len(part)))[row[begin]] + offset)
         out["windows"].append(windows)
         out["h"].append(gram[anchor[begin]])
         # where the anchor stands, and the number of windows, are part of the segment
-        out["s"].append(mix(whole + (anchor[begin] - begin).astype(U) * U(length + 1) + windows.astype(U)))
+        out["s"].append(mix(whole + (anchor[begin] - begin).astype(U)))
     return {k: np.concatenate(v) if v else np.empty(0, U if k in "hs" else np.int64) for k, v in out.items()}
 
 
@@ -179,11 +175,11 @@ def _windows(texts: list[bytes], seg: dict[str, np.ndarray], some: np.ndarray, d
     row, windows = seg["row"][some], seg["windows"][some]
     one, two = [], []
     for a, b in chunks((windows + length - 1).tolist(), PIECE):
-        data = np.frombuffer(b"".join([texts[r][s : s + w + length - 1] for r, s, w in zip(row[a:b].tolist(), seg["start"][some[a:b]].tolist(), windows[a:b].tolist(), strict=True)]), np.uint8)
+        raw = b"".join([texts[r][s : s + w + length - 1] for r, s, w in zip(row[a:b].tolist(), seg["start"][some[a:b]].tolist(), windows[a:b].tolist(), strict=True)])
         sizes = windows[a:b] + length - 1
         place = ragged(np.cumsum(sizes) - sizes, windows[a:b])
-        one.append(mix(range_hash(prefix_hash(data, 0), place, place + length)))
-        two.append(range_hash(prefix_hash(data, 1), place, place + length, 1))
+        for k, of in enumerate((one, two)):
+            of.append(combined_grams(gram_hashes(raw, k), place, np.full(len(place), length), k))
     one, two = np.concatenate(one), np.concatenate(two)
     where = np.repeat(np.arange(len(some)), windows)
     start, doc, row = ragged(seg["start"][some], windows), doc[some][where], row[where]
@@ -413,7 +409,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     added = [*RESULT, KEPT[kept]]
     results = {f.name for f in added}
     docs = docs.drop(*(c for c in docs.columns if c in results and c not in (id_col, text_col))).withColumn(text_col, F.col(text_col).cast("string"))
-    buckets = Buckets(docs, text_col, F.col(id_col))
+    buckets = Buckets(docs, text_col, [id_col, text_col])
     n_shards = n_parts = 1 + buckets.bytes // SHARD_BYTES
     compared = each_shard(buckets.each(_send_segments(id_col, text_col, length, n_shards), MESSAGE), _compare_segments(PART_BYTES // (2 * length))).checkpoint()
     spread = buckets.each_with(compared, _spread_text(id_col, text_col, length, n_shards, n_parts), MESSAGE).checkpoint()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 U = np.uint64
@@ -14,10 +16,19 @@ ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 #: for bytes.translate
 LOWER_ASCII = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100))
 
-_SEED = 20_240_917
-#: One random 64-bit value for each byte, for each of two independent hashes.
-TABLES = np.random.default_rng(_SEED).integers(1, 1 << 63, size=(2, 257), dtype=np.int64).astype(U) * U(2) + U(1)
-MULT = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))
+#: Odd multipliers for each of two independent hashes: by a rule, as many as are asked for.
+_MULT: dict[int, np.ndarray] = {}
+SALT = (U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93))
+#: the first n bytes of eight, as they are loaded
+FIRST = np.array([(1 << (8 * n)) - 1 for n in range(9)], U)
+#: strings of more bytes are hashed one by one
+SHORT = 32
+
+
+def multipliers(n: int, which: int = 0) -> np.ndarray:
+    if which not in _MULT or len(_MULT[which]) < n:
+        _MULT[which] = np.random.default_rng(20_240_917 + which).integers(1, 1 << 63, size=max(16, n), dtype=np.int64).astype(U) * U(2) + U(1)
+    return _MULT[which]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,34 +41,65 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # one pair of tables for each multiplier, as long as was needed yet
+def loads(raw: bytes) -> np.ndarray:
+    """Eight bytes as one number, from each place on; zeros follow the end."""
+    return np.ndarray((len(raw) + 1,), "<u8", raw + bytes(8), 0, (1,))
 
 
-def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a multiplier and of its inverse modulo 2**64, at least n of each."""
-    if which not in _powers or len(_powers[which][0]) < n:
-        mult, size = int(MULT[which]), max(1 << 16, n + (n >> 3))
-        out = []
-        for base in (mult, pow(mult, -1, 1 << 64)):
-            p = np.full(size, base, U)
-            p[0] = 1
-            out.append(np.multiply.accumulate(p))
-        _powers[which] = (out[0], out[1])
-    return _powers[which]
+def span_hashes(raw: bytes, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hash of each raw[start:end]; equal for equal bytes wherever they stand.
 
-
-def prefix_hash(data: np.ndarray, which: int = 0) -> np.ndarray:
-    """C with C[i] = sum of table[data[j]] * mult**j for j < i, modulo 2**64."""
-    up, _ = powers(which, len(data) + 1)
-    out = np.zeros(len(data) + 1, U)
-    np.cumsum(TABLES[which][data] * up[: len(data)], out=out[1:])
+    Short strings are taken eight bytes at a time, each mixed in by a bijection, so that strings of up to eight bytes
+    and one length never collide, and no arithmetic pattern of a string makes hashes agree. Longer ones go to BLAKE2b.
+    """
+    size = end - start
+    out = mix(size.astype(U) * SALT[which] + SALT[1 - which])
+    eight = loads(raw)
+    some = np.flatnonzero((size > 0) & (size <= SHORT))
+    for k in range(0, SHORT, 8):
+        if k:
+            some = some[size[some] > k]
+        if not len(some):
+            break
+        x = eight[start[some] + k] & FIRST[np.minimum(size[some] - k, 8)]
+        out[some] = mix((out[some] ^ x) * SALT[which])
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        digest = b"".join([hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)])
+        out[long] = np.frombuffer(digest, "<u8").reshape(-1, 2)[:, which]
     return out
 
 
-def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
-    """Hash of each data[start:end]; equal for equal bytes wherever they stand."""
-    _, down = powers(which, len(prefix))
-    return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(U))
+#: bytes of the strings that gram_hashes takes at each place
+GRAM = 32
+
+
+def gram_hashes(raw: bytes, which: int = 0) -> np.ndarray:
+    """Hash of the GRAM bytes from each place on, as far as they fit: of eight, of twice eight, of twice sixteen."""
+    n = len(raw)
+    if n < GRAM:
+        return np.empty(0, U)
+    m = multipliers(4, 2 + which)
+    x = loads(raw)[: n - 7] * m[0]
+    for half, k in ((8, 1), (16, 2)):
+        x ^= x >> U(31)
+        x *= m[3]
+        x ^= x >> U(29)
+        x = x[:-half] * m[k] + x[half:]
+    return mix(x)
+
+
+def combined_grams(gram: np.ndarray, start: np.ndarray, size: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hash of strings of `size` bytes, GRAM at least, from the grams that lie end to end in each, and its last."""
+    m = multipliers(2 + int(size.max(initial=0)) // GRAM, 4 + which)
+    out = gram[start + size - GRAM] * m[0] + size.astype(U) * m[1]
+    for k in range(int(size.max(initial=0)) // GRAM):
+        if (size >= GRAM * (k + 1)).all():
+            out += gram[start + GRAM * k] * m[2 + k]
+        else:
+            some = size >= GRAM * (k + 1)
+            out[some] += gram[start[some] + GRAM * k] * m[2 + k]
+    return mix(out)
 
 
 def bounds(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,7 +143,7 @@ class Words:
         self.text = np.repeat(np.arange(len(texts)), self.count)
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        return range_hash(prefix_hash(self.data, which), self.start, self.end, which)
+        return span_hashes(self.joined, self.start, self.end, which)
 
 
 def space_words(texts: list[bytes], lower: bool = False) -> Words:
@@ -118,9 +160,9 @@ def window_hashes(word_hash: np.ndarray, size: int, which: int = 0) -> np.ndarra
     """Hash of each run of `size` words, by their hashes."""
     n = max(0, len(word_hash) - size + 1)
     out = np.zeros(n, U)
+    m = multipliers(size, which)
     for i in range(size):
-        out *= MULT[which]
-        out += word_hash[i : n + i]
+        out += word_hash[i : n + i] * m[i]
     return mix(out)
 
 

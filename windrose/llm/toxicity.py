@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from .common import fold, prepare
 from .quality import training_sample
-from .textnum import ALNUM, chunks, encode, prefix_hash, ragged, range_hash, space_words
+from .textnum import ALNUM, chunks, encode, ragged, space_words, span_hashes
 
 MAX_ROWS = 8_000
 LANDMARKS = 32
@@ -80,7 +80,7 @@ class Terms:
             end[long] = start[long] + LONGEST
             start, end = np.concatenate([start, begin]), np.concatenate([end, stop])
             sentence, text = np.concatenate([sentence, sentence[at]]), np.concatenate([text, text[at]])
-        h = range_hash(prefix_hash(self.data), start, end)
+        h = span_hashes(self.data.tobytes(), start, end)
         _, where, self.term = np.unique(h, return_index=True, return_inverse=True)
         self.start, self.end = start[where], end[where]
         self.sentence, self.text = sentence, text
