@@ -1,51 +1,91 @@
+import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from windrose.llm import gru_lm
+from windrose.llm.blocks import Buckets
 
 
 def test_every_training_document_is_learnt_once(spark, monkeypatch):
     rows = [(i, f"text number {i} " * (1 + i % 5)) for i in range(200)] + [(1000 + i, "one text that many rows share") for i in range(100)] + [(None, "no id"), (7, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn(gru_lm.LEARN, F.col("doc_id").isNull() | (F.col("doc_id") % 7 != 2)).repartition(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    round_ = F.when(F.col("doc_id").isNull() | (F.col("doc_id") % 7 != 2), gru_lm.learning_round("doc_id", "text")).otherwise(-1)
+    docs = docs.withColumn(gru_lm.ROUND, round_).repartition(4)
     read = []
 
-    def part(text_col, vocabulary, model):
-        def run(batches):  # what the trainer is given, in place of weights
-            import pyarrow as pa
-
-            texts = [t for b in batches for t in b.column(text_col).to_pylist()]
-            if texts:
-                yield pa.RecordBatch.from_arrays([pa.array([len(texts)], pa.int64()), pa.array(["\0".join(t or "" for t in texts).encode()], pa.binary())], names=["tokens", "total"])
+    def part(text_col, n_shards, vocabulary, model, k):
+        def run(bucket, table, answers):  # the texts that a bucket is given, in place of weights
+            texts = [t for t, r in zip(table.column(text_col).to_pylist(), table.column("__round").to_pylist(), strict=True) if r == k]
+            return pa.table({"i": pa.array([bucket] * len(texts), pa.int64()), "n": pa.array([1] * len(texts), pa.int64()), "total": pa.array([(t or "").encode() for t in texts], pa.binary())})
 
         return run
 
-    def add(key, table):
-        import pyarrow as pa
-
-        if key is None:
-            read.extend(t for x in table.column("total").to_pylist() for t in x.decode().split("\0"))
-            zero = gru_lm._flat(gru_lm.initial()).astype("float64").tobytes()
-            return pa.table({"tokens": pa.array([1], pa.int64()), "total": pa.array([zero], pa.binary())})
-        return pa.table({"tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64()), "total": pa.array([b"\0".join(table.column("total").to_pylist())], pa.binary())})
-
     monkeypatch.setattr(gru_lm, "_train_part", part)
-    monkeypatch.setattr(gru_lm, "_sum_weights", add)
+    monkeypatch.setattr(gru_lm, "tree_sum", lambda rows: read.extend(bytes(r["total"]).decode() for r in rows.collect()))
     gru_lm.prepare(spark)
-    gru_lm.train(docs, "doc_id", "text", gru_lm.LEARN, None)
+    buckets = Buckets(docs, "text", ["doc_id", "text"], bucket_bytes=1 << 10)
+    v = gru_lm.Vocabulary(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), 0, 0, np.zeros(gru_lm.TOPICS * gru_lm.BINS, np.int64))
+    gru_lm.train(buckets, spark.createDataFrame([], gru_lm.MESSAGE), "text", 1, spark.sparkContext.broadcast(v))
     assert Counter(read) == Counter(t or "" for i, t in rows if i is None or i % 7 != 2)
     # copies under different ids are learnt in every round
-    rounds = docs.where("text = 'one text that many rows share'").select(gru_lm.learning_round("doc_id", "text").alias("k")).distinct().count()
-    assert rounds == gru_lm.ROUNDS
+    assert docs.where("text = 'one text that many rows share'").where(f"{gru_lm.ROUND} >= 0").select(gru_lm.ROUND).distinct().count() == gru_lm.ROUNDS
+
 
+def test_held_out_texts_are_predicted_better_than_by_counts(spark):
+    rng = random.Random(4)
+    tongue = [[f"{c}{i}" for i in range(400)] for c in "abc"]
+    rows = []
+    for i in range(600):
+        words = tongue[i % 3]
+        rows.append((i, " ".join(words[min(int(rng.expovariate(0.02)), 399)] for _ in range(60))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    scores = [gru_lm.score_documents(d).where("held_out").agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first() for d in (docs, docs.repartition(7))]
+    for score, base in scores:
+        assert score > base + 0.3
+    # another partitioning, the same buckets: the same model
+    assert abs(scores[0][0] - scores[1][0]) < 1e-3
 
-def test_texts_are_gathered_whole():
-    import pyarrow as pa
 
-    batches = [pa.RecordBatch.from_arrays([pa.array([f"{i} {j}" for j in range(10)])], names=["t"]) for i in range(5)]
-    old, gru_lm.LEARN_BYTES = gru_lm.LEARN_BYTES, 70
-    try:
-        got = list(gru_lm._gathered(batches, "t"))
-    finally:
-        gru_lm.LEARN_BYTES = old
-    assert [t for g in got for t in g] == [f"{i} {j}".encode() for i in range(5) for j in range(10)] and len(got) > 1
+def test_network_against_plain_steps():
+    rng = np.random.default_rng(3)
+    n_rest = 3
+    m = gru_lm.initial(n_rest)
+    unseen = np.array([-2.0, -np.inf, -3.0])
+    word = np.append(rng.integers(0, gru_lm.WORDS + n_rest, 50), gru_lm.WORDS + n_rest)  # the last was never seen
+    got = gru_lm.log_likelihoods(m, word, np.array([0, 20, len(word)]), unseen)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    n = gru_lm.HIDDEN
+    for begin, end in ((0, 20), (20, len(word))):
+        h, read = np.zeros(n), len(m["embed"]) - 1
+        for i in range(begin, end):
+            x, r = m["embed"][read] @ m["wx"] + m["b"], h @ m["wh"]
+            z, q = sigmoid(x[:n] + r[:n]), sigmoid(x[n : 2 * n] + r[n : 2 * n])
+            h = z * h + (1 - z) * np.tanh(x[2 * n :] + q * r[2 * n :])
+            classes = h @ m["wc"] + m["bc"]
+            classes -= np.log(np.exp(classes).sum())
+            y = int(word[i])
+            if y < gru_lm.WORDS:
+                k = y // gru_lm.PER_CLASS
+                part = slice(k * gru_lm.PER_CLASS, (k + 1) * gru_lm.PER_CLASS)
+                inside = h @ m["ww"][:, part] + m["bw"][part]
+                want = classes[k] + inside[y % gru_lm.PER_CLASS] - np.log(np.exp(inside).sum())
+            elif y < gru_lm.WORDS + n_rest:
+                want = classes[gru_lm.CLASSES + y - gru_lm.WORDS]
+            else:
+                want = np.log(np.exp(classes[gru_lm.CLASSES :] + unseen).sum())
+            assert abs(got[i] - want) < 1e-3
+            read = y
+
+
+def test_stretches_and_tree_sum(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "STRETCH", 10)
+    assert gru_lm.stretches(np.array([0, 3, 30, 40, 41])).tolist() == [0, 3, 13, 23, 30, 40, 41]
+    monkeypatch.setattr(gru_lm, "FAN", 3)
+    gru_lm.prepare(spark)
+    rows = [(i, i, bytearray(np.full(4, float(i)).tobytes())) for i in range(40)]
+    n, total = gru_lm.tree_sum(spark.createDataFrame(rows, "i long, n long, total binary"))
+    assert n == sum(range(40)) and total.tolist() == [float(n)] * 4
+    assert gru_lm.tree_sum(spark.createDataFrame([], "i long, n long, total binary")) is None

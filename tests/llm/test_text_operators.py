@@ -395,7 +395,7 @@ def test_language_model_gradients_and_sum():
     # the state is carried: the same text alone has the same likelihood
     assert np.allclose(lp[15:], gru_lm.log_likelihoods(m, word[15:], np.array([0, 25])), atol=1e-4)
     t = gru_lm.Trainer(m)
-    lanes = gru_lm.Lanes(word, at, 4)
+    lanes = gru_lm.Lanes(word, at, 4, len(m["embed"]) - 1)
     grad, _, n = t.gradients(lanes, np.zeros((2, gru_lm.HIDDEN), np.float32), 0, gru_lm.WINDOW)
     inside = lanes.token[: gru_lm.WINDOW][lanes.real[: gru_lm.WINDOW]]
     assert n == len(inside)

@@ -1,25 +1,32 @@
 """Language-model scores: a gated recurrent network over words, with a class-factored softmax.
 
-Counts. Every token of every training document is counted, in passes over buckets (blocks.py): a bucket sends the shards
-of the token space its distinct token hashes with counts; a shard adds them up, and answers with the sums. That gives
-the base model, and the vocabulary: the WORDS commonest tokens. They are dealt, by count, to CLASSES classes of words;
-one more class holds all other tokens.
-
-Model. A gated recurrent unit reads one token at a time. P(token) = P(class | state) P(token | class, state). Within
-the class of other tokens, P is (c + 1) / (sum of c + 1 over its tokens, + 1), with the training counts c; the last 1 is
-for all tokens that were never seen. So probabilities of all tokens sum to at most 1.
+Topics. One pass over the training documents adds up how the hashed words of a document occur together: FEATURES sums
+and their products. The strongest directions of that covariance, taken on the driver, cut documents into TOPICS groups;
+a language, for example, comes out as one.
 
-Training. Truncated backpropagation through WINDOW steps, in numpy, with the state carried from window to window to
-the end of each document. Documents lie side by side in lanes. Training reads the whole text of every training document
-once: a hash of id and text deals documents to ROUNDS rounds. In each round every partition with training text goes on
-from the common weights over its part of the round's documents; weights are then averaged, by number of tokens, in two
-steps on Spark.
+Counts. Every token of every training document is counted, in passes over buckets (blocks.py): a bucket sends the shards
+of the token space its distinct token hashes with counts, and the topic in which it finds each most; a shard adds them
+up, and answers with the sums and the commonest topic of each token. That gives the base model, and the vocabulary: the
+WORDS commonest tokens, dealt by count to CLASSES classes. All other tokens have a class by topic and by the power of two
+of their count, so the number of classes grows with the counts, and each token of the corpus has one.
+
+Model. A gated recurrent unit reads one token at a time, a token beyond the vocabulary as its class. P(token) =
+P(class | state) P(token | class, state); in the classes beyond the vocabulary the latter is (c + 1) / (sum of c + 1),
+with the training counts c. Classes of tokens that were seen once each keep one more place, for tokens that were never
+seen. So probabilities of all tokens sum to at most 1.
+
+Training. Truncated backpropagation through WINDOW steps, in numpy, with the state carried from window to window;
+documents of more than STRETCH tokens are learnt in stretches, so that all lanes have work. Training reads the whole text
+of every training document once: a hash of id and text deals documents to ROUNDS rounds. In each round every bucket goes
+on from the common weights over its part of the round's documents; weights are then averaged, by number of tokens, by
+sums of FAN rows at a time on Spark, until FAN are left for the driver.
 
 Scores. The state is carried across windows, so that a document's log-likelihood is that of the complete document.
 
 Defined results: a null text is an empty one: its only token is the end. Rows with repeated or null ids are scored each
 on its own. Without training tokens the base score is that of an empty table of counts, and the model is untrained. An
-empty table is fine. Columns of the documents whose names clash with the results are replaced.
+empty table is fine. Columns of the documents whose names clash with the results are replaced. Tokens are told apart by
+64 bits of hash.
 """
 
 from __future__ import annotations
@@ -32,18 +39,26 @@ from pyspark.sql import types as T
 
 from .blocks import MESSAGE, Buckets, each_shard, messages, pack, pack_sorted, unpack, unpack_sorted
 from .common import fold, prepare
-from .textnum import U, chunks, encode, space_words
+from .textnum import U, chunks, encode, ragged, space_words
 
 CLASSES, PER_CLASS = 32, 32
 WORDS = CLASSES * PER_CLASS
 HIDDEN = 24
 WINDOW = 16
-LANES = 256
+LANES = 192
+#: few tokens are learnt in fewer lanes, so that there are about as many steps
+STEPS = 64
+#: tokens of a document that are learnt with one state
+STRETCH = 2_048
 #: tokens that are side by side in one go, and whose outputs are computed together
 TOKENS, OUTPUTS = 2_000_000, 8_192
-#: bytes of text that are learnt from side by side: long texts then lie beside many others
-LEARN_BYTES = 8 << 20
+#: groups of documents, hashed words that tell them apart, and directions
+TOPICS, FEATURES, DIRECTIONS = 8, 512, 7
+#: powers of two of counts
+BINS = 64
 ROUNDS = 2
+#: rows of weights that are summed in one task
+FAN = 32
 RATE, CLIP = 0.01, 1.0
 #: bytes of text for each shard of tokens
 SHARD_BYTES = 16 << 20
@@ -51,8 +66,8 @@ SHARD_BYTES = 16 << 20
 END = U(0x5851F42D4C957F2D)
 
 RESULT = [T.StructField(n, t()) for n, t in (("held_out", T.BooleanType), ("n_tokens", T.LongType), ("n_known", T.LongType), ("train_tokens", T.LongType), ("base_score", T.DoubleType), ("score", T.DoubleType))]
-#: column with the rows that are learnt from
-LEARN = "__learn"
+#: column with the round in which a row is learnt
+ROUND = "__round"
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,70 +96,171 @@ def _by_shard(h: np.ndarray, n: int):
     return distinct, np.searchsorted(shard, np.arange(n + 1)), where
 
 
-def _send_counts(text_col: str, n_shards: int):
+def _histogram(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each text, square roots of the shares of its hashed tokens."""
+    n = np.diff(at)
+    x = np.bincount(np.repeat(np.arange(len(n)), n) * FEATURES + (h % U(FEATURES)).astype(np.int64), minlength=len(n) * FEATURES)
+    return np.sqrt(x.reshape(len(n), FEATURES) / n[:, None]).astype(np.float32)
+
+
+def _moments(text_col: str):
+    """One row for each part: documents, sums and sums of products of their histograms."""
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        n, total = 0, np.zeros((FEATURES + 1, FEATURES))
+        for batch in batches:
+            texts = encode(batch.column(text_col).to_pylist())
+            for a, b in chunks([len(t) + 1 for t in texts]):
+                x = _histogram(*tokens(texts[a:b]))
+                n += len(x)
+                total[0] += x.sum(axis=0)
+                total[1:] += x.T @ x
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["i", "n", "total"])
+
+    return run
+
+
+def _sum_rows(key, table):
+    total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in table.column("total"))
+    return pa.table({"i": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([sum(table.column("n").to_pylist())], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+
+
+def tree_sum(rows: DataFrame) -> tuple[int, np.ndarray] | None:
+    """Sums of n and total over rows (i, n, total: doubles), i from 0 on; no task and not the driver holds over FAN rows."""
+    rows = rows.checkpoint()
+    last = rows.agg(F.max("i")).first()[0]
+    while last is not None and last >= FAN:
+        rows = rows.groupBy(F.floor(F.col("i") / FAN).alias("of")).applyInArrow(_sum_rows, "i long, n long, total binary").checkpoint()
+        last //= FAN
+    found = rows.toArrow()
+    if not found.num_rows:
+        return None
+    return sum(found["n"].to_pylist()), sum(np.frombuffer(x.as_buffer(), np.float64) for x in found["total"])
+
+
+class Topics:
+    """Groups of documents by the strongest directions of the covariance of their hashed words."""
+
+    def __init__(self, n: int, total: np.ndarray):
+        total = total.reshape(FEATURES + 1, FEATURES) / max(1, n)
+        mean, cov = total[0], total[1:] - np.outer(total[0], total[0])
+        spread = np.sqrt(np.maximum(np.diag(cov), 1e-12))
+        values, vectors = np.linalg.eigh(cov)
+        values, vectors = np.maximum(values[-DIRECTIONS:], 0), vectors[:, -DIRECTIONS:]
+        load = vectors * np.sqrt(values) / spread[:, None]
+        strong = np.linalg.norm(load, axis=1)
+        unit = load / np.maximum(strong, 1e-9)[:, None]
+        seeds = [int(strong.argmax())]  # each next seed is the strongest word far from the others
+        while len(seeds) < TOPICS:
+            seeds.append(int((np.min([1 - unit @ unit[k] for k in seeds], axis=0) * strong).argmax()))
+        centre = unit[seeds]
+        for _ in range(30):
+            of = (unit @ centre.T).argmax(axis=1)
+            centre = np.array([load[of == k].sum(axis=0) if (of == k).any() else centre[k] for k in range(TOPICS)])
+            centre /= np.maximum(np.linalg.norm(centre, axis=1, keepdims=True), 1e-9)
+        self.by = (load @ centre.T / spread[:, None]).astype(np.float32)
+        self.level = (mean @ self.by).astype(np.float32)
+
+    def of(self, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out = np.empty(len(at) - 1, np.int64)
+        for a, b in chunks(np.diff(at).tolist()):
+            out[a:b] = (_histogram(h[at[a] : at[b]], at[a : b + 1] - at[a]) @ self.by - self.level).argmax(axis=1)
+        return out
+
+
+def _votes(where: np.ndarray, topic: np.ndarray, count: np.ndarray | int, n: int) -> np.ndarray:
+    """The topic with the most votes for each of n tokens; the first of equal ones."""
+    return np.bincount(where * TOPICS + topic, None if isinstance(count, int) else count, minlength=n * TOPICS).reshape(n, TOPICS).argmax(axis=1).astype(np.uint8)
+
+
+def _send_counts(text_col: str, n_shards: int, topics):
     def run(bucket, table):
         h, text_at = _all_tokens(encode(table.column(text_col).to_pylist()))
         distinct, at, where = _by_shard(h, n_shards)
-        learn = np.repeat(table.column(LEARN).to_numpy(), np.diff(text_at))
+        size = np.diff(text_at)
+        learn = np.repeat(table.column(ROUND).to_numpy(zero_copy_only=False) >= 0, size)
         count = np.bincount(where[learn], minlength=len(distinct))
+        topic = _votes(where[learn], np.repeat(topics.value.of(h, text_at), size)[learn], 1, len(distinct))
         out = []
         for s in np.flatnonzero(np.diff(at)).tolist():
             x = slice(at[s], at[s + 1])
             c = count[x]
-            out.append((0, bucket, s, pack(h=np.frombuffer(pack_sorted(distinct[x]), np.uint8), count=c.astype(np.min_scalar_type(int(c.max()))))))
+            out.append((0, bucket, s, pack(h=np.frombuffer(pack_sorted(distinct[x]), np.uint8), count=c.astype(np.min_scalar_type(int(c.max()))), topic=topic[x])))
         return messages(out)
 
     return run
 
 
+def bin_of(count: np.ndarray) -> np.ndarray:
+    return np.frexp(np.maximum(count, 1).astype(float))[1] - 1
+
+
 def _add_counts(shard, sent):
-    """Answers with the sum for each token; kind 1: the shard's totals and commonest tokens, to nobody's bucket."""
+    """Answers with sum and topic of each token; kind 1: the shard's totals and commonest tokens, to nobody's bucket."""
     parts = []
     for _, bucket, data in sent:
         x = unpack(data)
-        parts.append((bucket, unpack_sorted(x["h"].tobytes()), x["count"].astype(np.int64)))
-    distinct, where = np.unique(np.concatenate([h for _, h, _ in parts]), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, where, np.concatenate([c for _, _, c in parts]))
+        parts.append((bucket, unpack_sorted(x["h"].tobytes()), x["count"].astype(np.int64), x["topic"].astype(np.int64)))
+    distinct, where = np.unique(np.concatenate([p[1] for p in parts]), return_inverse=True)
+    counts = np.concatenate([p[2] for p in parts])
+    total = np.bincount(where, counts, len(distinct)).astype(np.int64)
+    topic = _votes(where, np.concatenate([p[3] for p in parts]), counts, len(distinct))
     out, at = [], 0
-    for bucket, h, _ in parts:
-        c = total[where[at : at + len(h)]]
+    for bucket, h, _, _ in parts:
+        mine = where[at : at + len(h)]
+        c = total[mine]
         at += len(h)
-        out.append((0, bucket, shard, pack(count=c.astype(np.min_scalar_type(int(c.max()))))))
+        out.append((0, bucket, shard, pack(count=c.astype(np.min_scalar_type(int(c.max()))), topic=topic[mine])))
     # the commonest tokens of all are among the commonest of their shards
     top = np.lexsort((distinct, -total))[:WORDS]
     top = top[total[top] > 0]
-    out.append((1, -1, shard, pack(n=np.array([total.sum(), (total > 0).sum()]), h=distinct[top], count=total[top])))
+    seen = total > 0
+    mass = np.bincount(topic[seen].astype(np.int64) * BINS + bin_of(total[seen]), total[seen] + 1, TOPICS * BINS).astype(np.int64)
+    out.append((1, -1, shard, pack(n=np.array([total.sum(), seen.sum()]), mass=mass, h=distinct[top], count=total[top], topic=topic[top])))
     return messages(out)
 
 
 class Vocabulary:
-    """The commonest tokens, in order of their hashes: class and place in it; the rest's counts."""
+    """The commonest tokens, in order of their hashes, and the classes of all others.
 
-    def __init__(self, h: np.ndarray, count: np.ndarray, n: int, v: int):
+    Numbers of tokens: words from 0, then classes of the rest, a token that was never seen, and a text's start.
+    """
+
+    def __init__(self, h: np.ndarray, count: np.ndarray, topic: np.ndarray, n: int, v: int, mass: np.ndarray):
         self.n, self.v = n, v
         order = np.argsort(h)
         self.h = h[order]
         rank = np.empty(len(h), np.int64)
         rank[np.lexsort((h, -count))] = np.arange(len(h))
         self.word = rank[order]  # 0 is the commonest; classes hold neighbours in count
-        self.rest = n - int(count.sum()) + (v - len(h)) + 1
-
-    def number(self, tokens: np.ndarray) -> np.ndarray:
-        """Of each token: its word's number, WORDS for the rest."""
-        if not len(self.h):
-            return np.full(len(tokens), WORDS)
-        at = np.minimum(np.searchsorted(self.h, tokens), len(self.h) - 1)
-        return np.where(self.h[at] == tokens, self.word[at], WORDS)
-
-
-def initial(seed: int = 7) -> dict[str, np.ndarray]:
+        mass = mass - np.bincount(topic.astype(np.int64) * BINS + bin_of(count), count + 1, TOPICS * BINS).astype(np.int64)
+        used = np.flatnonzero((mass > 0) | (np.arange(TOPICS * BINS) == 0))
+        self.rest = len(used)
+        self.place = np.full(TOPICS * BINS, self.rest)
+        self.place[used] = np.arange(self.rest)
+        once = used % BINS == 0
+        self.mass = mass[used] + once  # a place for what was never seen
+        #: natural log of the share that a token that was never seen has in each class
+        self.unseen = np.where(once, -np.log(self.mass), -np.inf)
+
+    def number(self, tokens: np.ndarray, count: np.ndarray, topic: np.ndarray) -> np.ndarray:
+        out = WORDS + np.where(count > 0, self.place[topic.astype(np.int64) * BINS + bin_of(count)], self.rest)
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, tokens), len(self.h) - 1)
+            out = np.where(self.h[at] == tokens, self.word[at], out)
+        return out
+
+
+def initial(n_rest: int = 1, seed: int = 7) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     g = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
     return {
-        "embed": (rng.standard_normal((WORDS + 2, HIDDEN)) * 0.3).astype(np.float32),  # words, the rest, start
+        "embed": (rng.standard_normal((WORDS + n_rest + 2, HIDDEN)) * 0.3).astype(np.float32),
         "wx": g(HIDDEN, 3 * HIDDEN), "wh": g(HIDDEN, 3 * HIDDEN), "b": np.zeros(3 * HIDDEN, np.float32),
-        "wc": g(HIDDEN, CLASSES + 1), "bc": np.zeros(CLASSES + 1, np.float32),
+        "wc": g(HIDDEN, CLASSES + n_rest), "bc": np.zeros(CLASSES + n_rest, np.float32),
         "ww": g(HIDDEN, WORDS) * np.float32(0.3), "bw": np.zeros(WORDS, np.float32),
     }
 
@@ -168,11 +284,18 @@ def _with_softmax(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a, p
 
 
-def outputs(m: dict, h: np.ndarray, y: np.ndarray, learn: bool = False):
-    """Natural log of the probability of each word y (WORDS: of the class of the rest), and what training needs."""
-    cls = np.minimum(y // PER_CLASS, CLASSES)
+def outputs(m: dict, h: np.ndarray, y: np.ndarray, learn: bool = False, unseen: np.ndarray | None = None):
+    """Natural log of the probability of each word y, or from WORDS on of its class, and what training needs.
+
+    unseen: shares of a token that was never seen in the classes beyond the words, for the number after them.
+    """
+    cls = np.where(y < WORDS, y // PER_CLASS, y - WORDS + CLASSES)
+    new = np.flatnonzero(cls == m["wc"].shape[1])
+    cls[new] = CLASSES
     lc, d = _with_softmax(h @ m["wc"] + m["bc"]) if learn else (_log_softmax(h @ m["wc"] + m["bc"]), None)
     out = lc[np.arange(len(y)), cls]
+    if len(new):
+        out[new] = np.logaddexp.reduce(lc[new, CLASSES:] + unseen, axis=1)
     grad = {}
     dh = None
     if learn:
@@ -205,7 +328,8 @@ class Lanes:
     Lanes stand in falling order of their length, so those that are still at work are the first.
     """
 
-    def __init__(self, word: np.ndarray, at: np.ndarray, lanes: int):
+    def __init__(self, word: np.ndarray, at: np.ndarray, lanes: int, start: int):
+        self.start = start  # the number that is read before a text's first token
         size = np.diff(at)
         n = max(1, min(lanes, len(size)))
         # the longest go first, each to the lane that has least so far; lanes differ little
@@ -241,11 +365,12 @@ class Lanes:
 
 def _read(lanes: Lanes, a: int, b: int, k: int) -> np.ndarray:
     """Words that are read before each step's prediction is made: the token before; start at a text's first token."""
-    before = np.full((b - a, k), WORDS + 1, np.int64)
+    start = lanes.start
+    before = np.full((b - a, k), start, np.int64)
     if a:
         before[0] = lanes.y[a - 1, :k]
     before[1:] = lanes.y[a : b - 1, :k]
-    before[lanes.first[a:b, :k]] = WORDS + 1
+    before[lanes.first[a:b, :k]] = start
     return before
 
 
@@ -276,9 +401,9 @@ def _table(m: dict) -> np.ndarray:
     return m["embed"] @ m["wx"] + m["b"]
 
 
-def log_likelihoods(m: dict, word: np.ndarray, at: np.ndarray) -> np.ndarray:
+def log_likelihoods(m: dict, word: np.ndarray, at: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
     """Natural log of the probability of each token, by classes and words."""
-    lanes, table = Lanes(word, at, LANES), _table(m)
+    lanes, table = Lanes(word, at, LANES, len(m["embed"]) - 1), _table(m)
     out = np.zeros(len(word))
     state = np.zeros((lanes.y.shape[1], HIDDEN), np.float32)
     waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -286,7 +411,7 @@ def log_likelihoods(m: dict, word: np.ndarray, at: np.ndarray) -> np.ndarray:
     def flush():
         if waiting:
             h, y, token = (np.concatenate([w[i] for w in waiting]) for i in range(3))
-            out[token], _, _ = outputs(m, h, y)
+            out[token], _, _ = outputs(m, h, y, unseen=unseen)
             waiting.clear()
 
     for a, b in lanes.windows():
@@ -311,7 +436,7 @@ class Trainer:
         self.t = self.tokens = 0
 
     def learn(self, word: np.ndarray, at: np.ndarray) -> None:
-        lanes = Lanes(word, at, LANES)
+        lanes = Lanes(word, at, min(LANES, max(8, len(word) // (STEPS * WINDOW))), len(self.m["embed"]) - 1)
         state = np.zeros((lanes.y.shape[1], HIDDEN), np.float32)
         for a, b in lanes.windows():
             grad, state, n = self.gradients(lanes, state[: lanes.at_work(a)], a, b)
@@ -342,7 +467,7 @@ class Trainer:
         d_wh = np.concatenate([s[0] for s in saved]).T @ inners.reshape(-1, 3 * n)
         order = np.argsort(x, axis=None, kind="stable")  # sums by word that was read
         words, first = np.unique(x.ravel()[order], return_index=True)
-        d_table = np.zeros((WORDS + 2, 3 * n), np.float32)
+        d_table = np.zeros((len(m["embed"]), 3 * n), np.float32)
         d_table[words] = np.add.reduceat(gates.reshape(-1, 3 * n)[order], first)
         grad |= {"wh": d_wh, "wx": m["embed"].T @ d_table, "b": d_table.sum(axis=0), "embed": d_table @ m["wx"].T}
         return grad, states[-1], int(real.sum())
@@ -364,92 +489,94 @@ def _flat(m: dict) -> np.ndarray:
     return np.concatenate([m[k].ravel() for k in sorted(m)])
 
 
-def _shaped(flat: np.ndarray) -> dict:
+def _shaped(flat: np.ndarray, like: dict) -> dict:
     out, at = {}, 0
-    for k, v in sorted(initial().items()):
+    for k, v in sorted(like.items()):
         out[k] = flat[at : at + v.size].reshape(v.shape).astype(np.float32)
         at += v.size
     return out
 
 
-def _gathered(batches, text_col: str):
-    """Texts of as many batches as make LEARN_BYTES."""
-    texts, size = [], 0
-    for batch in batches:
-        new = encode(batch.column(text_col).to_pylist())
-        if texts and size + sum(map(len, new)) > LEARN_BYTES:
-            yield texts
-            texts, size = [], 0
-        texts += new
-        size += sum(map(len, new))
-    if texts:
-        yield texts
+def stretches(at: np.ndarray) -> np.ndarray:
+    """Where texts begin, and stretches of long ones."""
+    n = -(-np.diff(at) // STRETCH)
+    return np.append(np.repeat(at[:-1], n) + ragged(np.zeros(len(n), np.int64), n) * STRETCH, at[-1])
 
 
-def _train_part(text_col: str, vocabulary, model):
-    def run(batches):
-        trainer = None
-        for texts in _gathered(batches, text_col):
-            for a, b in chunks([len(t) + 1 for t in texts], LEARN_BYTES):
-                h, at = tokens(texts[a:b])
-                trainer = trainer or Trainer(model.value)
-                trainer.learn(vocabulary.value.number(h), at)
-        if trainer:
-            total = (_flat(trainer.m).astype(np.float64) * trainer.tokens).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens], pa.int64()), pa.array([total], pa.binary())], names=["tokens", "total"])
+class _Numbers:
+    """Tokens of a bucket with their counts, and their numbers."""
 
-    return run
+    def __init__(self, table, answers, text_col: str, n_shards: int, v: Vocabulary, some: np.ndarray | None = None):
+        texts = encode(table.column(text_col).to_pylist())
+        h, self.at = _all_tokens(texts)
+        distinct, at, where = _by_shard(h, n_shards)
+        count, topic = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.uint8)
+        for _, shard, data in answers:
+            x = unpack(data)
+            count[at[shard] : at[shard + 1]], topic[at[shard] : at[shard + 1]] = x["count"], x["topic"]
+        number = v.number(distinct, count, topic)
+        if some is not None:  # only these texts
+            where = where[np.repeat(some, np.diff(self.at))]
+            self.at = np.concatenate([[0], np.cumsum(np.diff(self.at)[some])])
+        self.count, self.word = count[where], number[where]
 
 
-def _sum_weights(key, table):
-    total = sum(np.frombuffer(x, np.float64) for x in table.column("total").to_pylist())
-    return pa.table({"tokens": pa.array([sum(table.column("tokens").to_pylist())], pa.int64()), "total": pa.array([total.tobytes()], pa.binary())})
+def _train_part(text_col: str, n_shards: int, vocabulary, model, k: int):
+    """What a bucket makes of the weights in round k: one row, if it has documents to learn."""
+
+    def run(bucket, table, answers):
+        learn = table.column(ROUND).to_numpy(zero_copy_only=False) == k
+        if not learn.any():
+            return pa.table({"i": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "total": pa.array([], pa.binary())})
+        x = _Numbers(table, answers, text_col, n_shards, vocabulary.value, learn)
+        trainer = Trainer(model.value)
+        trainer.learn(x.word, stretches(x.at))
+        total = (_flat(trainer.m).astype(np.float64) * trainer.tokens).tobytes()
+        return pa.table({"i": pa.array([bucket], pa.int64()), "n": pa.array([trainer.tokens], pa.int64()), "total": pa.array([total], pa.binary())})
+
+    return run
 
 
 def learning_round(id_col: str, text_col: str):
     """The round in which a training document is learnt; copies under other ids are learnt in any."""
-    return F.pmod(F.xxhash64(id_col, text_col, F.lit("round")), F.lit(ROUNDS))
+    return F.pmod(F.xxhash64(id_col, text_col, F.lit("round")), F.lit(ROUNDS)).cast("int")
 
 
-def train(docs: DataFrame, id_col: str, text_col: str, learn_col: str, vocabulary) -> dict:
+def train(buckets: Buckets, counted: DataFrame, text_col: str, n_shards: int, vocabulary) -> dict:
     """Weights after ROUNDS rounds, which together read each training document once."""
-    spark = docs.sparkSession
-    model = initial()
+    sc = counted.sparkSession.sparkContext
+    model = initial(vocabulary.value.rest)
     for k in range(ROUNDS):
-        part = docs.where(F.col(learn_col) & (learning_round(id_col, text_col) == k)).select(text_col)
-        sums = part.mapInArrow(_train_part(text_col, vocabulary, spark.sparkContext.broadcast(model)), "tokens long, total binary")
-        # sums of up to 16 groups of partitions, then their sum on the driver: one row of weights for each group
-        grouped = sums.withColumn("g", F.pmod(F.xxhash64("total"), F.lit(16))).groupBy("g").applyInArrow(_sum_weights, "tokens long, total binary").toArrow()
-        if grouped.num_rows:
-            whole = _sum_weights(None, grouped)
-            model = _shaped(np.frombuffer(whole["total"][0].as_py(), np.float64) / whole["tokens"][0].as_py())
+        part = _train_part(text_col, n_shards, vocabulary, sc.broadcast(model), k)
+        whole = tree_sum(buckets.each_with(counted, part, "i long, n long, total binary"))
+        if whole:
+            model = _shaped(whole[1] / whole[0], model)
+    # a token that was never seen is read like tokens that were seen once
+    once = WORDS + np.flatnonzero(np.isfinite(vocabulary.value.unseen))
+    model["embed"][-2] = model["embed"][once].mean(axis=0)
     return model
 
 
 def _scorer(text_col: str, n_shards: int, vocabulary, model, names: list[str], schema: pa.Schema):
     def run(bucket, table, answers):
         v: Vocabulary = vocabulary.value
-        texts = encode(table.column(text_col).to_pylist())
-        h, text_at = _all_tokens(texts)
-        distinct, at, where = _by_shard(h, n_shards)
-        count = np.zeros(len(distinct), np.int64)
-        for _, shard, data in answers:
-            count[at[shard] : at[shard + 1]] = unpack(data)["count"]
-        c = count[where]
+        x = _Numbers(table, answers, text_col, n_shards, v)
+        c, word, text_at = x.count, x.word, x.at
         base = np.log10((c + 1) / (v.n + v.v + 1))
-        word = v.number(h)
-        model_lp = np.where(word == WORDS, np.log10((c + 1) / max(1, v.rest)), 0.0)
+        rest = (word >= WORDS) & (word < WORDS + v.rest)
+        model_lp = np.zeros(len(word))
+        model_lp[rest] = np.log10((c[rest] + 1) / v.mass[word[rest] - WORDS])
         sizes = np.diff(text_at)
         for a, b in chunks(sizes.tolist(), TOKENS):
             lo, hi = text_at[a], text_at[b]
-            model_lp[lo:hi] += log_likelihoods(model.value, word[lo:hi], text_at[a : b + 1] - lo) / np.log(10)
-        of = np.repeat(np.arange(len(texts)), sizes)
-        n = len(texts)
+            model_lp[lo:hi] += log_likelihoods(model.value, word[lo:hi], text_at[a : b + 1] - lo, v.unseen) / np.log(10)
+        n = len(sizes)
+        of = np.repeat(np.arange(n), sizes)
         result = {
-            "held_out": pa.array(~table.column(LEARN).to_numpy()), "n_tokens": pa.array(sizes), "n_known": pa.array(np.bincount(of, c > 0, n).astype(np.int64)),
+            "held_out": pa.array(table.column(ROUND).to_numpy(zero_copy_only=False) < 0), "n_tokens": pa.array(sizes), "n_known": pa.array(np.bincount(of, c > 0, n).astype(np.int64)),
             "train_tokens": pa.array(np.full(n, v.n)), "base_score": pa.array(np.bincount(of, base, n)), "score": pa.array(np.bincount(of, model_lp, n)),
         }
-        return pa.table([result[x] if x in result else table.column(x) for x in names], names=names).cast(schema)
+        return pa.table([result[y] if y in result else table.column(y) for y in names], names=names).cast(schema)
 
     return run
 
@@ -463,30 +590,37 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     results = {f.name for f in RESULT}
     docs = docs.drop(*(c for c in docs.columns if c in results and c not in (id_col, text_col))).withColumn(text_col, F.col(text_col).cast("string"))
     schema = T.StructType([*docs.schema.fields, *RESULT])
-    marked = docs.withColumn(LEARN, fold(id_col, folds) != held_out)
-    buckets = Buckets(marked, text_col, F.col(id_col))
+    # the round in which a row is learnt, -1 for one that is held out
+    marked = docs.withColumn(ROUND, F.when(fold(id_col, folds) != held_out, learning_round(id_col, text_col)).otherwise(-1))
+    sc = spark.sparkContext
+    moments = tree_sum(marked.where(f"{ROUND} >= 0").select(text_col).mapInArrow(_moments(text_col), "i long, n long, total binary"))
+    topics = sc.broadcast(Topics(*(moments or (0, np.zeros((FEATURES + 1) * FEATURES)))))
+    buckets = Buckets(marked, text_col, [id_col, text_col])
     n_shards = 1 + buckets.bytes // SHARD_BYTES
-    counted = each_shard(buckets.each(_send_counts(text_col, n_shards), MESSAGE), _add_counts).checkpoint()
+    counted = each_shard(buckets.each(_send_counts(text_col, n_shards, topics), MESSAGE), _add_counts).checkpoint()
     # totals, and the commonest tokens of all shards; WORDS of them reach the driver
-    tops = counted.where("kind = 1").select("data").mapInArrow(_tops, "h long, count long, n long, v long")
+    tops = counted.where("kind = 1").select("data").mapInArrow(_tops, "h long, count long, topic int, n long, v long, class int, mass long").checkpoint()
     n, v = tops.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     common = tops.where("h is not null").orderBy(F.col("count").desc(), "h").limit(WORDS).toPandas()
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(common["h"].to_numpy(np.int64).view(U), common["count"].to_numpy(np.int64), n, v))
-    model = spark.sparkContext.broadcast(train(marked, id_col, text_col, LEARN, vocabulary))
+    mass = np.zeros(TOPICS * BINS, np.int64)
+    for r in tops.where("class is not null").groupBy("class").agg(F.sum("mass").alias("mass")).collect():  # TOPICS * BINS rows at most
+        mass[r["class"]] = r["mass"]
+    vocabulary = sc.broadcast(Vocabulary(common["h"].to_numpy(np.int64).view(U), common["count"].to_numpy(np.int64), common["topic"].to_numpy(np.int64), n, v, mass))
+    answers = counted.where("kind = 0")
+    model = sc.broadcast(train(buckets, answers, text_col, n_shards, vocabulary))
     scorer = _scorer(text_col, n_shards, vocabulary, model, schema.fieldNames(), to_arrow_schema(schema))
-    return buckets.each_with(counted.where("kind = 0"), scorer, schema)
+    return buckets.each_with(answers, scorer, schema)
 
 
 def _tops(batches):
+    """Rows of three kinds: a shard's totals, its commonest tokens, and the mass of each class."""
     for batch in batches:
         for data in batch.column("data").to_pylist():
             x = unpack(data)
-            rows = len(x["h"])
+            used = np.flatnonzero(x["mass"])
             n, v = x["n"].tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([None, *x["h"].view(np.int64).tolist()], pa.int64()), pa.array([None, *x["count"].tolist()], pa.int64()),
-                    pa.array([n] + [None] * rows, pa.int64()), pa.array([v] + [None] * rows, pa.int64()),
-                ],
-                names=["h", "count", "n", "v"],
-            )
+            rows = [(None, None, None, n, v, None, None)]
+            rows += [(h, c, t, None, None, None, None) for h, c, t in zip(x["h"].view(np.int64).tolist(), x["count"].tolist(), x["topic"].tolist(), strict=True)]
+            rows += [(None, None, None, None, None, k, m) for k, m in zip(used.tolist(), x["mass"][used].tolist(), strict=True)]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "count", "topic", "n", "v", "class", "mass"])
