@@ -16,20 +16,24 @@ def test_every_training_document_is_learnt_once(spark, monkeypatch):
     docs = docs.withColumn(gru_lm.ROUND, round_).repartition(4)
     read = []
 
-    def part(text_col, n_shards, vocabulary, model, k):
-        def run(bucket, table, answers):  # the texts that a bucket is given, in place of weights
-            texts = [t for t, r in zip(table.column(text_col).to_pylist(), table.column("__round").to_pylist(), strict=True) if r == k]
-            return pa.table({"i": pa.array([bucket] * len(texts), pa.int64()), "n": pa.array([1] * len(texts), pa.int64()), "total": pa.array([(t or "").encode() for t in texts], pa.binary())})
+    def part(model, k):
+        def run(key, table):  # the documents that a bucket is given, in place of weights
+            x = gru_lm.unpack(table["data"][0].as_py())
+            begin = np.cumsum(x["size"]) - x["size"]
+            some = [x["number"][b : b + n].tobytes() for b, n, r in zip(begin, x["size"], x["round"], strict=True) if r == k]
+            return pa.table({"i": pa.array([0] * len(some), pa.int64()), "n": pa.array([1] * len(some), pa.int64()), "total": pa.array(some, pa.binary())})
 
         return run
 
     monkeypatch.setattr(gru_lm, "_train_part", part)
-    monkeypatch.setattr(gru_lm, "tree_sum", lambda rows: read.extend(bytes(r["total"]).decode() for r in rows.collect()))
+    monkeypatch.setattr(gru_lm, "tree_sum", lambda rows: read.extend(len(r["total"]) // 2 for r in rows.collect()))
+    monkeypatch.setattr(gru_lm, "WORDS", 1)
     gru_lm.prepare(spark)
     buckets = Buckets(docs, "text", ["doc_id", "text"], bucket_bytes=1 << 10)
     v = gru_lm.Vocabulary(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), 0, 0, np.zeros(gru_lm.TOPICS * gru_lm.BINS, np.int64))
-    gru_lm.train(buckets, spark.createDataFrame([], gru_lm.MESSAGE), "text", 1, spark.sparkContext.broadcast(v))
-    assert Counter(read) == Counter(t or "" for i, t in rows if i is None or i % 7 != 2)
+    numbers = buckets.each_with(spark.createDataFrame([], gru_lm.MESSAGE), gru_lm._number("text", 1, spark.sparkContext.broadcast(v)), gru_lm.MESSAGE)
+    gru_lm.train(numbers, v)
+    assert Counter(read) == Counter(len((t or "").split()) + 1 for i, t in rows if i is None or i % 7 != 2)
     # copies under different ids are learnt in every round
     assert docs.where("text = 'one text that many rows share'").where(f"{gru_lm.ROUND} >= 0").select(gru_lm.ROUND).distinct().count() == gru_lm.ROUNDS
 

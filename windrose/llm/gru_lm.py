@@ -7,13 +7,12 @@ a language, for example, comes out as one.
 Counts. Every token of every training document is counted, in passes over buckets (blocks.py): a bucket sends the shards
 of the token space its distinct token hashes with counts, and the topic in which it finds each most; a shard adds them
 up, and answers with the sums and the commonest topic of each token. That gives the base model, and the vocabulary: the
-WORDS commonest tokens, dealt by count to CLASSES classes. All other tokens have a class by topic and by the power of two
+WORDS commonest tokens, dealt by count to CLASSES classes. All other tokens have a class by topic and by the power of four
 of their count, so the number of classes grows with the counts, and each token of the corpus has one.
 
 Model. A gated recurrent unit reads one token at a time, a token beyond the vocabulary as its class. P(token) =
 P(class | state) P(token | class, state); in the classes beyond the vocabulary the latter is (c + 1) / (sum of c + 1),
-with the training counts c. Classes of tokens that were seen once each keep one more place, for tokens that were never
-seen. So probabilities of all tokens sum to at most 1.
+with the training counts c. The classes of the rarest tokens each keep one more place, for tokens that were never seen. So probabilities of all tokens sum to at most 1.
 
 Training. Truncated backpropagation through WINDOW steps, in numpy, with the state carried from window to window;
 documents of more than STRETCH tokens are learnt in stretches, so that all lanes have work. Training reads the whole text
@@ -43,9 +42,9 @@ from .textnum import U, chunks, encode, ragged, space_words
 
 CLASSES, PER_CLASS = 32, 32
 WORDS = CLASSES * PER_CLASS
-HIDDEN = 24
+HIDDEN = 16
 WINDOW = 16
-LANES = 192
+LANES = 384
 #: few tokens are learnt in fewer lanes, so that there are about as many steps
 STEPS = 64
 #: tokens of a document that are learnt with one state
@@ -54,8 +53,8 @@ STRETCH = 2_048
 TOKENS, OUTPUTS = 2_000_000, 8_192
 #: groups of documents, hashed words that tell them apart, and directions
 TOPICS, FEATURES, DIRECTIONS = 8, 512, 7
-#: powers of two of counts
-BINS = 64
+#: powers of four of counts
+BINS = 32
 ROUNDS = 2
 #: rows of weights that are summed in one task
 FAN = 32
@@ -195,7 +194,7 @@ def _send_counts(text_col: str, n_shards: int, topics):
 
 
 def bin_of(count: np.ndarray) -> np.ndarray:
-    return np.frexp(np.maximum(count, 1).astype(float))[1] - 1
+    return (np.frexp(np.maximum(count, 1).astype(float))[1] - 1) >> 1
 
 
 def _add_counts(shard, sent):
@@ -265,21 +264,17 @@ def initial(n_rest: int = 1, seed: int = 7) -> dict[str, np.ndarray]:
     }
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
-
-
-def _log_softmax(a: np.ndarray) -> np.ndarray:
-    a -= a.max(axis=1, keepdims=True)
-    return a - np.log(np.exp(a).sum(axis=1, keepdims=True))
-
-
-def _with_softmax(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log of the softmax, and the softmax itself, with one exponential for both."""
-    a -= a.max(axis=1, keepdims=True)
-    p = np.exp(a)
+def _log_softmax(a: np.ndarray, both: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the softmax, and the softmax itself where both are wanted, with one exponential; a is overwritten."""
+    with np.errstate(over="ignore"):
+        p = np.exp(a)
     total = p.sum(axis=1, keepdims=True)
-    p /= total
+    if not np.isfinite(total).all() or not total.all():
+        a -= a.max(axis=1, keepdims=True)
+        p = np.exp(a)
+        total = p.sum(axis=1, keepdims=True)
+    if both:
+        p /= total
     a -= np.log(total)
     return a, p
 
@@ -292,7 +287,7 @@ def outputs(m: dict, h: np.ndarray, y: np.ndarray, learn: bool = False, unseen:
     cls = np.where(y < WORDS, y // PER_CLASS, y - WORDS + CLASSES)
     new = np.flatnonzero(cls == m["wc"].shape[1])
     cls[new] = CLASSES
-    lc, d = _with_softmax(h @ m["wc"] + m["bc"]) if learn else (_log_softmax(h @ m["wc"] + m["bc"]), None)
+    lc, d = _log_softmax(h @ m["wc"] + m["bc"], learn)
     out = lc[np.arange(len(y)), cls]
     if len(new):
         out[new] = np.logaddexp.reduce(lc[new, CLASSES:] + unseen, axis=1)
@@ -311,7 +306,7 @@ def outputs(m: dict, h: np.ndarray, y: np.ndarray, learn: bool = False, unseen:
             continue
         part = slice(k * PER_CLASS, (k + 1) * PER_CLASS)
         a = h[some] @ m["ww"][:, part] + m["bw"][part]
-        lw, d = _with_softmax(a) if learn else (_log_softmax(a), None)
+        lw, d = _log_softmax(a, learn)
         word = y[some] - k * PER_CLASS
         out[some] += lw[np.arange(len(some)), word]
         if learn:
@@ -374,31 +369,48 @@ def _read(lanes: Lanes, a: int, b: int, k: int) -> np.ndarray:
     return before
 
 
-def _step_states(m: dict, table: np.ndarray, lanes: Lanes, state: np.ndarray, a: int, b: int, keep: bool):
+def _step_states(m: dict, table: np.ndarray, lanes: Lanes, state: np.ndarray, a: int, b: int, keep: bool = False):
     """States from which the tokens of rows a to b are predicted: read the token before, from nothing at a first token.
 
-    table: the inputs' part of the gates for each word. state: of the lanes that are at work.
+    table: the inputs' part of the gates for each word, from _table. state: of the lanes that are at work. Also returned:
+    what was read, and for each step the gates, the candidate, and (if kept) the state's part of the candidate.
     """
     n, k = HIDDEN, len(state)
     x = _read(lanes, a, b, k)
-    states = np.empty((b - a + 1, k, n), np.float32)
+    first = lanes.first[a:b, :k]
+    new = first.any(axis=1).tolist()
+    states, rc = np.empty((b - a + 1, k, n), np.float32), np.empty((b - a if keep else 0, k, n), np.float32)
     states[0] = state
-    saved = []
-    for t in range(b - a):
-        h = states[t] * (~lanes.first[a + t, :k])[:, None]
-        i = table[x[t]]
-        r = h @ m["wh"]
-        zr = _sigmoid(i[:, : 2 * n] + r[:, : 2 * n])
-        z, q = zr[:, :n], zr[:, n:]
-        c = np.tanh(i[:, 2 * n :] + q * r[:, 2 * n :])
-        states[t + 1] = z * h + (1 - z) * c
-        if keep:
-            saved.append((h, z, q, c, r[:, 2 * n :]))
-    return x, states, saved
+    gate, c = np.split(table[x], [2 * n], axis=2)  # the inputs' part; the rest is added in place
+    wh, one = _signed(m["wh"]), np.float32(1)
+    with np.errstate(over="ignore"):
+        for t in range(b - a):
+            h, zq, ct, after = states[t], gate[t], c[t], states[t + 1]
+            if new[t]:
+                h[first[t]] = 0
+            r = h @ wh
+            zq += r[:, : 2 * n]
+            np.exp(zq, out=zq)
+            zq += one
+            np.reciprocal(zq, out=zq)
+            own = r[:, 2 * n :]
+            if keep:
+                rc[t] = own
+            ct += zq[:, n:] * own
+            np.tanh(ct, out=ct)
+            np.subtract(h, ct, out=after)
+            after *= zq[:, :n]
+            after += ct
+    return x, states, (gate[:, :, :n], gate[:, :, n:], c, rc)
+
+
+def _signed(w: np.ndarray) -> np.ndarray:
+    """The gates' part has its sign turned: gates are 1 / (1 + exp(-x))."""
+    return np.concatenate([-w[:, : 2 * HIDDEN], w[:, 2 * HIDDEN :]], axis=1)
 
 
 def _table(m: dict) -> np.ndarray:
-    return m["embed"] @ m["wx"] + m["b"]
+    return _signed(m["embed"] @ m["wx"] + m["b"])
 
 
 def log_likelihoods(m: dict, word: np.ndarray, at: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
@@ -416,7 +428,7 @@ def log_likelihoods(m: dict, word: np.ndarray, at: np.ndarray, unseen: np.ndarra
 
     for a, b in lanes.windows():
         k = lanes.at_work(a)
-        _, states, _ = _step_states(m, table, lanes, state[:k], a, b, False)
+        _, states, _ = _step_states(m, table, lanes, state[:k], a, b)
         state = states[-1]
         real = lanes.real[a:b, :k].ravel()
         waiting.append((states[1:].reshape(-1, HIDDEN)[real], lanes.y[a:b, :k].ravel()[real], lanes.token[a:b, :k].ravel()[real]))
@@ -445,26 +457,40 @@ class Trainer:
 
     def gradients(self, lanes: Lanes, state: np.ndarray, a: int, b: int):
         m, n, k = self.m, HIDDEN, len(state)
-        x, states, saved = _step_states(m, _table(m), lanes, state, a, b, True)
+        x, states, (z, q, c, rc) = _step_states(m, _table(m), lanes, state, a, b, True)
         real = lanes.real[a:b, :k].ravel()
-        _, grad, d_some = outputs(m, states[1:].reshape(-1, n)[real], lanes.y[a:b, :k].ravel()[real], learn=True)
-        d_out = np.zeros((real.size, n), np.float32)
-        d_out[real] = d_some
-        d_out = d_out.reshape(b - a, -1, n)
+        after = states[1:].reshape(-1, n)
+        whole = real.all()
+        _, grad, d_some = outputs(m, after if whole else after[real], lanes.y[a:b, :k].ravel()[real], learn=True)
+        if whole:
+            d_out = d_some
+        else:
+            d_out = np.zeros((real.size, n), np.float32)
+            d_out[real] = d_some
+        d_out = d_out.reshape(b - a, k, n)
+        before = states[:-1]  # a first token's state is empty there
+        first = lanes.first[a:b, :k]
+        new = first.any(axis=1).tolist()
+        to_c = (1 - z) * (1 - c * c)
+        to_z = (before - c) * z * (1 - z)
+        to_q = rc * q * (1 - q)
         gates, inners = np.empty((2, b - a, k, 3 * n), np.float32)
         dh = np.zeros_like(state)
+        back = np.ascontiguousarray(m["wh"].T)
         for t in range(b - a - 1, -1, -1):
-            before, z, q, c, rc = saved[t]
-            dh = dh + d_out[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (before - c) * z * (1 - z)
-            dq = dc * rc * q * (1 - q)
-            gates[t, :, :n], gates[t, :, n : 2 * n], gates[t, :, 2 * n :] = dz, dq, dc
-            inner = inners[t]
-            inner[:, : 2 * n] = gates[t, :, : 2 * n]
-            inner[:, 2 * n :] = dc * q
-            dh = (dh * z + inner @ m["wh"].T) * (~lanes.first[a + t, :k])[:, None]
-        d_wh = np.concatenate([s[0] for s in saved]).T @ inners.reshape(-1, 3 * n)
+            dh += d_out[t]
+            gate, inner = gates[t], inners[t]
+            dc = gate[:, 2 * n :]
+            np.multiply(dh, to_z[t], out=gate[:, :n])
+            np.multiply(dh, to_c[t], out=dc)
+            np.multiply(dc, to_q[t], out=gate[:, n : 2 * n])
+            inner[:, : 2 * n] = gate[:, : 2 * n]
+            np.multiply(dc, q[t], out=inner[:, 2 * n :])
+            dh *= z[t]
+            dh += inner @ back
+            if new[t]:
+                dh[first[t]] = 0
+        d_wh = before.reshape(-1, n).T @ inners.reshape(-1, 3 * n)
         order = np.argsort(x, axis=None, kind="stable")  # sums by word that was read
         words, first = np.unique(x.ravel()[order], return_index=True)
         d_table = np.zeros((len(m["embed"]), 3 * n), np.float32)
@@ -503,36 +529,49 @@ def stretches(at: np.ndarray) -> np.ndarray:
     return np.append(np.repeat(at[:-1], n) + ragged(np.zeros(len(n), np.int64), n) * STRETCH, at[-1])
 
 
-class _Numbers:
-    """Tokens of a bucket with their counts, and their numbers."""
+def _number(text_col: str, n_shards: int, vocabulary):
+    """A bucket's documents as numbers, with sums for each: what training and scoring read in place of texts."""
 
-    def __init__(self, table, answers, text_col: str, n_shards: int, v: Vocabulary, some: np.ndarray | None = None):
-        texts = encode(table.column(text_col).to_pylist())
-        h, self.at = _all_tokens(texts)
-        distinct, at, where = _by_shard(h, n_shards)
+    def run(bucket, table, answers):
+        v: Vocabulary = vocabulary.value
+        h, at = _all_tokens(encode(table.column(text_col).to_pylist()))
+        distinct, shard_at, where = _by_shard(h, n_shards)
         count, topic = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.uint8)
         for _, shard, data in answers:
             x = unpack(data)
-            count[at[shard] : at[shard + 1]], topic[at[shard] : at[shard + 1]] = x["count"], x["topic"]
+            part = slice(shard_at[shard], shard_at[shard + 1])
+            count[part], topic[part] = x["count"], x["topic"]
         number = v.number(distinct, count, topic)
-        if some is not None:  # only these texts
-            where = where[np.repeat(some, np.diff(self.at))]
-            self.at = np.concatenate([[0], np.cumsum(np.diff(self.at)[some])])
-        self.count, self.word = count[where], number[where]
+        rest = (number >= WORDS) & (number < WORDS + v.rest)
+        inside = np.zeros(len(distinct))  # log10 of the share in its class
+        inside[rest] = np.log10((count[rest] + 1) / v.mass[number[rest] - WORDS])
+        size = np.diff(at)
+        of = np.repeat(np.arange(len(size)), size)
+        sums = lambda x: np.bincount(of, x[where], len(size))
+        base = sums(np.log10((count + 1) / (v.n + v.v + 1)))
+        data = pack(number=number[where].astype(np.uint16), size=size, round=table.column(ROUND).to_numpy(zero_copy_only=False), known=sums(count > 0).astype(np.int64), base=base, inside=sums(inside))
+        return messages([(0, bucket, 0, data)])
+
+    return run
 
 
-def _train_part(text_col: str, n_shards: int, vocabulary, model, k: int):
+def _train_part(model, k: int):
     """What a bucket makes of the weights in round k: one row, if it has documents to learn."""
 
-    def run(bucket, table, answers):
-        learn = table.column(ROUND).to_numpy(zero_copy_only=False) == k
+    def run(key, table):
+        x = unpack(table["data"][0].as_py())
+        learn = x["round"] == k
         if not learn.any():
             return pa.table({"i": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "total": pa.array([], pa.binary())})
-        x = _Numbers(table, answers, text_col, n_shards, vocabulary.value, learn)
+        # in an order that does not depend on how the rows came
+        some = np.flatnonzero(learn)
+        some = some[np.lexsort((x["base"][some], x["size"][some]))]
+        size = x["size"][some]
+        word = x["number"][ragged((np.cumsum(x["size"]) - x["size"])[some], size)].astype(np.int64)
         trainer = Trainer(model.value)
-        trainer.learn(x.word, stretches(x.at))
+        trainer.learn(word, stretches(np.concatenate([[0], np.cumsum(size)])))
         total = (_flat(trainer.m).astype(np.float64) * trainer.tokens).tobytes()
-        return pa.table({"i": pa.array([bucket], pa.int64()), "n": pa.array([trainer.tokens], pa.int64()), "total": pa.array([total], pa.binary())})
+        return pa.table({"i": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([trainer.tokens], pa.int64()), "total": pa.array([total], pa.binary())})
 
     return run
 
@@ -542,39 +581,32 @@ def learning_round(id_col: str, text_col: str):
     return F.pmod(F.xxhash64(id_col, text_col, F.lit("round")), F.lit(ROUNDS)).cast("int")
 
 
-def train(buckets: Buckets, counted: DataFrame, text_col: str, n_shards: int, vocabulary) -> dict:
+def train(numbers: DataFrame, vocabulary: Vocabulary) -> dict:
     """Weights after ROUNDS rounds, which together read each training document once."""
-    sc = counted.sparkSession.sparkContext
-    model = initial(vocabulary.value.rest)
+    sc = numbers.sparkSession.sparkContext
+    model = initial(vocabulary.rest)
     for k in range(ROUNDS):
-        part = _train_part(text_col, n_shards, vocabulary, sc.broadcast(model), k)
-        whole = tree_sum(buckets.each_with(counted, part, "i long, n long, total binary"))
+        whole = tree_sum(numbers.groupBy("bucket").applyInArrow(_train_part(sc.broadcast(model), k), "i long, n long, total binary"))
         if whole:
             model = _shaped(whole[1] / whole[0], model)
-    # a token that was never seen is read like tokens that were seen once
-    once = WORDS + np.flatnonzero(np.isfinite(vocabulary.value.unseen))
-    model["embed"][-2] = model["embed"][once].mean(axis=0)
+    # a token that was never seen is read like the rarest tokens
+    rare = WORDS + np.flatnonzero(np.isfinite(vocabulary.unseen))
+    model["embed"][-2] = model["embed"][rare].mean(axis=0)
     return model
 
 
-def _scorer(text_col: str, n_shards: int, vocabulary, model, names: list[str], schema: pa.Schema):
+def _scorer(vocabulary, model, names: list[str], schema: pa.Schema):
     def run(bucket, table, answers):
-        v: Vocabulary = vocabulary.value
-        x = _Numbers(table, answers, text_col, n_shards, v)
-        c, word, text_at = x.count, x.word, x.at
-        base = np.log10((c + 1) / (v.n + v.v + 1))
-        rest = (word >= WORDS) & (word < WORDS + v.rest)
-        model_lp = np.zeros(len(word))
-        model_lp[rest] = np.log10((c[rest] + 1) / v.mass[word[rest] - WORDS])
-        sizes = np.diff(text_at)
-        for a, b in chunks(sizes.tolist(), TOKENS):
-            lo, hi = text_at[a], text_at[b]
-            model_lp[lo:hi] += log_likelihoods(model.value, word[lo:hi], text_at[a : b + 1] - lo, v.unseen) / np.log(10)
-        n = len(sizes)
-        of = np.repeat(np.arange(n), sizes)
+        x = unpack(answers[0][2])
+        size, word = x["size"], x["number"].astype(np.int64)
+        at = np.concatenate([[0], np.cumsum(size)])
+        score = x["inside"].copy()
+        for a, b in chunks(size.tolist(), TOKENS):
+            lp = log_likelihoods(model.value, word[at[a] : at[b]], at[a : b + 1] - at[a], vocabulary.value.unseen)
+            score[a:b] += np.bincount(np.repeat(np.arange(b - a), size[a:b]), lp, b - a) / np.log(10)
         result = {
-            "held_out": pa.array(table.column(ROUND).to_numpy(zero_copy_only=False) < 0), "n_tokens": pa.array(sizes), "n_known": pa.array(np.bincount(of, c > 0, n).astype(np.int64)),
-            "train_tokens": pa.array(np.full(n, v.n)), "base_score": pa.array(np.bincount(of, base, n)), "score": pa.array(np.bincount(of, model_lp, n)),
+            "held_out": pa.array(x["round"] < 0), "n_tokens": pa.array(size), "n_known": pa.array(x["known"]),
+            "train_tokens": pa.array(np.full(len(size), vocabulary.value.n)), "base_score": pa.array(x["base"]), "score": pa.array(score),
         }
         return pa.table([result[y] if y in result else table.column(y) for y in names], names=names).cast(schema)
 
@@ -606,10 +638,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for r in tops.where("class is not null").groupBy("class").agg(F.sum("mass").alias("mass")).collect():  # TOPICS * BINS rows at most
         mass[r["class"]] = r["mass"]
     vocabulary = sc.broadcast(Vocabulary(common["h"].to_numpy(np.int64).view(U), common["count"].to_numpy(np.int64), common["topic"].to_numpy(np.int64), n, v, mass))
-    answers = counted.where("kind = 0")
-    model = sc.broadcast(train(buckets, answers, text_col, n_shards, vocabulary))
-    scorer = _scorer(text_col, n_shards, vocabulary, model, schema.fieldNames(), to_arrow_schema(schema))
-    return buckets.each_with(answers, scorer, schema)
+    numbers = buckets.each_with(counted.where("kind = 0"), _number(text_col, n_shards, vocabulary), MESSAGE).checkpoint()
+    model = sc.broadcast(train(numbers, vocabulary.value))
+    return buckets.each_with(numbers, _scorer(vocabulary, model, schema.fieldNames(), to_arrow_schema(schema)), schema)
 
 
 def _tops(batches):
