@@ -400,7 +400,7 @@ def test_language_model_gradients_and_sum():
     inside = lanes.token[: gru_lm.WINDOW][lanes.real[: gru_lm.WINDOW]]
     assert n == len(inside)
     loss = lambda: -gru_lm.log_likelihoods(t.m, word, at)[inside].sum()
-    for k, i in (("wh", (3, 5)), ("wx", (1, 60)), ("wc", (2, 4)), ("b", (30,)), ("embed", (int(word[0]), 2))):
+    for k, i in (("wh", (3, 5)), ("wx", (1, 40)), ("wc", (2, 4)), ("b", (30,)), ("embed", (int(word[0]), 2))):
         old = float(t.m[k][i])
         t.m[k][i] = old + 1e-2
         up = loss()

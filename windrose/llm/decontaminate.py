@@ -7,13 +7,15 @@ there. Where the shift is 0 the block's suffix-hash bucket selects the patterns
 comparison of all words, and then of the bytes, confirms an occurrence. Many stretches of text are searched side by
 side, so that each step is a numpy operation.
 
-The patterns are made on the driver from at most ``part_bytes`` of benchmark text at a time; a larger benchmark is cut
-into parts by a hash of the item, which are searched one after the other in the same pass over the documents.
+The patterns are made on the driver from about ``part_bytes`` of benchmark text at a time, as flat arrays: the items' words
+as numbers, and windows as places among them, in all some 15 bytes for each byte of text. A larger benchmark is cut into
+parts by a hash of the item. TOGETHER parts are searched in one pass over the documents; further ones in further passes,
+with a checkpoint between, so that no worker holds more tables than that.
 
 Defined results: a null or empty text has no words and no hits. Items that are null or have no words have no window.
 An item id that stands in several rows has the windows of all of them; a null item id is hit as an item without an id:
 its words count as hit, but it is not listed. Rows with repeated or null ids are searched each on its own. A text's
-length is not limited. Columns of the documents whose names clash with the results are replaced.
+length is not limited. Item ids keep their type. Columns of the documents whose names clash with the results are replaced.
 """
 
 from __future__ import annotations
@@ -25,113 +27,126 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import prepare, text_bytes
-from .textnum import alnum_words, chunks, encode, merge_spans, mix, ragged
+from .textnum import alnum_words, chunks, encode, merge_spans, mix, ragged, window_hashes
 
-PART_BYTES = 16 << 20
+PART_BYTES, TOGETHER = 4 << 20, 4
 #: words that one lane searches
 LANE = 256
-#: Results, added to the documents' columns. spans: words hit, as [from, to) pairs.
-RESULT = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("n_hit", T.LongType()),
-    T.StructField("items", T.ArrayType(T.LongType())),
-    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("from", T.LongType()), T.StructField("to", T.LongType())]))),
-]
+#: Results, added to the documents' columns, beside items. spans: words hit, as [from, to) pairs.
+RESULT = ["n_words", "n_hit", "items", "spans"]
+
+
+def _fields(item_type: T.DataType) -> list[T.StructField]:
+    span = T.StructType([T.StructField("from", T.LongType()), T.StructField("to", T.LongType())])
+    types = [T.LongType(), T.LongType(), T.ArrayType(item_type), T.ArrayType(span)]
+    return [T.StructField(n, t) for n, t in zip(RESULT, types, strict=True)]
 
 
 class Length:
-    """Tables for all patterns of m words."""
+    """Tables for all patterns of m words: places `at` in `words`."""
 
-    def __init__(self, m: int, patterns: np.ndarray, texts: list[bytes], items: list[list[int]]):
-        self.m, self.patterns, self.texts, self.items = m, patterns, texts, items
-        self.block = min(2, m)
-        bits = max(8, int(np.ceil(np.log2(max(1, patterns.size)))) + 3)
+    def __init__(self, m: int, words: np.ndarray, at: np.ndarray):
+        self.m, self.block = m, min(2, m)
+        bits = max(8, int(np.ceil(np.log2(max(1, at.size)))) + 3)
         self.mask = np.uint64((1 << bits) - 1)
-        most = m - self.block + 1
-        self.shift = np.full(1 << bits, most, np.int32)
-        for end in range(self.block - 1, m):
-            np.minimum.at(self.shift, self.slot(patterns[:, end - self.block + 1 : end + 1]), m - 1 - end)
-        # buckets by the hash of the last block: patterns sorted by it, and where each slot's run starts
-        last = self.slot(patterns[:, m - self.block :])
-        self.order = np.argsort(last, kind="stable")
-        self.bucket = np.searchsorted(last[self.order], np.arange((1 << bits) + 1))
-
-    def slot(self, block: np.ndarray) -> np.ndarray:
-        h = block[:, 0].astype(np.uint64)
-        if block.shape[1] == 2:
-            h = h * np.uint64(0x9E3779B97F4A7C15) + block[:, 1].astype(np.uint64)
+        self.shift = np.full(1 << bits, min(m - self.block + 1, 255), np.uint8)
+        for end in range(m - 1, self.block - 2, -1):
+            some = self.slot(words, at + end)
+            self.shift[some] = np.minimum(self.shift[some], min(m - 1 - end, 255))
+        # buckets by the hash of the last block: patterns in its order
+        last = self.slot(words, at + m - 1).astype(np.uint32 if bits <= 32 else np.int64)
+        self.order = np.argsort(last, kind="stable").astype(np.int32)
+        self.last = last[self.order]
+
+    def slot(self, words: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Slot of the block of words that ends at each place."""
+        h = words[end].astype(np.uint64)
+        if self.block == 2:
+            h += words[end - 1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mix(h) & self.mask).astype(np.int64)
 
-    def search(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, pattern) of each place where all word numbers agree."""
+    def search(self, words: np.ndarray, patterns: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, pattern) of each place where all word numbers agree; patterns stand at `at`."""
         n = len(words)
         if n < self.m:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         # lanes of end positions; each keeps its own place and skips by its own shifts
-        at = np.arange(self.m - 1, n, LANE)
-        stop = np.minimum(at + LANE, n)
+        place = np.arange(self.m - 1, n, LANE)
+        stop = np.minimum(place + LANE, n)
         ends = []
-        while len(at):
-            block = np.stack([words[at - i] for i in range(self.block - 1, -1, -1)], axis=1)
-            shift = self.shift[self.slot(block)]
-            ends.append(at[shift == 0])
-            at = at + np.maximum(shift, 1)
-            more = at < stop
-            at, stop = at[more], stop[more]
+        while len(place):
+            shift = self.shift[self.slot(words, place)]
+            ends.append(place[shift == 0])
+            place = place + np.maximum(shift, 1)
+            more = place < stop
+            place, stop = place[more], stop[more]
         end = np.concatenate(ends)
-        slot = self.slot(np.stack([words[end - i] for i in range(self.block - 1, -1, -1)], axis=1))
-        n_in = self.bucket[slot + 1] - self.bucket[slot]
-        pattern = self.order[ragged(self.bucket[slot], n_in)]
-        end = np.repeat(end, n_in)
+        slot = self.slot(words, end).astype(self.last.dtype)
+        lo, hi = np.searchsorted(self.last, slot, "left"), np.searchsorted(self.last, slot, "right")
+        pattern = self.order[ragged(lo, hi - lo)].astype(np.int64)
+        end = np.repeat(end, hi - lo)
         for i in range(self.m):  # the last words, then the one before, ...
-            same = words[end - i] == self.patterns[pattern, self.m - 1 - i]
+            same = words[end - i] == patterns[at[pattern] + self.m - 1 - i]
             end, pattern = end[same], pattern[same]
         return end - self.m + 1, pattern
 
 
 class Patterns:
-    """Windows of a part of the benchmark, as tables by length."""
-
-    def __init__(self, rows: list[tuple[int | None, str]], window: int):
-        by: dict[int, dict[tuple[bytes, ...], list[int]]] = {}
-        for item, text in rows:
-            w = alnum_words(encode([text]))
-            words = [w.joined[a:b] for a, b in zip(w.start.tolist(), w.end.tolist(), strict=True)]
-            m = min(window, len(words))
-            for i in range(len(words) - m + 1 if m else 0):
-                by.setdefault(m, {}).setdefault(tuple(words[i : i + m]), []).append(item)
-        vocabulary = sorted({x for of in by.values() for p in of for x in p})
-        number = {x: i + 1 for i, x in enumerate(vocabulary)}  # 0: a word of no pattern
-        one = alnum_words(vocabulary)
-        hashes = one.hashes()
-        order = np.argsort(hashes)
-        self.known, self.number = hashes[order], (order + 1).astype(np.uint32)
-        self.lengths = [
-            Length(m, np.array([[number[x] for x in p] for p in of], np.uint32), [b" ".join(p) for p in of], [sorted({i for i in items if i is not None}) for items in of.values()])
-            for m, of in sorted(by.items())
-        ]
+    """Windows of a part of the benchmark, as tables by length. Equal windows are one pattern with several items."""
+
+    def __init__(self, rows: list[tuple[object, str]], window: int):
+        self.ids = [i for i, _ in rows]
+        w = alnum_words(encode([t for _, t in rows]))
+        self.text, self.start, self.size = w.joined, w.start.astype(np.uint32 if len(w.joined) < 1 << 32 else np.int64), (w.end - w.start).astype(np.uint32)
+        one, two = w.hashes(0), w.hashes(1)
+        self.known, number = np.unique(one, return_inverse=True)
+        self.words = (number + 1).astype(np.uint32)  # 0: a word of no pattern
+        m = np.minimum(w.count, window)
+        self.lengths: list[tuple[Length, np.ndarray, np.ndarray, np.ndarray]] = []
+        for size in np.unique(m[m > 0]).tolist():
+            some = np.flatnonzero(m == size)
+            n = w.count[some] - size + 1
+            at, item = ragged(w.first[some], n).astype(np.int32), np.repeat(some.astype(np.int32), n)
+            # the first of equal windows stands for all; their items follow one another
+            order = np.lexsort((item, window_hashes(two, size, 1)[at], window_hashes(one, size, 0)[at]))
+            at, item = at[order], item[order]
+            a, b = window_hashes(one, size, 0)[at], window_hashes(two, size, 1)[at]
+            new = np.ones(len(at), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            first = np.flatnonzero(new)
+            self.lengths.append((Length(size, self.words, at[first]), at[first], np.append(first, len(at)).astype(np.int32), item))
+
+    @property
+    def nbytes(self) -> int:
+        arrays = [self.start, self.size, self.known, self.words]
+        for table, *others in self.lengths:
+            arrays += [table.shift, table.order, table.last, *others]
+        return len(self.text) + sum(a.nbytes for a in arrays)
+
+    def _same(self, w, f: int, at: int, m: int) -> bool:
+        """Are m words of a text and of the benchmark equal, byte by byte?"""
+        begin, size = self.start[at : at + m].tolist(), self.size[at : at + m].tolist()
+        return all(w.joined[a:b] == self.text[c : c + n] for a, b, c, n in zip(w.start[f : f + m].tolist(), w.end[f : f + m].tolist(), begin, size, strict=True))
 
     def find(self, texts: list[bytes]):
-        """Words of each text; and (text, first word, words, length table, pattern) of each occurrence."""
+        """Words of each text; and (text, first word, words, items) of each occurrence."""
         w = alnum_words(texts)
         found = []
         if len(self.known) and len(w.start):
             h = w.hashes()
             at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-            number = np.where(self.known[at] == h, self.number[at], 0).astype(np.uint32)
+            number = np.where(self.known[at] == h, at + 1, 0).astype(np.uint32)
             # a word of no pattern between texts: no window spans two
             place = np.arange(len(number)) + w.text
             spread = np.zeros(len(number) + len(texts), np.uint32)
             spread[place] = number
             back = np.zeros(len(spread), np.int64)
             back[place] = np.arange(len(number))
-            for table in self.lengths:
-                first, pattern = table.search(spread)
-                first = back[first]
-                for f, p in zip(first.tolist(), pattern.tolist(), strict=True):
-                    words = zip(w.start[f : f + table.m].tolist(), w.end[f : f + table.m].tolist(), strict=True)
-                    if b" ".join(w.joined[a:b] for a, b in words) == table.texts[p]:
-                        found.append((int(w.text[f]), f - int(w.first[w.text[f]]), table.m, table, p))
+            for table, at, items, item in self.lengths:
+                first, pattern = table.search(spread, self.words, at)
+                for f, p in zip(back[first].tolist(), pattern.tolist(), strict=True):
+                    if self._same(w, f, int(at[p]), table.m):
+                        found.append((int(w.text[f]), f - int(w.first[w.text[f]]), table.m, item[items[p] : items[p + 1]].tolist()))
         return w.count, found
 
 
@@ -149,9 +164,9 @@ def _searcher(patterns, text_col: str, names: list[str], schema: pa.Schema):
             for a, b in chunks([len(t) for t in texts]):
                 count, found = p.find(texts[a:b])
                 n_words[a:b] = count
-                for text, first, m, table, pattern in found:
+                for text, first, m, of in found:
                     spans[a + text].append((first, first + m))
-                    items[a + text].update(table.items[pattern])
+                    items[a + text].update(p.ids[i] for i in of if p.ids[i] is not None)
             out_spans, n_hit = [], []
             for old, new in zip(before_spans, spans, strict=True):
                 both = np.array(sorted([*((x["from"], x["to"]) for x in old or ()), *new]), np.int64).reshape(-1, 2)
@@ -180,19 +195,25 @@ def find_contamination(
 
     spark = docs.sparkSession
     prepare(spark)
-    names = {f.name for f in RESULT}
-    docs = docs.drop(*(c for c in docs.columns if c in names and c != text_col))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("words")).where("words is not null")
+    docs = docs.drop(*(c for c in docs.columns if c in RESULT and c != text_col))
+    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("words")).where("words is not null")
     n_parts = 1 + text_bytes(items, "words") // part_bytes
-    schema = T.StructType([*docs.schema.fields, *RESULT])
+    fields = _fields(items.schema["item"].dataType)
+    schema = T.StructType([*docs.schema.fields, *fields])
     arrow = to_arrow_schema(schema)
     out = docs
-    for field in RESULT:
+    for field in fields:
         out = out.withColumn(field.name, F.lit(None).cast(field.dataType))
+    sent = []
     for part in range(n_parts):
+        if len(sent) == TOGETHER:
+            out = out.checkpoint()
+            for old in sent:
+                old.unpersist()
+            sent = []
         rows = items if n_parts == 1 else items.where(F.pmod(F.xxhash64("words"), F.lit(n_parts)) == part)
-        patterns = spark.sparkContext.broadcast(Patterns([(r["item"], r["words"]) for r in rows.collect()], window))
-        out = out.mapInArrow(_searcher(patterns, text_col, schema.fieldNames(), arrow), schema)
+        sent.append(spark.sparkContext.broadcast(Patterns([(r["item"], r["words"]) for r in rows.collect()], window)))
+        out = out.mapInArrow(_searcher(sent[-1], text_col, schema.fieldNames(), arrow), schema)
     return out
 
 
