@@ -4,22 +4,25 @@ The subsequence kernels of orders 2 to 4 (Lodhi et al., 2002) compare two string
 three and four characters, each weighted by DECAY to the length that it spans in both. The mean of the orders that a
 string is long enough for is used. Characters put into an insult, replaced, or left out of it, only lower the weight.
 
-A sentence is a bag of terms: words in lower case without ASCII punctuation; single letters in a row are one term. Its
-feature for a landmark is the kernel with the term that is most alike, as a share of the landmark's own kernel, 1 at
-most: how much of the landmark the term holds, whatever else it has. Terms that share less than SHARED of the
-landmark's letters count as 0. Landmarks are strings of LENGTHS characters, inside terms, that set toxic labelled
-documents most apart; of strings that are alike one is taken. The Nystroem map, features times the inverse square root
-of the landmarks' own kernel matrix, makes them inputs of a linear machine. There are LANDMARKS of them, and as many more
-as it takes until every toxic training document that has any candidate holds a landmark, or a string much like one.
-
-Labels are of documents. The machine is trained on sentences: those of clean documents are negative; of a toxic
-document, the sentence that scores highest is positive, and all that score above 0, chosen again after each round. A
-document's score is a logistic function, fitted to labelled documents, of its highest sentence score.
-
-The texts of at most ``max_rows`` labelled documents train, each with all of its sentences; only candidates and each
+A document is a bag of terms: words in lower case without ASCII punctuation; single letters in a row are one term. The
+kernel of a term and a landmark is the sum of the orders' normalised kernels, normalised again: one kernel, of features
+and of the Nystroem map alike. It is computed where a term has at least SHARED of a landmark's letters; below that it is
+small, and taken as 0. Landmarks are strings of LENGTHS characters, inside terms, that set toxic labelled documents most
+apart, by a likelihood ratio that chance would not reach among all strings tried, so that wrong labels choose none.
+Sentences that stand in several documents count once, so that copies of one wrongly labelled document do not either. Of
+strings that are alike one is taken. The Nystroem map, kernels times the inverse square root of the landmarks' own kernel
+matrix, makes them inputs of a linear machine. There are LANDMARKS of them, and as many more as it takes until every toxic
+training document that has any candidate holds a landmark, or a string much like one.
+
+Labels are of documents. The machine is trained on terms: those of clean documents are negative; of a toxic document, the
+term that scores highest is positive, chosen again after each round; after the first, only where it scores above 0, so
+that a document whose label is wrong, or without any insult, teaches nothing. A document's score is a
+logistic function, fitted to labelled documents, of its highest term score.
+
+The texts of at most ``max_rows`` labelled documents train, each with all of its terms; only candidates and each
 document's distinct features reach the driver. Scoring runs over all documents.
 
-Defined results: a null text counts as empty; a text without terms scores like a sentence in which nothing is alike.
+Defined results: a null text counts as empty; a text without terms scores like one in which nothing is alike.
 Labels that are null are left out; of several labels of one id the largest counts. Rows with repeated or null ids are
 scored each on its own. Without both classes every document gets the share of ones, smoothed. Columns of the
 documents whose names clash with the results are replaced.
@@ -81,7 +84,7 @@ class Terms:
             start, end = np.concatenate([start, begin]), np.concatenate([end, stop])
             sentence, text = np.concatenate([sentence, sentence[at]]), np.concatenate([text, text[at]])
         h = span_hashes(self.data.tobytes(), start, end)
-        _, where, self.term = np.unique(h, return_index=True, return_inverse=True)
+        self.hash, where, self.term = np.unique(h, return_index=True, return_inverse=True)
         self.start, self.end = start[where], end[where]
         self.sentence, self.text = sentence, text
 
@@ -154,7 +157,7 @@ class Landmarks:
         self.map = vectors[:, keep] / np.sqrt(values[keep])
 
     def alike(self, t: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(term, landmark, kernel) of pairs that share enough letters."""
+        """(term, landmark, kernel) of pairs that share enough letters; the kernel of others is small, and taken as 0."""
         n = len(t.start)
         size = t.end - t.start
         prefix = {}
@@ -177,31 +180,29 @@ class Landmarks:
             some = np.flatnonzero((size[term] > low) & (size[term] <= high))
             for a in range(0, len(some), 20_000):
                 part = some[a : a + 20_000]
-                value[part] = self.share(padded(t.data, t.start[term[part]], t.end[term[part]], high), mark[part])
+                value[part] = self.similar(padded(t.data, t.start[term[part]], t.end[term[part]], high), mark[part])
         return term, mark, value
 
-    def share(self, rows: np.ndarray, mark: np.ndarray) -> np.ndarray:
-        """Of each row, how much of its landmark it holds: the mean over the orders that the landmark has."""
-        own = self.own[:, mark]
-        return np.minimum(kernels(rows, self.rows[mark]) / np.where(own > 0, own, 1), 1).sum(axis=0) / self.orders[mark]
+    def similar(self, rows: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """The normalised kernel of each row with its landmark, as in the landmarks' own matrix."""
+        k, own = kernels(rows, self.rows[mark]), kernels(rows, rows)
+        both = np.sqrt(own * self.own[:, mark])
+        orders = (own > 0).sum(axis=0) * self.orders[mark]
+        return (k / np.where(both > 0, both, 1)).sum(axis=0) / np.sqrt(np.maximum(orders, 1))
 
     def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Text and features of each sentence in which something is alike."""
+        """Text and kernels with all landmarks of each distinct term of a text that is like one."""
         t = Terms(texts)
         term, mark, value = self.alike(t)
-        m = len(self.terms)
         found, place = np.unique(term, return_inverse=True)
-        table = np.zeros((len(found) + 1, m), np.float32)
+        table = np.zeros((len(found), len(self.terms)), np.float32)
         table[place, mark] = value
-        row = np.full(len(t.start), len(found))
+        row = np.full(len(t.start), -1)
         row[found] = np.arange(len(found))
-        use = np.flatnonzero(row[t.term] < len(found))
-        sentence, at = np.unique(t.sentence[use], return_inverse=True)
-        x = np.zeros((len(sentence), m), np.float32)
-        np.maximum.at(x, at, table[row[t.term[use]]])
-        text = np.zeros(len(sentence), np.int64)
-        text[at] = t.text[use]
-        return text, x
+        used = row[t.term] >= 0
+        pairs = np.unique(t.text[used] * np.int64(len(found) + 1) + row[t.term[used]])
+        text, of = np.divmod(pairs, len(found) + 1)
+        return text, table[of]
 
 
 @dataclass
@@ -216,7 +217,7 @@ class Machine:
         return x @ (self.landmarks.map @ self.weight) + self.bias
 
     def best(self, texts: list[bytes]) -> np.ndarray:
-        """Highest sentence score of each text; sentences in which nothing is alike score the bias."""
+        """Highest term score of each text; terms that are like no landmark score the bias."""
         out = np.full(len(texts), self.bias)
         if len(self.landmarks.terms):
             text, x = self.landmarks.features(texts)
@@ -227,11 +228,16 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.best(texts) + self.level, -60, 60)))
 
 
-def fit_linear(z: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 12) -> tuple[np.ndarray, float]:
-    """Linear machine by dual coordinate descent (Hsieh et al., 2008); classes weigh the same; the bias is a feature."""
+def fit_linear(z: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Linear machine by dual coordinate descent (Hsieh et al., 2008); classes weigh the same; the bias is a feature.
+
+    times: how often each row stands.
+    """
+    times = np.ones(len(y)) if times is None else times
     x = np.column_stack([z, np.ones(len(z))])
     sign = np.where(y > 0, 1.0, -1.0)
-    limit = cost * np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y <= 0).sum())))
+    total = [max(1, times[y <= 0].sum()), max(1, times[y > 0].sum())]
+    limit = cost * times * len(y) / (2 * np.where(y > 0, total[1], total[0]))
     norm = np.maximum((x**2).sum(axis=1), 1e-9)
     alpha, w = np.zeros(len(y)), np.zeros(x.shape[1])
     rng = np.random.default_rng(0)
@@ -340,21 +346,26 @@ def cover(chosen: Chosen, candidates: list[str], held: list[list[int]]) -> int:
 
 
 def _term_uses(batches):
-    """(term, y) once for each document that has the term."""
+    """(id, term, sentence, y) once for each term of a sentence; a sentence is the hash of its terms."""
     for batch in batches:
         texts = encode(batch.column("t").to_pylist())
-        y = batch.column("y").to_pylist()
+        ids, y = batch.column("id").to_pylist(), batch.column("y").to_pylist()
         for a, b in chunks([len(t) for t in texts]):
             t = Terms(texts[a:b])
             strings = t.strings()
-            pairs = np.unique(t.text * np.int64(len(strings) + 1) + t.term)
-            text, term = np.divmod(pairs, len(strings) + 1)
-            long = [(strings[k], y[a + i]) for i, k in zip(text.tolist(), term.tolist(), strict=True) if len(strings[k]) >= LENGTHS[0]]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in long], pa.string()), pa.array([v for _, v in long], pa.int32())], names=["term", "y"])
+            sentence = np.zeros(int(t.sentence.max(initial=0)) + 1, np.uint64)
+            np.add.at(sentence, t.sentence, t.hash[t.term])
+            pairs = np.unique(t.sentence * np.int64(len(strings) + 1) + t.term)
+            of, term = np.divmod(pairs, len(strings) + 1)
+            text = np.zeros(len(sentence), np.int64)
+            text[t.sentence] = t.text
+            rows = [(ids[a + text[i]], strings[k], sentence[i].view(np.int64), y[a + text[i]]) for i, k in zip(of.tolist(), term.tolist(), strict=True) if len(strings[k]) >= LENGTHS[0]]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.int64(), pa.int32()), strict=True)], names=["id", "term", "sentence", "y"])
 
 
-def _sentence_features(landmarks):
-    """(id, y, x) of each document: x has the distinct features of its sentences, row by row, as 32-bit numbers."""
+def _term_features(landmarks):
+    """(id, y, x) of each document: x has the distinct features of its terms, row by row, as 32-bit numbers."""
 
     def run(batches):
         for batch in batches:
@@ -368,10 +379,10 @@ def _sentence_features(landmarks):
     return run
 
 
-def fit_sentences(x: np.ndarray, row: np.ndarray, doc: np.ndarray, bad: np.ndarray, landmarks: Landmarks):
+def fit_terms(x: np.ndarray, row: np.ndarray, doc: np.ndarray, bad: np.ndarray, landmarks: Landmarks):
     """(weight, bias, value of each use) from distinct features x; uses are of row of x, in a document that is bad or not."""
     z = x.astype(float) @ landmarks.map
-    # sentences in which nothing is alike are one more negative
+    # terms that are like nothing are one more negative
     z = np.vstack([z, np.zeros(z.shape[1])])
     row, doc, bad = np.append(row, len(x)), np.append(doc, -1), np.append(bad, False)
     near = np.unique(np.round(z, 2), axis=0, return_inverse=True)[1].ravel()
@@ -382,11 +393,13 @@ def fit_sentences(x: np.ndarray, row: np.ndarray, doc: np.ndarray, bad: np.ndarr
         head = np.ones(len(order), bool)
         head[1:] = doc[order][1:] != doc[order][:-1]
         best[order[head]] = True
-        positive = bad & (best | (value > 0 if k else best))
+        positive = bad & best & ((value > 0) | (k == 0))
+        if not positive.any():
+            break
         use = positive | ~bad
-        # equal sentences need one row each; clean ones are many
-        index = np.unique(near[row[use]] * 2 + positive[use], return_index=True)[1]
-        weight, bias = fit_linear(z[row[use][index]], positive[use][index].astype(int))
+        # equal terms need one row each, with their number; clean ones are many
+        _, index, times = np.unique(near[row[use]] * 2 + positive[use], return_index=True, return_counts=True)
+        weight, bias = fit_linear(z[row[use][index]], positive[use][index].astype(int), times=times)
         value = (z @ weight + bias)[row]
     return weight, bias, value[:-1]
 
@@ -411,13 +424,23 @@ def find_landmarks(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: in
 
 def _candidates(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     """The CANDIDATES strings of LENGTHS characters inside terms that set toxic documents most apart, best first."""
-    counts = toxic.union(clean).select("t", "y").mapInArrow(_term_uses, "term string, y int").groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+    uses = toxic.union(clean).select("id", "t", "y").mapInArrow(_term_uses, "id long, term string, sentence long, y int")
+    # copies of a document share its sentences: each counts for one document only, and each document once
+    first = uses.groupBy("term", "sentence").agg(F.min(F.struct("id", "y")).alias("of")).select("term", "of.id", "of.y").distinct()
+    counts = first.groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
     low, high = LENGTHS
     starts = F.sequence(F.lit(1), F.greatest(F.length("term") - (low - 1), F.lit(1)))
     inside = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), lambda n: F.transform(starts, lambda i: F.substr(F.col("term"), i, n)))))
     strings = counts.where(F.length("term") <= LONGEST).select(F.explode(inside).alias("s"), "bad", "n").groupBy("s").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    odds = F.log(((F.col("bad") + 0.5) / n_toxic) / ((F.col("n") - F.col("bad") + 0.5) / n_clean))
-    ranked = strings.where((F.length("s") >= low) & (F.col("bad") >= 3) & (odds > 2)).orderBy((F.col("bad") * odds * (1 + 0.5 * F.length("s"))).desc(), "s")
+    # log-likelihood ratio of one rate for each class against one rate for both
+    good, share = F.col("n") - F.col("bad"), n_toxic / (n_toxic + n_clean)
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
+    odds = F.log(((F.col("bad") + 0.5) / n_toxic) / ((good + 0.5) / n_clean))
+    tried = strings.where((F.length("s") >= low) & (F.col("bad") >= 3) & (odds > 2))
+    tried = tried.withColumn("ratio", part(F.col("bad"), share) + part(good, 1 - share)).checkpoint()
+    # of as many strings as were tried, some set noise in labels apart: a string must be less likely than one in twenty by chance
+    least = np.log(max(1, tried.count())) + 3
+    ranked = tried.where(F.col("ratio") >= least).orderBy((F.col("ratio") * (1 + 0.5 * F.length("s"))).desc(), "s")
     return [r["s"] for r in ranked.limit(CANDIDATES).collect()]
 
 
@@ -440,15 +463,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
         return nothing
     landmarks = Landmarks(marks)
     shared = spark.sparkContext.broadcast(landmarks)
-    found = sample.mapInArrow(_sentence_features(shared), "id long, y int, x binary").toArrow()
+    found = sample.mapInArrow(_term_features(shared), "id long, y int, x binary").toArrow()
     found = found.sort_by([("id", "ascending"), ("x", "ascending")])
     width = 4 * len(marks)
     sizes = np.array([len(v.as_buffer()) // width if v.as_buffer() else 0 for v in found["x"]], np.int64)
     raw = np.frombuffer(b"".join(v.as_buffer() for v in found["x"]), f"V{width}")
-    # sentences of different documents are often equal: each is kept once
+    # terms of different documents are often equal: each is kept once
     distinct, row = np.unique(raw.view(np.uint32).reshape(-1, len(marks)), axis=0, return_inverse=True)
     doc, bad = np.repeat(found["id"].to_numpy(), sizes), np.repeat(found["y"].to_numpy() == 1, sizes)
-    weight, bias, value = fit_sentences(distinct.view(np.float32), row.ravel(), doc, bad, landmarks)
+    weight, bias, value = fit_terms(distinct.view(np.float32), row.ravel(), doc, bad, landmarks)
     machine = Machine(landmarks, weight, bias, 1.0, 0.0)
     top = dict.fromkeys(known["id"].tolist(), bias)
     for i, v in zip(doc.tolist(), value.tolist(), strict=True):
