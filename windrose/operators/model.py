@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from functools import reduce
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -12,7 +13,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .analysis import hash_split, regression_metrics
+from .analysis import hash_split, quantile, r, regression_metrics, top_bottom
+from .core import dmean
 
 NUMERIC = ["player_rating", "hole_count", "round_total_hole_length", "round_total_par", "wind_mean", "gust_mean", "temp_mean", "precip_sum"]
 CATEGORICAL = ["division"]
@@ -61,6 +63,78 @@ def score_rounds(df: DataFrame, model: PipelineModel, scenarios: dict[str, dict[
     return out
 
 
+def score_monotone(df: DataFrame, model: PipelineModel, column: str, grid: Sequence[float], name: str) -> DataFrame:
+    """df with predictions that never fall as column grows: the largest of the model's at the value itself and at grid
+    points below it. Values between two grid points may differ by the model's own steps there only."""
+    out = score_rounds(df.drop("predicted"), model, {f"__g{i}": {column: F.least(F.col(column), F.lit(float(g)))} for i, g in enumerate(sorted(grid))})
+    at = [f"predicted___g{i}_reference" for i in range(len(grid))]
+    best = F.greatest(F.col("predicted"), *(F.col(c) for c in at))
+    return out.withColumn(name, best).drop(*at, *(f"__g{i}_impact" for i in range(len(grid))))
+
+
+def effect_curve(df: DataFrame, effects: dict[float, Column]) -> DataFrame:
+    """(x, n, mean, median, std, p10, p90) of effects against a reference, one column for each value x of a grid."""
+    pairs = F.array(*(F.struct(F.lit(x).alias("x"), e.cast("double").alias("e")) for x, e in effects.items()))
+    long = df.select(F.explode(pairs).alias("p")).select("p.x", "p.e")
+    return long.groupBy("x").agg(
+        F.count("e").alias("n"), r(dmean("e")).alias("mean"), r(quantile("e", 0.5)).alias("median"), r(F.stddev_pop("e")).alias("std"), r(quantile("e", 0.1)).alias("p10"), r(quantile("e", 0.9)).alias("p90")
+    )
+
+
+def monotone_curve(curve: DataFrame, x: str, y: str, weight: str, name: str) -> DataFrame:
+    """curve (a row for each x) with y made non-decreasing by pooling neighbours, weighted."""
+    from pyspark.ml.regression import IsotonicRegression
+
+    d = curve.withColumns({"features": F.col(x).cast("double"), "label": F.col(y).cast("double"), "__w": F.col(weight).cast("double")})
+    return IsotonicRegression(weightCol="__w", predictionCol=name).fit(d).transform(d).drop("features", "label", "__w")
+
+
+def course_response(df: DataFrame, course: str, effect: str, n: int = 20) -> DataFrame:
+    """Mean and median effect of the n courses that respond most, and of the n that respond least."""
+    per = df.groupBy(course).agg(F.count("*").alias("n"), r(dmean(effect)).alias("mean_effect"), r(quantile(effect, 0.5)).alias("median_effect"))
+    return top_bottom(per, "mean_effect", [course], n)
+
+
+def spline_ridge(df: DataFrame, weather: Sequence[str], linear: Sequence[str], target: str, key: str, knots: int = 4, alphas: Sequence[float] = (0.1, 1.0, 10.0)) -> tuple[PipelineModel, DataFrame, float]:
+    """(model, metrics by split, alpha) of ridge regression on cubic splines of weather and scaled linear terms. alpha is
+    chosen on the middle part of whole keys, split 64/16/20."""
+    d = hash_split(df.dropna(subset=[*weather, *linear, target]), key, {"train": 64, "valid": 16, "test": 20}).withColumn("label", F.col(target).cast("double"))
+    at = d.where("split = 'train'").agg(*(F.percentile_approx(F.col(c).cast("double"), [(i + 1) / (knots + 1) for i in range(knots)], 10_000).alias(c) for c in weather)).first()
+    terms = {}
+    for c in weather:
+        x = F.col(c).cast("double")
+        terms |= {f"__{c}_{p}": F.pow(x, p) for p in (1, 2, 3)}
+        terms |= {f"__{c}_k{i}": F.pow(F.greatest(x - F.lit(k), F.lit(0.0)), 3) for i, k in enumerate(sorted(set(at[c] or [])))}
+    d = d.withColumns({**terms, **{f"__{c}": F.col(c).cast("double") for c in linear}})
+    names = [*terms, *(f"__{c}" for c in linear)]
+    before = [VectorAssembler(inputCols=names, outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="features", withMean=True)]
+    fitted = {}
+    for a in alphas:
+        m = Pipeline(stages=[*before, LinearRegression(elasticNetParam=0.0, regParam=a)]).fit(d.where("split = 'train'"))
+        fitted[a] = (m, regression_metrics(m.transform(d), ["split"], "label", "prediction"))
+    valid = {a: (x.where("split = 'valid'").first() or {"rmse": float("inf")})["rmse"] for a, (_, x) in fitted.items()}
+    best = min(alphas, key=lambda a: (valid[a], a))
+    return (*fitted[best], best)
+
+
+def ideal_conditions(df: DataFrame, model: PipelineModel, grid: dict[str, Sequence[float]]) -> DataFrame:
+    """The scenario of the grid with the least mean prediction, and for each of its columns whether it lies on the edge."""
+    spark = df.sparkSession
+    rows = list(product(*grid.values()))
+    scenarios = spark.createDataFrame([tuple(map(float, x)) for x in rows], ", ".join(f"`{c}` double" for c in grid))
+    scored = model.transform(df.drop(*grid).crossJoin(F.broadcast(scenarios)))
+    mean = scored.groupBy(*grid).agg(F.count("*").alias("n"), r(dmean("prediction")).alias("mean_prediction"))
+    best = mean.orderBy("mean_prediction", *grid).limit(1)
+    return best.withColumns({f"{c}_on_edge": F.col(c).isin(float(min(v)), float(max(v))) for c, v in grid.items()})
+
+
+def compare_models(metrics: dict[str, DataFrame]) -> DataFrame:
+    """A row for each model: rmse and r2 by split, the best test rmse first."""
+    long = reduce(DataFrame.unionByName, [m.withColumn("model", F.lit(name)) for name, m in metrics.items()])
+    wide = long.groupBy("model").pivot("split", ["train", "valid", "test"]).agg(F.first("rmse").alias("rmse"), F.first("r2").alias("r2"))
+    return wide.orderBy(F.col("test_rmse").asc_nulls_last(), "model")
+
+
 def linear_benchmark(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL, target: str = TARGET, key: str = "tourn_id") -> DataFrame:
     """Metrics by split of ridge regression on imputed, scaled and one-hot inputs."""
     d = hash_split(df.where(F.col(target).isNotNull()), key, {"train": 80, "test": 20}).withColumn("label", F.col(target).cast("double")).withColumns({c: F.col(c).cast("double") for c in numeric})

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import analysis as A
 from ..operators import core as C
+from ..operators import ingest as I
+from ..operators import model as M
+from ..operators import normalize as N
 from ..operators import quality as Q
 from ..operators import reports as R
 from .adapter import CTE, HOLE_KEYS, Tables
@@ -659,7 +662,10 @@ def f36_run_summary(t):
     return _state(t).agg(F.count("*").alias("events"), F.count_if(F.col("status") == "success").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"), S.rounded(rate, 6).alias("failure_rate"), (rate >= 0.25).alias("exceeds"))
 
 
-@query("SELECT tourn_id, sha256(concat('v1', array_to_string(list_sort(list(sha256(concat_ws('|', cast(round_number AS varchar), cast(hole_number AS varchar), player_key, cast(hole_score AS varchar))))), ','))) AS fingerprint FROM holes GROUP BY tourn_id")
+@query(
+    """, h AS (SELECT tourn_id, sha256(concat_ws('|', cast(round_number AS varchar), cast(hole_number AS varchar), player_key, cast(hole_score AS varchar))) AS h FROM holes)
+SELECT tourn_id, sha256(concat('v1|', cast(count(*) AS varchar), '|', cast(sum(cast(cast(concat('0x', substr(h, 1, 15)) AS bigint) AS hugeint)) AS varchar), '|', cast(sum(cast(cast(concat('0x', substr(h, 16, 15)) AS bigint) AS hugeint)) AS varchar), '|', cast(sum(cast(cast(concat('0x', substr(h, 31, 15)) AS bigint) AS hugeint)) AS varchar), '|', cast(sum(cast(cast(concat('0x', substr(h, 46, 15)) AS bigint) AS hugeint)) AS varchar))) AS fingerprint FROM h GROUP BY tourn_id"""
+)
 def f37_event_fingerprint(t):
     return C.event_fingerprint(t.holes, "tourn_id", ["round_number", "hole_number", "player_key", "hole_score"], "v1")
 
@@ -863,3 +869,218 @@ def j07_counterfactual(t):
 def s04_hourly(t):
     hour = F.window(F.col("ts").cast("timestamp"), "1 hour")
     return t.table("events").groupBy(hour.alias("w")).agg(F.count("*").alias("n"), R.mean4("value").alias("mean_value")).select(F.col("w.start").cast("string").alias("hour"), "n", "mean_value")
+
+
+# --- places, responses, repairs
+
+
+_PLACES_SQL = "(SELECT c_custkey AS event_id, CASE WHEN c_custkey % 3 = 0 THEN cast(c_acctbal / 100 AS varchar) END AS latitude, CASE WHEN c_custkey % 3 = 0 THEN cast(c_acctbal / 50 AS varchar) END AS longitude, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment ELSE '' END AS city, CASE WHEN c_custkey % 2 = 0 THEN 'ST' ELSE '' END AS state, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE n_name END AS country, CASE WHEN c_custkey % 7 = 0 THEN ' raw   text ' ELSE '' END AS location_raw FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+
+
+def _places(t):
+    d = t.table("customer").join(t.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    k, number = F.col("c_custkey"), lambda n: (F.col("c_acctbal") / n).cast("double").cast("string")
+    return d.select(
+        k.alias("event_id"), F.when(k % 3 == 0, number(100)).alias("latitude"), F.when(k % 3 == 0, number(50)).alias("longitude"), F.when(k % 4 == 0, F.col("c_mktsegment")).otherwise("").alias("city"),
+        F.when(k % 2 == 0, "ST").otherwise("").alias("state"), F.when(k % 5 == 0, "").otherwise(F.col("n_name")).alias("country"), F.when(k % 7 == 0, " raw   text ").otherwise("").alias("location_raw"),
+    )
+
+
+@query(f"SELECT event_id, CASE WHEN ok THEN round(la, 6) END AS latitude, CASE WHEN ok THEN round(lo, 6) END AS longitude FROM (SELECT event_id, cast(latitude AS double) AS la, cast(longitude AS double) AS lo, coalesce(abs(cast(latitude AS double)) <= 90 AND abs(cast(longitude AS double)) <= 180, false) AS ok FROM {_PLACES_SQL})", cte=False)
+def b39_geopoint(t):
+    d = _places(t)
+    p = d.withColumn("p", I.geopoint(d.columns))
+    return p.select("event_id", S.rounded("p.latitude", 6).alias("latitude"), S.rounded("p.longitude", 6).alias("longitude"))
+
+
+_GEOCODE_SQL = f"""(SELECT *, nullif(CASE WHEN city = '' AND state = '' AND country = '' THEN raw ELSE array_to_string(list_filter([city, state, country], lambda x: x != ''), ', ') END, '') AS query_text,
+  CASE lower(country) WHEN 'united states' THEN 'US' WHEN 'canada' THEN 'CA' WHEN 'united kingdom' THEN 'GB' WHEN 'germany' THEN 'DE' END AS query_code, sha256(lower(concat_ws('|', city, state, country, raw))) AS fingerprint
+  FROM (SELECT *, trim(regexp_replace(location_raw, ' +', ' ', 'g')) AS raw FROM {_PLACES_SQL}))"""
+
+
+@query(
+    f"""SELECT event_id, query_text, query_code, fingerprint, CASE WHEN query_text IS NULL THEN 0 ELSE len(list_distinct(list_filter([CASE WHEN city != '' AND state != '' THEN concat(city, ', ', state) END, nullif(city, ''), query_text], lambda x: x IS NOT NULL))) * CASE WHEN query_code IS NULL THEN 1 ELSE 2 END END AS n_candidates FROM {_GEOCODE_SQL}""",
+    cte=False,
+)
+def b40_geocode_query(t):
+    return I.geocode_query(_places(t)).select("event_id", "query_text", "query_code", "fingerprint", F.size("candidates").cast("bigint").alias("n_candidates"))
+
+
+@query(
+    f"""WITH g AS {_GEOCODE_SQL}, cache AS (SELECT DISTINCT fingerprint FROM g WHERE state = 'ST' AND query_text IS NOT NULL)
+SELECT event_id, CASE WHEN coalesce(abs(cast(latitude AS double)) <= 90 AND abs(cast(longitude AS double)) <= 180, false) THEN 'metadata' WHEN c.fingerprint IS NOT NULL THEN 'cache' ELSE 'missing' END AS point_source FROM g LEFT JOIN cache c USING (fingerprint)""",
+    cte=False,
+)
+def e14_resolve_points(t):
+    g = I.geocode_query(_places(t))
+    cache = g.where("state = 'ST' and query_text is not null").select("fingerprint", F.lit(1.5).alias("latitude"), F.lit(2.5).alias("longitude"))
+    return I.resolve_points(g, cache).select("event_id", "point_source")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'failed' WHEN o_orderkey % 5 = 1 THEN 'not_found' WHEN o_orderkey % 5 = 2 THEN 'failed' WHEN o_orderkey % 3 != 2 THEN 'empty' ELSE 'success' END AS outcome FROM orders""",
+    cte=False,
+)
+def b48_classify_response(t):
+    k = F.col("o_orderkey")
+    d = t.table("orders").select(
+        k, F.when(k % 11 == 0, F.col("o_orderpriority")).alias("error"), F.when(k % 5 == 1, 404).when(k % 5 == 2, 500).otherwise(200).alias("status"),
+        F.when(k % 3 == 0, ' { } ').when(k % 3 == 1, '{"players": [], "n": 1}').otherwise(F.to_json(F.struct(F.array("o_custkey").alias("players")))).alias("payload"),
+    )
+    return d.select("o_orderkey", I.classify_response("error", "status", "payload").alias("outcome"))
+
+
+@query(
+    """SELECT tourn_id AS event_id, round_number, cast(d AS date) AS round_date, CASE WHEN played IS NULL THEN 'inferred' ELSE 'played' END AS date_source, cast(d - INTERVAL 1 DAY AS date) AS from_date, cast(d + INTERVAL 1 DAY AS date) AS to_date
+FROM (SELECT e.tourn_id, e.round_number, played, coalesce(played, date '2024-05-03' + cast(floor((e.round_number - 1) * 2 / 4) AS integer)) AS d
+  FROM (SELECT DISTINCT tourn_id, unnest(range(1, 6)) AS round_number FROM holes) e
+  LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY tourn_id, round_number ORDER BY n DESC, played) AS rn FROM (SELECT tourn_id, round_number, cast(fetched_at AS date) AS played, count(*) AS n FROM holes WHERE round_number != 3 GROUP BY ALL)) p
+    ON e.tourn_id = p.tourn_id AND e.round_number = p.round_number AND rn = 1)"""
+)
+def f20_fetch_tasks(t):
+    rounds = t.holes.where("round_number != 3").select(F.col("tourn_id").alias("event_id"), "round_number", F.col("fetched_at").cast("date").alias("play_date"))
+    day = lambda x: F.lit(x).cast("date")
+    events = t.holes.select(F.col("tourn_id").alias("event_id")).distinct().select("event_id", day("2024-05-03").alias("start_date"), day("2024-05-05").alias("end_date"), F.lit(5).alias("max_round"))
+    return I.fetch_tasks(events, rounds).select("event_id", F.col("round_number").cast("bigint").alias("round_number"), "round_date", "date_source", "from_date", "to_date")
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN strftime(d, '%Y-%m-%d') ELSE strftime(d + CASE WHEN o_orderkey % 2 = 0 THEN 5 ELSE 0 END, '%Y-%m-%d') END AS start_date,
+  CASE WHEN o_orderkey % 4 = 0 THEN strftime(d + 2, '%Y-%m-%d') ELSE strftime(d + 2, '%Y-%m-%d') END AS end_date, o_orderkey % 4 = 0 AS date_repaired FROM (SELECT o_orderkey, cast(o_orderdate AS date) AS d FROM orders)""",
+    cte=False,
+)
+def k10_repair_dates(t):
+    d, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    text = lambda x: F.date_format(x, "d-MMM-yyyy")
+    raw = F.when(k % 4 == 0, F.concat(text(d), F.lit(" to "), text(F.date_add(d, 2)))).otherwise("to be announced")
+    start = F.when(k % 2 == 0, F.date_add(d, 5)).otherwise(d)
+    events = t.table("orders").select(k, start.cast("string").alias("start_date"), F.date_add(d, 2).cast("string").alias("end_date"), raw.alias("raw_date_str"))
+    return I.repair_dates(events).select("o_orderkey", "start_date", "end_date", "date_repaired")
+
+
+@query(
+    """SELECT event_id, CASE WHEN outcome = 'updated' THEN new_city ELSE city END AS city, CASE WHEN outcome = 'updated' THEN new_state ELSE state END AS state, outcome FROM (
+  SELECT c_custkey AS event_id, c_mktsegment AS city, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE 'A' END AS state, CASE WHEN c_custkey % 5 = 1 THEN '' WHEN c_custkey % 2 = 0 THEN 'X' ELSE c_mktsegment END AS new_city, CASE WHEN c_custkey % 5 = 1 THEN '' ELSE 'A' END AS new_state,
+    CASE WHEN c_custkey % 5 = 0 THEN 'missing_page' WHEN c_custkey % 5 = 1 THEN 'missing_location' WHEN c_custkey % 2 = 0 THEN 'updated' ELSE 'unchanged' END AS outcome FROM customer)""",
+    cte=False,
+)
+def k11_backfill_locations(t):
+    k, c = F.col("c_custkey"), t.table("customer")
+    events = c.select(k.alias("event_id"), F.col("c_mktsegment").alias("city"), F.when(k % 6 != 0, "A").alias("state"))
+    parsed = c.where("c_custkey % 5 != 0").select(k.alias("event_id"), F.when(k % 5 == 1, "").when(k % 2 == 0, "X").otherwise(F.col("c_mktsegment")).alias("city"), F.when(k % 5 == 1, "").otherwise("A").alias("state"))
+    return I.backfill_locations(events, parsed, fields=("city", "state"))
+
+
+@query("SELECT tourn_id, count(*) AS rounds, round(avg(cast(actual_round_strokes AS decimal(18,6))), 2) AS mean_strokes, CASE WHEN max(CASE WHEN precip_sum > 0 THEN 1 ELSE 0 END) = 1 THEN 'Yes' ELSE 'No' END AS wet, cast(cast(min(round_number) AS bigint) AS varchar) AS start_date, cast(cast(max(round_number) AS bigint) AS varchar) AS end_date FROM rounds GROUP BY tourn_id")
+def b55_event_detail_view(t):
+    d = t.rounds.withColumn("wet", F.coalesce(F.col("precip_sum") > 0, F.lit(False)))
+    return I.event_detail_view(d, ["tourn_id"], {"actual_round_strokes": "mean_strokes"}, "wet", "round_number")
+
+
+@query("SELECT tourn_id, round_number, hole_number, player_key FROM holes")
+def g03_sorted_outputs(t):
+    return I.sort_keys(t.holes.select(*HOLE_KEYS), HOLE_KEYS)
+
+
+# --- snapshots, scans and the layer run
+
+
+@query("SELECT c_custkey AS event_id, max(o_orderkey) AS key FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey", cte=False)
+def a02_latest_snapshots(t):
+    from ..sources.files import latest_snapshots
+
+    d = t.table("orders").select(F.col("o_custkey").alias("event_id"), F.col("o_orderkey").alias("key"))
+    return latest_snapshots(d.join(t.table("customer").select(F.col("c_custkey").alias("event_id")), "event_id"), ["event_id"]).select("event_id", "key")
+
+
+@query("SELECT o_orderkey, make_timestamp(CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE cast(epoch_us(cast(o_orderdate AS timestamp)) + 3661000000 AS bigint) END) AS ts, CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey % 12) * 3600 + 43200 + 300 ELSE (o_orderkey % 24) * 3600 + 300 END AS seconds FROM orders", cte=False)
+def b05_b06_times(t):
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    text = F.when(k % 3 == 0, F.concat(day, F.lit(" soon"))).when(k % 3 == 1, F.concat(day, F.lit("T01:01:01Z"))).otherwise(F.concat(day, F.lit(" 01:01:01")))
+    hour = F.when(k % 12 == 0, 12).otherwise(k % 12)
+    clock = F.when(k % 2 == 0, F.concat(hour.cast("string"), F.lit(":05 pm"))).otherwise(F.concat((k % 24).cast("string"), F.lit(":05")))
+    d = t.table("orders").select(k, text.alias("text"), clock.alias("clock"))
+    return d.select("o_orderkey", S.parse_ts("text").alias("ts"), S.clock_seconds("clock").cast("bigint").alias("seconds"))
+
+
+@query("SELECT c_custkey, coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment END, CASE WHEN c_custkey % 2 = 0 THEN c_name END) AS picked FROM customer", cte=False)
+def b50_alias_coalesce(t):
+    k = F.col("c_custkey")
+    d = t.table("customer").select(k, F.when(k % 3 == 0, F.col("c_mktsegment")).alias("segment"), F.when(k % 2 == 0, F.col("c_name")).alias("name"))
+    return d.select("c_custkey", S.first_present(d.columns, ["absent", "segment", "name"]).alias("picked"))
+
+
+@query("SELECT s_suppkey, city, CASE WHEN s_suppkey % 3 = 0 THEN 'ST' WHEN s_suppkey % 3 = 1 THEN 'CA' ELSE '' END AS state, CASE WHEN s_suppkey % 3 = 0 THEN n_name WHEN s_suppkey % 3 = 1 THEN '' ELSE n_name END AS country FROM (SELECT s_suppkey, replace(s_name, '#', ' ') AS city, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)", cte=False)
+def b45_split_location(t):
+    k, city = F.col("s_suppkey"), F.regexp_replace("s_name", "#", "  ")
+    text = F.when(k % 3 == 0, F.concat_ws(" , ", city, F.lit("ST"), "n_name")).when(k % 3 == 1, F.concat(city, F.lit(",CA"))).otherwise(F.concat_ws(", ", city, "n_name"))
+    d = t.table("supplier").join(t.table("nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(k, N.split_location(text).alias("l"))
+    return d.select("s_suppkey", "l.city", "l.state", "l.country")
+
+
+@query("SELECT o_orderkey, cast(d AS date) AS start_date, cast(d + 2 AS date) AS end_date FROM (SELECT o_orderkey, cast(o_orderdate AS date) AS d FROM orders)", cte=False)
+def b42_date_range(t):
+    d, k = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    end = F.date_add(d, 2)
+    first = F.when(k % 2 == 0, F.date_format(d, "dd-MMM")).otherwise(F.date_format(d, "d-MMM-yyyy"))
+    x = t.table("orders").select(k, N.parse_date_range(F.concat(first, F.lit("  to "), F.date_format(end, "dd-MMM-yyyy"))).alias("r"))
+    return x.select("o_orderkey", "r.start_date", "r.end_date")
+
+
+@query("SELECT o_orderkey, l_linenumber AS hole_number, cast(l_quantity AS integer) AS hole_score FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey % 5 != 0", cte=False)
+def c01_c04_explode_scores(t):
+    line = F.struct(F.col("l_linenumber").alias("n"), F.col("l_quantity").cast("int").alias("q"))
+    per = t.table("lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["q"].cast("string")).alias("q"), F.array_sort(F.collect_list("l_linenumber")).alias("lines"))
+    payload = F.when(F.col("l_orderkey") % 5 == 0, "no json").otherwise(F.to_json(F.struct(F.struct(F.array(F.struct(F.lit("A").alias("Name"), F.array_join("q", ",").alias("Scores"))).alias("scores")).alias("data"))))
+    snaps = per.select(F.col("l_orderkey").alias("event_id"), "lines", payload.alias("payload"))
+    d = N.explode_scores(snaps).select(F.col("event_id").alias("o_orderkey"), "lines", F.posexplode(N.hole_scores(F.col("s"), F.lit(None).cast("int"))).alias("i", "hole_score"))
+    return d.select("o_orderkey", F.element_at("lines", F.col("i") + 1).alias("hole_number"), "hole_score")
+
+
+@query("SELECT tourn_id, hour, count(*) AS n, round(avg(cast(v AS decimal(18,6))), 4) AS mean_wind FROM (SELECT user_id % 37 AS tourn_id, cast(date_trunc('hour', ts) AS varchar) AS hour, round(value, 3) AS v FROM events) GROUP BY ALL", cte=False)
+def c06_l03_hourly_arrays(t):
+    e = t.table("events").select((F.col("user_id") % 37).alias("event_id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"), F.round("value", 3).cast("string").alias("v"), F.col("event_id").alias("k"))
+    hours = e.groupBy("event_id", F.pmod("k", F.lit(50)).alias("part")).agg(F.sort_array(F.collect_list(F.struct("k", "time", "v"))).alias("x"))
+    hourly = F.struct(F.col("x.time").alias("time"), F.col("x.v").alias("wind_speed_10m"))
+    snaps = hours.select("event_id", F.lit(1).alias("round_number"), F.lit("p").alias("provider"), F.lit("s").alias("source_id"), F.to_json(F.struct(F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"), hourly.alias("hourly"))).alias("payload"))
+    w = N.normalize_weather(snaps).withColumn("hour", F.date_trunc("hour", "observation_hour").cast("string"))
+    return w.groupBy(F.col("event_id").alias("tourn_id"), "hour").agg(F.count("*").alias("n"), R.mean4("wind_speed_mps").alias("mean_wind"))
+
+
+@query("SELECT o_custkey AS event_id, CASE WHEN o_orderstatus = 'F' THEN 'FINAL' ELSE 'OPEN' END AS division, unnest(range(1, 1 + greatest(1, max(o_orderkey % 4)))) AS round_number FROM orders GROUP BY 1, 2", cte=False)
+def c07_expand_tasks(t):
+    d = t.table("orders").select(F.col("o_custkey").alias("event_id"), F.when(F.col("o_orderstatus") == "F", "FINAL").otherwise("OPEN").alias("division"), (F.col("o_orderkey") % 4).cast("int").alias("n"))
+    per = d.groupBy("event_id", "division").agg(F.max("n").alias("n")).groupBy("event_id").agg(F.map_from_entries(F.collect_list(F.struct("division", "n"))).alias("division_rounds"))
+    return N.expand_tasks(per).select("event_id", "division", F.col("round_number").cast("bigint").alias("round_number"))
+
+
+# --- effects of a model
+
+
+@query(
+    """, w AS (SELECT unnest([0.0, 5.0, 10.0, 15.0])::double AS x), d AS (SELECT x, 0.15 * x + 0.002 * x * (player_rating - 900) - 0.0 AS e FROM rounds, w)
+SELECT x, count(*) AS n, round(avg(cast(e AS decimal(18,6))), 4) AS mean, round(quantile_cont(e, 0.5), 4) AS median, round(stddev_pop(e), 4) AS std, round(quantile_cont(e, 0.1), 4) AS p10, round(quantile_cont(e, 0.9), 4) AS p90 FROM d GROUP BY x"""
+)
+def f40_effect_curve(t):
+    y = lambda wind: 0.15 * wind + 0.002 * wind * (F.col("player_rating") - 900)
+    return M.effect_curve(t.rounds, {float(x): y(F.lit(float(x))) - y(F.lit(0.0)) for x in (0, 5, 10, 15)})
+
+
+@query(
+    """, p AS (SELECT course_id, 0.15 * 10.5 + 0.002 * 10.5 * (player_rating - 900) AS e FROM rounds), c AS (SELECT course_id, count(*) AS n, avg(cast(e AS decimal(18,6))) AS m, quantile_cont(e, 0.5) AS q FROM p GROUP BY course_id)
+SELECT course_id, n, round(m, 4) AS mean_effect, round(q, 4) AS median_effect FROM c QUALIFY row_number() OVER (ORDER BY round(m, 4) DESC, course_id) <= 5 OR row_number() OVER (ORDER BY round(m, 4), course_id) <= 5"""
+)
+def f44_course_response(t):
+    return M.course_response(t.rounds.withColumn("e", 0.15 * 10.5 + 0.002 * 10.5 * (F.col("player_rating") - 900)), "course_id", "e", 5).select("course_id", "n", "mean_effect", "median_effect")
+
+
+def j07_round_model(t):
+    """Counterfactual scores of trees that are fitted here, held monotone in wind; no SQL trains trees."""
+    rounds = t.rounds
+    model, _ = M.train_rounds(rounds, trees=10)
+    scored = M.score_rounds(rounds.dropna(subset=M.NUMERIC), model, {"wind": M.references()["wind"]})
+    scored = M.score_monotone(scored, model, "wind_mean", [0.0, 2.0, 4.0, 6.0, 8.0, 10.0], "monotone")
+    return scored.select(*ROUND_KEYS, *r4("predicted", "predicted_wind_reference", "wind_impact", "monotone"))
+
+
+query()(j07_round_model)

@@ -63,6 +63,83 @@ def append_ledger(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+LEDGER = "pipeline string, event_id bigint, status string, fingerprint string, updated_at timestamp"
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """A ledger's rows; none where nothing was written yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def read_weather_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Weather snapshots under path. Round, provider and source come from the state key of the file's name, if it has one
+    (WEATHER_OBS#ROUND#n#PROV#p#SRC#s, where s may contain #), else from the path's keys=values. A blank provider is the archive; snapshots
+    without a source are left out; a payload that is no JSON object is wrapped as raw_payload."""
+    d = read_snapshots(spark, path)
+    # the path is encoded as a URI, and # stands encoded in file names
+    name = F.url_decode(F.url_decode(F.regexp_replace(F.element_at(F.split("key", "/"), -1), r"\.json$", "")))
+    part = lambda i: F.nullif(F.regexp_extract(name, r"^WEATHER_OBS#ROUND#(\d+)#PROV#([^#]*)#SRC#(.*)$", i), F.lit(""))
+    d = d.withColumns(
+        {
+            "round_number": F.coalesce(part(1).try_cast("int"), "round_number"),
+            "provider": F.coalesce(F.nullif(F.trim(F.coalesce(part(2), "provider")), F.lit("")), F.lit("open_meteo_archive")),
+            "source_id": F.nullif(F.trim(F.coalesce(part(3), "source_id")), F.lit("")),
+            "payload": F.when(F.ltrim("payload").startswith("{"), F.col("payload")).otherwise(F.concat(F.lit('{"raw_payload":'), "payload", F.lit("}"))),
+        }
+    )
+    return d.where("source_id is not null and round_number is not null")
+
+
+def write_snapshots(df: DataFrame, path: str, kind: str = "json") -> None:
+    """Raw payloads (event_id, fetched_at, payload), a file for each fetch under event_id=/fetch_date=/fetch_ts=, appended only;
+    pages (kind html) are compressed. The folder meta has each payload's hash beside its event and time."""
+    d = df.withColumns({"fetch_date": F.date_format("fetched_at", "yyyy-MM-dd"), "fetch_ts": F.date_format("fetched_at", "yyyyMMdd'T'HHmmss'Z'")})
+    keys = ["event_id", "fetch_date", "fetch_ts"]
+    writer = d.select(*keys, F.col("payload").alias("value")).repartition(*keys).write.mode("append").partitionBy(*keys)
+    writer.option("compression", "gzip" if kind == "html" else "none").text(f"{path}/{kind}")
+    meta = d.select(*keys, F.sha2("payload", 256).alias("content_sha256"), F.octet_length("payload").alias("bytes"), F.col("fetched_at").cast("string").alias("fetched_at_utc"))
+    meta.write.mode("append").partitionBy("event_id").json(f"{path}/meta")
+
+
+def drop_stale_partitions(spark: SparkSession, path: str, parents: DataFrame, keys: Sequence[str] = ("event_year", "tourn_id"), children: DataFrame | None = None) -> int:
+    """Removes folders under path of keys that parents has and children has not: an event that lost its holes loses the
+    old file. Returns how many. Only keys of folders that are to go reach the driver."""
+    stale = parents.select(*keys).distinct()
+    if children is not None:
+        stale = stale.join(children.select(*keys).distinct(), list(keys), "left_anti")
+    n = 0
+    for row in stale.toLocalIterator():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path + "".join(f"/{k}={row[k]}" for k in keys))
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(folder):
+            fs.delete(folder, True)
+            n += 1
+    return n
+
+
+def register_partition(spark: SparkSession, table: str, spec: dict[str, object], location: str) -> None:
+    """Adds a partition of a partitioned table at a location, if it is not there yet."""
+    values = ", ".join(f"{k}={v}" if isinstance(v, int) else f"{k}='{v}'" for k, v in spec.items())
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}) LOCATION '{location}'")
+
+
+def dataset_fingerprint(files: DataFrame) -> DataFrame:
+    """One row: sha256 over (key, size, modified) of files, whatever their order; a file in several rows counts once."""
+    row = F.sha2(F.concat_ws("|", "key", F.col("size").cast("string"), F.col("modified").cast("string")), 256)
+    words = [F.conv(F.substring("__h", 1 + 15 * i, 15), 16, 10).cast("decimal(38,0)") for i in range(4)]
+    sums = [F.coalesce(F.sum(w), F.lit(0)).cast("string") for w in words]
+    return files.distinct().withColumn("__h", row).agg(F.sha2(F.concat_ws("|", F.count("*").cast("string"), *sums), 256).alias("fingerprint"))
+
+
+def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(key, size, modified) of files under path; their content is not read."""
+    d = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    return d.select(F.col("path").alias("key"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
 def publish(df: DataFrame, name: str, path: str) -> None:
     """A table at a folder of its own, in place of what was there."""
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
