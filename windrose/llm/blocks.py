@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, shuffle_partitions, text_bytes
+from .common import arrow_schema, give_back, shuffle_partitions, text_bytes
 
 #: bytes of text in a bucket, on average
 BUCKET_BYTES = 8 << 20
@@ -113,7 +113,7 @@ class Buckets:
     def each(self, f, schema) -> DataFrame:
         """f(bucket number, table of its documents) -> table."""
         read = reader(self.schema)
-        return self.blocks.groupBy("bucket").applyInArrow(lambda key, t: f(key[0].as_py(), read(t)), schema)
+        return self.blocks.groupBy("bucket").applyInArrow(_trimmed(lambda key, t: f(key[0].as_py(), read(t))), schema)
 
     def each_with(self, messages: DataFrame, f, schema) -> DataFrame:
         """f(bucket number, table of its documents, messages to it as (kind, shard, data)) -> table."""
@@ -123,7 +123,23 @@ class Buckets:
             got = sorted(zip(*(answers.column(c).to_pylist() for c in ("kind", "shard", "data")), strict=True)) if answers.num_rows else []
             return f(key[0].as_py(), read(blocks), got)
 
-        return self.blocks.groupBy("bucket").cogroup(messages.groupBy("bucket")).applyInArrow(run, schema)
+        return self.blocks.groupBy("bucket").cogroup(messages.groupBy("bucket")).applyInArrow(_trimmed(run), schema)
+
+
+def _trimmed(f):
+    """f, and then what it freed goes back to the system. applyInArrow looks at the number of parameters."""
+
+    def one(key, table):
+        out = f(key, table)
+        give_back()
+        return out
+
+    def two(key, left, right):
+        out = f(key, left, right)
+        give_back()
+        return out
+
+    return two if f.__code__.co_argcount == 3 else one
 
 
 def reader(schema: pa.Schema):
@@ -147,4 +163,4 @@ def each_shard(sent: DataFrame, f) -> DataFrame:
     def run(key, table):
         return f(key[0].as_py(), sorted(zip(*(table.column(c).to_pylist() for c in ("kind", "bucket", "data")), strict=True)))
 
-    return sent.groupBy("shard").applyInArrow(run, MESSAGE)
+    return sent.groupBy("shard").applyInArrow(_trimmed(run), MESSAGE)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import io
 import shutil
 import tempfile
@@ -51,6 +52,16 @@ def _ship(sc) -> None:
     atexit.register(shutil.rmtree, path.parent, ignore_errors=True)
 
 
+def give_back() -> None:
+    """Returns what a worker has freed to the system. Workers live through many stages; without this each keeps what the
+    largest of them took."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import give_back, prepare
 from .components import components
 from .textnum import SALT, U, chunks, encode, mix, multipliers, space_words, window_hashes
 from .url_filter import bloom_blocks, probe
@@ -115,6 +115,7 @@ def _classes(text: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndar
 
 def _signer(text_col: str, size: int):
     def sign(batches):
+        give_back()
         for batch in batches:
             texts = encode(batch.column(text_col).to_pylist())
             for a, b in chunks([len(t) for t in texts]):
@@ -140,6 +141,7 @@ def _set_reader(text_col: str, size: int, blocks):
     """Sets of the documents whose class and id may be wanted."""
 
     def read(batches):
+        give_back()
         for batch in batches:
             texts = encode(batch.column(text_col).to_pylist())
             wanted = probe(blocks.value, batch.column("h").to_numpy(zero_copy_only=False))

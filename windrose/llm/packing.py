@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
-from .textnum import SHORT, FIRST, chunks, encode, loads, ragged, span_hashes
+from .common import give_back, prepare
+from .textnum import FIRST, chunks, encode, loads, ragged, span_hashes
 
-#: distinct strings whose ids a worker remembers, about 80 bytes each
+#: distinct strings whose ids a worker remembers, about 45 bytes each
 MEMORY = 1_000_000
+#: longer strings are not remembered; a remembered one keeps its first KEPT eights of bytes
+SHORT, KEPT = 24, 2
 #: bytes of text that are encoded together
 TOGETHER = 1 << 20
 #: slots of a plan that are sent to all executors, at most
@@ -62,8 +64,8 @@ class Encoder:
 
     def forget(self) -> None:
         self.hash = np.empty(0, np.uint64)
-        self.key, self.length = np.empty((0, SHORT // 8), np.uint64), np.empty(0, np.uint8)
-        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int32)
+        self.key, self.length = np.empty((0, KEPT), np.uint64), np.empty(0, np.uint8)
+        self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int32)
         self.ids = np.empty(0, np.uint32)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -103,13 +105,13 @@ class Encoder:
         distinct, first, where = np.unique(h, return_index=True, return_inverse=True)
         self._learn(distinct, raw, start[first], end[first], block, first)
         at = np.searchsorted(self.hash, distinct)[where]
-        # of strings of one length up to 8, equal hashes mean equal bytes
+        # each eight bytes are mixed in by a bijection: strings of one length and hash whose other eights are equal agree in the last one
         odd = self.length[at] != size
         some = np.flatnonzero(size > 8)
-        for k in range(SHORT // 8):
-            some = some[size[some] > 8 * k]
+        for k in range(KEPT):
+            some = some[size[some] > 8 * (k + 1)]
             odd[some] |= self.key[at[some], k] != block(some, k)
-        begin, count = self.start[at], self.size[at].astype(np.int64)
+        begin, count = self.start[at].astype(np.int64), self.size[at].astype(np.int64)
         if odd.any():  # another string has that hash
             begin[odd], count[odd] = self._add([raw[a:b] for a, b in zip(start[odd].tolist(), end[odd].tolist(), strict=True)])
         return begin, count
@@ -135,14 +137,14 @@ class Encoder:
             known[:] = False
         new = np.flatnonzero(~known)
         length = (end - start)[new]
-        key = np.zeros((len(new), SHORT // 8), np.uint64)
-        for k in range(SHORT // 8):
+        key = np.zeros((len(new), KEPT), np.uint64)
+        for k in range(KEPT):
             some = np.flatnonzero(length > 8 * k)
             key[some, k] = block(first[new[some]], k)
         begin, size = self._add([raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
         order = np.argsort(h := np.concatenate([self.hash, distinct[new]]), kind="stable")
         self.hash = h[order]
-        for name, more in (("key", key), ("length", length.astype(np.uint8)), ("start", begin), ("size", size.astype(np.int32))):
+        for name, more in (("key", key), ("length", length.astype(np.uint8)), ("start", begin.astype(np.int32)), ("size", size.astype(np.int32))):
             setattr(self, name, np.concatenate([getattr(self, name), more])[order])
 
 
@@ -159,6 +161,7 @@ def _cutter(path: str, limit: int):
     def cut(batches):
         from pyspark import TaskContext
 
+        give_back()
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         e = encoder(path)
