@@ -48,7 +48,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: A trained classifier and a tokenizer have no SQL; tests/llm holds each stage against a plain version.
+#: A trained classifier and a tokenizer have no SQL; tests/llm checks each stage's columns, counts and odd tables, and its operator against a plain version.
 ORACLE_SQL = None
 
 
