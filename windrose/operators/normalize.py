@@ -198,7 +198,8 @@ def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
     out = pages.withColumns(
         {"title": first(r"(?is)<title[^>]*>(.*?)</title>"), "heading": first(r"(?is)<h1[^>]*>(.*?)</h1>"), "date_text": labelled("Date"), "status_text": labelled("Status"), "location_text": labelled("Location"), "division_rounds": rounds}
     )
-    empty = (F.col("date_text") == "") & (F.size("division_rounds") == 0) & (F.col("status_text") == "")
+    # no date that can be read, no divisions, no status
+    empty = parse_date_range("date_text")["start_date"].isNull() & (F.size("division_rounds") == 0) & (F.col("status_text") == "")
     said = plain.rlike("(?i)" + "|".join(PLACEHOLDERS))
     out = out.withColumn("is_placeholder", F.coalesce(said | (empty & plain.rlike("(?i)scheduled") & plain.rlike("(?i)yet")), F.lit(False)))
     return out.withColumn("content_sha256", S.canonical_sha256(["date_text", "division_rounds", "heading", "is_placeholder", "location_text", "status_text", "title"]))

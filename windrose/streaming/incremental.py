@@ -16,7 +16,9 @@ def new_files(spark: SparkSession, path: str, schema, file_format: str = "parque
 
 
 def newest_wins(stream: DataFrame, out: str, keys: Sequence[str], order: Sequence[str], partition: str, checkpoint: str):
-    """Keeps one row for each key at out. A batch is merged with the partitions that it touches, which are overwritten."""
+    """Keeps one row for each key at out. A batch is merged with the partitions that it touches, which are overwritten.
+
+    The context needs a checkpoint folder (spark.checkpoint.dir, or SparkContext.setCheckpointDir)."""
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
@@ -24,7 +26,7 @@ def newest_wins(stream: DataFrame, out: str, keys: Sequence[str], order: Sequenc
         try:
             touched = batch.select(partition).distinct()
             try:
-                old = spark.read.schema(batch.schema).parquet(out).join(F.broadcast(touched), partition, "left_semi").select(*batch.columns)
+                old = spark.read.schema(batch.schema).parquet(out).join(touched, partition, "left_semi").select(*batch.columns)
                 both = batch.unionByName(old)
             except Exception as e:  # the first batch: there is nothing at out yet
                 if "PATH_NOT_FOUND" not in str(e):
