@@ -20,7 +20,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import lower_ascii, prepare
@@ -72,6 +72,11 @@ def probe(blocks: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (blocks[at].view(np.uint64) & mask) == mask
 
 
+def _key(host: Column, path: Column) -> Column:
+    """A canonical URL's key; what parts them stands in no host, so that 'co' and 'm/' are not 'com' and '/'."""
+    return F.concat(host, F.lit("\n"), path)
+
+
 def judge_urls(
     pages: DataFrame,
     rules: DataFrame,
@@ -90,11 +95,11 @@ def judge_urls(
     listed = (
         rules.where("host != '' and path is not null and verdict is not null")
         .select(lower_ascii(F.col("host")).alias("h"), F.col("path").alias("p"), "verdict")
-        .select(F.concat("h", "p").alias("rule"), "verdict", F.length("p").alias("n"))
-        .groupBy("rule")
-        .agg(F.max("verdict").alias("verdict"), F.max("n").alias("n"))
+        .select(_key(F.col("h"), F.col("p")).alias("key"), F.concat("h", "p").alias("rule"), "verdict", F.length("p").alias("n"))
+        .groupBy("key", "rule", "n")
+        .agg(F.max("verdict").alias("verdict"))
     )
-    blocks = spark.sparkContext.broadcast(bloom_blocks(listed, "rule", max_filter_bytes))
+    blocks = spark.sparkContext.broadcast(bloom_blocks(listed, "key", max_filter_bytes))
     lengths = sorted(r["n"] for r in listed.select("n").distinct().collect())  # one row for each path length in use
 
     @F.pandas_udf("array<boolean>")
@@ -109,7 +114,7 @@ def judge_urls(
         F.filter(F.array(*(F.lit(n) for n in lengths)).cast("array<int>"), lambda n: n <= F.length("path")),
         lambda n: F.substr(F.col("path"), F.lit(1), n),
     )
-    keys = F.array_distinct(F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: F.concat(s, p)))))
+    keys = F.array_distinct(F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda p: _key(s, p)))))
     # a verdict depends on host and path alone, so each of their values is judged once
     urls = pages.where("host != ''").select("host", "path").distinct().withColumn("keys", keys)
     hit = may_be_listed(F.transform("keys", lambda k: F.xxhash64(k)))
@@ -117,10 +122,10 @@ def judge_urls(
         urls.withColumn("hit", hit)
         .select("host", "path", F.explode(F.arrays_zip("keys", "hit")).alias("k"))
         .where("k.hit")
-        .select("host", "path", F.col("k.keys").alias("rule"))
+        .select("host", "path", F.col("k.keys").alias("key"))
     )
     judged = (
-        passed.join(listed.select("rule", "verdict"), "rule")
+        passed.join(listed.select("key", "rule", "verdict"), "key")
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
         .select("host", "path", "best.rule", "best.verdict")
