@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, give_back, shuffle_partitions, text_bytes
+from .common import arrow_schema, give_back, giving_back, shuffle_partitions, text_bytes
 
 #: bytes of text in a bucket, on average
 BUCKET_BYTES = 8 << 20
@@ -100,7 +100,7 @@ class Buckets:
         self.n = 1 + self.bytes // bucket_bytes
         self.partitions = max(shuffle_partitions(docs.sparkSession), -(-self.n // 2))
         bucket = F.pmod(F.xxhash64(*spread), F.lit(self.n)).cast("int")
-        packed = docs.withColumn("__bucket", bucket).mapInArrow(_packer(self.schema), "bucket int, block binary")
+        packed = docs.withColumn("__bucket", bucket).mapInArrow(giving_back(_packer(self.schema)), "bucket int, block binary")
         # without adaptive planning the checkpoint keeps its partitioning, and later passes need no exchange of blocks
         conf = docs.sparkSession.conf
         adaptive = conf.get("spark.sql.adaptive.enabled")

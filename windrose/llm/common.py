@@ -62,6 +62,17 @@ def give_back() -> None:
         pass
 
 
+def giving_back(f):
+    """For mapInArrow: f, and when a task ends what it freed goes back to the system. Idle workers wait with little: an executor
+    may have more workers than cores, and takes them in turn."""
+
+    def run(batches):
+        yield from f(batches)
+        give_back()
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

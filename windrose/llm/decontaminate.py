@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import prepare, text_bytes
+from .common import giving_back, prepare, text_bytes
 from .textnum import alnum_words, chunks, encode, merge_spans, mix, ragged, window_hashes
 
 PART_BYTES, TOGETHER = 4 << 20, 4
@@ -213,7 +213,7 @@ def find_contamination(
             sent = []
         rows = items if n_parts == 1 else items.where(F.pmod(F.xxhash64("words"), F.lit(n_parts)) == part)
         sent.append(spark.sparkContext.broadcast(Patterns([(r["item"], r["words"]) for r in rows.collect()], window)))
-        out = out.mapInArrow(_searcher(sent[-1], text_col, schema.fieldNames(), arrow), schema)
+        out = out.mapInArrow(giving_back(_searcher(sent[-1], text_col, schema.fieldNames(), arrow)), schema)
     return out
 
 

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, prepare
+from .common import giving_back, prepare
 from .components import components
 from .textnum import SALT, U, chunks, encode, mix, multipliers, space_words, window_hashes
 from .url_filter import bloom_blocks, probe
@@ -115,7 +115,6 @@ def _classes(text: np.ndarray, value: np.ndarray, n_texts: int) -> tuple[np.ndar
 
 def _signer(text_col: str, size: int):
     def sign(batches):
-        give_back()
         for batch in batches:
             texts = encode(batch.column(text_col).to_pylist())
             for a, b in chunks([len(t) for t in texts]):
@@ -141,7 +140,6 @@ def _set_reader(text_col: str, size: int, blocks):
     """Sets of the documents whose class and id may be wanted."""
 
     def read(batches):
-        give_back()
         for batch in batches:
             texts = encode(batch.column(text_col).to_pylist())
             wanted = probe(blocks.value, batch.column("h").to_numpy(zero_copy_only=False))
@@ -239,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t"))
-    signed = texts.mapInArrow(_signer("t", size), "id long, n long, cls binary, bands array<long>, low binary").checkpoint()
+    signed = texts.mapInArrow(giving_back(_signer("t", size)), "id long, n long, cls binary, bands array<long>, low binary").checkpoint()
     classes = signed.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"), F.min("n").alias("n"), F.first("bands").alias("bands"), F.first("low").alias("low")).checkpoint()
     n_class = classes.select("cls", "id", "n")
 
@@ -260,7 +258,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """(cls, shingles) of wanted (cls, id). Documents are read again; a bounded filter of wanted ids lets few others
         through, and the join removes them."""
         blocks = spark.sparkContext.broadcast(bloom_blocks(wanted.select(F.coalesce("id", F.lit(-1)).alias("id")), "id"))
-        read = texts.select("t", F.xxhash64(F.coalesce("id", F.lit(-1))).alias("h")).mapInArrow(_set_reader("t", size, blocks), "cls binary, shingles binary")
+        read = texts.select("t", F.xxhash64(F.coalesce("id", F.lit(-1))).alias("h")).mapInArrow(giving_back(_set_reader("t", size, blocks)), "cls binary, shingles binary")
         return read.join(wanted.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
     def links(pairs: DataFrame) -> DataFrame:
@@ -269,7 +267,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return (
             pairs.join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y")), "b")
             .join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x")), "a")
-            .mapInArrow(_verifier(percent), "a binary, b binary")
+            .mapInArrow(giving_back(_verifier(percent)), "a binary, b binary")
             .checkpoint()
         )
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import give_back, prepare
+from .common import give_back, giving_back, prepare
 from .textnum import FIRST, chunks, encode, loads, ragged, span_hashes
 
 #: distinct strings whose ids a worker remembers, about 45 bytes each
@@ -36,6 +36,8 @@ MEMORY = 1_000_000
 SHORT, KEPT = 24, 2
 #: bytes of text that are encoded together
 TOGETHER = 1 << 20
+#: strings that the tokenizer takes at once: what it returns for each is large
+AT_ONCE = 2000
 #: slots of a plan that are sent to all executors, at most
 BROADCAST_SLOTS = 100_000
 END = 2
@@ -119,8 +121,8 @@ class Encoder:
     def _add(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Encodes strings and puts their ids at the end of all."""
         parts, size = [self.ids], []
-        for i in range(0, len(strings), 20_000):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in strings[i : i + 20_000]], add_special_tokens=False)]
+        for i in range(0, len(strings), AT_ONCE):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in strings[i : i + AT_ONCE]], add_special_tokens=False)]
             size += [len(x) for x in found]
             parts.append(np.fromiter((y for x in found for y in x), np.uint32, sum(size[i:])))
         size = np.array(size, np.int64)
@@ -161,7 +163,6 @@ def _cutter(path: str, limit: int):
     def cut(batches):
         from pyspark import TaskContext
 
-        give_back()
         task = TaskContext.get().partitionId()
         seen: dict[int, int] = defaultdict(int)
         e = encoder(path)
@@ -182,6 +183,7 @@ def _cutter(path: str, limit: int):
                         start, stop, piece = stop, stop + limit, piece + 1
             if rows:
                 doc, piece, start, size, crc, rank = zip(*rows, strict=True)
+                give_back()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(crc, pa.int64()), pa.array([task] * len(rows), pa.int32()), pa.array(rank, pa.int64())],
                     names=["id", "piece", "start", "length", "ids_crc32", "task", "nth"],
@@ -242,7 +244,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    pieces = texts.mapInArrow(_cutter(tokenizer, limit), "id long, piece int, start long, length long, ids_crc32 long, task int, nth long").checkpoint()
+    pieces = texts.mapInArrow(giving_back(_cutter(tokenizer, limit)), "id long, piece int, start long, length long, ids_crc32 long, task int, nth long").checkpoint()
     counts = pieces.groupBy("length", "task").agg(F.count("*").alias("n")).checkpoint()
     slots = plan({r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}, limit)
     # ranks of a length are cut at all ends of its slots: a slot's range is found by its number

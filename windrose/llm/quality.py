@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, prepare
+from .common import fold, giving_back, prepare
 from .textnum import chunks, encode, space_words, span_hashes
 
 #: labelled documents that trees are fitted to, at most
@@ -193,7 +193,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id
     """Trees fitted to labelled documents whose fold, crc32(id as text) mod folds, is not 0."""
     prepare(docs.sparkSession)
     sample = training_sample(docs, labels, label, id_col, text_col, fold(id_col, folds) != 0, max_rows)
-    rows = sample.mapInArrow(_measured, "id long, y int, x array<double>").toPandas().sort_values("id")
+    rows = sample.mapInArrow(giving_back(_measured), "id long, y int, x array<double>").toPandas().sort_values("id")
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     return fit(x, rows["y"].to_numpy(float), **options)
 
@@ -216,7 +216,7 @@ def score_quality(docs: DataFrame, trees: Trees, text_col: str = "text", score_c
             score = pa.array(np.concatenate([*parts, np.empty(0)]))
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=arrow.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(giving_back(run), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
