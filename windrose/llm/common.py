@@ -63,8 +63,7 @@ def give_back() -> None:
 
 
 def giving_back(f):
-    """For mapInArrow: f, and when a task ends what it freed goes back to the system. Idle workers wait with little: an executor
-    may have more workers than cores, and takes them in turn."""
+    """For mapInArrow: f, and when a task ends what it freed goes back to the system, so that idle workers wait with little."""
 
     def run(batches):
         yield from f(batches)
