@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chroma, decontaminate, gru_lm, minhash, packing, quality, substring_dedup, suffix_dedup, toxicity, url_filter
+from . import chat, chroma, decontaminate, gru_lm, minhash, packing, prefix_trie, quality, runs, substring_dedup, suffix_dedup, toxicity, url_filter
 from .common import fold
 from .oracles import ORACLE_SQL
 
@@ -20,6 +20,9 @@ URL_RULES = [
     ("net", "/fr/", "block"),
 ]
 
+#: The conversation that op13 formats besides those of the table.
+CONTROL_STRINGS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -92,6 +95,23 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations of which each first takes a few turns over from the one that leads its twenty."""
+    turns = prefix_trie.digested(_table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(turns))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = runs.with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return runs.with_digests(runs.collapse_runs(docs))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(CONTROL_STRINGS, "conv_id long, turn long, role string, text string")
+    return chat.digest_chats(chat.format_chats(turns.unionByName(more)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2:3].isdigit()}
 
