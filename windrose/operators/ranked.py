@@ -7,27 +7,19 @@ range. The dealt rows are written to the checkpoint folder first: ranges are sam
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .shared import cut
 
 #: how two partial results combine, and what an empty one is
 _JOINED = {"sum": (lambda a, b: a + b, 0), "xor": (lambda a, b: a.bitwiseXOR(b), 0)}
 _TOTAL = {"sum": F.sum, "xor": F.bit_xor}
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df by way of the cluster's checkpoint folder; in local mode without one, as in tests, a folder of our own is made."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc._jsc.sc().getCheckpointDir().isDefined() and sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="windrose-checkpoint-"))
-    return df.checkpoint()
-
-
 def _columns(by: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in by]
 
