@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranked import cut
+from ..operators.shared import cut
 from .common import give_back, giving_back, prepare
 
 #: the template's control strings

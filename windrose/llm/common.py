@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import io
-import shutil
-import tempfile
-import zipfile
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.shared import checkpoint_folder, ship
+
 #: Rows in an Arrow batch between Spark and Python; long texts make batches of rows large.
 BATCH_ROWS = 1000
 
@@ -27,29 +23,8 @@ def prepare(spark: SparkSession) -> None:
     local mode without one, as in tests; on a cluster without one, checkpoint() reports the missing setting.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    sc = spark.sparkContext
-    if sc not in _shipped:
-        _ship(sc)
-        _shipped.append(sc)
-    if not sc.getConf().get("spark.checkpoint.dir") and not sc._jsc.sc().getCheckpointDir().isDefined():
-        if sc.master.startswith("local"):
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="windrose-checkpoint-"))
-
-
-_shipped: list = []
-
-
-def _ship(sc) -> None:
-    """Tasks import this package; executors get it from the driver, wherever that has it from."""
-    package = Path(__file__).resolve().parent.parent
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as z:
-        for p in sorted(package.rglob("*.py")):
-            z.write(p, p.relative_to(package.parent))
-    path = Path(tempfile.mkdtemp(prefix="windrose-")) / "windrose.zip"
-    path.write_bytes(data.getvalue())
-    sc.addPyFile(str(path))  # the driver serves it to executors from there
-    atexit.register(shutil.rmtree, path.parent, ignore_errors=True)
+    ship(spark)
+    checkpoint_folder(spark)
 
 
 def give_back() -> None:

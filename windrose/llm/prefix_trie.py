@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.ranked import cut, numbered, running
+from ..operators.ranked import numbered, running
+from ..operators.shared import cut
 from .common import prepare
 
 #: turns in a block
