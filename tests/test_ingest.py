@@ -18,11 +18,54 @@ def folder(spark, tmp_path_factory):
 
 
 def test_geopoint_takes_the_first_valid_pair(spark):
-    rows = [("91", "0", "1.5", "2.5", None), ("x", "", None, None, ("4", "5")), ("-90", "180", "1", "1", None), (None, None, "0", "181", None)]
-    d = spark.createDataFrame(rows, "latitude string, longitude string, lat string, lon string, location struct<latitude:string,longitude:string>")
-    got = [r["p"] and tuple(r["p"]) for r in d.select(ingest.geopoint(d.columns).alias("p")).collect()]
-    assert got == [(1.5, 2.5), (4.0, 5.0), (-90.0, 180.0), None]
-    assert spark.range(1).select(ingest.geopoint(["id"]).alias("p")).first()["p"] is None
+    for i, (lat, lon) in enumerate(ingest.POINT_KEYS):
+        d = spark.createDataFrame([("91", "0", "1.5", "2.5"), ("-90", "180", "1", "1"), ("x", "", "0", "181"), (None, "1", "0", "0")], f"a string, b string, `{lat}` string, `{lon}` string")
+        got = [tuple(r["p"]) if r["p"] else None for r in d.select(ingest.geopoint(d, [("a", "b"), (lat, lon)]).alias("p")).collect()]
+        assert got == [(1.5, 2.5), (-90.0, 180.0), None, (0.0, 0.0)], i
+    d = spark.createDataFrame([("95", "1", "2", "3")], "latitude string, longitude string, course_lat string, course_lon string")
+    assert tuple(d.select(ingest.geopoint(d).alias("p")).first()["p"]) == (2.0, 3.0)
+    d = spark.range(1)
+    assert d.select(ingest.geopoint(d).alias("p")).first()["p"] is None
+
+
+@pytest.mark.parametrize("kind", ["struct<lat:string,lon:string>", "struct<latitude:double,longitude:double,lat:double,lon:double>", "map<string,string>", "struct<x:int>"])
+def test_nested_locations(spark, kind):
+    values = {"struct<lat:string,lon:string>": ("4", "5"), "struct<latitude:double,longitude:double,lat:double,lon:double>": (None, 0.0, 4.0, 5.0), "map<string,string>": {"latitude": "", "lat": "4", "lon": "5"}, "struct<x:int>": (1,)}
+    d = spark.createDataFrame([(values[kind],), (None,)], f"location {kind}")
+    got = [tuple(r["p"]) if r["p"] else None for r in d.select(ingest.geopoint(d).alias("p")).collect()]
+    assert got == [None if "x:int" in kind else (4.0, 5.0), None]
+
+
+def test_countries_and_canonical_fingerprints(spark):
+    import hashlib
+
+    names = [*ingest.COUNTRY_CODES, "UK", " fr ", "Finland", "", None, "U.S.", "New  Zealand"]
+    want = [*("UK" if n == "uk" else c for n, c in ingest.COUNTRY_CODES.items()), "UK", "FR", None, None, None, "US", "NZ"]
+    d = spark.createDataFrame([(n, "A|b", "é", "") for n in names], "country string, city string, state string, location_raw string")
+    got = ingest.geocode_query(d).collect()
+    assert [r["query_code"] for r in got] == want
+    said = lambda n: json.dumps({"city": "a|b", "state": "é", "country": " ".join((n or "").split()).lower(), "location_raw": ""}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    assert [r["fingerprint"] for r in got] == [hashlib.sha256(said(n).encode()).hexdigest() for n in names]
+    old = spark.createDataFrame([("", "", "", "", " old  place")], "country string, city string, state string, location_raw string, raw_location string")
+    assert ingest.geocode_query(old).first()["query_text"] == "old place"
+
+
+def test_weather_requests(spark):
+    import hashlib
+
+    d = spark.createDataFrame([(1.25, -3.0, dt.date(2024, 5, 3), dt.date(2024, 5, 5))], "latitude double, longitude double, from_date date, to_date date")
+    r = ingest.weather_request(d).first()
+    params = {"latitude": "1.25000", "longitude": "-3.00000", "start_date": "2024-05-03", "end_date": "2024-05-05", **ingest.ARCHIVE_PARAMETERS}
+    assert r["request_params"] == params
+    said = json.dumps({"url": ingest.ARCHIVE_URL, "params": params}, sort_keys=True, separators=(",", ":"))
+    assert r["request_fingerprint"] == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_backfill_looks_at_the_raw_text(spark):
+    events = spark.createDataFrame([(1, "Rome, IT", "Rome", None), (2, "a", "a", ""), (3, "a", "a", ""), (4, "x", "b", "")], "event_id long, location_raw string, city string, country string")
+    parsed = spark.createDataFrame([(1, "Rome,  IT", "Rome", "", ""), (2, "a", "a", "", ""), (4, "", "c", "", "")], "event_id long, location_raw string, city string, state string, country string")
+    got = {r["event_id"]: tuple(r)[1:] for r in ingest.backfill_locations(events, parsed).collect()}
+    assert got == {1: ("Rome,  IT", "Rome", "", "", "updated"), 2: ("a", "a", "", "", "unchanged"), 3: ("a", "a", "", "", "missing_page"), 4: ("x", "b", "", "", "missing_location")}
 
 
 def test_geocode_candidates_go_from_specific_to_broad(spark):
@@ -138,7 +181,7 @@ def test_monotone_scores_and_curves(spark, rounds):
     m, metrics = model.train_rounds(rounds, trees=5)
     grid = [0.0, 2.0, 4.0, 6.0, 8.0, 10.0]
     same = rounds.limit(1).drop("wind_mean").crossJoin(spark.createDataFrame([(x,) for x in grid], "wind_mean double"))
-    got = [r["p"] for r in model.score_monotone(same, m, "wind_mean", grid, "p").orderBy("wind_mean").collect()]
+    got = [r["p"] for r in model.score_monotone(same, m, "wind_mean", "p", ["wind_mean"]).orderBy("wind_mean").collect()]
     assert got == sorted(got) and len(got) == len(grid)
     curve = spark.createDataFrame([(0.0, 1.0, 5), (1.0, 3.0, 1), (2.0, 2.0, 3), (3.0, 4.0, 1)], "x double, y double, n int")
     assert [round(r["m"], 6) for r in model.monotone_curve(curve, "x", "y", "n", "m").orderBy("x").collect()] == [1.0, 2.25, 2.25, 4.0]
@@ -150,5 +193,24 @@ def test_monotone_scores_and_curves(spark, rounds):
 
 def test_spline_ridge_fits_a_bend(rounds):
     bent = rounds.withColumn("actual_round_strokes", F.pow(F.col("wind_mean") - 5, 2) + F.col("player_rating") / 100)
-    _, metrics, alpha = model.spline_ridge(bent, ["wind_mean", "temp_mean"], ["player_rating"], "actual_round_strokes", "tourn_id", alphas=(0.001, 1.0))
-    assert alpha == 0.001 and {r["split"]: r["r2"] for r in metrics.collect()}["test"] > 0.98
+    _, metrics, alpha, scores = model.spline_ridge(bent, ["wind_mean", "temp_mean"], ["player_rating"], "actual_round_strokes", "tourn_id", alphas=(0.001, 1.0), folds=3)
+    assert scores.count() == 6 and alpha == 0.001 and {r["split"]: r["r2"] for r in metrics.collect()}["test"] > 0.98
+
+
+def test_cross_validation_keeps_events_on_one_side(spark):
+    """Each event has a level of its own that a dummy for it would learn; folds of whole events give that no credit."""
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    d = spark.range(400).select((F.col("id") % 20).alias("event"), F.rand(1).alias("x")).withColumn("label", 10 * F.sin(F.col("event") * 7) + F.col("x")).withColumn("e", F.col("event").cast("int"))
+    stages = [OneHotEncoder(inputCol="e", outputCol="o", handleInvalid="keep"), VectorAssembler(inputCols=["o", "x"], outputCol="features")]
+    grid = [{"regParam": 0.0}, {"regParam": 100.0}]
+    best, scores = model.cross_validated(d, stages, LinearRegression(elasticNetParam=0.0), grid, "event", folds=4)
+    rows = scores.collect()
+    assert len(rows) == 8 and sum(r["rows"] for r in rows) == 800
+    # unseen events are not predicted by their own level, so no fold looks good
+    assert min(r["rmse"] for r in rows) > 3
+    by_fold = d.withColumn("f", model.fold_of("event", 4)).groupBy("event").agg(F.countDistinct("f").alias("n")).collect()
+    assert all(r["n"] == 1 for r in by_fold)
+    with pytest.raises(ValueError):
+        model.cross_validated(d.where("event = 1"), stages, LinearRegression(), grid, "event")

@@ -62,11 +62,6 @@ def test_text_extraction(spark):
     assert got == [("2024-05-03", "2024-05-05"), ("2024-12-30", "2025-01-02"), ("2024-05-03", "2024-05-05"), ("2024-05-03", "2024-05-03"), ("None", "None"), ("None", "None"), ("None", "None")]
     places = spark.createDataFrame([(0, "Austin, TX, United States"), (1, "Austin, TX"), (2, "Paris, France"), (3, "Paris"), (4, "")], "i int, t string")
     assert [tuple(r["l"]) for r in places.orderBy("i").select(N.split_location("t").alias("l")).collect()] == [("Austin", "TX", "United States"), ("Austin", "TX", ""), ("Paris", "", "France"), ("Paris", "", ""), ("", "", "")]
-    html = "<title>Open</title><h1>The Open</h1><p>Date: 03-May-2024</p><p>Status: Final</p><h3>MPO · Men</h3><table><th>Rd1</th><th>Rd3</th></table><h3>FPO</h3><th>Rd2</th>"
-    pages = spark.createDataFrame([(1, html), (2, "<p>This event has not been scheduled</p>"), (3, None)], "event_id int, html string")
-    got = {r["event_id"]: r for r in N.page_fields(pages).collect()}
-    assert [tuple(x) for x in got[1]["division_rounds"]] == [("MPO", 3), ("FPO", 2)] and got[1]["heading"] == "The Open" and got[1]["date_text"] == "03-May-2024"
-    assert [got[i]["is_placeholder"] for i in (1, 2, 3)] == [False, True, False]
 
 
 def test_best_place(spark):

@@ -9,17 +9,13 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import rounded
 from .core import dmean
+from .ranked import exact_quantiles, joined
 
 
 def r(c: Column, digits: int = 4) -> Column:
     return rounded(c, digits)
 
 
-def quantile(c, q: float) -> Column:
-    """Linear interpolation between ranks."""
-    return F.percentile(c, q)
-
-
 def mode_date(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     """The commonest value of each key; ties go to the earliest."""
     counted = df.where(F.col(date).isNotNull()).groupBy(*keys, date).agg(F.count("*").alias("n"))
@@ -32,11 +28,12 @@ def play_span(df: DataFrame, key: str, date: str, pad: int) -> DataFrame:
 
 
 def residual_summary(df: DataFrame, keys: Sequence[str], actual: str, expected: str) -> DataFrame:
-    res = F.col(actual) - F.col(expected)
-    return df.withColumn("__r", res).groupBy(*keys).agg(
+    d = df.withColumn("__r", F.col(actual) - F.col(expected))
+    out = d.groupBy(*keys).agg(
         F.count("*").alias("rows"), r(dmean(actual)).alias("mean_actual"), r(dmean(expected)).alias("mean_expected"), r(dmean("__r")).alias("residual_mean"),
-        r(quantile("__r", 0.5)).alias("residual_median"), r(F.stddev_samp("__r")).alias("residual_std"), r(dmean(F.abs("__r"))).alias("mae"),
+        r(F.stddev_samp("__r")).alias("residual_std"), r(dmean(F.abs("__r"))).alias("mae"),
     )
+    return joined(out, exact_quantiles(d, keys, "__r", {"residual_median": 0.5}, 4), keys)
 
 
 def regression_metrics(df: DataFrame, keys: Sequence[str], actual: str, predicted: str) -> DataFrame:
@@ -53,19 +50,22 @@ def means(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFra
 
 def effect_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A row for each effect: mean, median, std, p10, p90, min, max."""
-    long = df.unpivot([], list(columns), "effect", "v")
-    return long.groupBy("effect").agg(
-        F.count("v").alias("n"), r(dmean("v")).alias("mean"), r(quantile("v", 0.5)).alias("median"), r(F.stddev_samp("v")).alias("std"),
-        r(quantile("v", 0.1)).alias("p10"), r(quantile("v", 0.9)).alias("p90"), r(F.min("v")).alias("low"), r(F.max("v")).alias("high"),
-    )
+    long = df.select(*columns).unpivot([], list(columns), "effect", "v")
+    out = long.groupBy("effect").agg(F.count("v").alias("n"), r(dmean("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"), r(F.min("v")).alias("low"), r(F.max("v")).alias("high"))
+    return joined(out, exact_quantiles(long, ["effect"], "v", {"median": 0.5, "p10": 0.1, "p90": 0.9}, 4), ["effect"])
 
 
 def bucket_quantiles(df: DataFrame, bucket: str, value: str, order: Sequence[str]) -> DataFrame:
     """n, mean, median and quantiles by bucket, with the bucket's place in a fixed order."""
     place = F.array_position(F.array(*(F.lit(x) for x in order)), F.col(bucket)).cast("int")
-    return df.groupBy(bucket).agg(
-        F.count(value).alias("n"), r(dmean(value)).alias("mean"), *(r(quantile(value, q)).alias(f"p{int(100 * q)}") for q in (0.1, 0.25, 0.5, 0.75, 0.9))
-    ).withColumn("place", place)
+    out = df.groupBy(bucket).agg(F.count(value).alias("n"), r(dmean(value)).alias("mean"))
+    return joined(out, exact_quantiles(df, [bucket], value, {f"p{int(100 * q)}": q for q in (0.1, 0.25, 0.5, 0.75, 0.9)}, 4), [bucket]).withColumn("place", place)
+
+
+def stability(df: DataFrame, keys: Sequence[str], effect: str) -> DataFrame:
+    """Spread of an effect by keys: its standard deviation, and the size that 95 % of the rows do not pass."""
+    d = df.select(*keys, F.col(effect), F.abs(effect).alias("__size"))
+    return joined(d.groupBy(*keys).agg(r(F.stddev_samp(effect)).alias("std")), exact_quantiles(d, keys, "__size", {"p95_abs": 0.95}, 4), keys)
 
 
 def relative_to_calm(df: DataFrame, keys: Sequence[str], value: str, wind: str, calm: float, min_rows: int) -> DataFrame:
@@ -116,7 +116,8 @@ def qcut(df: DataFrame, c: str, n: int) -> DataFrame:
 
     Edges are one row of n + 1 numbers.
     """
-    edges = df.agg(F.array_distinct(F.percentile(c, F.array(*(F.lit(i / n) for i in range(n + 1))))).alias("edges"))
+    at = {f"q{i}": i / n for i in range(n + 1)}
+    edges = exact_quantiles(df, [], c, at).select(F.array_distinct(F.array(*at)).alias("edges"))
     bin_ = F.greatest(F.size(F.filter("edges", lambda e: e < F.col(c))), F.lit(1))
     return df.join(F.broadcast(edges), how="left").withColumn("bin", F.when(F.col(c).isNotNull(), bin_)).drop("edges")
 

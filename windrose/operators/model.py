@@ -3,22 +3,28 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .analysis import hash_split, quantile, r, regression_metrics, top_bottom
+from .analysis import hash_split, r, regression_metrics, top_bottom
 from .core import dmean
+from .ranked import exact_quantiles, joined
+from .scenarios import envelope, score_scenarios
 
 NUMERIC = ["player_rating", "hole_count", "round_total_hole_length", "round_total_par", "wind_mean", "gust_mean", "temp_mean", "precip_sum"]
 CATEGORICAL = ["division"]
 TARGET = "actual_round_strokes"
+ROUND_KEYS = ["tourn_id", "round_number", "player_key"]
 
 
 def references() -> dict[str, dict[str, Column]]:
@@ -42,43 +48,51 @@ def train_rounds(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: S
     return model, regression_metrics(model.transform(d), ["split"], "label", "prediction")
 
 
-def importances(model: PipelineModel, spark) -> DataFrame:
+def importances(model, spark) -> DataFrame:
+    if hasattr(model, "importances"):
+        return model.importances(spark)
     names = model.stages[-2].getInputCols()
     rows = [(n, float(v)) for n, v in zip(names, model.stages[-1].featureImportances.toArray(), strict=True)]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
-def score_rounds(df: DataFrame, model: PipelineModel, scenarios: dict[str, dict[str, Column]] | None = None) -> DataFrame:
-    """df with predicted, and predicted_<name>_reference and <name>_impact for each scenario: its columns are replaced,
-    the model is applied, and the original columns come back."""
-    scenarios = references() if scenarios is None else scenarios
-    temporary = ["features", "prediction", *(c for s in model.stages if (c := getattr(s, "getOutputCol", lambda: None)())), "rawPrediction"]
-    apply = lambda d, name: (lambda t: t.withColumnRenamed("prediction", name).drop(*[c for c in dict.fromkeys(temporary) if c != "prediction"]))(model.transform(d))
-    out = apply(df, "predicted")
-    for name, spec in scenarios.items():
-        out = out.withColumns({f"__{c}": F.col(c) for c in spec}).withColumns(spec)
-        out = apply(out, f"predicted_{name}_reference")
-        out = out.withColumns({c: F.col(f"__{c}") for c in spec}).drop(*(f"__{c}" for c in spec))
-        out = out.withColumn(f"{name}_impact", F.col("predicted") - F.col(f"predicted_{name}_reference"))
-    return out
+def _without(df: DataFrame, model) -> DataFrame:
+    """df without columns that the model's stages would write."""
+    stages = getattr(model, "stages", [])
+    made = {"features", "prediction", "rawPrediction", *(c for s in stages if (c := getattr(s, "getOutputCol", lambda: None)()))}
+    return df.drop(*(c for c in made if c in df.columns))
 
 
-def score_monotone(df: DataFrame, model: PipelineModel, column: str, grid: Sequence[float], name: str) -> DataFrame:
-    """df with predictions that never fall as column grows: the largest of the model's at the value itself and at grid
-    points below it. Values between two grid points may differ by the model's own steps there only."""
-    out = score_rounds(df.drop("predicted"), model, {f"__g{i}": {column: F.least(F.col(column), F.lit(float(g)))} for i, g in enumerate(sorted(grid))})
-    at = [f"predicted___g{i}_reference" for i in range(len(grid))]
-    best = F.greatest(F.col("predicted"), *(F.col(c) for c in at))
-    return out.withColumn(name, best).drop(*at, *(f"__g{i}_impact" for i in range(len(grid))))
+def score_rounds(df: DataFrame, model, scenarios: dict[str, dict[str, Column]] | None = None, keys: Sequence[str] | None = None) -> DataFrame:
+    """df with predicted, and predicted_<name>_reference and <name>_impact for each scenario, whose columns are replaced.
+
+    All scenarios go through the model in one pass; keys tell rows apart (by default the keys of rounds).
+    """
+    return score_scenarios(_without(df, model), model, references() if scenarios is None else scenarios, ROUND_KEYS if keys is None else keys)
+
+
+def thresholds(model, column: str) -> list[float]:
+    """All values at which a model's trees are split by a column, ascending. Of pyspark.ml trees they are read from the
+    printed trees, which have them in full."""
+    if hasattr(model, "thresholds"):
+        return model.thresholds(column)
+    at = model.stages[-2].getInputCols().index(column)
+    return sorted({float(x) for x in re.findall(rf"\(feature {at} <= ([^)]+)\)", model.stages[-1].toDebugString)})
+
+
+def score_monotone(df: DataFrame, model, column: str, name: str, keys: Sequence[str] | None = None) -> DataFrame:
+    """df with predictions that never fall as column grows: the largest of the model's at the value and at all its trees'
+    thresholds below. Predictions change at thresholds only, so this holds for any two values. Models trained by
+    boosting.train_monotone need no such step."""
+    return envelope(_without(df, model), model, column, thresholds(model, column), ROUND_KEYS if keys is None else keys, name)
 
 
 def effect_curve(df: DataFrame, effects: dict[float, Column]) -> DataFrame:
     """(x, n, mean, median, std, p10, p90) of effects against a reference, one column for each value x of a grid."""
     pairs = F.array(*(F.struct(F.lit(x).alias("x"), e.cast("double").alias("e")) for x, e in effects.items()))
     long = df.select(F.explode(pairs).alias("p")).select("p.x", "p.e")
-    return long.groupBy("x").agg(
-        F.count("e").alias("n"), r(dmean("e")).alias("mean"), r(quantile("e", 0.5)).alias("median"), r(F.stddev_pop("e")).alias("std"), r(quantile("e", 0.1)).alias("p10"), r(quantile("e", 0.9)).alias("p90")
-    )
+    out = long.groupBy("x").agg(F.count("e").alias("n"), r(dmean("e")).alias("mean"), r(F.stddev_pop("e")).alias("std"))
+    return joined(out, exact_quantiles(long, ["x"], "e", {"median": 0.5, "p10": 0.1, "p90": 0.9}, 4), ["x"])
 
 
 def monotone_curve(curve: DataFrame, x: str, y: str, weight: str, name: str) -> DataFrame:
@@ -91,30 +105,61 @@ def monotone_curve(curve: DataFrame, x: str, y: str, weight: str, name: str) ->
 
 def course_response(df: DataFrame, course: str, effect: str, n: int = 20) -> DataFrame:
     """Mean and median effect of the n courses that respond most, and of the n that respond least."""
-    per = df.groupBy(course).agg(F.count("*").alias("n"), r(dmean(effect)).alias("mean_effect"), r(quantile(effect, 0.5)).alias("median_effect"))
-    return top_bottom(per, "mean_effect", [course], n)
+    per = df.groupBy(course).agg(F.count("*").alias("n"), r(dmean(effect)).alias("mean_effect"))
+    return top_bottom(joined(per, exact_quantiles(df, [course], effect, {"median_effect": 0.5}, 4), [course]), "mean_effect", [course], n)
 
 
-def spline_ridge(df: DataFrame, weather: Sequence[str], linear: Sequence[str], target: str, key: str, knots: int = 4, alphas: Sequence[float] = (0.1, 1.0, 10.0)) -> tuple[PipelineModel, DataFrame, float]:
-    """(model, metrics by split, alpha) of ridge regression on cubic splines of weather and scaled linear terms. alpha is
-    chosen on the middle part of whole keys, split 64/16/20."""
-    d = hash_split(df.dropna(subset=[*weather, *linear, target]), key, {"train": 64, "valid": 16, "test": 20}).withColumn("label", F.col(target).cast("double"))
-    at = d.where("split = 'train'").agg(*(F.percentile_approx(F.col(c).cast("double"), [(i + 1) / (knots + 1) for i in range(knots)], 10_000).alias(c) for c in weather)).first()
+def spline_terms(df: DataFrame, weather: Sequence[str], linear: Sequence[str], knots: int) -> dict[str, Column]:
+    """Cubic splines of weather, with knots at quantiles of df, and linear terms as they are."""
+    at = df.agg(*(F.percentile_approx(F.col(c).cast("double"), [(i + 1) / (knots + 1) for i in range(knots)], 10_000).alias(c) for c in weather)).first()
     terms = {}
     for c in weather:
         x = F.col(c).cast("double")
         terms |= {f"__{c}_{p}": F.pow(x, p) for p in (1, 2, 3)}
         terms |= {f"__{c}_k{i}": F.pow(F.greatest(x - F.lit(k), F.lit(0.0)), 3) for i, k in enumerate(sorted(set(at[c] or [])))}
-    d = d.withColumns({**terms, **{f"__{c}": F.col(c).cast("double") for c in linear}})
-    names = [*terms, *(f"__{c}" for c in linear)]
-    before = [VectorAssembler(inputCols=names, outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="features", withMean=True)]
-    fitted = {}
-    for a in alphas:
-        m = Pipeline(stages=[*before, LinearRegression(elasticNetParam=0.0, regParam=a)]).fit(d.where("split = 'train'"))
-        fitted[a] = (m, regression_metrics(m.transform(d), ["split"], "label", "prediction"))
-    valid = {a: (x.where("split = 'valid'").first() or {"rmse": float("inf")})["rmse"] for a, (_, x) in fitted.items()}
-    best = min(alphas, key=lambda a: (valid[a], a))
-    return (*fitted[best], best)
+    return {**terms, **{f"__{c}": F.col(c).cast("double") for c in linear}}
+
+
+def fold_of(key: str, folds: int, seed: int = 0) -> Column:
+    """A fold for each whole key: the same one each time."""
+    return (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint") % folds).cast("int")
+
+
+def cross_validated(df: DataFrame, stages: Sequence, estimator, grid: Sequence[dict], key: str, folds: int = 5, parallelism: int = 2) -> tuple[PipelineModel, DataFrame]:
+    """(model fitted to all rows with the best setting, rmse by setting and fold). Folds are whole keys, so that rows of one
+    event are never on both sides; df needs the columns label and what stages read. stages are fitted inside each fold."""
+    ids = [r_[0] for r_ in df.select(fold_of(key, folds)).distinct().collect()]
+    dense = {f: i for i, f in enumerate(sorted(ids))}  # the validator wants no empty fold
+    if len(dense) < 2:
+        raise ValueError(f"cross-validation needs events of at least two folds, there is {len(dense)}")
+    number = F.element_at(F.create_map(*(F.lit(x) for pair in dense.items() for x in pair)), F.col("__fold_of"))
+    d = df.withColumn("__fold_of", fold_of(key, folds)).withColumn("__fold", number).drop("__fold_of")
+    params = [{estimator.getParam(n): v for n, v in g.items()} for g in grid]
+    validator = CrossValidator(
+        estimator=Pipeline(stages=[*stages, estimator]), estimatorParamMaps=params, evaluator=RegressionEvaluator(metricName="rmse"), numFolds=len(dense), foldCol="__fold", parallelism=parallelism, collectSubModels=True
+    )
+    fitted = validator.fit(d)
+    names = [json.dumps(g, sort_keys=True) for g in grid]
+    # the validator gives means over folds only, so each fold's model is measured on its own rows
+    scores = [
+        regression_metrics(m.transform(d.where(F.col("__fold") == f)), [], "label", "prediction").select(F.lit(names[i]).alias("setting"), F.lit(f).alias("fold"), "rows", "rmse")
+        for f, models in enumerate(fitted.subModels) for i, m in enumerate(models)
+    ]
+    return fitted.bestModel, reduce(DataFrame.unionByName, scores)
+
+
+def spline_ridge(df: DataFrame, weather: Sequence[str], linear: Sequence[str], target: str, key: str, knots: int = 4, alphas: Sequence[float] = (0.1, 1.0, 10.0), folds: int = 5) -> tuple[PipelineModel, DataFrame, float, DataFrame]:
+    """(model, metrics by split, alpha, rmse by alpha and fold) of ridge regression on cubic splines of weather and scaled
+    linear terms. A fifth of the keys is the test part; alpha is chosen by cross-validation over folds of whole keys of the others."""
+    d = hash_split(df.dropna(subset=[*weather, *linear, target]), key, {"train": 80, "test": 20}).withColumn("label", F.col(target).cast("double"))
+    train = d.where("split = 'train'")
+    terms = spline_terms(train, weather, linear, knots)
+    d, train = d.withColumns(terms), train.withColumns(terms)
+    before = [VectorAssembler(inputCols=list(terms), outputCol="__raw"), StandardScaler(inputCol="__raw", outputCol="features", withMean=True)]
+    ridge = LinearRegression(elasticNetParam=0.0)
+    model, scores = cross_validated(train, before, ridge, [{"regParam": float(a)} for a in alphas], key, folds)
+    alpha = model.stages[-1].getOrDefault("regParam")
+    return model, regression_metrics(model.transform(d), ["split"], "label", "prediction"), alpha, scores.withColumn("alpha", F.get_json_object("setting", "$.regParam").cast("double")).drop("setting")
 
 
 def ideal_conditions(df: DataFrame, model: PipelineModel, grid: dict[str, Sequence[float]]) -> DataFrame:

@@ -155,7 +155,7 @@ def expand_tasks(events: DataFrame) -> DataFrame:
 def parse_date_range(c) -> Column:
     """struct(start_date, end_date) of text like '03-May-2024 to 05-May-2024' or '30-Dec to 02-Jan-2025'; nulls if it
     cannot be read. A start without a year takes the end's, or the year before if it would come after the end."""
-    text = F.regexp_replace(S.collapse_spaces(c), r"\s*(?:–|—|→|->|\bto\b)\s*", "~")
+    text = F.regexp_replace(S.collapse_spaces(c), r"(?i)\s*(?:–|—|→|->| - |\bto\b)\s*", "~")
     day = lambda x: F.try_to_timestamp(x, F.lit("d-MMM-yyyy")).cast("date")
     parts = F.split(text, "~")
     end = day(F.try_element_at(parts, F.lit(-1)))
@@ -185,26 +185,6 @@ PLACEHOLDERS = [
 ]
 
 
-def page_fields(pages: DataFrame, html: str = "html") -> DataFrame:
-    """pages with title, heading, date text, status, location, largest round of each division heading, content hash."""
-    text = F.regexp_replace(F.regexp_replace(F.col(html), r"(?is)<(script|style)\b.*?</\1>", " "), r"<[^>]+>", " ")
-    plain = S.collapse_spaces(text)
-    first = lambda p: S.collapse_spaces(F.regexp_extract(F.col(html), p, 1))
-    labelled = lambda name: S.norm_text(F.regexp_extract(F.col(html), rf"(?i){name}:\s*(?:</[^>]+>\s*)*([^<\r\n]+)", 1))
-    sections = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<h3[^>]*>\s*([A-Z]{1,4}\d{0,2})\b(?:(?!<h3).)*"), 0)
-    code = lambda x: F.regexp_extract(x, r"(?is)<h3[^>]*>\s*([A-Z]{1,4}\d{0,2})\b", 1)
-    most = lambda x: F.array_max(F.transform(F.regexp_extract_all(x, F.lit(r"\bRd(\d+)\b"), 1), lambda n: n.cast("int")))
-    rounds = F.filter(F.transform(sections, lambda x: F.struct(code(x).alias("division"), most(x).alias("rounds"))), lambda x: x["rounds"].isNotNull())
-    out = pages.withColumns(
-        {"title": first(r"(?is)<title[^>]*>(.*?)</title>"), "heading": first(r"(?is)<h1[^>]*>(.*?)</h1>"), "date_text": labelled("Date"), "status_text": labelled("Status"), "location_text": labelled("Location"), "division_rounds": rounds}
-    )
-    # no date that can be read, no divisions, no status
-    empty = parse_date_range("date_text")["start_date"].isNull() & (F.size("division_rounds") == 0) & (F.col("status_text") == "")
-    said = plain.rlike("(?i)" + "|".join(PLACEHOLDERS))
-    out = out.withColumn("is_placeholder", F.coalesce(said | (empty & plain.rlike("(?i)scheduled") & plain.rlike("(?i)yet")), F.lit(False)))
-    return out.withColumn("content_sha256", S.canonical_sha256(["date_text", "division_rounds", "heading", "is_placeholder", "location_text", "status_text", "title"]))
-
-
 def best_candidates(candidates: DataFrame, key: str = "query_id") -> DataFrame:
     """The candidate place with the best score for each query; ties go to the more populous, then to the name.
 

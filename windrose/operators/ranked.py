@@ -24,7 +24,8 @@ def _columns(by: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in by]
 
 
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+def null_safe(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """The condition that both have the same values of all names; null meets null."""
     out = F.lit(True)
     for c in names:
         out = out & left[c].eqNullSafe(right[c])
@@ -53,7 +54,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence, results: dict[s
     for n in results:
         some = some | (F.col(f"__b_{n}") != 0)
     before = before.where(some)
-    joined = local.join(before, _same(local, before, [*keys, "__range"]), "left")
+    joined = local.join(before, null_safe(local, before, [*keys, "__range"]), "left")
     out = {n: _JOINED[kind][0](F.col(f"__l_{n}"), F.coalesce(F.col(f"__b_{n}"), F.lit(0))) for n, (kind, _) in results.items()}
     return joined.select(*(local[c] for c in df.columns), *(c.alias(n) for n, c in out.items()))
 
@@ -63,6 +64,12 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence, name: str) ->
     return running(df, keys, order, {name: ("sum", F.lit(1).cast("long"))})
 
 
+def joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """left with the columns that right has besides the keys; null keys meet null keys."""
+    out = left.join(right, null_safe(left, right, keys), "left")
+    return out.select(*(left[c] for c in left.columns), *(right[c] for c in right.columns if c not in keys))
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, at: dict[str, float], places: int | None = None) -> DataFrame:
     """(keys, one column for each name): exact quantiles of value within keys, linear between the two neighbours of a rank.
 
@@ -81,7 +88,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, at: dict[str
     # at most two values meet each wanted rank; the few names of a key go to its values as one array
     wanted = wanted.groupBy(*keys).agg(F.collect_list(F.struct("name", "rank")).alias("__ranks"))
     few = (lambda x: x) if keys else F.broadcast  # one row without keys
-    met = ranked.join(few(wanted), _same(ranked, wanted, keys)).select(
+    met = ranked.join(few(wanted), null_safe(ranked, wanted, keys)).select(
         *(ranked[c] for c in keys), "__x",
         F.explode(F.filter("__ranks", lambda r: (F.floor(r["rank"]) < F.col("__before") + F.col("__n")) & (F.ceil(r["rank"]) >= F.col("__before")))).alias("__r"), "__before", "__n",
     )
@@ -92,6 +99,6 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, at: dict[str
     # an end that is infinite is taken as it is: infinity times nothing is not a number
     between = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).when(part == 0, F.col("__lo")).otherwise(F.col("__lo") * (1 - part) + F.col("__hi") * part)
     found = x.withColumn("__q", between).groupBy(*keys).agg(*(F.max(F.when(F.col("__name") == n, F.col("__q"))).alias(n) for n in at))
-    out = groups.join(few(found), _same(groups, found, keys), "left")
+    out = groups.join(few(found), null_safe(groups, found, keys), "left")
     digits = lambda c: F.col(c) if places is None else S.rounded(c, places)
     return out.select(*(groups[c] for c in keys), *(digits(n).alias(n) for n in at))

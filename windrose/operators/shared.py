@@ -6,6 +6,7 @@ import atexit
 import io
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -39,6 +40,13 @@ def checkpoint_folder(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="windrose-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which all executors see."""
+    checkpoint_folder(spark)
+    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df by way of the shared checkpoint folder."""
     checkpoint_folder(df.sparkSession)

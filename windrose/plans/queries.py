@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import analysis as A
+from ..operators import boosting as B
 from ..operators import core as C
 from ..operators import ingest as I
 from ..operators import model as M
 from ..operators import normalize as N
+from ..operators import pages as G
 from ..operators import quality as Q
+from ..operators import ranked as K
 from ..operators import reports as R
+from ..operators import scenarios as X
+from ..operators import shared as Z
+from ..streaming import incremental as W
 from .adapter import CTE, HOLE_KEYS, Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -376,7 +382,7 @@ SELECT tourn_id, round_number, player_key, round(round(wind_mean, 4) * round_tot
 )
 def b52_engineered_features(t):
     r = t.rounds
-    g = r.agg(C.dmean("player_rating").alias("mean_rating"), F.percentile("round_total_hole_length", 0.5).alias("mid_length"))
+    g = r.agg(C.dmean("player_rating").alias("mean_rating")).join(F.broadcast(K.exact_quantiles(r, [], "round_total_hole_length", {"mid_length": 0.5})))  # one row each
     length, rating = F.col("round_total_hole_length"), F.col("player_rating")
     return r.join(F.broadcast(g)).select(
         *ROUND_KEYS, S.rounded(S.rounded("wind_mean") * length, 2).alias("wind_x_length"), S.rounded(S.rounded("gust_mean") * length, 2).alias("gust_x_length"), S.rounded(S.rounded("wind_mean") * rating, 2).alias("wind_x_rating"),
@@ -684,7 +690,7 @@ def f39_pdp_curve(t):
 
 @query("SELECT division, round(stddev_samp(total_impact), 4) AS std, round(quantile_cont(abs(total_impact), 0.95), 4) AS p95_abs FROM base GROUP BY division")
 def f41_stability(t):
-    return t.base.groupBy("division").agg(A.r(F.stddev_samp("total_impact")).alias("std"), A.r(F.percentile(F.abs("total_impact"), 0.95)).alias("p95_abs"))
+    return A.stability(t.base, ["division"], "total_impact")
 
 
 @query(f"SELECT division, count(*) AS rows, {', '.join(m4(c, 'mean_' + c) for c in ('wind_impact', 'temperature_impact', 'precip_impact', 'total_impact'))} FROM base GROUP BY division")
@@ -717,10 +723,10 @@ def f46_round_residuals(t):
 )
 def f47_validate_dataset(t):
     s = "actual_round_strokes"
-    return t.rounds.agg(
+    sums = t.rounds.agg(
         F.count("*").alias("rows"), F.countDistinct(*ROUND_KEYS).alias("keys"), F.count_if(F.col("wind_mean").isNull()).alias("null_wind"), R.mean4(s).alias("mean"), A.r(F.stddev_samp(s)).alias("std"),
-        *(A.r(F.percentile(s, q / 4)).alias(f"q{q}") for q in (1, 2, 3)),
     )
+    return sums.join(F.broadcast(K.exact_quantiles(t.rounds, [], s, {f"q{q}": q / 4 for q in (1, 2, 3)}, 4)))  # one row each
 
 
 @query("SELECT cast(least(floor((total_impact - lo) / (hi - lo) * 30) + 1, 30) AS int) AS bin, count(*) AS rows FROM base, (SELECT min(total_impact) AS lo, max(total_impact) AS hi FROM base) GROUP BY 1")
@@ -871,35 +877,89 @@ def s04_hourly(t):
     return t.table("events").groupBy(hour.alias("w")).agg(F.count("*").alias("n"), R.mean4("value").alias("mean_value")).select(F.col("w.start").cast("string").alias("hour"), "n", "mean_value")
 
 
+def _events_stream(t):
+    """The events as a stream of files."""
+    kinds = ", ".join(f"{n} {k}" for n, k in t.table("events").dtypes if n in ("ts", "value", "user_id", "event_id", "event_type"))
+    stream = W.new_files(t.spark, f"{t.folder}/events.parque[t]", kinds)  # a pattern, as the table may be a file or a folder
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT cast(date_trunc('hour', ts) AS varchar) AS hour, count(*) AS n, round(avg(cast(value AS decimal(18,6))), 4) AS mean_value FROM events GROUP BY 1", cte=False)
+def s04_hourly_stream(t):
+    """The streaming form: windows of all files' events, in complete mode."""
+    stream = W.hourly(_events_stream(t), "ts", "value", None, R.mean4)
+    return W.run_now(stream, Z.shared_folder(t.spark, "s04"), "complete").select(F.col("hour").cast("string").alias("hour"), "n", "mean_value")
+
+
+@query("SELECT event_id, user_id, event_type, round(value, 6) AS value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1", cte=False)
+def s02_newest_wins_stream(t):
+    """Each user's newest event, by keyed state, merged into a table by type."""
+    out = Z.shared_folder(t.spark, "s02")
+    stream = _events_stream(t).select("event_id", "ts", "user_id", "event_type", "value")
+    W.newest_wins(stream, f"{out}/table", ["user_id"], ["ts", "event_id"], "event_type", f"{out}/state").awaitTermination()
+    return t.spark.read.parquet(f"{out}/table").select("event_id", "user_id", "event_type", S.rounded("value", 6).alias("value"))
+
+
+@query("SELECT DISTINCT event_type, user_id % 50 AS bucket FROM events", cte=False)
+def s03_drop_repeats_stream(t):
+    """Contents, here type and bucket of users, that a stream passes on once."""
+    stream = _events_stream(t).withColumns({"bucket": F.col("user_id") % 50}).withColumn("content", F.concat_ws("|", "event_type", "bucket"))
+    once = W.drop_repeats(stream, "content", "ts", "400 days")
+    return W.run_now(once, Z.shared_folder(t.spark, "s03")).select("event_type", "bucket")
+
+
 # --- places, responses, repairs
 
 
-_PLACES_SQL = "(SELECT c_custkey AS event_id, CASE WHEN c_custkey % 3 = 0 THEN cast(c_acctbal / 100 AS varchar) END AS latitude, CASE WHEN c_custkey % 3 = 0 THEN cast(c_acctbal / 50 AS varchar) END AS longitude, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment ELSE '' END AS city, CASE WHEN c_custkey % 2 = 0 THEN 'ST' ELSE '' END AS state, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE n_name END AS country, CASE WHEN c_custkey % 7 = 0 THEN ' raw   text ' ELSE '' END AS location_raw FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+_COUNTRIES = ["united states", " USA", "U.S.", "Canada", "MEXICO", "Australia", "new  zealand", "United Kingdom", "uk", "fr", "Finland", ""]
+_NORMAL = [" ".join(x.split()) for x in _COUNTRIES]
+_CODES = ["US", "US", "US", "CA", "MX", "AU", "NZ", "GB", "UK", "FR", None, None]
+_PAIRS = [*I.POINT_KEYS, ("location.latitude", "location.longitude"), ("location.lat", "location.lon")]
+
+
+def _listed(values: list, index: str) -> str:
+    return f"list_extract([{', '.join('NULL' if v is None else repr(v) for v in values)}], {index} + 1)"
+
+
+# which pair of columns holds a place goes by the customer's number; a balance over 9,000 is no latitude in hundreds
+_PLACES_SQL = f"""(SELECT c_custkey AS event_id, c_custkey AS k, c_custkey % 8 < 7 AND c_acctbal <= 9000 AS own, c_acctbal, CASE WHEN c_custkey % 4 = 0 THEN c_mktsegment ELSE '' END AS city,
+  CASE WHEN c_custkey % 2 = 0 THEN 'ST' ELSE '' END AS state, {_listed(_NORMAL, 'c_custkey % 12')} AS country, {_listed(_CODES, 'c_custkey % 12')} AS code,
+  CASE WHEN c_custkey % 7 = 0 THEN 'raw text' WHEN c_custkey % 11 = 0 THEN 'old text' ELSE '' END AS raw FROM customer)"""
 
 
 def _places(t):
-    d = t.table("customer").join(t.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    """Customers as events: each holds its place in one of all pairs of columns, and is in one of several countries."""
     k, number = F.col("c_custkey"), lambda n: (F.col("c_acctbal") / n).cast("double").cast("string")
-    return d.select(
-        k.alias("event_id"), F.when(k % 3 == 0, number(100)).alias("latitude"), F.when(k % 3 == 0, number(50)).alias("longitude"), F.when(k % 4 == 0, F.col("c_mktsegment")).otherwise("").alias("city"),
-        F.when(k % 2 == 0, "ST").otherwise("").alias("state"), F.when(k % 5 == 0, "").otherwise(F.col("n_name")).alias("country"), F.when(k % 7 == 0, " raw   text ").otherwise("").alias("location_raw"),
+    m = {}
+    for i, (lat, lon) in enumerate(_PAIRS):  # the first whose turn it is; course_lat and course_lon also stand in where the first pair is wrong
+        for name, n in ((lat, 100), (lon, 50)):
+            m[name] = F.when(k % 8 == i, number(n)) if name not in m else F.coalesce(m[name], F.when(k % 8 == i, number(n)))
+    m |= {c: F.when(k % 16 == 0, v).otherwise(m[c]) for c, v in (("course_lat", "1.0"), ("course_lon", "2.0"))}
+    nested = F.struct(*(c.alias(n.split(".")[1]) for n, c in m.items() if "." in n))
+    return t.table("customer").select(
+        k.alias("event_id"), *(c.alias(n) for n, c in m.items() if "." not in n), nested.alias("location"), F.when(k % 4 == 0, F.col("c_mktsegment")).otherwise("").alias("city"),
+        F.when(k % 2 == 0, "ST").otherwise("").alias("state"), F.element_at(F.array(*(F.lit(x) for x in _COUNTRIES)), (k % 12 + 1).cast("int")).alias("country"),
+        F.when(k % 7 == 0, " raw   text ").otherwise("").alias("location_raw"), F.when(k % 11 == 0, "old text ").alias("raw_location"),
     )
 
 
-@query(f"SELECT event_id, CASE WHEN ok THEN round(la, 6) END AS latitude, CASE WHEN ok THEN round(lo, 6) END AS longitude FROM (SELECT event_id, cast(latitude AS double) AS la, cast(longitude AS double) AS lo, coalesce(abs(cast(latitude AS double)) <= 90 AND abs(cast(longitude AS double)) <= 180, false) AS ok FROM {_PLACES_SQL})", cte=False)
+@query(
+    f"""SELECT event_id, round(CASE WHEN own THEN cast(c_acctbal AS double) / 100 WHEN k % 16 = 0 THEN 1.0 END, 6) AS latitude,
+  round(CASE WHEN own THEN cast(c_acctbal AS double) / 50 WHEN k % 16 = 0 THEN 2.0 END, 6) AS longitude FROM {_PLACES_SQL}""",
+    cte=False,
+)
 def b39_geopoint(t):
     d = _places(t)
-    p = d.withColumn("p", I.geopoint(d.columns))
+    p = d.withColumn("p", I.geopoint(d))
     return p.select("event_id", S.rounded("p.latitude", 6).alias("latitude"), S.rounded("p.longitude", 6).alias("longitude"))
 
 
 _GEOCODE_SQL = f"""(SELECT *, nullif(CASE WHEN city = '' AND state = '' AND country = '' THEN raw ELSE array_to_string(list_filter([city, state, country], lambda x: x != ''), ', ') END, '') AS query_text,
-  CASE lower(country) WHEN 'united states' THEN 'US' WHEN 'canada' THEN 'CA' WHEN 'united kingdom' THEN 'GB' WHEN 'germany' THEN 'DE' END AS query_code, sha256(lower(concat_ws('|', city, state, country, raw))) AS fingerprint
-  FROM (SELECT *, trim(regexp_replace(location_raw, ' +', ' ', 'g')) AS raw FROM {_PLACES_SQL}))"""
+  sha256(cast(to_json(struct_pack(city := lower(city), country := lower(country), location_raw := lower(raw), state := lower(state))) AS varchar)) AS fingerprint FROM {_PLACES_SQL})"""
 
 
 @query(
-    f"""SELECT event_id, query_text, query_code, fingerprint, CASE WHEN query_text IS NULL THEN 0 ELSE len(list_distinct(list_filter([CASE WHEN city != '' AND state != '' THEN concat(city, ', ', state) END, nullif(city, ''), query_text], lambda x: x IS NOT NULL))) * CASE WHEN query_code IS NULL THEN 1 ELSE 2 END END AS n_candidates FROM {_GEOCODE_SQL}""",
+    f"""SELECT event_id, query_text, code AS query_code, fingerprint, CASE WHEN query_text IS NULL THEN 0 ELSE len(list_distinct(list_filter([CASE WHEN city != '' AND state != '' THEN concat(city, ', ', state) END, nullif(city, ''), query_text], lambda x: x IS NOT NULL))) * CASE WHEN code IS NULL THEN 1 ELSE 2 END END AS n_candidates FROM {_GEOCODE_SQL}""",
     cte=False,
 )
 def b40_geocode_query(t):
@@ -908,7 +968,7 @@ def b40_geocode_query(t):
 
 @query(
     f"""WITH g AS {_GEOCODE_SQL}, cache AS (SELECT DISTINCT fingerprint FROM g WHERE state = 'ST' AND query_text IS NOT NULL)
-SELECT event_id, CASE WHEN coalesce(abs(cast(latitude AS double)) <= 90 AND abs(cast(longitude AS double)) <= 180, false) THEN 'metadata' WHEN c.fingerprint IS NOT NULL THEN 'cache' ELSE 'missing' END AS point_source FROM g LEFT JOIN cache c USING (fingerprint)""",
+SELECT event_id, CASE WHEN own OR k % 16 = 0 THEN 'metadata' WHEN c.fingerprint IS NOT NULL THEN 'cache' ELSE 'missing' END AS point_source FROM g LEFT JOIN cache c USING (fingerprint)""",
     cte=False,
 )
 def e14_resolve_points(t):
@@ -917,6 +977,18 @@ def e14_resolve_points(t):
     return I.resolve_points(g, cache).select("event_id", "point_source")
 
 
+@query(
+    f"""SELECT o_orderkey, sha256(concat('{{"params":{{"end_date":"', cast(o_orderdate + INTERVAL 1 DAY AS date), '","hourly":"{I.ARCHIVE_PARAMETERS['hourly']}","latitude":"', printf('%.5f', la), '","longitude":"', printf('%.5f', lo),
+  '","precipitation_unit":"mm","start_date":"', cast(o_orderdate - INTERVAL 1 DAY AS date), '","temperature_unit":"celsius","timezone":"UTC","wind_speed_unit":"ms"}},"url":"{I.ARCHIVE_URL}"}}')) AS request_fingerprint
+FROM (SELECT o_orderkey, cast(o_orderdate AS date) AS o_orderdate, cast(o_orderkey % 90 AS double) + 0.5 AS la, cast(o_orderkey % 180 AS double) - 0.25 AS lo FROM orders)""",
+    cte=False,
+)
+def b38_weather_request(t):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    d = t.table("orders").select(k, (k % 90 + 0.5).cast("double").alias("latitude"), (k % 180 - 0.25).cast("double").alias("longitude"), F.date_sub(day, 1).alias("from_date"), F.date_add(day, 1).alias("to_date"))
+    return I.weather_request(d).select("o_orderkey", "request_fingerprint")
+
+
 @query(
     """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'failed' WHEN o_orderkey % 5 = 1 THEN 'not_found' WHEN o_orderkey % 5 = 2 THEN 'failed' WHEN o_orderkey % 3 != 2 THEN 'empty' ELSE 'success' END AS outcome FROM orders""",
     cte=False,
@@ -959,16 +1031,20 @@ def k10_repair_dates(t):
 
 
 @query(
-    """SELECT event_id, CASE WHEN outcome = 'updated' THEN new_city ELSE city END AS city, CASE WHEN outcome = 'updated' THEN new_state ELSE state END AS state, outcome FROM (
-  SELECT c_custkey AS event_id, c_mktsegment AS city, CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE 'A' END AS state, CASE WHEN c_custkey % 5 = 1 THEN '' WHEN c_custkey % 2 = 0 THEN 'X' ELSE c_mktsegment END AS new_city, CASE WHEN c_custkey % 5 = 1 THEN '' ELSE 'A' END AS new_state,
-    CASE WHEN c_custkey % 5 = 0 THEN 'missing_page' WHEN c_custkey % 5 = 1 THEN 'missing_location' WHEN c_custkey % 2 = 0 THEN 'updated' ELSE 'unchanged' END AS outcome FROM customer)""",
+    """SELECT event_id, CASE WHEN outcome = 'updated' THEN new_raw ELSE raw END AS location_raw, CASE WHEN outcome = 'updated' THEN new_city ELSE city END AS city, CASE WHEN outcome = 'updated' THEN 'A' ELSE state END AS state, CASE WHEN outcome = 'updated' THEN 'US' ELSE country END AS country, outcome
+FROM (SELECT *, CASE WHEN k % 5 = 0 THEN 'missing_page' WHEN new_raw = '' THEN 'missing_location' WHEN raw = new_raw AND city = new_city AND state = 'A' AND country = 'US' THEN 'unchanged' ELSE 'updated' END AS outcome
+  FROM (SELECT c_custkey AS event_id, c_custkey AS k, c_mktsegment AS city, CASE WHEN c_custkey % 6 = 0 THEN '' ELSE 'A' END AS state, CASE WHEN c_custkey % 13 = 0 THEN '' ELSE 'US' END AS country, concat(c_mktsegment, ', A') AS raw,
+    CASE WHEN c_custkey % 2 = 0 THEN 'X' ELSE c_mktsegment END AS new_city, CASE WHEN c_custkey % 5 = 1 THEN '' WHEN c_custkey % 3 = 0 THEN concat(c_mktsegment, ',  A') ELSE concat(c_mktsegment, ', A') END AS new_raw FROM customer))""",
     cte=False,
 )
 def k11_backfill_locations(t):
-    k, c = F.col("c_custkey"), t.table("customer")
-    events = c.select(k.alias("event_id"), F.col("c_mktsegment").alias("city"), F.when(k % 6 != 0, "A").alias("state"))
-    parsed = c.where("c_custkey % 5 != 0").select(k.alias("event_id"), F.when(k % 5 == 1, "").when(k % 2 == 0, "X").otherwise(F.col("c_mktsegment")).alias("city"), F.when(k % 5 == 1, "").otherwise("A").alias("state"))
-    return I.backfill_locations(events, parsed, fields=("city", "state"))
+    k, c, town = F.col("c_custkey"), t.table("customer"), F.col("c_mktsegment")
+    raw = F.concat(town, F.lit(", A"))
+    events = c.select(k.alias("event_id"), raw.alias("location_raw"), town.alias("city"), F.when(k % 6 != 0, "A").alias("state"), F.when(k % 13 != 0, "US").alias("country"))
+    parsed = c.where("c_custkey % 5 != 0").select(
+        k.alias("event_id"), F.when(k % 5 == 1, "").when(k % 3 == 0, F.concat(town, F.lit(",  A"))).otherwise(raw).alias("location_raw"), F.when(k % 2 == 0, "X").otherwise(town).alias("city"), F.lit("A").alias("state"), F.lit("US").alias("country")
+    )
+    return I.backfill_locations(events, parsed)
 
 
 @query("SELECT tourn_id, count(*) AS rounds, round(avg(cast(actual_round_strokes AS decimal(18,6))), 2) AS mean_strokes, CASE WHEN max(CASE WHEN precip_sum > 0 THEN 1 ELSE 0 END) = 1 THEN 'Yes' ELSE 'No' END AS wet, cast(cast(min(round_number) AS bigint) AS varchar) AS start_date, cast(cast(max(round_number) AS bigint) AS varchar) AS end_date FROM rounds GROUP BY tourn_id")
@@ -977,6 +1053,26 @@ def b55_event_detail_view(t):
     return I.event_detail_view(d, ["tourn_id"], {"actual_round_strokes": "mean_strokes"}, "wet", "round_number")
 
 
+@query(
+    """SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS name, cast(date '2025-04-01' + cast(page_id % 30 AS integer) AS varchar) AS start_date, 1 + page_id % 4 AS rounds,
+  CASE WHEN page_id % 5 = 0 THEN NULL ELSE 2 + page_id % 3 END AS women_rounds, CASE WHEN page_id % 7 = 0 THEN '' ELSE 'Official' END AS status_text, CASE WHEN page_id % 2 = 0 THEN 'TX' ELSE '' END AS state FROM pages""",
+    cte=False,
+)
+def b43_b44_event_pages(t):
+    """Pages with an event's elements before their own: headings, tables after them, items and lines. Also B46."""
+    k = F.col("page_id")
+    n = lambda c: c.cast("string")
+    table = lambda last: F.concat(F.lit("<table class=r><tr><th>Player</th><th>Rd1</th><th>Rd"), n(last), F.lit("</th></tr><tr><td>Rd9</td></tr></table>"))
+    event = F.concat(
+        F.when(k % 3 == 0, "<p>Dates: ").otherwise("<li class='tournament-date'>Dates: "), F.date_format(F.date_add(F.lit("2025-04-01").cast("date"), (k % 30).cast("int")), "dd-MMM-yyyy"), F.when(k % 3 == 0, "</p>").otherwise("</li>"),
+        F.when(k % 7 == 0, "").otherwise("<table><tr><td class='status'>Official</td></tr></table>"), F.when(k % 2 == 0, "<p>Location: Austin, TX, United States</p>").otherwise("<p>Location</p><p>Paris, France</p>"),
+        F.lit("<h2>MPO · Open</h2>"), table(1 + k % 4), F.lit("<h2>FPO &middot; Women</h2>"), F.when(k % 5 == 0, "<table><tr><th>none</th></tr></table>").otherwise(table(2 + k % 3)),
+    )
+    got = G.parse_pages(t.table("pages").select("page_id", F.concat(event, "html").alias("html")))
+    rounds = lambda code: F.try_element_at("division_rounds", F.lit(code)).cast("bigint")
+    return got.select("page_id", "name", "start_date", rounds("MPO").alias("rounds"), rounds("FPO").alias("women_rounds"), "status_text", "state")
+
+
 @query("SELECT tourn_id, round_number, hole_number, player_key FROM holes")
 def g03_sorted_outputs(t):
     return I.sort_keys(t.holes.select(*HOLE_KEYS), HOLE_KEYS)
@@ -1074,13 +1170,41 @@ def f44_course_response(t):
     return M.course_response(t.rounds.withColumn("e", 0.15 * 10.5 + 0.002 * 10.5 * (F.col("player_rating") - 900)), "course_id", "e", 5).select("course_id", "n", "mean_effect", "median_effect")
 
 
+def _trees(t):
+    """Rounds, and trees fitted to them that never fall with wind and gust."""
+    rounds = t.rounds.dropna(subset=M.NUMERIC)
+    model, _ = B.train_monotone(rounds, M.NUMERIC, M.CATEGORICAL, M.TARGET, {"wind_mean": 1, "gust_mean": 1}, trees=12, depth=3, rate=0.3)
+    return rounds, model
+
+
 def j07_round_model(t):
-    """Counterfactual scores of trees that are fitted here, held monotone in wind; no SQL trains trees."""
-    rounds = t.rounds
-    model, _ = M.train_rounds(rounds, trees=10)
-    scored = M.score_rounds(rounds.dropna(subset=M.NUMERIC), model, {"wind": M.references()["wind"]})
-    scored = M.score_monotone(scored, model, "wind_mean", [0.0, 2.0, 4.0, 6.0, 8.0, 10.0], "monotone")
-    return scored.select(*ROUND_KEYS, *r4("predicted", "predicted_wind_reference", "wind_impact", "monotone"))
+    """Counterfactual scores of monotone trees that are fitted here; no SQL trains trees."""
+    rounds, model = _trees(t)
+    scored = M.score_rounds(rounds, model)
+    return scored.select(*ROUND_KEYS, *r4("predicted", "predicted_wind_reference", "wind_impact", "total_impact"))
+
+
+def f40_model_effect_pdp(t):
+    """Wind's effect against no wind over a grid, by the fitted trees; gusts are not below the wind."""
+    rounds, model = _trees(t)
+    actual = lambda x: {"wind_mean": x, "gust_mean": F.greatest(F.col("gust_mean"), F.lit(x))}
+    return X.effect_pdp(rounds, model, [0.0, 1.5, 3.0, 4.5, 6.0, 9.0, 12.0], actual, lambda x: {"wind_mean": 0.0, "gust_mean": 0.447}, ROUND_KEYS)
+
+
+def f39_model_pdp(t):
+    """Mean predictions of the fitted trees over a grid of winds."""
+    rounds, model = _trees(t)
+    return X.pdp_curve(rounds, model, "wind_mean", [0.0, 1.5, 3.0, 4.5, 6.0, 9.0, 12.0])
+
+
+def f44_model_course_response(t):
+    """Each course's response to 10.5 mph of wind and to 60 F, by the fitted trees, against no wind and 80 F."""
+    rounds, model = _trees(t)
+    reference = {"wind_mean": 0.0, "temp_mean": 26.6667}
+    shifts = {"wind_10_5_mph": reference | {"wind_mean": 10.5 / 2.23694}, "temp_60_f": reference | {"temp_mean": 15.5556}}
+    return X.course_response(rounds, model, "course_id", reference, shifts, {"observed_wind": "wind_mean", "observed_temp": "temp_mean"}, ROUND_KEYS)
 
 
+for _f in (f39_model_pdp, f40_model_effect_pdp, f44_model_course_response):
+    query()(_f)
 query()(j07_round_model)

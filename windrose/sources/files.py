@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -104,26 +108,64 @@ def write_snapshots(df: DataFrame, path: str, kind: str = "json") -> None:
     meta.write.mode("append").partitionBy("event_id").json(f"{path}/meta")
 
 
+#: characters that stand encoded in names of partition folders, besides control characters
+ENCODED = "\"#%'*/:=?\\\x7f{[]^"
+#: the folder of null and of empty text
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: folders that are removed at the same time
+AT_ONCE = 16
+
+
+def partition_folder(keys: Sequence[str]) -> Column:
+    """<key>=<value>/... of a row, with values encoded as in names of partition folders."""
+    special = "[" + "".join(f"\\x{ord(c):02x}" for c in ENCODED) + "\\x00-\\x1f]"
+
+    def value(k: str) -> Column:
+        text = F.col(k).cast("string")
+        encoded = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike(special), F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))).otherwise(c)), "")
+        return F.when(text.isNull() | (text == ""), NO_VALUE).otherwise(F.when(text.rlike(special), encoded).otherwise(text))
+
+    return F.concat_ws("/", *(F.concat(F.lit(f"{k}="), value(k)) for k in keys))
+
+
 def drop_stale_partitions(spark: SparkSession, path: str, parents: DataFrame, keys: Sequence[str] = ("event_year", "tourn_id"), children: DataFrame | None = None) -> int:
     """Removes folders under path of keys that parents has and children has not: an event that lost its holes loses the
-    old file. Returns how many. Only keys of folders that are to go reach the driver."""
-    stale = parents.select(*keys).distinct()
+    old file. Returns how many.
+
+    Names come from Spark, encoded; they reach the driver a few at a time, and several are removed at once. A table in sources.staged
+    needs no removal: its next version leaves such partitions out.
+    """
+    # folders are compared, not values: null and empty text have one folder
+    stale = parents.select(partition_folder(keys).alias("folder")).distinct()
     if children is not None:
-        stale = stale.join(children.select(*keys).distinct(), list(keys), "left_anti")
-    n = 0
-    for row in stale.toLocalIterator():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path + "".join(f"/{k}={row[k]}" for k in keys))
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(folder):
-            fs.delete(folder, True)
-            n += 1
-    return n
+        stale = stale.join(children.select(partition_folder(keys).alias("folder")).distinct(), "folder", "left_anti")
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def remove(name: str) -> int:
+        # a child of a path is taken as it is, without decoding
+        folder = reduce(lambda at, part: spark._jvm.org.apache.hadoop.fs.Path(at, part), name.split("/"), top)
+        return int(fs.exists(folder) and fs.delete(folder, True))
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return sum(pool.map(remove, (r[0] for r in stale.toLocalIterator())))
+
+
+def _quoted(value: object) -> str:
+    return str(value) if isinstance(value, int) and not isinstance(value, bool) else "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def register_partition(spark: SparkSession, table: str, spec: dict[str, object], location: str) -> None:
     """Adds a partition of a partitioned table at a location, if it is not there yet."""
-    values = ", ".join(f"{k}={v}" if isinstance(v, int) else f"{k}='{v}'" for k, v in spec.items())
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}) LOCATION '{location}'")
+    values = ", ".join(f"`{k}`={_quoted(v)}" for k, v in spec.items())
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({values}) LOCATION {_quoted(location)}")
+
+
+def request_fingerprint(dataset: str, settings: dict, event_ids: Sequence[int] | None = None) -> str:
+    """sha256 of the canonical JSON of what a training run is asked for: the data's fingerprint, all settings of the model, and
+    the events, in any order."""
+    asked = {**settings, "dataset_fingerprint": dataset, "event_ids": sorted(int(x) for x in event_ids) if event_ids else None}
+    return hashlib.sha256(json.dumps(asked, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode()).hexdigest()
 
 
 def dataset_fingerprint(files: DataFrame) -> DataFrame:
