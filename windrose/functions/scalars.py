@@ -90,6 +90,16 @@ def parse_date(c) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10).try_cast("date"))
 
 
+def round_dt(c) -> Column:
+    """Date of text that is just one, as 2024-05-03; else null."""
+    return F.when(norm_text(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), norm_text(c).try_cast("date"))
+
+
+def event_year(*texts) -> Column:
+    """Year of the first text that begins with a date."""
+    return F.coalesce(*(F.when(norm_text(c).rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(norm_text(c), 1, 4).try_cast("int")) for c in texts))
+
+
 def parse_ts(c) -> Column:
     """Timestamp without zone of the three formats that scorecards have."""
     text = norm_text(c)

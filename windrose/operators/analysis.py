@@ -185,3 +185,50 @@ def vs_baseline(curve: DataFrame, keys: Sequence[str], x: str, y: str, reference
     """Curve less its value at the reference, by keys."""
     base = curve.where(F.col(x) == reference).select(*keys, F.col(y).alias("__base"))
     return curve.join(base, list(keys), "left").withColumn("vs_baseline", r(F.col(y) - F.col("__base"))).drop("__base")
+
+
+def status_audit(df: DataFrame, status: str, flag: str) -> DataFrame:
+    """Rows by status, with and without a flag."""
+    return df.groupBy(F.col(status).alias("status")).agg(F.count("*").alias("total"), F.count_if(flag).alias("with_rounds"), F.count_if(~F.col(flag)).alias("without_rounds"))
+
+
+def run_summary(state: DataFrame, limit: float, status: str = "status") -> DataFrame:
+    """One row: events, successes, failures, their rate, and whether it reaches the limit."""
+    failed = F.count_if(F.col(status) == "failed")
+    rate = failed / F.nullif(F.count("*"), F.lit(0))
+    return state.agg(F.count("*").alias("events"), F.count_if(F.col(status) == "success").alias("ok"), failed.alias("failed"), r(rate, 6).alias("failure_rate"), F.coalesce(rate >= limit, F.lit(False)).alias("exceeds"))
+
+
+def course_support(df: DataFrame, course: str, layout: str, wind: str, temperature: str) -> DataFrame:
+    """How much each course has seen: rows, layouts, the range and spread of its wind, the range of its temperatures."""
+    return df.groupBy(course).agg(
+        F.count("*").alias("rows"), F.countDistinct(layout).alias("layouts"), r(F.min(wind)).alias("wind_min"), r(F.max(wind)).alias("wind_max"), r(F.stddev_samp(wind)).alias("wind_std"),
+        r(F.max(temperature) - F.min(temperature)).alias("temp_range"),
+    )
+
+
+def temperature_slice(df: DataFrame, temperature: str, value: str, width: float = 5) -> DataFrame:
+    """The least and the mean value by bins of temperature."""
+    return df.where(F.col(temperature).isNotNull()).groupBy(F.floor(F.col(temperature) / width).alias("temp_bin")).agg(r(F.min(value)).alias("best"), r(dmean(value)).alias("mean"))
+
+
+def round_residuals(holes: DataFrame, keys: Sequence[str], actual: str, expected: str, carried: Sequence[str], order: str) -> DataFrame:
+    """Residuals of holes with weather, added up to rounds; carried columns are the first hole's, by its number as text."""
+    first = [F.min_by(c, F.col(order).cast("string")).alias(c) for c in carried]
+    return holes.where("not wx_missing").groupBy(*keys).agg(F.sum(F.col(actual) - F.col(expected)).cast("bigint").alias("residual"), *first)
+
+
+def worst_bias(df: DataFrame, groupings: dict[str, tuple[str, int]], value: str) -> DataFrame:
+    """For each grouping, name -> (column, rows that a group needs): the largest mean of a group, whatever its sign."""
+    out = None
+    for name, (key, least) in groupings.items():
+        g = df.groupBy(key).agg(F.count("*").alias("n"), dmean(value).alias("m")).where(F.col("n") >= least)
+        one = g.agg(r(F.max(F.abs("m"))).alias("max_abs_bias")).select(F.lit(name).alias("grouping"), "max_abs_bias")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def validate_dataset(df: DataFrame, keys: Sequence[str], may_lack: Sequence[str], value: str) -> DataFrame:
+    """One row: rows, different keys, nulls of columns (null_<column>), and mean, std and quartiles of a value."""
+    sums = df.agg(F.count("*").alias("rows"), F.countDistinct(*keys).alias("keys"), *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in may_lack), r(dmean(value)).alias("mean"), r(F.stddev_samp(value)).alias("std"))
+    return sums.join(F.broadcast(exact_quantiles(df, [], value, {f"q{q}": q / 4 for q in (1, 2, 3)}, 4)))  # one row each

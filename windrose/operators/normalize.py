@@ -61,6 +61,16 @@ def hole_scores(score: Column, layout_holes: Column) -> Column:
     return F.slice(cut, 1, F.coalesce(filled, F.lit(0)))
 
 
+def max_rounds(scores: DataFrame, events: DataFrame) -> DataFrame:
+    """(event_id, max_round): the largest round of an event's map of divisions, of its sources and of its scores; 1 at least.
+
+    scores: explode_scores' rows, with event_id and round_number. Events with neither scores nor a map have 1.
+    """
+    seen = scores.groupBy("event_id").agg(F.greatest(F.max("round_number"), F.max(S.to_int("s.Round"))).alias("__seen"))
+    mapped = events.select("event_id", F.array_max(F.map_values("division_rounds")).alias("__mapped"))
+    return seen.join(mapped, "event_id", "full").select("event_id", F.greatest("__seen", "__mapped", F.lit(1)).cast("int").alias("max_round"))
+
+
 def normalize_rounds(snapshots: DataFrame, events: DataFrame) -> DataFrame:
     """A row for each player and round. snapshots: event_id, division, round_number, payload and lineage. events:
     event_id, name, status_text, start_date, end_date, city, state, country, division_rounds (map)."""
@@ -68,17 +78,16 @@ def normalize_rounds(snapshots: DataFrame, events: DataFrame) -> DataFrame:
     number = F.coalesce(F.nullif(S.to_int("s.Round"), F.lit(0)), F.col("round_number"))
     scores = scores.withColumn("__round", number)
     # the largest round of an event: of its map, its sources and its scores
-    most = scores.groupBy("event_id").agg(F.greatest(F.max("round_number"), F.max(S.to_int("s.Round")), F.lit(1)).alias("__seen"))
+    most = max_rounds(scores, events).select("event_id", "max_round")
     meta = events.select(
         "event_id", S.norm_text("name").alias("event_name"), S.norm_text("status_text").alias("event_status_text"), S.norm_text("start_date").alias("event_start_date"),
         S.norm_text("end_date").alias("event_end_date"), S.norm_text("city").alias("event_city"), S.norm_text("state").alias("event_state"), S.norm_text("country").alias("event_country"),
-        F.array_max(F.map_values("division_rounds")).alias("__mapped"),
     )
     d = scores.where("__round > 0").join(most, "event_id").join(meta, "event_id")
     start, end = S.parse_date("event_start_date"), S.parse_date("event_end_date")
     d = d.withColumns(
         {
-            "__date": S.round_date(start, end, F.col("__round"), F.greatest("__seen", F.coalesce("__mapped", F.lit(1)))),
+            "__date": S.round_date(start, end, F.col("__round"), F.col("max_round")),
             "__layout": _last(F.col("layouts"), lambda x: S.to_int(x["LayoutID"]) == S.to_int("s.LayoutID")),
             "__scored_at": S.parse_ts("s.ScorecardUpdatedAt"),
         }
@@ -86,7 +95,7 @@ def normalize_rounds(snapshots: DataFrame, events: DataFrame) -> DataFrame:
     d = d.withColumn("__start", S.estimate_start(S.clock_seconds("s.TeeTime"), F.col("__scored_at"), F.col("__date.date")))
     d = d.withColumn("__join", S.join_time(F.col("s.TeeTime"), F.col("__date.date"), F.col("__start.ts"), F.col("__scored_at"), start))
     layout_holes = F.coalesce(F.nullif(S.to_int("s.Holes"), F.lit(0)), S.to_int("__layout.Holes"))
-    year = F.coalesce(*(F.when(F.col(c).rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(c, 1, 4).try_cast("int")) for c in ("event_end_date", "event_start_date", "fetched_at") if c in d.columns))
+    year = S.event_year(*(c for c in ("event_end_date", "event_start_date", "fetched_at") if c in d.columns))
     key = S.player_key("s.PDGANum", "s.ResultID", "event_id", *(f"s.{n}" for n in ("Name", "FirstName", "LastName", "City", "StateProv", "Country")))
     lineage = [c for c in snapshots.columns if c not in ("event_id", "division", "round_number", "payload")]
     return d.select(

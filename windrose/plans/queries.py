@@ -19,7 +19,10 @@ from ..operators import quality as Q
 from ..operators import ranked as K
 from ..operators import reports as R
 from ..operators import scenarios as X
+from ..operators import selection as P
 from ..operators import shared as Z
+from ..sources import files as L
+from ..sources import staged as Y
 from ..streaming import incremental as W
 from .adapter import CTE, HOLE_KEYS, Tables
 
@@ -223,10 +226,13 @@ def f07_wind_points(t):
     return R.wind_points(t.base)
 
 
-@query(f"SELECT division, count(*) AS rounds, {m4('total_impact', 'avg_total_impact')}, {m4('wind_impact', 'avg_wind_impact')} FROM base GROUP BY division")
+@query(f"SELECT division, count(*) AS rounds, {m4('total_impact', 'avg_total_impact')}, {m4('wind_impact', 'avg_wind_impact')}, count(DISTINCT player_key) AS players, true AS estimate_is_near FROM base GROUP BY division")
 def f17_rollup(t):
+    """Means from partial sums. The estimate of players, from sketches, is held against their exact number: 5 % and 2 players."""
     parts = R.partial_rollup(t.base, ["tourn_id", "division"], ["total_impact", "wind_impact"])
-    return R.final_rollup(parts, ["division"], ["total_impact", "wind_impact"]).drop("players_estimate")
+    exact = t.base.groupBy("division").agg(F.countDistinct("player_key").alias("players"))
+    rolled = R.final_rollup(parts, ["division"], ["total_impact", "wind_impact"]).join(exact, "division")
+    return rolled.withColumn("estimate_is_near", F.abs(F.col("players_estimate") - F.col("players")) <= 0.05 * F.col("players") + 2).drop("players_estimate")
 
 
 _STATE = f"SELECT round_month, state, count(*) AS rounds_scored, count(DISTINCT tourn_id) AS events_scored, {m4('total_impact', 'avg_total')}, {m4('observed_wind_mph', 'avg_wind')} FROM base GROUP BY round_month, state"
@@ -381,13 +387,8 @@ SELECT tourn_id, round_number, player_key, round(round(wind_mean, 4) * round_tot
   player_rating * player_rating AS rating_squared, round(player_rating - mean_rating, 4) AS rating_centred, round_total_hole_length > mid_length AS long_course, round(ln(1 + greatest(precip_sum, 0)), 4) AS log_precip FROM rounds, g"""
 )
 def b52_engineered_features(t):
-    r = t.rounds
-    g = r.agg(C.dmean("player_rating").alias("mean_rating")).join(F.broadcast(K.exact_quantiles(r, [], "round_total_hole_length", {"mid_length": 0.5})))  # one row each
-    length, rating = F.col("round_total_hole_length"), F.col("player_rating")
-    return r.join(F.broadcast(g)).select(
-        *ROUND_KEYS, S.rounded(S.rounded("wind_mean") * length, 2).alias("wind_x_length"), S.rounded(S.rounded("gust_mean") * length, 2).alias("gust_x_length"), S.rounded(S.rounded("wind_mean") * rating, 2).alias("wind_x_rating"),
-        (rating * rating).alias("rating_squared"), S.rounded(rating - F.col("mean_rating"), 4).alias("rating_centred"), (length > F.col("mid_length")).alias("long_course"), S.rounded(F.log1p(F.greatest(F.col("precip_sum"), F.lit(0))), 4).alias("log_precip"),
-    )
+    made = ["wind_x_length", "gust_x_length", "wind_x_rating", "rating_squared", "rating_centred", "long_course", "log_precip"]
+    return P.engineered(t.rounds).select(*ROUND_KEYS, *made)
 
 
 @query(
@@ -396,8 +397,86 @@ def b52_engineered_features(t):
 )
 def b53_b54_categories(t):
     c = t.table("customer")
-    train = c.where("c_custkey % 50 = 1").select("c_mktsegment").distinct().withColumn("seen", F.lit(True))
-    return c.join(train, "c_mktsegment", "left").select("c_custkey", F.when(F.col("seen"), F.col("c_mktsegment")).otherwise("__MISSING__").alias("segment"), F.col("c_nationkey").cast("string").alias("nation_text"))
+    known = P.known_categories(c, c.where("c_custkey % 50 = 1"), "c_mktsegment", "segment")
+    return known.select("c_custkey", "segment", F.col("c_nationkey").cast("string").alias("nation_text"))
+
+
+# --- scans, states and dates of the incremental run
+
+
+@query("SELECT tourn_id, round_number, hole_number, player_key, hole_score FROM holes WHERE tourn_id IN (3, 5, 11)")
+def a06_event_scan(t):
+    """Holes are written by event, and three events are read back: other events' folders are not opened. Also A08 and A10."""
+    path = Z.shared_folder(t.spark, "a06")
+    L.write_partitions(t.holes.select("event_year", *HOLE_KEYS, "hole_score"), path)
+    return L.read_events(t.spark, path, [3, 5, 11]).select(F.col("tourn_id").cast("bigint").alias("tourn_id"), "round_number", "hole_number", "player_key", "hole_score")
+
+
+@query(
+    """SELECT event_year % 100 AS year, count(*) AS holes, cast(sum(hole_score) AS bigint) AS strokes FROM holes WHERE tourn_id % 3 <> 1 GROUP BY 1
+UNION ALL SELECT event_year % 100, count(*), cast(sum(hole_score + 1) AS bigint) FROM holes WHERE tourn_id % 3 = 1 GROUP BY 1"""
+)
+def a10_staged_publish(t):
+    """Holes are published by event, then a third of the events again with other scores; the last version is read."""
+    table = Y.Table(t.spark, Z.shared_folder(t.spark, "a10"), ["event_year", "tourn_id"])
+    holes = t.holes.select("event_year", *HOLE_KEYS, "hole_score")
+    table.publish(holes)
+    table.publish(holes.where("tourn_id % 3 = 1").withColumn("hole_score", F.col("hole_score") + 1))
+    now = table.read().withColumn("again", F.col("tourn_id") % 3 == 1)
+    return now.groupBy((F.col("event_year") % 100).cast("bigint").alias("year"), "again").agg(F.count("*").alias("holes"), F.sum("hole_score").cast("bigint").alias("strokes")).drop("again")
+
+
+@query(
+    """WITH s AS (SELECT c_custkey AS k, 'c' || c_custkey % 5 AS content, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'p' END AS pointer, date '2024-01-01' AS first_seen, date '2024-01-02' AS last_fetched, c_custkey % 3 AS failures FROM customer WHERE c_custkey % 3 <> 0),
+b AS (SELECT c_custkey AS k, 'n' || c_custkey % 2 AS content, CASE WHEN c_custkey % 7 = 0 THEN '' ELSE 'q' END AS pointer, c_custkey % 5 <> 0 AS ok FROM customer WHERE c_custkey % 2 = 0)
+SELECT k AS key, CASE WHEN ok THEN b.content ELSE s.content END AS content, CASE WHEN ok AND b.pointer <> '' THEN b.pointer ELSE s.pointer END AS pointer,
+  cast(coalesce(s.first_seen, CASE WHEN ok THEN date '2024-02-01' END) AS varchar) AS first_seen, cast(CASE WHEN ok THEN date '2024-02-01' ELSE s.last_fetched END AS varchar) AS last_fetched,
+  CASE WHEN ok THEN 0 WHEN b.k IS NOT NULL THEN coalesce(s.failures, 0) + 1 ELSE s.failures END AS failures
+FROM s FULL JOIN b USING (k) WHERE s.k IS NOT NULL OR ok""",
+    cte=False,
+)
+def a21_merge_state(t):
+    """Customers as known pages, and a batch of fetches, some failed."""
+    k, c = F.col("c_custkey"), t.table("customer")
+    day = lambda x: F.lit(x).cast("date")
+    state = c.where("c_custkey % 3 != 0").select(
+        k.alias("key"), F.concat(F.lit("c"), (k % 5).cast("string")).alias("content"), F.when(k % 4 == 0, "").otherwise("p").alias("pointer"), day("2024-01-01").alias("first_seen"), day("2024-01-02").alias("last_fetched"), (k % 3).alias("failures")
+    )
+    batch = c.where("c_custkey % 2 = 0").select(k.alias("key"), F.concat(F.lit("n"), (k % 2).cast("string")).alias("content"), F.when(k % 7 == 0, "").otherwise("q").alias("pointer"), day("2024-02-01").alias("seen_at"), (k % 5 != 0).alias("ok"))
+    return C.merge_state(state, batch).withColumns({c: F.col(c).cast("string") for c in ("first_seen", "last_fetched")})
+
+
+@query(
+    """SELECT event_id, cast(date_trunc('hour', coalesce(CASE WHEN event_id % 3 = 0 THEN ts END, CASE WHEN event_id % 5 = 0 THEN ts + INTERVAL 2 HOUR END, CASE WHEN event_id % 7 <> 0 THEN cast(cast(ts AS date) AS timestamp) + INTERVAL 12 HOUR END)) AS varchar) AS hour FROM events""",
+    cte=False,
+)
+def b12_hour_cascade(t):
+    """Hour of the hole's time, else of the start, else noon of the day."""
+    i, ts = F.col("event_id"), F.col("ts").cast("timestamp_ntz")
+    d = t.table("events").select(i, F.when(i % 3 == 0, ts).alias("hole_time"), F.when(i % 5 == 0, ts + F.expr("interval 2 hours")).alias("start_time"), F.when(i % 7 != 0, F.date_format(ts, "yyyy-MM-dd")).alias("day"))
+    return d.select("event_id", C.resolve_obs_hour(d.columns, ["hole_time", "start_time"], "day").cast("string").alias("hour"))
+
+
+@query(
+    """SELECT o_orderkey, cast(try_strptime(x, '%Y-%m-%d')::date AS varchar) AS round_dt, year(try_strptime(x, '%Y-%m-%d')) AS round_year, month(try_strptime(x, '%Y-%m-%d')) AS round_month,
+  CASE WHEN o_orderkey % 4 = 0 THEN year(o_orderdate) WHEN o_orderkey % 4 = 2 THEN year(o_orderdate) WHEN o_orderkey % 2 = 1 AND o_orderkey % 3 = 0 THEN 2001 END AS event_year
+FROM (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN 'soon' WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d 08:00') END AS x FROM orders)""",
+    cte=False,
+)
+def b28_b35_dates(t):
+    """Dates that are just dates, and the year of an event: of its end, else of its start."""
+    k = F.col("o_orderkey")
+    text = F.when(k % 4 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(k % 4 == 1, "soon").when(k % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd' 08:00'"))
+    d = t.table("orders").select(k, text.alias("x"), F.when(k % 3 == 0, "2001-02-03").otherwise("").alias("start"))
+    day = S.round_dt("x")
+    return d.select("o_orderkey", day.cast("string").alias("round_dt"), F.year(day).cast("bigint").alias("round_year"), F.month(day).cast("bigint").alias("round_month"), S.event_year("x", "start").cast("bigint").alias("event_year"))
+
+
+@query("SELECT event_id, try_cast(nullif(trim(x), '') AS double) AS x, try_cast(nullif(trim(y), '') AS double) AS y FROM (SELECT event_id, list_extract([' 1.5 ', 'bad', '', '-2e3'], event_id % 4 + 1) AS x, CASE WHEN event_id % 3 = 0 THEN event_type ELSE cast(user_id AS varchar) END AS y FROM events)", cte=False)
+def b51_coerce_numeric(t):
+    i = F.col("event_id")
+    d = t.table("events").select(i, F.element_at(F.array(*(F.lit(v) for v in (" 1.5 ", "bad", "", "-2e3"))), (i % 4 + 1).cast("int")).alias("x"), F.when(i % 3 == 0, F.col("event_type")).otherwise(F.col("user_id").cast("string")).alias("y"))
+    return P.coerce_numeric(d, ["x", "y"])
 
 
 # --- filters
@@ -406,24 +485,23 @@ def b53_b54_categories(t):
 @query("SELECT count(*) AS rows, count(*) FILTER (weather_available) AS with_weather, count(*) FILTER (weather_available AND hole_count >= 3) AS enough_holes, count(*) FILTER (weather_available AND hole_count >= 3 AND wind_mean IS NOT NULL AND temp_mean IS NOT NULL AND precip_sum IS NOT NULL) AS kept FROM rounds")
 def d01_training_filter(t):
     """Counts after each step, in one pass."""
-    weather, holes = F.col("weather_available"), F.col("hole_count") >= 3
-    full = F.col("wind_mean").isNotNull() & F.col("temp_mean").isNotNull() & F.col("precip_sum").isNotNull()
-    return t.rounds.agg(F.count("*").alias("rows"), F.count_if(weather).alias("with_weather"), F.count_if(weather & holes).alias("enough_holes"), F.count_if(weather & holes & full).alias("kept"))
+    return P.steps(t.rounds, P.training_conditions(["wind_mean", "temp_mean", "precip_sum"], 3))
 
 
 @query("SELECT tourn_id, round_number, player_key, hole_count FROM rounds WHERE weather_available AND hole_count >= 3 AND wind_mean IS NOT NULL AND player_rating IS NOT NULL")
 def d02_scoring_filter(t):
-    return t.rounds.where("weather_available and hole_count >= 3").dropna(subset=["wind_mean", "player_rating"]).select(*ROUND_KEYS, "hole_count")
+    return P.usable_rounds(t.rounds, ["wind_mean", "player_rating"], 3).select(*ROUND_KEYS, "hole_count")
 
 
 @query("SELECT tourn_id, round_number, hole_number, player_key FROM holes WHERE hole_score BETWEEN 1 AND 5 AND hole_par BETWEEN 2 AND 4 AND hole_length BETWEEN 200 AND 600 AND player_rating BETWEEN 850 AND 1000")
 def d03_valid_holes(t):
-    return t.holes.where(F.col("hole_score").between(1, 5) & F.col("hole_par").between(2, 4) & F.col("hole_length").between(200, 600) & F.col("player_rating").between(850, 1000)).select(*HOLE_KEYS)
+    return P.in_ranges(t.holes, {"hole_score": (1, 5), "hole_par": (2, 4), "hole_length": (200, 600), "player_rating": (850, 1000)}).select(*HOLE_KEYS)
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '1996-01-01' AND o_custkey % 2 = 0", cte=False)
 def d04_eligible_events(t):
-    return t.table("orders").where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")) & (F.col("o_custkey") % 2 == 0)).select("o_orderkey", "o_orderstatus")
+    before = F.lit("1996-01-01").cast("timestamp_ntz")
+    return P.eligible_events(t.table("orders"), "o_orderstatus", ["F"], "o_orderdate", before, F.col("o_custkey") % 2 == 0).select("o_orderkey", "o_orderstatus")
 
 
 @query(
@@ -434,7 +512,7 @@ WHERE o_orderstatus IN ('F', 'P') AND o_orderdate BETWEEN TIMESTAMP '1994-01-01'
 def d05_refetch_window(t):
     o = t.table("orders").withColumn("fetched", F.when(F.col("o_custkey") % 4 != 0, F.col("o_orderdate") + F.expr("interval 3 days")))
     ntz = lambda x: F.lit(x).cast("timestamp_ntz")
-    return o.where(F.col("o_orderstatus").isin("F", "P") & F.col("o_orderdate").between(ntz("1994-01-01"), ntz("1995-12-31")) & (F.col("fetched").isNull() | (F.col("fetched") < ntz("1995-06-01")))).select("o_orderkey")
+    return P.to_refetch(o, "o_orderstatus", ["F", "P"], "o_orderdate", ntz("1994-01-01"), ntz("1995-12-31"), "fetched", ntz("1995-06-01")).select("o_orderkey")
 
 
 _LEDGER = "(SELECT o_custkey AS event_id, list_extract(['success', 'failed', 'dq_failed', ''], o_orderkey % 4 + 1) AS status, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority ELSE '' END AS fingerprint, o_orderdate AS updated_at, o_orderkey FROM orders)"
@@ -478,8 +556,8 @@ def d09_top_groups(t):
 
 @query("SELECT event_id FROM events WHERE cast(ts AS date) IN (SELECT DISTINCT cast('2024-01-01' AS date) + c_nationkey FROM customer WHERE c_custkey % 40 = 0)", cte=False)
 def d10_on_dates(t):
-    dates = t.table("customer").where("c_custkey % 40 = 0").select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("c_nationkey")).alias("date")).distinct()
-    return t.table("events").withColumn("date", F.col("ts").cast("date")).join(dates, "date", "left_semi").select("event_id")
+    dates = t.table("customer").where("c_custkey % 40 = 0").select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("c_nationkey")).alias("date"))
+    return P.on_dates(t.table("events"), "ts", dates).select("event_id")
 
 
 # --- joins and sets
@@ -659,13 +737,12 @@ def f32_course_slopes(t):
 @query("SELECT o_orderstatus AS status, count(*) AS total, count(*) FILTER (o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS with_rounds, count(*) FILTER (o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)) AS without_rounds FROM orders GROUP BY o_orderstatus", cte=False)
 def f35_status_audit(t):
     o = C.mark_present(t.table("orders"), t.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"], "has")
-    return o.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("total"), F.count_if("has").alias("with_rounds"), F.count_if(~F.col("has")).alias("without_rounds"))
+    return A.status_audit(o, "o_orderstatus", "has")
 
 
 @query(f"SELECT count(*) AS events, count(*) FILTER (status = 'success') AS ok, count(*) FILTER (status = 'failed') AS failed, round(count(*) FILTER (status = 'failed') / count(*), 6) AS failure_rate, count(*) FILTER (status = 'failed') / count(*) >= 0.25 AS exceeds FROM {_STATE_SQL}", cte=False)
 def f36_run_summary(t):
-    rate = F.count_if(F.col("status") == "failed") / F.count("*")
-    return _state(t).agg(F.count("*").alias("events"), F.count_if(F.col("status") == "success").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"), S.rounded(rate, 6).alias("failure_rate"), (rate >= 0.25).alias("exceeds"))
+    return A.run_summary(_state(t), 0.25)
 
 
 @query(
@@ -700,21 +777,17 @@ def f42_robustness(t):
 
 @query("SELECT course_id, count(*) AS rows, count(DISTINCT layout_id) AS layouts, round(min(observed_wind_mph), 4) AS wind_min, round(max(observed_wind_mph), 4) AS wind_max, round(stddev_samp(observed_wind_mph), 4) AS wind_std, round(max(observed_temp_f) - min(observed_temp_f), 4) AS temp_range FROM base GROUP BY course_id")
 def f43_course_support(t):
-    w = "observed_wind_mph"
-    return t.base.groupBy("course_id").agg(
-        F.count("*").alias("rows"), F.countDistinct("layout_id").alias("layouts"), A.r(F.min(w)).alias("wind_min"), A.r(F.max(w)).alias("wind_max"), A.r(F.stddev_samp(w)).alias("wind_std"),
-        A.r(F.max("observed_temp_f") - F.min("observed_temp_f")).alias("temp_range"),
-    )
+    return A.course_support(t.base, "course_id", "layout_id", "observed_wind_mph", "observed_temp_f")
 
 
 @query(f"SELECT cast(floor(temp_mean / 5) AS bigint) AS temp_bin, round(min(predicted_total_reference), 4) AS best, {m4('predicted_total_reference', 'mean')} FROM scored WHERE temp_mean IS NOT NULL GROUP BY 1")
 def f45_temperature_slice(t):
-    return t.scored.where("temp_mean is not null").groupBy(F.floor(F.col("temp_mean") / 5).alias("temp_bin")).agg(A.r(F.min("predicted_total_reference")).alias("best"), R.mean4("predicted_total_reference").alias("mean"))
+    return A.temperature_slice(t.scored, "temp_mean", "predicted_total_reference")
 
 
 @query("SELECT tourn_id, round_number, player_key, cast(sum(hole_score - hole_par) AS bigint) AS residual, arg_min(division, cast(hole_number AS varchar)) AS division FROM enriched WHERE NOT wx_missing GROUP BY ALL")
 def f46_round_residuals(t):
-    return t.enriched.where("not wx_missing").groupBy(*ROUND_KEYS).agg(F.sum(F.col("hole_score") - F.col("hole_par")).cast("bigint").alias("residual"), F.min_by("division", F.col("hole_number").cast("string")).alias("division"))
+    return A.round_residuals(t.enriched, ROUND_KEYS, "hole_score", "hole_par", ["division"], "hole_number")
 
 
 @query(
@@ -722,11 +795,8 @@ def f46_round_residuals(t):
   round(quantile_cont(actual_round_strokes, 0.25), 4) AS q1, round(quantile_cont(actual_round_strokes, 0.5), 4) AS q2, round(quantile_cont(actual_round_strokes, 0.75), 4) AS q3 FROM rounds"""
 )
 def f47_validate_dataset(t):
-    s = "actual_round_strokes"
-    sums = t.rounds.agg(
-        F.count("*").alias("rows"), F.countDistinct(*ROUND_KEYS).alias("keys"), F.count_if(F.col("wind_mean").isNull()).alias("null_wind"), R.mean4(s).alias("mean"), A.r(F.stddev_samp(s)).alias("std"),
-    )
-    return sums.join(F.broadcast(K.exact_quantiles(t.rounds, [], s, {f"q{q}": q / 4 for q in (1, 2, 3)}, 4)))  # one row each
+    d = A.validate_dataset(t.rounds, ROUND_KEYS, ["wind_mean"], "actual_round_strokes")
+    return d.withColumnRenamed("null_wind_mean", "null_wind")
 
 
 @query("SELECT cast(least(floor((total_impact - lo) / (hi - lo) * 30) + 1, 30) AS int) AS bin, count(*) AS rows FROM base, (SELECT min(total_impact) AS lo, max(total_impact) AS hi FROM base) GROUP BY 1")
@@ -741,11 +811,7 @@ def f49_max_id(t):
 
 @query("SELECT 'division' AS grouping, round(max(abs(m)), 4) AS max_abs_bias FROM (SELECT avg(cast(round_strokes_over_par AS decimal(18,6))) AS m FROM rounds GROUP BY division) UNION ALL SELECT 'course', round(max(abs(m)), 4) FROM (SELECT avg(cast(round_strokes_over_par AS decimal(18,6))) AS m FROM rounds GROUP BY course_id HAVING count(*) >= 100)")
 def f50_f51_bias(t):
-    def worst(key: str, name: str, least: int):
-        g = t.rounds.groupBy(key).agg(F.count("*").alias("n"), C.dmean("round_strokes_over_par").alias("m")).where(F.col("n") >= least)
-        return g.agg(A.r(F.max(F.abs("m"))).alias("max_abs_bias")).select(F.lit(name).alias("grouping"), "max_abs_bias")
-
-    return worst("division", "division", 0).unionByName(worst("course_id", "course", 100))
+    return A.worst_bias(t.rounds, {"division": ("division", 0), "course": ("course_id", 100)}, "round_strokes_over_par")
 
 
 @query(
@@ -792,7 +858,7 @@ def h01_top_bottom(t):
 
 @query("SELECT DISTINCT round_month, round_month_label FROM base WHERE state <> 'UNKNOWN'")
 def h03_options(t):
-    return t.base.where("state != 'UNKNOWN'").select("round_month", "round_month_label").distinct()
+    return P.options(t.base, ["round_month", "round_month_label"], {"state": "UNKNOWN"})
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders ORDER BY md5(concat_ws('|', cast(o_orderkey AS varchar), '42')), o_orderkey LIMIT 500", cte=False)
