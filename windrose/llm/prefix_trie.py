@@ -159,10 +159,10 @@ def trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     whole = convs.agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id")).where("n_convs > 0")
     zero = F.lit(0).cast("long")
     root = whole.select(*(zero.alias(c) for c in NODE), *(F.lit(None).cast("long").alias(c) for c in ("q1", "q2")), zero.alias("words"), "n_convs", "conv_id")
-    nodes = _nodes(blocks).unionByName(root)
-    children = _nodes(blocks).groupBy((F.col("depth") - 1).alias("depth"), F.col("q1").alias("p1"), F.col("q2").alias("p2")).agg(F.count("*").alias("n_children"))
+    nodes = _nodes(blocks)
+    children = nodes.groupBy((F.col("depth") - 1).alias("depth"), F.col("q1").alias("p1"), F.col("q2").alias("p2")).agg(F.count("*").alias("n_children"))
     saved = (F.col("n_convs") - 1) * F.col("words")
-    nodes = cut(nodes.join(children, NODE, "left").fillna(0, ["n_children"]).withColumn("own", saved))
+    nodes = cut(nodes.unionByName(root).join(children, NODE, "left").fillna(0, ["n_children"]).withColumn("own", saved))
     # what each conversation owns: the nodes of which it is the smallest member
     owned = nodes.groupBy("conv_id").agg(F.count_if(F.col("n_children") == 0).alias("leaves"), F.sum("own").alias("saved")).where("leaves > 0 or saved > 0")
     owned = cut(owned)
