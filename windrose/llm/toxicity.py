@@ -8,16 +8,19 @@ A document is a bag of terms: words in lower case without ASCII punctuation; sin
 kernel of a term and a landmark is the sum of the orders' normalised kernels, normalised again: one kernel, of features
 and of the Nystroem map alike. It is computed where a term has at least SHARED of a landmark's letters; below that it is
 small, and taken as 0. Landmarks are strings of LENGTHS characters, inside terms, that set toxic labelled documents most
-apart, by a likelihood ratio that chance would not reach among all strings tried, so that wrong labels choose none.
+apart, by a likelihood ratio that chance would not reach among all strings tried, so that wrong labels choose none. Besides
+documents that hold a string, those that use terms which begin with it OFTEN times are counted.
 Sentences that stand in several documents count once, so that copies of one wrongly labelled document do not either. Of
 strings that are alike one is taken. The Nystroem map, kernels times the inverse square root of the landmarks' own kernel
 matrix, makes them inputs of a linear machine. There are LANDMARKS of them, and as many more as it takes until every toxic
 training document that has any candidate holds a landmark, or a string much like one.
 
-Labels are of documents. The machine is trained on terms: those of clean documents are negative; of a toxic document, the
+Labels are of documents. A first machine is trained on terms: those of clean documents are negative; of a toxic document, the
 term that scores highest is positive, chosen again after each round; after the first, only where it scores above 0, so
-that a document whose label is wrong, or without any insult, teaches nothing. A document's score is a
-logistic function, fitted to labelled documents, of its highest term score.
+that a document whose label is wrong, or without any insult, teaches nothing. A second one is trained on documents: its
+inputs are how much of each landmark the terms of a document hold, by kernels and for each 100 terms, and the highest term
+score. So a mark that clean documents have as well, but less often, counts by how often it stands. A document's
+score is a logistic function of what the second machine says, fitted to documents that it was not fitted to.
 
 The texts of at most ``max_rows`` labelled documents train, each with all of its terms; only candidates and each
 document's distinct features reach the driver. Scoring runs over all documents.
@@ -46,6 +49,10 @@ MAX_ROWS = 8_000
 LANDMARKS = 32
 #: lengths of landmarks, and how many candidates reach the driver at a time
 LENGTHS = (3, 8)
+#: uses of a term's beginning from which on a document uses it often
+OFTEN = 3
+#: terms that are added to a text's when rates are taken; by the training folds
+SMOOTHED = 60
 CANDIDATES = 2_000
 ORDER, DECAY = 4, 0.5
 SHARED = 0.75
@@ -158,6 +165,10 @@ class Landmarks:
 
     def alike(self, t: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(term, landmark, kernel) of pairs that share enough letters; the kernel of others is small, and taken as 0."""
+        return self.compare(t)[:3]
+
+    def compare(self, t: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """alike(), and how much of the landmark each term holds, whatever else it has: 1 for all of it."""
         n = len(t.start)
         size = t.end - t.start
         prefix = {}
@@ -173,36 +184,59 @@ class Landmarks:
             terms.append(found)
             marks.append(np.full(len(found), mark))
         if not terms:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.float32)
         term, mark = np.concatenate(terms), np.concatenate(marks)
-        value = np.zeros(len(term), np.float32)
+        value, held = np.zeros(len(term), np.float32), np.zeros(len(term), np.float32)
         for low, high in ((0, 8), (8, 16), (16, LONGEST)):
             some = np.flatnonzero((size[term] > low) & (size[term] <= high))
             for a in range(0, len(some), 20_000):
                 part = some[a : a + 20_000]
-                value[part] = self.similar(padded(t.data, t.start[term[part]], t.end[term[part]], high), mark[part])
-        return term, mark, value
-
-    def similar(self, rows: np.ndarray, mark: np.ndarray) -> np.ndarray:
-        """The normalised kernel of each row with its landmark, as in the landmarks' own matrix."""
-        k, own = kernels(rows, self.rows[mark]), kernels(rows, rows)
-        both = np.sqrt(own * self.own[:, mark])
+                value[part], held[part] = self.similar(padded(t.data, t.start[term[part]], t.end[term[part]], high), mark[part])
+        return term, mark, value, held
+
+    def similar(self, rows: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row and its landmark: the normalised kernel, as in the landmarks' own matrix; and the kernel's share of the
+        landmark's with itself, 1 at most, as a mean over orders."""
+        k, own, its = kernels(rows, self.rows[mark]), kernels(rows, rows), self.own[:, mark]
+        both = np.sqrt(own * its)
         orders = (own > 0).sum(axis=0) * self.orders[mark]
-        return (k / np.where(both > 0, both, 1)).sum(axis=0) / np.sqrt(np.maximum(orders, 1))
+        value = (k / np.where(both > 0, both, 1)).sum(axis=0) / np.sqrt(np.maximum(orders, 1))
+        return value, np.minimum(k / np.where(its > 0, its, 1), 1).sum(axis=0) / np.maximum(self.orders[mark], 1)
 
     def features(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Text and kernels with all landmarks of each distinct term of a text that is like one."""
+        return self.read(texts)[:2]
+
+    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text and kernels with all landmarks of each distinct term of a text that is like one, the texts' bags).
+
+        A bag has for each landmark how much of it all uses of terms hold together, less than a half of one not counted, and
+        the number of uses last.
+        """
         t = Terms(texts)
-        term, mark, value = self.alike(t)
+        term, mark, value, held = self.compare(t)
         found, place = np.unique(term, return_inverse=True)
-        table = np.zeros((len(found), len(self.terms)), np.float32)
-        table[place, mark] = value
+        table, holds = np.zeros((2, len(found), len(self.terms)), np.float32)
+        table[place, mark], holds[place, mark] = value, np.maximum(2 * held - 1, 0)
         row = np.full(len(t.start), -1)
         row[found] = np.arange(len(found))
         used = row[t.term] >= 0
-        pairs = np.unique(t.text[used] * np.int64(len(found) + 1) + row[t.term[used]])
+        uses = t.text[used] * np.int64(len(found) + 1) + row[t.term[used]]
+        pairs, times = np.unique(uses, return_counts=True)
         text, of = np.divmod(pairs, len(found) + 1)
-        return text, table[of]
+        bags = np.zeros((len(texts), len(self.terms) + 1), np.float32)
+        if len(text):  # texts ascend
+            first = np.flatnonzero(np.diff(text, prepend=-1))
+            bags[text[first], :-1] = np.add.reduceat(holds[of] * times[:, None].astype(np.float32), first, axis=0)
+        bags[:, -1] = np.bincount(t.text, minlength=len(texts))
+        return text, table[of], bags
+
+
+def bag_inputs(bags: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """A document as inputs of the second machine: the logarithm of each landmark's rate among 100 terms, by which SMOOTHED
+    terms more are counted so that short texts do not seem full of one; and the highest term score."""
+    amount, uses = bags[:, :-1].astype(float), bags[:, -1:].astype(float)
+    return np.column_stack([np.log1p(100 * amount / (uses + SMOOTHED)), top])
 
 
 @dataclass
@@ -212,20 +246,56 @@ class Machine:
     bias: float
     slope: float
     level: float
+    #: of the second machine: weights of bag_inputs, and the bias
+    document: np.ndarray | None = None
 
     def decide(self, x: np.ndarray) -> np.ndarray:
         return x @ (self.landmarks.map @ self.weight) + self.bias
 
-    def best(self, texts: list[bytes]) -> np.ndarray:
-        """Highest term score of each text; terms that are like no landmark score the bias."""
-        out = np.full(len(texts), self.bias)
-        if len(self.landmarks.terms):
-            text, x = self.landmarks.features(texts)
-            np.maximum.at(out, text, self.decide(x))
-        return out
+    def decisions(self, texts: list[bytes]) -> np.ndarray:
+        """What the second machine says of each text; terms that are like no landmark score the bias."""
+        top = np.full(len(texts), self.bias)
+        if not len(self.landmarks.terms):
+            return top
+        text, x, bags = self.landmarks.read(texts)
+        np.maximum.at(top, text, self.decide(x))
+        return top if self.document is None else bag_inputs(bags, top) @ self.document[:-1] + self.document[-1]
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.best(texts) + self.level, -60, 60)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.decisions(texts) + self.level, -60, 60)))
+
+
+def fit_documents(x: np.ndarray, y: np.ndarray, cost: float = 0.05, rounds: int = 30) -> np.ndarray:
+    """Weights and bias of a linear support vector machine with squared hinge loss, in the primal by Newton steps (Chapelle,
+    2007); classes weigh the same. Inputs are scaled by their spread, which the weights take back."""
+    spread = np.maximum(x.std(axis=0), 1e-3)
+    z = np.column_stack([x / spread, np.ones(len(x))])
+    sign = np.where(y > 0, 1.0, -1.0)
+    each = cost * len(y) / (2 * np.where(y > 0, max(1, (y > 0).sum()), max(1, (y <= 0).sum())))
+    keep = np.append(np.ones(x.shape[1]), 1e-6)  # the bias is free
+    w = np.zeros(z.shape[1])
+    loss = lambda w: 0.5 * (keep * w * w).sum() + 0.5 * (each * np.maximum(0, 1 - sign * (z @ w)) ** 2).sum()
+    for _ in range(rounds):
+        inside = sign * (z @ w) < 1
+        zi, ei = z[inside], each[inside]
+        step = np.linalg.solve(np.diag(keep) + (zi * ei[:, None]).T @ zi, keep * w + zi.T @ (ei * (zi @ w - sign[inside])))
+        size = 1.0
+        while loss(w - size * step) > loss(w) and size > 1e-4:
+            size /= 2
+        if np.abs(size * step).max() < 1e-8:
+            break
+        w = w - size * step
+    return np.append(w[:-1] / spread, w[-1])
+
+
+def out_of_fold(x: np.ndarray, y: np.ndarray, folds: int = 5) -> np.ndarray:
+    """Decisions on each document of a machine that was not fitted to it."""
+    part = np.random.default_rng(0).permutation(len(y)) % folds
+    out = np.zeros(len(y))
+    for k in range(folds):
+        w = fit_documents(x[part != k], y[part != k])
+        out[part == k] = x[part == k] @ w[:-1] + w[-1]
+    return out
 
 
 def fit_linear(z: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 30, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
@@ -365,16 +435,16 @@ def _term_uses(batches):
 
 
 def _term_features(landmarks):
-    """(id, y, x) of each document: x has the distinct features of its terms, row by row, as 32-bit numbers."""
+    """(id, y, x, bag) of each document: x has the distinct features of its terms, row by row, as 32-bit numbers."""
 
     def run(batches):
         for batch in batches:
             texts = encode(batch.column("t").to_pylist())
             for a, b in chunks([len(t) for t in texts]):
-                text, x = landmarks.value.features(texts[a:b])
+                text, x, bags = landmarks.value.read(texts[a:b])
                 at = np.searchsorted(text, np.arange(b - a + 1))
                 distinct = [np.unique(x[i:j], axis=0).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("y").slice(a, b - a), pa.array(distinct, pa.binary())], names=["id", "y", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("y").slice(a, b - a), pa.array(distinct, pa.binary()), pa.array([x.tobytes() for x in bags], pa.binary())], names=["id", "y", "x", "bag"])
 
     return run
 
@@ -436,14 +506,25 @@ def _candidates(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int)
     good, share = F.col("n") - F.col("bad"), n_toxic / (n_toxic + n_clean)
     part = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
     odds = F.log(((F.col("bad") + 0.5) / n_toxic) / ((good + 0.5) / n_clean))
+    strings = strings.unionByName(_often(uses))
     tried = strings.where((F.length("s") >= low) & (F.col("bad") >= 3) & (odds > 2))
-    tried = tried.withColumn("ratio", part(F.col("bad"), share) + part(good, 1 - share)).checkpoint()
+    tried = tried.withColumn("ratio", part(F.col("bad"), share) + part(good, 1 - share)).groupBy("s").agg(F.max("ratio").alias("ratio")).checkpoint()
     # of as many strings as were tried, some set noise in labels apart: a string must be less likely than one in twenty by chance
     least = np.log(max(1, tried.count())) + 3
     ranked = tried.where(F.col("ratio") >= least).orderBy((F.col("ratio") * (1 + 0.5 * F.length("s"))).desc(), "s")
     return [r["s"] for r in ranked.limit(CANDIDATES).collect()]
 
 
+def _often(uses: DataFrame) -> DataFrame:
+    """(s, bad, n) of beginnings of terms by the documents that use them OFTEN times at least: what clean documents use once
+    or twice may still mark those that use it again and again. A sentence counts once, for one document."""
+    low, high = LENGTHS
+    each = uses.groupBy("term", "sentence").agg(F.min(F.struct("id", "y")).alias("of")).groupBy("term", "of.id", "of.y").agg(F.count("*").alias("times"))
+    begins = F.transform(F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), F.length("term")))), lambda n: F.substr(F.col("term"), F.lit(1), n))
+    held = each.where(F.length("term") <= LONGEST).select("id", "y", "times", F.explode(begins).alias("s")).groupBy("s", "id", "y").agg(F.sum("times").alias("times"))
+    return held.where(F.col("times") >= OFTEN).groupBy("s").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", folds: int = 5, max_rows: int = MAX_ROWS) -> Machine:
     """A machine trained on labelled documents whose fold, crc32(id as text) mod folds, is not 0."""
     spark = docs.sparkSession
@@ -463,7 +544,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
         return nothing
     landmarks = Landmarks(marks)
     shared = spark.sparkContext.broadcast(landmarks)
-    found = sample.mapInArrow(_term_features(shared), "id long, y int, x binary").toArrow()
+    found = sample.mapInArrow(_term_features(shared), "id long, y int, x binary, bag binary").toArrow()
     found = found.sort_by([("id", "ascending"), ("x", "ascending")])
     width = 4 * len(marks)
     sizes = np.array([len(v.as_buffer()) // width if v.as_buffer() else 0 for v in found["x"]], np.int64)
@@ -473,11 +554,13 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     doc, bad = np.repeat(found["id"].to_numpy(), sizes), np.repeat(found["y"].to_numpy() == 1, sizes)
     weight, bias, value = fit_terms(distinct.view(np.float32), row.ravel(), doc, bad, landmarks)
     machine = Machine(landmarks, weight, bias, 1.0, 0.0)
-    top = dict.fromkeys(known["id"].tolist(), bias)
-    for i, v in zip(doc.tolist(), value.tolist(), strict=True):
-        if i in top:
-            top[i] = max(top[i], v)
-    machine.slope, machine.level = fit_logistic(np.array([top[i] for i in known["id"].tolist()]), y)
+    of_row = np.repeat(np.arange(len(found)), sizes)
+    top = np.full(len(found), bias)
+    np.maximum.at(top, of_row, value)
+    bags = np.frombuffer(b"".join(v.as_buffer() for v in found["bag"]), np.float32).reshape(len(found), -1)
+    x, y = bag_inputs(bags, top), found["y"].to_numpy()
+    machine.document = fit_documents(x, y)
+    machine.slope, machine.level = fit_logistic(out_of_fold(x, y), y)
     return machine
 
 
