@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare
+from .textnum import ragged
 
 FRAME, HOP = 1024, 256
 LOW, HIGH = 55.0, 1760.0
@@ -127,18 +128,38 @@ def fingerprint(samples: np.ndarray, rate: int) -> np.ndarray:
     return out
 
 
+def runs(print_: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(integer, place, length) of each stretch of one integer: a held note or silence is one."""
+    start = np.flatnonzero(np.diff(print_.astype(np.int64), prepend=-1))
+    return print_[start], start, np.diff(np.append(start, len(print_)))
+
+
+def offsets(place: np.ndarray, length: np.ndarray, query_place: np.ndarray, query_length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the pair, offset, how many equal integers are that far apart) of pairs of stretches of one integer.
+
+    Two stretches meet at as many offsets as they are long together, less one, and the counts rise, stay, and fall: no pair of
+    places is written, so that two silent recordings cost no more than their length.
+    """
+    n = length + query_length - 1
+    pair = np.repeat(np.arange(len(n)), n)
+    step = ragged(np.zeros(len(n), np.int64), n)
+    count = np.minimum(np.minimum(step + 1, n[pair] - step), np.minimum(length, query_length)[pair])
+    return pair, (place - query_place - query_length + 1)[pair] + step, count
+
+
 def align(query: np.ndarray, other: np.ndarray) -> tuple[int, int, int, int] | None:
     """(offset, equal integers, differing bits, bits) at the commonest offset of equal integers, if there is any."""
-    order = np.argsort(query, kind="stable")
-    lo, hi = np.searchsorted(query[order], other, "left"), np.searchsorted(query[order], other, "right")
+    (value, at, size), (wanted, place, length) = runs(query), runs(other)
+    order = np.argsort(value, kind="stable")
+    lo, hi = np.searchsorted(value[order], wanted, "left"), np.searchsorted(value[order], wanted, "right")
     n = hi - lo
     if not n.sum():
         return None
-    ends = np.cumsum(n)
-    which = order[np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(lo, n)]
-    count = np.bincount(np.repeat(np.arange(len(other)), n) - which + len(query))
-    offset = int(count.argmax()) - len(query)
-    return (offset, int(count.max()), *_errors(query, other, offset))
+    mine, its = order[ragged(lo, n)], np.repeat(np.arange(len(wanted)), n)
+    _, offset, equal = offsets(place[its], length[its], at[mine], size[mine])
+    count = np.bincount(offset + len(query), equal).astype(np.int64)
+    best = int(count.argmax()) - len(query)
+    return (best, int(count.max()), *_errors(query, other, best))
 
 
 def _errors(query: np.ndarray, other: np.ndarray, offset: int) -> tuple[int, int]:
@@ -170,22 +191,23 @@ def _match(key, queries: pa.Table, others: pa.Table) -> pa.Table:
     out: list[tuple] = []
     if queries.num_rows and others.num_rows:
         q_class, q_prints = queries.column("class_id").to_pylist(), [np.frombuffer(x, "<u4") for x in queries.column("print").to_pylist()]
-        value = np.concatenate(q_prints)
-        owner = np.repeat(np.arange(len(q_prints)), [len(p) for p in q_prints])
-        place = np.concatenate([np.arange(len(p)) for p in q_prints])
+        parts = [runs(p) for p in q_prints]
+        value, place, size = (np.concatenate(x) for x in zip(*parts, strict=True))
+        owner = np.repeat(np.arange(len(q_prints)), [len(x[0]) for x in parts])
         order = np.argsort(value, kind="stable")
-        value, owner, place = value[order], owner[order], place[order]
+        value, owner, place, size = value[order], owner[order], place[order], size[order]
         for class_id, data in zip(others.column("class_id").to_pylist(), others.column("print").to_pylist(), strict=True):
             p = np.frombuffer(data, "<u4")
-            lo, hi = np.searchsorted(value, p, "left"), np.searchsorted(value, p, "right")
+            wanted, at, length = runs(p)
+            lo, hi = np.searchsorted(value, wanted, "left"), np.searchsorted(value, wanted, "right")
             n = hi - lo
             if not n.sum():
                 continue
-            ends = np.cumsum(n)
-            at = np.arange(ends[-1]) - np.repeat(ends - n, n) + np.repeat(lo, n)
+            mine, its = ragged(lo, n), np.repeat(np.arange(len(wanted)), n)
+            pair, offset, equal = offsets(at[its], length[its], place[mine], size[mine])
             # offset histograms of all queries in one count
-            pair = owner[at] * (1 << 24) + (np.repeat(np.arange(len(p)), n) - place[at] + (1 << 23))
-            key_, count = np.unique(pair, return_counts=True)
+            key_, where = np.unique(owner[mine][pair] * (1 << 24) + offset + (1 << 23), return_inverse=True)
+            count = np.bincount(where, equal).astype(np.int64)
             best = np.lexsort((key_, -count, key_ >> 24))
             head = np.ones(len(best), bool)
             head[1:] = (key_[best] >> 24)[1:] != (key_[best] >> 24)[:-1]
