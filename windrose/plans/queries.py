@@ -1209,6 +1209,44 @@ def c06_l03_hourly_arrays(t):
     return w.groupBy(F.col("event_id").alias("tourn_id"), "hour").agg(F.count("*").alias("n"), R.mean4("wind_speed_mps").alias("mean_wind"))
 
 
+_PLAYER = "cast(substr(player_key, 6) AS bigint)"
+
+
+@query(
+    f"""SELECT tourn_id, round_number, CASE WHEN k % 7 = 0 THEN concat('RESULT#', k + 1) ELSE concat('PDGA#', k + 1) END AS player_key, hole_number, cast(hole_score AS bigint) AS hole_score, 3 + hole_number % 3 AS hole_par, 100 + 10 * hole_number AS hole_length,
+  cast(hole_score - 3 - hole_number % 3 AS bigint) AS hole_to_par, division, concat('Course ', course_id) AS course_name, cast(2024 AS bigint) AS event_year, cast(date '2024-05-03' + cast(tourn_id % 5 AS integer) + cast((round_number - 1) * 2 // 3 AS integer) AS varchar) AS round_date,
+  CASE WHEN k % 3 = 0 THEN 'raw_tee_time_no_score_ts' ELSE 'missing_inputs' END AS start_method, CASE WHEN k % 3 = 0 THEN 'round_date_interp_plus_raw_tee' ELSE 'round_date_interp_noon_fallback' END AS join_method
+FROM (SELECT *, {_PLAYER} AS k FROM holes)"""
+)
+def l02_scores_layer(t):
+    """Rounds are written as live-score payloads, one for each, and read back to rounds and holes. Also B31 to B33, B35, C01 to C05,
+    C08 and E03."""
+    k = F.expr(_PLAYER)
+    text = lambda c: c.cast("string")
+    scores = F.map_from_entries(F.collect_list(F.struct("hole_number", "hole_score")))
+    d = t.holes.groupBy(*ROUND_KEYS, "division", "course_id", "layout_id").agg(scores.alias("by_hole"), F.max("hole_number").alias("last"))
+    holes = F.transform(F.sequence(F.lit(1), F.col("last").cast("int")), lambda i: i.cast("bigint"))
+    score = F.struct(
+        F.when(k % 7 == 0, "").otherwise(text(k + 1)).alias("PDGANum"), text(k + 1).alias("ResultID"), text(F.col("round_number")).alias("Round"), text(F.col("layout_id")).alias("LayoutID"), F.lit("Player").alias("Name"),
+        F.when(k % 3 == 0, "9:30 AM").otherwise("").alias("TeeTime"), F.transform(holes, lambda i: F.coalesce(text(F.try_element_at("by_hole", i)), F.lit(""))).alias("HoleScores"),
+    )
+    detail = F.transform(holes, lambda i: F.struct(text(i).alias("Ordinal"), text(3 + i % 3).alias("Par"), text(100 + 10 * i).alias("Length")))
+    layout = F.struct(text(F.col("layout_id")).alias("LayoutID"), F.concat(F.lit("Course "), text(F.col("course_id"))).alias("CourseName"), detail.alias("Detail"))
+    payload = F.to_json(F.struct(F.struct(F.array(score).alias("scores"), F.array(layout).alias("layouts")).alias("data")))
+    snapshots = d.select(F.col("tourn_id").alias("event_id"), "division", F.col("round_number").cast("int").alias("round_number"), payload.alias("payload"))
+    start = F.date_add(F.lit("2024-05-03").cast("date"), (F.col("event_id") % 5).cast("int"))
+    none = F.lit("")
+    events = t.holes.select(F.col("tourn_id").alias("event_id")).distinct().select(
+        "event_id", none.alias("name"), none.alias("status_text"), start.cast("string").alias("start_date"), F.date_add(start, 2).cast("string").alias("end_date"), none.alias("city"), none.alias("state"), none.alias("country"), F.create_map(F.lit("all"), F.lit(4)).alias("division_rounds")
+    )
+    out = N.normalize_holes(N.normalize_rounds(snapshots, events))
+    whole = lambda *names: [F.col(c).cast("bigint").alias(c) for c in names]
+    return out.select(
+        "tourn_id", *whole("round_number", "hole_number", "hole_score", "hole_par", "hole_length", "hole_to_par", "event_year"), "player_key", "division", "course_name", F.col("round_date").cast("string").alias("round_date"),
+        F.col("tee_time_est_method").alias("start_method"), F.col("tee_time_join_method").alias("join_method"),
+    )
+
+
 @query("SELECT o_custkey AS event_id, CASE WHEN o_orderstatus = 'F' THEN 'FINAL' ELSE 'OPEN' END AS division, unnest(range(1, 1 + greatest(1, max(o_orderkey % 4)))) AS round_number FROM orders GROUP BY 1, 2", cte=False)
 def c07_expand_tasks(t):
     d = t.table("orders").select(F.col("o_custkey").alias("event_id"), F.when(F.col("o_orderstatus") == "F", "FINAL").otherwise("OPEN").alias("division"), (F.col("o_orderkey") % 4).cast("int").alias("n"))
