@@ -23,9 +23,7 @@ def test_logistic_sees_all_sentences_of_every_document(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit_logistic", fit)
     machine = toxicity.train_toxicity(docs, labels)
     known = [i for i in range(120) if toxicity_fold(i) != 0]
-    text, x, bags = machine.landmarks.read([dict(rows)[i].encode() for i in known])
-    top = np.full(len(known), machine.bias)
-    np.maximum.at(top, text, machine.decide(x))
+    top, bags = machine.documents([dict(rows)[i].encode() for i in known])
     want = toxicity.out_of_fold(toxicity.bag_inputs(bags, top), np.array(known) % 2)
     assert np.allclose(seen[0][0], want, atol=1e-3) and (seen[0][1] == np.array(known) % 2).all()
 

@@ -252,14 +252,19 @@ class Machine:
     def decide(self, x: np.ndarray) -> np.ndarray:
         return x @ (self.landmarks.map @ self.weight) + self.bias
 
-    def decisions(self, texts: list[bytes]) -> np.ndarray:
-        """What the second machine says of each text; terms that are like no landmark score the bias."""
+    def documents(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(highest term score, bag) of each text; terms that are like no landmark score the bias."""
         top = np.full(len(texts), self.bias)
-        if not len(self.landmarks.terms):
-            return top
         text, x, bags = self.landmarks.read(texts)
         np.maximum.at(top, text, self.decide(x))
-        return top if self.document is None else bag_inputs(bags, top) @ self.document[:-1] + self.document[-1]
+        return top, bags
+
+    def decisions(self, texts: list[bytes]) -> np.ndarray:
+        """What the second machine says of each text."""
+        if not len(self.landmarks.terms) or self.document is None:
+            return np.full(len(texts), self.bias)
+        top, bags = self.documents(texts)
+        return bag_inputs(bags, top) @ self.document[:-1] + self.document[-1]
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.decisions(texts) + self.level, -60, 60)))
@@ -435,43 +440,60 @@ def _term_uses(batches):
 
 
 def _term_features(landmarks):
-    """(id, y, x, bag) of each document: x has the distinct features of its terms, row by row, as 32-bit numbers."""
+    """(id, y, x): the distinct features of a document's terms, each as the bytes of 32-bit numbers."""
+
+    def run(batches):
+        for batch in batches:
+            texts = encode(batch.column("t").to_pylist())
+            for a, b in chunks([len(t) for t in texts]):
+                text, x = landmarks.value.features(texts[a:b])
+                width, raw = 4 * x.shape[1], x.tobytes()
+                rows = sorted({(d, raw[k * width : (k + 1) * width]) for k, d in enumerate(text.tolist())})
+                of = pa.array([d + a for d, _ in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("id").take(of), batch.column("y").take(of), pa.array([f for _, f in rows], pa.binary())], names=["id", "y", "x"])
+
+    return run
+
+
+def _documents(machine):
+    """(id, y, top, bag) of each document: its highest term score, and its bag as 32-bit numbers."""
 
     def run(batches):
         for batch in batches:
             texts = encode(batch.column("t").to_pylist())
             for a, b in chunks([len(t) for t in texts]):
-                text, x, bags = landmarks.value.read(texts[a:b])
-                at = np.searchsorted(text, np.arange(b - a + 1))
-                distinct = [np.unique(x[i:j], axis=0).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("y").slice(a, b - a), pa.array(distinct, pa.binary()), pa.array([x.tobytes() for x in bags], pa.binary())], names=["id", "y", "x", "bag"])
+                top, bags = machine.value.documents(texts[a:b])
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), batch.column("y").slice(a, b - a), pa.array(top, pa.float64()), pa.array([x.tobytes() for x in bags], pa.binary())], names=["id", "y", "top", "bag"])
 
     return run
 
 
-def fit_terms(x: np.ndarray, row: np.ndarray, doc: np.ndarray, bad: np.ndarray, landmarks: Landmarks):
-    """(weight, bias, value of each use) from distinct features x; uses are of row of x, in a document that is bad or not."""
+def fit_terms(x: np.ndarray, clean: np.ndarray, row: np.ndarray, doc: np.ndarray, landmarks: Landmarks) -> tuple[np.ndarray, float]:
+    """(weight, bias) from distinct features x: clean says in how many clean documents each stands; row and doc are the uses of
+    features by toxic documents."""
     z = x.astype(float) @ landmarks.map
     # terms that are like nothing are one more negative
-    z = np.vstack([z, np.zeros(z.shape[1])])
-    row, doc, bad = np.append(row, len(x)), np.append(doc, -1), np.append(bad, False)
+    z, clean = np.vstack([z, np.zeros(z.shape[1])]), np.append(clean, 1)
     near = np.unique(np.round(z, 2), axis=0, return_inverse=True)[1].ravel()
-    value = np.append(x.max(axis=1), 0.0).astype(float)[row]
+    value = x.max(axis=1, initial=0).astype(float)
+    weight, bias = np.zeros(z.shape[1]), 0.0
     for k in range(3):
-        best = np.zeros(len(doc), bool)
-        order = np.lexsort((row, -value, doc))
+        order = np.lexsort((row, -value[row], doc))
         head = np.ones(len(order), bool)
         head[1:] = doc[order][1:] != doc[order][:-1]
-        best[order[head]] = True
-        positive = bad & best & ((value > 0) | (k == 0))
-        if not positive.any():
+        best = row[order[head]]
+        best = best[(value[best] > 0) | (k == 0)]
+        if not len(best):
             break
-        use = positive | ~bad
         # equal terms need one row each, with their number; clean ones are many
-        _, index, times = np.unique(near[row[use]] * 2 + positive[use], return_index=True, return_counts=True)
-        weight, bias = fit_linear(z[row[use][index]], positive[use][index].astype(int), times=times)
-        value = (z @ weight + bias)[row]
-    return weight, bias, value[:-1]
+        _, index, times = np.unique(near[best], return_index=True, return_counts=True)
+        stands = np.flatnonzero(clean)
+        _, first, of = np.unique(near[stands], return_index=True, return_inverse=True)
+        rows = np.concatenate([stands[first], best[index]])
+        y = np.concatenate([np.zeros(len(first), int), np.ones(len(index), int)])
+        weight, bias = fit_linear(z[rows], y, times=np.concatenate([np.bincount(of.ravel(), clean[stands]), times]))
+        value = (z @ weight + bias)[:-1]
+    return weight, bias
 
 
 def find_landmarks(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
@@ -544,21 +566,19 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
         return nothing
     landmarks = Landmarks(marks)
     shared = spark.sparkContext.broadcast(landmarks)
-    found = sample.mapInArrow(_term_features(shared), "id long, y int, x binary, bag binary").toArrow()
-    found = found.sort_by([("id", "ascending"), ("x", "ascending")])
-    width = 4 * len(marks)
-    sizes = np.array([len(v.as_buffer()) // width if v.as_buffer() else 0 for v in found["x"]], np.int64)
-    raw = np.frombuffer(b"".join(v.as_buffer() for v in found["x"]), f"V{width}")
-    # terms of different documents are often equal: each is kept once
-    distinct, row = np.unique(raw.view(np.uint32).reshape(-1, len(marks)), axis=0, return_inverse=True)
-    doc, bad = np.repeat(found["id"].to_numpy(), sizes), np.repeat(found["y"].to_numpy() == 1, sizes)
-    weight, bias, value = fit_terms(distinct.view(np.float32), row.ravel(), doc, bad, landmarks)
+    # terms of different documents are often equal: of each feature one row reaches the driver
+    features = sample.mapInArrow(_term_features(shared), "id long, y int, x binary").groupBy("x").agg(F.count_if(F.col("y") == 0).alias("clean"), F.collect_list(F.when(F.col("y") == 1, F.col("id"))).alias("toxic"))
+    found = features.toArrow().sort_by("x")
+    x = np.frombuffer(b"".join(v.as_buffer() for v in found["x"]), np.float32).reshape(-1, len(marks))
+    toxic = found["toxic"].combine_chunks()
+    uses = np.diff(toxic.offsets.to_numpy())
+    weight, bias = fit_terms(x, found["clean"].to_numpy(), np.repeat(np.arange(len(x)), uses), toxic.flatten().to_numpy(), landmarks)
+    del found, x, toxic
     machine = Machine(landmarks, weight, bias, 1.0, 0.0)
-    of_row = np.repeat(np.arange(len(found)), sizes)
-    top = np.full(len(found), bias)
-    np.maximum.at(top, of_row, value)
-    bags = np.frombuffer(b"".join(v.as_buffer() for v in found["bag"]), np.float32).reshape(len(found), -1)
-    x, y = bag_inputs(bags, top), found["y"].to_numpy()
+    shared = spark.sparkContext.broadcast(machine)
+    each = sample.mapInArrow(_documents(shared), "id long, y int, top double, bag binary").toArrow().sort_by("id")
+    bags = np.frombuffer(b"".join(v.as_buffer() for v in each["bag"]), np.float32).reshape(len(each), -1)
+    x, y = bag_inputs(bags, each["top"].to_numpy()), each["y"].to_numpy()
     machine.document = fit_documents(x, y)
     machine.slope, machine.level = fit_logistic(out_of_fold(x, y), y)
     return machine
