@@ -112,8 +112,8 @@ def test_odd_inputs(spark, table):
 def sample(spark):
     rounds = Tables(spark, "/root/testdata/sf0.01").rounds.dropna(subset=model.NUMERIC).persist()
     signs = {"wind_mean": 1, "gust_mean": 1}
-    kept, metrics = boosting.train_monotone(rounds, model.NUMERIC, model.CATEGORICAL, model.TARGET, signs, trees=40, depth=4, rate=0.2)
-    free, free_metrics = boosting.train_monotone(rounds, model.NUMERIC, model.CATEGORICAL, model.TARGET, {}, trees=40, depth=4, rate=0.2)
+    kept, metrics = boosting.train_monotone(rounds, model.NUMERIC, model.CATEGORICAL, model.TARGET, signs, trees=16, depth=3, rate=0.3)
+    free, free_metrics = boosting.train_monotone(rounds, model.NUMERIC, model.CATEGORICAL, model.TARGET, {}, trees=16, depth=3, rate=0.3)
     return rounds, kept, metrics, free, free_metrics
 
 

@@ -193,7 +193,7 @@ def test_newest_wins_over_many_batches(spark, tmp_path):
     schema = "k long, day string, n long, note string"
     source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     best: dict = {}
-    for batch in range(5):
+    for batch in range(3):
         new = [(rng.randint(0, 30), rng.choice(["a", "b", "c/d", None]), rng.randint(0, 40), f"{batch}-{i}") for i in range(25)]
         new = list({(k, n): (k, d, n, x) for k, d, n, x in new if (k, n) not in {(b[0], b[2]) for b in best.values()}}.values())
         spark.createDataFrame(new, schema).coalesce(1).write.mode("append").parquet(source)

@@ -34,6 +34,8 @@ REFRESH = 16
 SPLITS = ("train", "valid", "test")
 #: rows' weight of the mean of all in a category's number
 SMOOTHING = 10.0
+#: rows that a task of a pass has at least
+ROWS = 50_000
 #: values that quantile edges are taken from are counted up to this accuracy of percentile_approx
 ACCURACY = 10_000
 
@@ -301,7 +303,8 @@ def train_monotone(
             yield pd.Series([x.tobytes() for x in model.bins(columns)])
 
     code = F.when(F.col("split") == "train", 0).when(F.col("split") == "valid", 1).otherwise(2)
-    table = cut(d.select(binned(*model.columns()).alias("bins"), F.col("__y").alias("y"), F.lit(model.base).alias("prediction"), code.alias("split"), F.col("__row").alias("row")))
+    # rows are a few bytes each: a pass's task should have many
+    table = cut(d.coalesce(1 + d.count() // ROWS).select(binned(*model.columns()).alias("bins"), F.col("__y").alias("y"), F.lit(model.base).alias("prediction"), code.alias("split"), F.col("__row").alias("row")))
     schema, features, since = table.schema, len(edges), 0
     direction = [signs.get(c, 0) for c in model.features]
     best, best_at, stale = np.inf, 0, 0
