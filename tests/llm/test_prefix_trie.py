@@ -71,8 +71,9 @@ def test_trie(spark, rows):
 
 def test_members_in_pieces(spark, rows, monkeypatch):
     monkeypatch.setattr(prefix_trie, "MEMBERS", 7)
-    df = spark.createDataFrame([(*x, "d", "w") for x in rows], SCHEMA)
-    assert got(prefix_trie.prefix_trie(df)) == plain(lists(rows))
+    some = rows[-90:]  # many end at one node
+    df = spark.createDataFrame([(*x, "d", "w") for x in some], SCHEMA)
+    assert got(prefix_trie.prefix_trie(df)) == plain(lists(some))
 
 
 def test_shared_heads(spark, rows):
