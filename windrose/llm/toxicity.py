@@ -51,7 +51,7 @@ LANDMARKS = 32
 LENGTHS = (3, 8)
 #: uses of a term's beginning from which on a document uses it often
 OFTEN = 3
-#: terms that are added to a text's when rates are taken; by the training folds
+#: terms that are added to a text's when rates are taken; chosen among a few by both folds of sf0.1
 SMOOTHED = 60
 CANDIDATES = 2_000
 ORDER, DECAY = 4, 0.5
