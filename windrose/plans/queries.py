@@ -1119,8 +1119,18 @@ def b55_event_detail_view(t):
     return I.event_detail_view(d, ["tourn_id"], {"actual_round_strokes": "mean_strokes"}, "wet", "round_number")
 
 
+def _unescaped_sql(text: str) -> str:
+    """pages.unescaped: entities by number, then by name in the same order, & last. Halves of surrogate pairs are question marks, as Spark writes them."""
+    for pattern, before, code in ((r"&#(\d{1,6});", "&#", "cast(x AS int)"), (r"&#x([0-9A-Fa-f]{1,5});", "&#x", "cast(concat('0x', x) AS int)")):
+        char = f"CASE WHEN {code} BETWEEN 55296 AND 57343 THEN chr(63) ELSE chr({code}) END"
+        text = f"list_reduce(list_prepend({text}, list_distinct(regexp_extract_all({text}, '{pattern}', 1))), lambda t, x: replace(t, concat('{before}', x, ';'), {char}))"
+    for name, char in G.ENTITIES.items():
+        text = f"replace({text}, '&{name};', '{char.replace(chr(39), chr(39) * 2)}')"
+    return text
+
+
 @query(
-    """SELECT page_id, trim(regexp_replace(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS name, cast(date '2025-04-01' + cast(page_id % 30 AS integer) AS varchar) AS start_date, 1 + page_id % 4 AS rounds,
+    f"""SELECT page_id, trim(regexp_replace({_unescaped_sql("regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[/!?A-Za-z][^>]*>', ' ', 'g')")}, '[\\t\\n\\x0B\\f\\r ]+', ' ', 'g')) AS name, cast(date '2025-04-01' + cast(page_id % 30 AS integer) AS varchar) AS start_date, 1 + page_id % 4 AS rounds,
   CASE WHEN page_id % 5 = 0 THEN NULL ELSE 2 + page_id % 3 END AS women_rounds, CASE WHEN page_id % 7 = 0 THEN '' ELSE 'Official' END AS status_text, CASE WHEN page_id % 2 = 0 THEN 'TX' ELSE '' END AS state FROM pages""",
     cte=False,
 )
