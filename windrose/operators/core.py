@@ -64,11 +64,14 @@ def round_model_inputs(holes: DataFrame, keys: Sequence[str] = ("event_year", "t
     """Holes to rounds: sums, means per distinct hole, weather means and maxima. An attribute is the first non-null by
     hole number read as text."""
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("hole_number").cast("string"))).alias(c)
+    # different holes are counted where their first rows are: rows that lie in order by round are aggregated as they come
+    before = F.lag("hole_number").over(Window.partitionBy(*keys).orderBy("hole_number"))
+    holes = holes.withColumn("__new", F.col("hole_number").isNotNull() & ~F.col("hole_number").eqNullSafe(before))
     out = holes.groupBy(*keys).agg(
         *(first(a) for a in attributes),
         F.sum("hole_score").cast("bigint").alias("actual_round_strokes"),
         F.sum(F.col("hole_score") - F.col("hole_par")).cast("bigint").alias("round_strokes_over_par"),
-        F.countDistinct("hole_number").alias("hole_count"),
+        F.count_if("__new").alias("hole_count"),
         F.sum("hole_length").alias("round_total_hole_length"),
         F.sum("hole_par").cast("bigint").alias("round_total_par"),
         dmean("wind_speed_mps").alias("wind_mean"),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import core, reports
 
 HOLE_KEYS = ["tourn_id", "round_number", "hole_number", "player_key"]
+#: the same keys, in the order in which rounds are put together; an event has one year
+SORTED_KEYS = ["event_year", "tourn_id", "round_number", "player_key", "hole_number"]
 
 
 class Tables:
@@ -22,24 +24,28 @@ class Tables:
 
     @property
     def holes_raw(self) -> DataFrame:
-        joined = (
-            self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        """Players are joined last, by their key: all that holes and rounds are grouped by later lies with its player, so neither
+        the newest holes nor the rounds are shuffled again."""
+        key = lambda c: F.concat(F.lit("PDGA#"), F.col(c).cast("string")).alias("player_key")
+        lines = self.table("lineitem").select(
+            F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("hole_number"), (3 + F.col("l_partkey") % 3).alias("hole_par"),
+            (2 + F.col("l_quantity").cast("bigint") % 5).alias("hole_score"), (150 + F.col("l_partkey") % 600).cast("double").alias("hole_length"),
+            F.col("l_shipdate").alias("fetched_at"), F.col("l_suppkey").alias("src"), F.col("l_extendedprice").alias("px"),
         )
+        players = self.table("customer").join(F.broadcast(self.table("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+        players = players.select(key("c_custkey"), F.col("c_mktsegment").alias("division"), F.col("n_name").alias("state"), (800 + F.col("c_custkey") % 250).alias("player_rating"))
+        played = lines.join(self.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(key("o_custkey"), *lines.columns)
         tourn = F.col("o_orderkey") % 37
-        return joined.select(
-            tourn.alias("tourn_id"), (1 + F.col("o_orderkey") % 4).alias("round_number"), F.col("l_linenumber").alias("hole_number"),
-            F.concat(F.lit("PDGA#"), F.col("o_custkey").cast("string")).alias("player_key"), F.col("c_mktsegment").alias("division"), F.col("n_name").alias("state"),
+        # a task's players are few beside their holes: the holes need no sorting for this join
+        return played.join(players.hint("shuffle_hash"), "player_key").select(
+            tourn.alias("tourn_id"), (1 + F.col("o_orderkey") % 4).alias("round_number"), "hole_number", "player_key", "division", "state",
             (2020 + tourn % 5).alias("event_year"), (tourn % 25).alias("course_id"), (tourn % 11).alias("layout_id"),
-            (3 + F.col("l_partkey") % 3).alias("hole_par"), (2 + F.col("l_quantity").cast("bigint") % 5).alias("hole_score"),
-            (150 + F.col("l_partkey") % 600).cast("double").alias("hole_length"), (800 + F.col("o_custkey") % 250).alias("player_rating"),
-            (F.col("o_orderkey") % 720).alias("obs_hour"), F.col("l_shipdate").alias("fetched_at"), F.col("l_suppkey").alias("src"), F.col("l_extendedprice").alias("px"),
+            "hole_par", "hole_score", "hole_length", "player_rating", (F.col("o_orderkey") % 720).alias("obs_hour"), "fetched_at", "src", "px",
         )
 
     @property
     def holes(self) -> DataFrame:
-        return core.dedup_latest(self.holes_raw, HOLE_KEYS, [F.col(c).desc() for c in ("fetched_at", "src", "px", "obs_hour")])
+        return core.dedup_latest(self.holes_raw, SORTED_KEYS, [F.col(c).desc() for c in ("fetched_at", "src", "px", "obs_hour")])
 
     @property
     def wx_raw(self) -> DataFrame:
@@ -57,7 +63,8 @@ class Tables:
 
     @property
     def enriched(self) -> DataFrame:
-        return core.enrich(self.holes, self.wx)
+        """The weather has at most 37 events x 744 hours, whatever the tables' size, and goes to the holes."""
+        return core.enrich(self.holes, F.broadcast(self.wx))
 
     @property
     def rounds(self) -> DataFrame:
