@@ -109,9 +109,12 @@ def common_keys(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def key_differences(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of either side only, with the side; none if both sets are equal."""
-    left, right = a.select(*keys).distinct(), b.select(*keys).distinct()
-    return left.join(right, list(keys), "left_anti").withColumn("side", F.lit("left")).unionByName(right.join(left, list(keys), "left_anti").withColumn("side", F.lit("right")))
+    """Keys of either side only, with the side; none if both sets are equal. Each side is read once; null is a key like others."""
+    # each side is dealt by itself: no task holds what makes both
+    left, right = (d.select(*keys, F.lit(is_left).alias("__left")).repartition(*keys) for d, is_left in ((a, True), (b, False)))
+    both = left.unionByName(right)
+    sides = both.groupBy(*keys).agg(F.bool_or("__left").alias("__l"), F.bool_or(~F.col("__left")).alias("__r"))
+    return sides.where("__l != __r").select(*keys, F.when(F.col("__l"), "left").otherwise("right").alias("side"))
 
 
 def orphans(children: DataFrame, parents: DataFrame, keys: Sequence[str]) -> DataFrame:
