@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import rounded
 from .core import dmean
 from .ranked import exact_quantiles, joined
+from .shared import stored
 
 
 def r(c: Column, digits: int = 4) -> Column:
@@ -28,7 +29,7 @@ def play_span(df: DataFrame, key: str, date: str, pad: int) -> DataFrame:
 
 
 def residual_summary(df: DataFrame, keys: Sequence[str], actual: str, expected: str) -> DataFrame:
-    d = df.withColumn("__r", F.col(actual) - F.col(expected))
+    d = stored(df.select(*keys, actual, expected, (F.col(actual) - F.col(expected)).alias("__r")))
     out = d.groupBy(*keys).agg(
         F.count("*").alias("rows"), r(dmean(actual)).alias("mean_actual"), r(dmean(expected)).alias("mean_expected"), r(dmean("__r")).alias("residual_mean"),
         r(F.stddev_samp("__r")).alias("residual_std"), r(dmean(F.abs("__r"))).alias("mae"),

@@ -80,9 +80,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, at: dict[str
     keys = list(keys)
     d = df.select(*keys, F.col(value).cast("double").alias("__x"))
     d = d.withColumn("__x", F.when(~F.isnan("__x"), F.col("__x") + F.lit(0.0)))  # -0.0 is 0.0
-    counts = d.groupBy(*keys, "__x").agg(F.count("*").alias("__n"))
-    groups = d.groupBy(*keys).agg(F.count("__x").alias("__all"))
-    ranked = running(counts.where("__x is not null"), keys, ["__x"], {"__before": ("sum", F.col("__n"))})
+    # a key's nulls are a row that counts as nothing: df is read once, keys without values stay
+    counts = d.groupBy(*keys, "__x").agg(F.count("__x").alias("__n"))
+    ranked = running(counts, keys, ["__x"], {"__before": ("sum", F.col("__n"))})
+    groups = ranked.groupBy(*keys).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("__all"))
+    ranked = ranked.where("__n > 0")
     ranks = [F.struct(F.lit(n).alias("name"), (F.lit(float(q)) * (F.col("__all") - 1)).alias("rank")) for n, q in at.items()]
     wanted = groups.where("__all > 0").withColumn("__w", F.explode(F.array(*ranks))).select(*keys, "__w.name", "__w.rank")
     # at most two values meet each wanted rank; the few names of a key go to its values as one array
