@@ -51,13 +51,14 @@ def means(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFra
 
 def effect_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A row for each effect: mean, median, std, p10, p90, min, max."""
-    long = df.select(*columns).unpivot([], list(columns), "effect", "v")
+    long = stored(df.select(*columns)).unpivot([], list(columns), "effect", "v")
     out = long.groupBy("effect").agg(F.count("v").alias("n"), r(dmean("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"), r(F.min("v")).alias("low"), r(F.max("v")).alias("high"))
     return joined(out, exact_quantiles(long, ["effect"], "v", {"median": 0.5, "p10": 0.1, "p90": 0.9}, 4), ["effect"])
 
 
 def bucket_quantiles(df: DataFrame, bucket: str, value: str, order: Sequence[str]) -> DataFrame:
     """n, mean, median and quantiles by bucket, with the bucket's place in a fixed order."""
+    df = stored(df.select(bucket, value))
     place = F.array_position(F.array(*(F.lit(x) for x in order)), F.col(bucket)).cast("int")
     out = df.groupBy(bucket).agg(F.count(value).alias("n"), r(dmean(value)).alias("mean"))
     return joined(out, exact_quantiles(df, [bucket], value, {f"p{int(100 * q)}": q for q in (0.1, 0.25, 0.5, 0.75, 0.9)}, 4), [bucket]).withColumn("place", place)
@@ -65,7 +66,7 @@ def bucket_quantiles(df: DataFrame, bucket: str, value: str, order: Sequence[str
 
 def stability(df: DataFrame, keys: Sequence[str], effect: str) -> DataFrame:
     """Spread of an effect by keys: its standard deviation, and the size that 95 % of the rows do not pass."""
-    d = df.select(*keys, F.col(effect), F.abs(effect).alias("__size"))
+    d = stored(df.select(*keys, F.col(effect), F.abs(effect).alias("__size")))
     return joined(d.groupBy(*keys).agg(r(F.stddev_samp(effect)).alias("std")), exact_quantiles(d, keys, "__size", {"p95_abs": 0.95}, 4), keys)
 
 
