@@ -118,6 +118,7 @@ def qcut(df: DataFrame, c: str, n: int) -> DataFrame:
 
     Edges are one row of n + 1 numbers.
     """
+    df = stored(df)
     at = {f"q{i}": i / n for i in range(n + 1)}
     edges = exact_quantiles(df, [], c, at).select(F.array_distinct(F.array(*at)).alias("edges"))
     bin_ = F.greatest(F.size(F.filter("edges", lambda e: e < F.col(c))), F.lit(1))
@@ -232,5 +233,6 @@ def worst_bias(df: DataFrame, groupings: dict[str, tuple[str, int]], value: str)
 
 def validate_dataset(df: DataFrame, keys: Sequence[str], may_lack: Sequence[str], value: str) -> DataFrame:
     """One row: rows, different keys, nulls of columns (null_<column>), and mean, std and quartiles of a value."""
+    df = stored(df.select(*dict.fromkeys([*keys, *may_lack, value])))
     sums = df.agg(F.count("*").alias("rows"), F.countDistinct(*keys).alias("keys"), *(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in may_lack), r(dmean(value)).alias("mean"), r(F.stddev_samp(value)).alias("std"))
     return sums.join(F.broadcast(exact_quantiles(df, [], value, {f"q{q}": q / 4 for q in (1, 2, 3)}, 4)))  # one row each

@@ -819,7 +819,7 @@ def f50_f51_bias(t):
 SELECT tourn_id, round_number, hole_number, player_key, cast(greatest(len(list_filter(edges, lambda x: x < hole_length)), 1) AS int) AS bin FROM holes, e"""
 )
 def g05_qcut(t):
-    return A.qcut(t.holes, "hole_length", 10).select(*HOLE_KEYS, "bin")
+    return A.qcut(t.holes.select(*HOLE_KEYS, "hole_length"), "hole_length", 10).select(*HOLE_KEYS, "bin")
 
 
 @query("SELECT n_name, c_custkey, c_acctbal FROM (SELECT *, row_number() OVER (PARTITION BY n_name ORDER BY c_acctbal DESC, c_custkey) AS rn FROM customer JOIN nation ON c_nationkey = n_nationkey) WHERE rn = 1", cte=False)
