@@ -20,6 +20,7 @@ from .analysis import hash_split, r, regression_metrics, top_bottom
 from .core import dmean
 from .ranked import exact_quantiles, joined
 from .scenarios import envelope, score_scenarios
+from .shared import stored
 
 NUMERIC = ["player_rating", "hole_count", "round_total_hole_length", "round_total_par", "wind_mean", "gust_mean", "temp_mean", "precip_sum"]
 CATEGORICAL = ["division"]
@@ -89,8 +90,9 @@ def score_monotone(df: DataFrame, model, column: str, name: str, keys: Sequence[
 
 def effect_curve(df: DataFrame, effects: dict[float, Column]) -> DataFrame:
     """(x, n, mean, median, std, p10, p90) of effects against a reference, one column for each value x of a grid."""
-    pairs = F.array(*(F.struct(F.lit(x).alias("x"), e.cast("double").alias("e")) for x, e in effects.items()))
-    long = df.select(F.explode(pairs).alias("p")).select("p.x", "p.e")
+    wide = stored(df.select(*(e.cast("double").alias(f"e{i}") for i, e in enumerate(effects.values()))))
+    pairs = F.array(*(F.struct(F.lit(x).alias("x"), F.col(f"e{i}").alias("e")) for i, x in enumerate(effects)))
+    long = wide.select(F.explode(pairs).alias("p")).select("p.x", "p.e")
     out = long.groupBy("x").agg(F.count("e").alias("n"), r(dmean("e")).alias("mean"), r(F.stddev_pop("e")).alias("std"))
     return joined(out, exact_quantiles(long, ["x"], "e", {"median": 0.5, "p10": 0.1, "p90": 0.9}, 4), ["x"])
 
@@ -105,6 +107,7 @@ def monotone_curve(curve: DataFrame, x: str, y: str, weight: str, name: str) ->
 
 def course_response(df: DataFrame, course: str, effect: str, n: int = 20) -> DataFrame:
     """Mean and median effect of the n courses that respond most, and of the n that respond least."""
+    df = stored(df.select(course, effect))
     per = df.groupBy(course).agg(F.count("*").alias("n"), r(dmean(effect)).alias("mean_effect"))
     return top_bottom(joined(per, exact_quantiles(df, [course], effect, {"median_effect": 0.5}, 4), [course]), "mean_effect", [course], n)
 
