@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from .core import dmean
 from .ranked import exact_quantiles
+from .shared import stored
 
 #: what a category that training has not seen becomes
 MISSING = "__MISSING__"
@@ -78,6 +79,7 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def engineered(df: DataFrame, wind: str = "wind_mean", gust: str = "gust_mean", length: str = "round_total_hole_length", rating: str = "player_rating", precip: str = "precip_sum") -> DataFrame:
     """df with interactions of wind and gust with length and rating, squared and centred rating, long_course (over the median
     length), and the logarithm of precipitation."""
+    df = stored(df)
     g = df.agg(dmean(rating).alias("__mean_rating")).join(F.broadcast(exact_quantiles(df, [], length, {"__mid_length": 0.5})))  # one row each
     w, u, x, y = (S.rounded(wind), S.rounded(gust), F.col(length), F.col(rating))
     made = {

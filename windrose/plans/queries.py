@@ -388,7 +388,8 @@ SELECT tourn_id, round_number, player_key, round(round(wind_mean, 4) * round_tot
 )
 def b52_engineered_features(t):
     made = ["wind_x_length", "gust_x_length", "wind_x_rating", "rating_squared", "rating_centred", "long_course", "log_precip"]
-    return P.engineered(t.rounds).select(*ROUND_KEYS, *made)
+    rounds = t.rounds.select(*ROUND_KEYS, "wind_mean", "gust_mean", "round_total_hole_length", "player_rating", "precip_sum")
+    return P.engineered(rounds).select(*ROUND_KEYS, *made)
 
 
 @query(
