@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from .shared import stored
 
 HOLE = "struct<Ordinal:string,HoleOrdinal:string,Hole:string,Label:string,Par:string,Length:string>"
 LAYOUT = f"struct<LayoutID:string,CourseID:string,CourseName:string,Name:string,Holes:string,Par:string,Length:string,Units:string,Detail:array<{HOLE}>>"
@@ -36,10 +37,14 @@ PAYLOAD = f"struct<data:struct<scores:array<{SCORE}>,layouts:array<{LAYOUT}>,hol
 
 
 def explode_scores(snapshots: DataFrame) -> DataFrame:
-    """A row for each score object of a snapshot (payload: text), with its layouts and holes still nested."""
+    """A row for each score object of a snapshot (payload: text), with its layouts and holes still nested.
+
+    Empty arrays go by a filter after an outer explode: before a plain one Spark puts a filter of its own, which works out the
+    array once more, from the payload on.
+    """
     data = F.from_json("payload", PAYLOAD).getField("data")
     rows = snapshots.withColumn("d", data).drop("payload")
-    return rows.select(*[c for c in rows.columns if c != "d"], F.col("d.layouts").alias("layouts"), F.col("d.holes").alias("spare_holes"), F.explode("d.scores").alias("s")).where("s is not null")
+    return rows.select(*[c for c in rows.columns if c != "d"], F.col("d.layouts").alias("layouts"), F.col("d.holes").alias("spare_holes"), F.explode_outer("d.scores").alias("s")).where("s is not null")
 
 
 def _last(items: Column, match) -> Column:
@@ -78,7 +83,7 @@ def normalize_rounds(snapshots: DataFrame, events: DataFrame) -> DataFrame:
     number = F.coalesce(F.nullif(S.to_int("s.Round"), F.lit(0)), F.col("round_number"))
     scores = scores.withColumn("__round", number)
     # the largest round of an event: of its map, its sources and its scores
-    most = max_rounds(scores, events).select("event_id", "max_round")
+    most = stored(max_rounds(scores, events).select("event_id", "max_round"))  # a row for each event: few are sent to the scores
     meta = events.select(
         "event_id", S.norm_text("name").alias("event_name"), S.norm_text("status_text").alias("event_status_text"), S.norm_text("start_date").alias("event_start_date"),
         S.norm_text("end_date").alias("event_end_date"), S.norm_text("city").alias("event_city"), S.norm_text("state").alias("event_state"), S.norm_text("country").alias("event_country"),
@@ -119,7 +124,7 @@ def normalize_holes(rounds: DataFrame) -> DataFrame:
     seconds = 60 * S.ROUND_MINUTES
     scored = F.filter(F.transform("hole_scores", lambda x, i: F.struct((i + 1).alias("hole_number"), x.alias("hole_score"))), lambda x: x["hole_score"].isNotNull())
     d = rounds.withColumn("__scored", scored).withColumn("__n", F.size("__scored"))
-    d = d.select("*", F.posexplode("__scored").alias("__at", "h"))
+    d = d.select("*", F.posexplode_outer("__scored").alias("__at", "h")).where("__at is not null")
     spec = _last(F.col("hole_specs"), lambda x: _ordinal(x) == F.col("h.hole_number"))
     step = F.greatest(F.floor(F.lit(seconds) / F.col("__n")), F.lit(1))
     after = lambda n: F.timestamp_add("SECOND", n.cast("int"), F.col("tee_time_est_ts"))

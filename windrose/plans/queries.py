@@ -1244,13 +1244,13 @@ def l02_scores_layer(t):
     detail = F.transform(holes, lambda i: F.struct(text(i).alias("Ordinal"), text(3 + i % 3).alias("Par"), text(100 + 10 * i).alias("Length")))
     layout = F.struct(text(F.col("layout_id")).alias("LayoutID"), F.concat(F.lit("Course "), text(F.col("course_id"))).alias("CourseName"), detail.alias("Detail"))
     payload = F.to_json(F.struct(F.struct(F.array(score).alias("scores"), F.array(layout).alias("layouts")).alias("data")))
-    snapshots = d.select(F.col("tourn_id").alias("event_id"), "division", F.col("round_number").cast("int").alias("round_number"), payload.alias("payload"))
+    snapshots = Z.stored(d.select(F.col("tourn_id").alias("event_id"), "division", F.col("round_number").cast("int").alias("round_number"), payload.alias("payload")))
     start = F.date_add(F.lit("2024-05-03").cast("date"), (F.col("event_id") % 5).cast("int"))
     none = F.lit("")
-    events = t.holes.select(F.col("tourn_id").alias("event_id")).distinct().select(
+    events = snapshots.select("event_id").distinct().select(
         "event_id", none.alias("name"), none.alias("status_text"), start.cast("string").alias("start_date"), F.date_add(start, 2).cast("string").alias("end_date"), none.alias("city"), none.alias("state"), none.alias("country"), F.create_map(F.lit("all"), F.lit(4)).alias("division_rounds")
     )
-    out = N.normalize_holes(N.normalize_rounds(snapshots, events))
+    out = N.normalize_holes(N.normalize_rounds(snapshots, Z.stored(events)))
     whole = lambda *names: [F.col(c).cast("bigint").alias(c) for c in names]
     return out.select(
         "tourn_id", *whole("round_number", "hole_number", "hole_score", "hole_par", "hole_length", "hole_to_par", "event_year"), "player_key", "division", "course_name", F.col("round_date").cast("string").alias("round_date"),
