@@ -23,11 +23,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .analysis import hash_split, regression_metrics
-from .shared import cut, ship
+from .shared import cut, ship, stored
 
 #: predictions are written beside the rows again after so many trees, so that a pass does not apply all of them
 REFRESH = 16
@@ -81,15 +81,18 @@ class BoostedTrees:
     def bins(self, columns: Sequence[pd.Series]) -> np.ndarray:
         columns = [columns] if isinstance(columns, pd.Series) else columns  # a UDF of one column gets it bare
         out = np.empty((len(columns[0]), len(self.edges)), np.uint8)
-        for i, (name, x) in enumerate(zip(self.features, columns, strict=True)):
-            if name in self.codes:
-                codes = self.codes[name]
-                x = x.map(codes).fillna(codes[""])
-            v = x.to_numpy(np.float64, na_value=np.nan)
-            # one is for edges[0]; nothing is in bin 0 but what is missing
-            out[:, i] = np.where(np.isnan(v), 0, 1 + np.searchsorted(self.edges[i], v))
+        for i, x in zip(range(len(self.edges)), columns, strict=True):
+            out[:, i] = self.bins_of(i, x)
         return out
 
+    def bins_of(self, feature: int, x: pd.Series) -> np.ndarray:
+        if self.features[feature] in self.codes:
+            codes = self.codes[self.features[feature]]
+            x = x.map(codes).fillna(codes[""])
+        v = x.to_numpy(np.float64, na_value=np.nan)
+        # one is for edges[0]; nothing is in bin 0 but what is missing
+        return np.where(np.isnan(v), 0, 1 + np.searchsorted(self.edges[feature], v))
+
     def predict(self, bins: np.ndarray, since: int = 0, start: np.ndarray | float | None = None) -> np.ndarray:
         out = np.full(len(bins), self.base) if start is None else np.array(start, np.float64)
         for t in self.trees[since:]:
@@ -111,6 +114,32 @@ class BoostedTrees:
 
         return df.withColumn("prediction", predicted(*self.columns()))
 
+    def transform_settings(self, df: DataFrame, settings: dict[str, dict], carried: Sequence) -> DataFrame:
+        """(carried, a prediction for each setting, by its name): what settings replace by (column -> value) goes beside a row's own
+        values, so that rows are neither repeated nor brought together again."""
+        model = self
+        ship(df.sparkSession)
+        replaced = [(i, self.features.index(c)) for i, s in enumerate(settings.values()) for c in s if c in self.features]
+        kinds = ["string" if c in self.codes else "double" for c in self.features]
+        values = [s[c] for s in settings.values() for c in s if c in self.features]
+        number = len(settings)
+        others = [(v if isinstance(v, Column) else F.lit(v)).cast(kinds[f]) for v, (_, f) in zip(values, replaced, strict=True)]
+
+        @F.pandas_udf(", ".join(f"s{i} double" for i in range(len(settings))))
+        def predicted(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+            for columns in batches:
+                own, out = model.bins(columns[: len(kinds)]), {}
+                for i in range(number):
+                    bins = own.copy()
+                    for x, (j, f) in zip(columns[len(kinds) :], replaced, strict=True):
+                        if i == j:
+                            bins[:, f] = model.bins_of(f, x)
+                    out[f"s{i}"] = model.predict(bins)
+                yield pd.DataFrame(out)
+
+        scored = df.select(*carried, predicted(*self.columns(), *others).alias("__p"))
+        return scored.select(*(c for c in scored.columns if c != "__p"), *(F.col(f"__p.s{i}").alias(n) for i, n in enumerate(settings)))
+
     def importances(self, spark: SparkSession) -> DataFrame:
         """Each feature's share of all gains, the largest first."""
         total = float(self.gains.sum()) or 1.0
@@ -285,7 +314,7 @@ def train_monotone(
     ship(df.sparkSession)
     d = hash_split(df.where(F.col(target).isNotNull()), key, {"train": 64, "valid": 16, "test": 20}).withColumn("__y", F.col(target).cast("double"))
     # what is read again and again is made once
-    d = cut(d.select(*dict.fromkeys([*numeric, *categorical]), "__y", "split", F.xxhash64(*d.columns).alias("__row")))
+    d = stored(d.select(*dict.fromkeys([*numeric, *categorical]), "__y", "split", F.xxhash64(*d.columns).alias("__row")))
     train = d.where("split = 'train'")
     codes = {c: _codes(train, c, "__y") for c in categorical}
     model = BoostedTrees(list(numeric), list(categorical), codes, [], depth, train.agg(F.avg("__y")).first()[0] or 0.0)

@@ -2,7 +2,8 @@
 
 A setting replaces columns of a row by values or expressions. Settings are exploded beside the rows, so that the plan holds the
 model once however many there are. What belongs to one row is brought together again by its keys; the partial aggregation
-does most of that before the shuffle, as a row's settings stand side by side.
+does most of that before the shuffle, as a row's settings stand side by side. A model with transform_settings predicts all settings
+of a row where the row is, and nothing is exploded or shuffled.
 
 A model is anything with transform(df) that adds a prediction column: BoostedTrees, or a PipelineModel of pyspark.ml.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from .analysis import r, top_bottom
 from .core import dmean
 from .ranked import exact_quantiles, joined
+from .shared import stored
 
 #: columns to replace, and by what
 Setting = dict[str, object]
@@ -43,6 +45,14 @@ def _widened(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in columns if kinds[c] not in ("string", "double")})
 
 
+def _beside(df: DataFrame, model, settings: dict[str, Setting], carried: Sequence) -> DataFrame | None:
+    """(carried, a prediction for each setting, by its name) by models that predict all settings of a row at once; others: None."""
+    columns = sorted({c for s in settings.values() for c in s})
+    if unknown := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"no such columns: {unknown}")
+    return model.transform_settings(_widened(df, columns), settings, carried) if hasattr(model, "transform_settings") else None
+
+
 def scenario_predictions(df: DataFrame, model, settings: dict[str, Setting], keys: Sequence[str]) -> DataFrame:
     """(keys, a prediction for each setting, by its name). Keys tell the rows of df apart."""
     columns = {c for s in settings.values() for c in s}
@@ -56,6 +66,11 @@ def score_scenarios(df: DataFrame, model, references: dict[str, Setting], keys:
     wide = scenario_predictions(df, model, {"predicted": {}, **names}, keys)
     impacts = {f"{n}_impact": F.col("predicted") - F.col(f"predicted_{n}_reference") for n in references}
     return df.join(wide, list(keys)).select(*df.columns, "predicted", *names).withColumns(impacts)
+    # columns that a setting replaces keep their types in the result
+    kept = df.withColumn("__kept", F.struct(*df.columns))
+    if (wide := _beside(kept, model, {"predicted": {}, **names}, ["__kept"])) is not None:
+        return wide.select("__kept.*", "predicted", *names).withColumns(impacts)
+    wide = scenario_predictions(df, model, {"predicted": {}, **names}, keys)
 
 
 def pdp_curve(df: DataFrame, model, column: str, grid: Sequence[float], at: dict[str, float] | None = None) -> DataFrame:

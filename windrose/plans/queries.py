@@ -1287,7 +1287,7 @@ def f44_course_response(t):
 
 def _trees(t):
     """Rounds, and trees fitted to them that never fall with wind and gust."""
-    rounds = t.rounds.dropna(subset=M.NUMERIC)
+    rounds = Z.stored(t.rounds.dropna(subset=M.NUMERIC).select(*dict.fromkeys([*ROUND_KEYS, "course_id", *M.NUMERIC, *M.CATEGORICAL, M.TARGET])))
     model, _ = B.train_monotone(rounds, M.NUMERIC, M.CATEGORICAL, M.TARGET, {"wind_mean": 1, "gust_mean": 1}, trees=12, depth=3, rate=0.3)
     return rounds, model
 
