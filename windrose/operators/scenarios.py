@@ -78,7 +78,10 @@ def pdp_curve(df: DataFrame, model, column: str, grid: Sequence[float], at: dict
     at = {"median": 0.5, "p10": 0.1, "p90": 0.9} if at is None else at
     settings = {str(i): {column: float(x)} for i, x in enumerate(grid)}
     scored = model.transform(with_settings(_widened(df, [column]), settings, "__setting"))
-    return _by_grid(scored.select(_grid_value(grid), "prediction"), "prediction", at)
+    if (wide := _beside(df, model, settings, [])) is not None:
+        points = F.array(*(F.struct(F.lit(float(x)).alias("grid_value"), F.col(str(i)).alias("prediction")) for i, x in enumerate(grid)))
+        return _by_grid(stored(wide).select(F.explode(points).alias("e")).select("e.grid_value", "e.prediction"), "prediction", at)
+    return _by_grid(stored(scored.select(_grid_value(grid), "prediction")), "prediction", at)
 
 
 def _grid_value(grid: Sequence[float]) -> Column:
