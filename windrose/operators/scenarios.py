@@ -109,7 +109,7 @@ def effect_pdp(df: DataFrame, model, grid: Sequence[float], actual: Callable[[fl
 
     for x in grid:
         pairs.append((float(x), setting(actual(x)), setting(reference(x))))
-    wide = scenario_predictions(df, model, settings, keys)
+    wide = stored(scenario_predictions(df, model, settings, keys).select(*settings))
     effects = F.array(*(F.struct(F.lit(x).alias("grid_value"), (F.col(a) - F.col(b)).alias("effect")) for x, a, b in pairs))
     return _by_grid(wide.select(F.explode(effects).alias("e")).select("e.grid_value", "e.effect"), "effect", at)
 
