@@ -55,6 +55,8 @@ def _beside(df: DataFrame, model, settings: dict[str, Setting], carried: Sequenc
 
 def scenario_predictions(df: DataFrame, model, settings: dict[str, Setting], keys: Sequence[str]) -> DataFrame:
     """(keys, a prediction for each setting, by its name). Keys tell the rows of df apart."""
+    if (wide := _beside(df, model, settings, keys)) is not None:
+        return wide
     columns = {c for s in settings.values() for c in s}
     scored = model.transform(with_settings(_widened(df, sorted(columns)), settings, "__setting")).select(*keys, "__setting", "prediction")
     return scored.groupBy(*keys).agg(*(F.max(F.when(F.col("__setting") == n, F.col("prediction"))).alias(n) for n in settings))
@@ -63,24 +65,23 @@ def scenario_predictions(df: DataFrame, model, settings: dict[str, Setting], key
 def score_scenarios(df: DataFrame, model, references: dict[str, Setting], keys: Sequence[str]) -> DataFrame:
     """df with predicted, and predicted_<name>_reference and <name>_impact for each reference, in one pass of the model."""
     names = {f"predicted_{n}_reference": s for n, s in references.items()}
-    wide = scenario_predictions(df, model, {"predicted": {}, **names}, keys)
     impacts = {f"{n}_impact": F.col("predicted") - F.col(f"predicted_{n}_reference") for n in references}
-    return df.join(wide, list(keys)).select(*df.columns, "predicted", *names).withColumns(impacts)
     # columns that a setting replaces keep their types in the result
     kept = df.withColumn("__kept", F.struct(*df.columns))
     if (wide := _beside(kept, model, {"predicted": {}, **names}, ["__kept"])) is not None:
         return wide.select("__kept.*", "predicted", *names).withColumns(impacts)
     wide = scenario_predictions(df, model, {"predicted": {}, **names}, keys)
+    return df.join(wide, list(keys)).select(*df.columns, "predicted", *names).withColumns(impacts)
 
 
 def pdp_curve(df: DataFrame, model, column: str, grid: Sequence[float], at: dict[str, float] | None = None) -> DataFrame:
     """(grid_value, n, mean, std and quantiles of the predictions) with column set to each value of the grid."""
     at = {"median": 0.5, "p10": 0.1, "p90": 0.9} if at is None else at
     settings = {str(i): {column: float(x)} for i, x in enumerate(grid)}
-    scored = model.transform(with_settings(_widened(df, [column]), settings, "__setting"))
     if (wide := _beside(df, model, settings, [])) is not None:
         points = F.array(*(F.struct(F.lit(float(x)).alias("grid_value"), F.col(str(i)).alias("prediction")) for i, x in enumerate(grid)))
         return _by_grid(stored(wide).select(F.explode(points).alias("e")).select("e.grid_value", "e.prediction"), "prediction", at)
+    scored = model.transform(with_settings(_widened(df, [column]), settings, "__setting"))
     return _by_grid(stored(scored.select(_grid_value(grid), "prediction")), "prediction", at)
 
 
@@ -117,9 +118,13 @@ def effect_pdp(df: DataFrame, model, grid: Sequence[float], actual: Callable[[fl
 def course_response(df: DataFrame, model, course: str, reference: Setting, shifts: dict[str, Setting], observed: dict[str, str], keys: Sequence[str]) -> DataFrame:
     """A row for each course: rows, means of what was observed (name -> column), and mean_<name> and median_<name> of each
     shift's effect against the reference."""
-    wide = scenario_predictions(df, model, {"__reference": reference, **shifts}, keys)
-    effects = wide.select(*keys, *((F.col(n) - F.col("__reference")).alias(n) for n in shifts))
-    d = df.select(course, *(k for k in keys if k != course), *(F.col(c).alias(n) for n, c in observed.items())).join(effects, list(keys))
+    settings = {"__reference": reference, **shifts}
+    seen = df.select("*", F.struct(F.col(course), *(F.col(c).alias(n) for n, c in observed.items())).alias("__seen"))
+    wide = _beside(seen, model, settings, ["__seen"])
+    if wide is None:
+        wide = seen.select(*keys, "__seen").join(scenario_predictions(df, model, settings, keys), list(keys))
+    # what follows is read once for the means, and once for each median
+    d = stored(wide.select("__seen.*", *((F.col(n) - F.col("__reference")).alias(n) for n in shifts)))
     out = d.groupBy(course).agg(F.count("*").alias("n"), *(r(dmean(n)).alias(n) for n in observed), *(r(dmean(n)).alias(f"mean_{n}") for n in shifts))
     for n in shifts:
         out = joined(out, exact_quantiles(d, [course], n, {f"median_{n}": 0.5}, 4), [course])
