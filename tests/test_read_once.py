@@ -11,6 +11,7 @@ from windrose.operators import ranked as K
 from windrose.operators import scenarios as X
 from windrose.operators import selection as P
 from windrose.operators.boosting import train_monotone
+from windrose.plans import adapter
 from windrose.plans.adapter import Tables
 
 ROWS = 400
@@ -112,3 +113,18 @@ def test_rounds_are_not_shuffled_after_their_players(spark):
         assert plan.count("Exchange hashpartitioning") <= 5
         # newest holes are sorted once, and their rounds are put together as they come
         assert plan.count("Sort [event_year") == 1
+
+
+def test_more_lines_are_dealt_to_more_tasks(spark, monkeypatch):
+    """What a task sorts does not grow with the tables, whatever the session's number of shuffle partitions."""
+    few = Tables(spark, "/root/testdata/sf0.001")
+    assert few.tasks == 0  # left to Spark
+    monkeypatch.setattr(adapter, "LINES", 100)
+    many = Tables(spark, "/root/testdata/sf0.001")
+    lines = many.table("lineitem").count()
+    assert many.tasks == -(-lines // 100) > spark.sparkContext.defaultParallelism
+    parts = many.holes.rdd.getNumPartitions()
+    assert parts >= many.tasks > few.holes.rdd.getNumPartitions()
+    plan = many.rounds._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 5 and plan.count("Sort [event_year") == 1 and "Sort [o_orderkey" not in plan
+    assert sorted(map(str, many.rounds.collect())) == sorted(map(str, few.rounds.collect()))

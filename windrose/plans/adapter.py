@@ -3,6 +3,8 @@ events hourly weather. Hours are numbers from 0 to 719."""
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +13,13 @@ from ..operators import core, reports
 HOLE_KEYS = ["tourn_id", "round_number", "hole_number", "player_key"]
 #: the same keys, in the order in which rounds are put together; an event has one year
 SORTED_KEYS = ["event_year", "tourn_id", "round_number", "player_key", "hole_number"]
+#: lines that one task joins, sorts and groups
+LINES = 500_000
 
 
 class Tables:
-    """DataFrames over one folder of tables; each is a plan, read when an action runs."""
+    """DataFrames over one folder of tables; each is a plan, read when an action runs. Only the number of lines is asked for
+    before: files' footers tell it."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -22,10 +27,20 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @cached_property
+    def tasks(self) -> int:
+        """Tasks that lines are dealt to: as many more as there are more lines. 0: they are few, and Spark deals them."""
+        tasks = -(-self.table("lineitem").count() // LINES)
+        return tasks if tasks > self.spark.sparkContext.defaultParallelism else 0
+
+    def dealt(self, df: DataFrame, key: str) -> DataFrame:
+        return df.repartition(self.tasks, key) if self.tasks else df
+
     @property
     def holes_raw(self) -> DataFrame:
         """Players are joined last, by their key: all that holes and rounds are grouped by later lies with its player, so neither
-        the newest holes nor the rounds are shuffled again."""
+        the newest holes nor the rounds are shuffled again. Many lines are dealt to so many tasks that what one of them sorts
+        does not grow with the tables."""
         key = lambda c: F.concat(F.lit("PDGA#"), F.col(c).cast("string")).alias("player_key")
         lines = self.table("lineitem").select(
             F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("hole_number"), (3 + F.col("l_partkey") % 3).alias("hole_par"),
@@ -34,10 +49,13 @@ class Tables:
         )
         players = self.table("customer").join(F.broadcast(self.table("nation")), F.col("c_nationkey") == F.col("n_nationkey"))
         players = players.select(key("c_custkey"), F.col("c_mktsegment").alias("division"), F.col("n_name").alias("state"), (800 + F.col("c_custkey") % 250).alias("player_rating"))
-        played = lines.join(self.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey").select(key("o_custkey"), *lines.columns)
+        orders = self.dealt(self.table("orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+        if self.tasks:
+            orders = orders.hint("shuffle_hash")
+        played = self.dealt(lines, "o_orderkey").join(orders, "o_orderkey").select(key("o_custkey"), *lines.columns)
         tourn = F.col("o_orderkey") % 37
         # a task's players are few beside their holes: the holes need no sorting for this join
-        return played.join(players.hint("shuffle_hash"), "player_key").select(
+        return self.dealt(played, "player_key").join(self.dealt(players, "player_key").hint("shuffle_hash"), "player_key").select(
             tourn.alias("tourn_id"), (1 + F.col("o_orderkey") % 4).alias("round_number"), "hole_number", "player_key", "division", "state",
             (2020 + tourn % 5).alias("event_year"), (tourn % 25).alias("course_id"), (tourn % 11).alias("layout_id"),
             "hole_par", "hole_score", "hole_length", "player_rating", (F.col("o_orderkey") % 720).alias("obs_hour"), "fetched_at", "src", "px",
