@@ -93,3 +93,37 @@ def test_stretches_and_tree_sum(spark, monkeypatch):
     n, total = gru_lm.tree_sum(spark.createDataFrame(rows, "i long, n long, total binary"))
     assert n == sum(range(40)) and total.tolist() == [float(n)] * 4
     assert gru_lm.tree_sum(spark.createDataFrame([], "i long, n long, total binary")) is None
+
+
+def test_outputs_against_plain_softmax():
+    """Log-probabilities and gradients, also where exponentials are too large, against one row at a time; weights lie in one array."""
+    rng = np.random.default_rng(5)
+    n_rest, n, per = 3, gru_lm.HIDDEN, gru_lm.PER_CLASS
+    trainer = gru_lm.Trainer(gru_lm.initial(n_rest))
+    assert all(np.shares_memory(v, trainer.flat) for v in trainer.m.values()) and sum(v.size for v in trainer.m.values()) == trainer.flat.size
+    assert all(x.flags.c_contiguous for x in gru_lm._table(trainer.m))  # each gate by itself
+    y = np.concatenate([rng.integers(0, gru_lm.WORDS + n_rest, 60), [5, 5, 1023, gru_lm.WORDS, gru_lm.WORDS + n_rest - 1]])
+    for size in (1, 400):
+        h = (rng.standard_normal((len(y), n)) * size).astype(np.float32)
+        got, grad, dh = gru_lm.outputs(trainer.m, h, y, learn=True)
+        m = {k: v.astype(np.float64) for k, v in trainer.m.items()}
+        want = {k: np.zeros_like(m[k]) for k in ("wc", "bc", "ww", "bw")}
+        for i, word in enumerate(y.tolist()):
+            x = h[i].astype(np.float64)
+            parts = [("wc", "bc", slice(None), word // per if word < gru_lm.WORDS else word - gru_lm.WORDS + gru_lm.CLASSES)]
+            if word < gru_lm.WORDS:
+                parts.append(("ww", "bw", slice(word // per * per, word // per * per + per), word % per))
+            lp, back = 0.0, np.zeros(n)
+            for w, b, part, at in parts:
+                a = x @ m[w][:, part] + m[b][part]
+                a -= a.max()
+                p = np.exp(a) / np.exp(a).sum()
+                lp += a[at] - np.log(np.exp(a).sum())
+                p[at] -= 1
+                want[w][:, part] += np.outer(x, p)
+                want[b][part] += p
+                back += m[w][:, part] @ p
+            assert abs(got[i] - lp) < 1e-3 * size and np.allclose(dh[i], back, atol=1e-2 if size > 1 else 1e-4)
+        for k, v in want.items():
+            assert np.allclose(grad[k], v, atol=5e-3 * size), (size, k)
+    assert gru_lm.outputs(trainer.m, h[:0], y[:0], learn=True)[2].shape == (0, n)
