@@ -58,6 +58,8 @@ ORDER, DECAY = 4, 0.5
 SHARED = 0.75
 #: longer terms are met in overlapping stretches of this length
 LONGEST = 32
+#: pairs of strings whose kernels are taken at a time
+BLOCK = 2_048
 
 
 class Terms:
@@ -110,24 +112,37 @@ def padded(data: np.ndarray, start: np.ndarray, end: np.ndarray, width: int) ->
 def kernels(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Subsequence kernels of orders 2 to order, one row each, of each row of s with the same row of t.
 
-    Both are rows of characters, filled with 0.
+    Both are rows of characters, filled with 0. Rows of like lengths are taken together, as many as stay in a core's cache, and
+    without what fills all of them.
     """
-    n, width = t.shape
+    k = np.zeros((order - 1, len(t)), np.float32)
+    size, other = (s > 0).sum(axis=1), (t > 0).sum(axis=1)
+    like = np.lexsort((other, size))
+    for a in range(0, len(like), BLOCK):
+        some = like[a : a + BLOCK]
+        k[:, some] = _kernels(s[some, : size[some].max()].T.copy(), t[some, : other[some].max()].T.copy(), order)
+    return k
+
+
+def _kernels(s: np.ndarray, t: np.ndarray, order: int) -> np.ndarray:
+    """kernels() of columns, so that a step over all strings reads numbers that lie beside one another."""
+    width, n = t.shape
     k = np.zeros((order - 1, n), np.float32)
     decay, square = np.float32(DECAY), np.float32(DECAY**2)
-    # ahead[i][:, j]: weighted common subsequences of i + 1 characters of s so far and t[:j], up to the strings' ends
-    ahead = np.zeros((order - 1, n, width + 1), np.float32)
-    for x in s.T:
-        same = (x[:, None] == t) & (x[:, None] > 0)
-        for i in range(order - 1):
-            k[i] += square * np.einsum("ij,ij->i", ahead[i][:, :-1], same)
-        for i in range(order - 2, -1, -1):
-            before = ahead[i - 1][:, :-1] if i else np.ones((n, width), np.float32)
-            step = square * before * same
-            run = np.zeros(n, np.float32)
-            for j in range(width):
-                run = decay * run + step[:, j]
-                ahead[i][:, j + 1] = decay * ahead[i][:, j + 1] + run
+    # ahead[j, i]: weighted common subsequences of i + 1 characters of s so far and t[:j], up to the strings' ends
+    ahead = np.zeros((width + 1, order - 1, n), np.float32)
+    step = np.empty((width, order, n), np.float32)
+    run = np.empty((order - 1, n), np.float32)
+    for x in s:
+        np.multiply((x == t) & (x > 0), square, out=step[:, 0])
+        np.multiply(ahead[:-1], step[:, :1], out=step[:, 1:])
+        ahead *= decay
+        run[:] = 0
+        for j in range(width):
+            k += step[j, 1:]
+            run *= decay
+            run += step[j, :-1]
+            ahead[j + 1] += run
     return k
 
 
@@ -136,6 +151,12 @@ def kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER) -> np.ndarray:
     return kernels(s, t, order)[-1]
 
 
+def _parts(size: np.ndarray, most: int = 20_000):
+    """Places of sizes, ascending, `most` at a time."""
+    order = np.argsort(size, kind="stable")
+    return (order[a : a + most] for a in range(0, len(order), most))
+
+
 def _rows(strings: list[str]) -> np.ndarray:
     raw = [t.encode() for t in strings]
     if not raw:
@@ -169,35 +190,45 @@ class Landmarks:
 
     def compare(self, t: Terms) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """alike(), and how much of the landmark each term holds, whatever else it has: 1 for all of it."""
-        n = len(t.start)
+        term, mark = self.sharing(t)
+        if not len(term):
+            return term, mark, np.empty(0, np.float32), np.empty(0, np.float32)
+        value, held = np.zeros(len(term), np.float32), np.zeros(len(term), np.float32)
+        # a term is like several landmarks, and has one kernel with itself
+        met, of = np.unique(term, return_inverse=True)
+        size = (t.end - t.start)[met]
+        own = np.zeros((ORDER - 1, len(met)), np.float32)
+        for part in _parts(size):
+            rows = padded(t.data, t.start[met[part]], t.end[met[part]], size[part[-1]])
+            own[:, part] = kernels(rows, rows)
+        for part in _parts(size[of]):
+            rows = padded(t.data, t.start[term[part]], t.end[term[part]], size[of[part[-1]]])
+            value[part], held[part] = self.similar(rows, mark[part], own[:, of[part]])
+        return term, mark, value, held
+
+    def sharing(self, t: Terms) -> tuple[np.ndarray, np.ndarray]:
+        """(term, landmark) of pairs that share enough letters."""
+        n, letters = len(t.start), sorted(set().union(*self.counts))
+        code = np.full(256, len(letters))
+        code[letters] = np.arange(len(letters))
         size = t.end - t.start
-        prefix = {}
-        terms, marks = [], []
+        place = np.repeat(np.arange(n) * (len(letters) + 1), size) + code[t.data[ragged(t.start, size)]]
+        # terms have LONGEST letters at most
+        has = np.bincount(place, minlength=n * (len(letters) + 1)).reshape(n, len(letters) + 1).T.astype(np.uint8, order="C")
+        terms, marks = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for mark, (count, least) in enumerate(zip(self.counts, self.least, strict=True)):
-            shared = np.zeros(n, np.int32)
+            shared = np.zeros(n, np.uint8)
             for letter, most in count.items():
-                if letter not in prefix:
-                    c = np.concatenate([[0], np.cumsum(t.data == letter, dtype=np.int32)])
-                    prefix[letter] = c[t.end] - c[t.start]
-                shared += np.minimum(prefix[letter], most)
+                shared += np.minimum(has[code[letter]], np.uint8(min(most, LONGEST)))
             found = np.flatnonzero(shared >= least)
             terms.append(found)
             marks.append(np.full(len(found), mark))
-        if not terms:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32), np.empty(0, np.float32)
-        term, mark = np.concatenate(terms), np.concatenate(marks)
-        value, held = np.zeros(len(term), np.float32), np.zeros(len(term), np.float32)
-        for low, high in ((0, 8), (8, 16), (16, LONGEST)):
-            some = np.flatnonzero((size[term] > low) & (size[term] <= high))
-            for a in range(0, len(some), 20_000):
-                part = some[a : a + 20_000]
-                value[part], held[part] = self.similar(padded(t.data, t.start[term[part]], t.end[term[part]], high), mark[part])
-        return term, mark, value, held
+        return np.concatenate(terms), np.concatenate(marks)
 
-    def similar(self, rows: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each row and its landmark: the normalised kernel, as in the landmarks' own matrix; and the kernel's share of the
-        landmark's with itself, 1 at most, as a mean over orders."""
-        k, own, its = kernels(rows, self.rows[mark]), kernels(rows, rows), self.own[:, mark]
+    def similar(self, rows: np.ndarray, mark: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row, whose kernels with itself are own, and its landmark: the normalised kernel, as in the landmarks' own
+        matrix; and the kernel's share of the landmark's with itself, 1 at most, as a mean over orders."""
+        k, its = kernels(rows, self.rows[mark]), self.own[:, mark]
         both = np.sqrt(own * its)
         orders = (own > 0).sum(axis=0) * self.orders[mark]
         value = (k / np.where(both > 0, both, 1)).sum(axis=0) / np.sqrt(np.maximum(orders, 1))
