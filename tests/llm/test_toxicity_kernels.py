@@ -68,3 +68,23 @@ def test_a_term_has_one_kernel_with_itself(monkeypatch):
 def test_nothing_to_compare():
     for marks, texts in (([], [b"snork"]), (["snork"], [b"wind"])):
         assert [len(x) for x in toxicity.Landmarks(marks).compare(toxicity.Terms(texts))] == [0] * 4
+
+
+@pytest.mark.parametrize("texts", [[b""], [], [b"", b"... !!"], [b"", b"snork"]])
+def test_texts_without_terms(texts):
+    t = toxicity.Terms(texts)
+    assert len(t.start) == len(t.text) == sum(b"snork" in x for x in texts)
+    assert toxicity.Landmarks(["snork"]).read(texts)[2].tolist() == [[float(b"snork" in x)] * 2 for x in texts]
+
+
+def test_partitions_of_empty_texts(spark):
+    """Parts in which no text has a term: some of the rows that train, and all that are scored."""
+    rows = [(i, ["the wind over the hill", f"you utter snork {i}."][i % 2]) for i in range(240)] + [(i, [None, "", "... !"][i % 3]) for i in range(240, 300)]
+    docs = spark.createDataFrame(rows[:240], "doc_id long, text string").coalesce(1).union(spark.createDataFrame(rows[240:], "doc_id long, text string").coalesce(1))
+    labels = spark.createDataFrame([(i, i % 2 if i < 240 else 0) for i in range(300)], "doc_id long, toxic int")
+    machine = toxicity.train_toxicity(docs, labels)
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, machine).collect()}
+    assert len(scored) == 300 and all((scored[i] >= 0.5) == (i < 240 and i % 2 == 1) for i in scored)
+    # a table without any term at all
+    none = toxicity.train_toxicity(docs.where("doc_id >= 240"), labels.withColumn("toxic", labels.doc_id.cast("int") % 2))
+    assert len({r["score"] for r in toxicity.score_toxicity(docs.where("doc_id >= 240"), none).select("score").collect()}) == 1

@@ -80,8 +80,8 @@ class Terms:
         new = np.ones(len(start), bool)
         new[1:] = ~(single[1:] & single[:-1] & (text[1:] == text[:-1]))
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(start)) - 1
-        start, end, sentence, text = start[first], end[last] if len(last) else end, sentence[first], text[first]
+        last = np.append(first[1:], len(start))[: len(first)] - 1  # no term, no last one
+        start, end, sentence, text = start[first], end[last], sentence[first], text[first]
         long = np.flatnonzero(end - start > LONGEST)
         if len(long):
             n = -(-(end - start - LONGEST)[long] // (LONGEST // 2))
@@ -212,9 +212,12 @@ class Landmarks:
         code = np.full(256, len(letters))
         code[letters] = np.arange(len(letters))
         size = t.end - t.start
-        place = np.repeat(np.arange(n) * (len(letters) + 1), size) + code[t.data[ragged(t.start, size)]]
-        # terms have LONGEST letters at most
-        has = np.bincount(place, minlength=n * (len(letters) + 1)).reshape(n, len(letters) + 1).T.astype(np.uint8, order="C")
+        # how often each term has each letter: LONGEST times at most; counted for some terms at a time, as a long text has many
+        has = np.zeros((len(letters) + 1, n), np.uint8)
+        for a in range(0, n, 20_000):
+            some = size[a : a + 20_000]
+            place = np.repeat(np.arange(len(some)) * len(has), some) + code[t.data[ragged(t.start[a : a + 20_000], some)]]
+            has[:, a : a + 20_000] = np.bincount(place, minlength=len(some) * len(has)).reshape(len(some), len(has)).T
         terms, marks = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for mark, (count, least) in enumerate(zip(self.counts, self.least, strict=True)):
             shared = np.zeros(n, np.uint8)
