@@ -281,6 +281,49 @@ def test_encoder_matches_the_library():
         assert ids[at[i] : at[i + 1]].tolist() == e.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_takes_new_strings_together(monkeypatch):
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    e = packing.Encoder(path)
+    rng = random.Random(6)
+    parts = ["Word", "word", "don't", "'s", "'", "\u00e9t\u00e9", "\u00d7", "\u00f7", "na\u00efve", "e\u0301", "\u2026", "!", "...", "12", "\u00b2", "\u65e5", "\x1c", "\x85", "\u00a0", "<|endoftext|>", "a"]
+    gaps = ["", "", " ", " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", ".\n", ",\n", "\u2003"]
+    texts = ["".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+    def check(e):
+        for a in range(0, len(texts), 100):
+            ids, sizes = e.encode([t.encode() for t in texts[a : a + 100]])
+            assert np.split(ids, np.cumsum(sizes)[:-1])[0].tolist() == want[a]
+            assert ids.tolist() == [x for w in want[a : a + 100] for x in w] and sizes.tolist() == [len(w) for w in want[a : a + 100]]
+
+    check(e)
+    monkeypatch.setattr(packing, "MEMORY", 500)  # what was remembered is forgotten again and again
+    check(packing.Encoder(path))
+    monkeypatch.undo()
+    e = packing.Encoder(path)
+    e.bytes[:] += 1  # a vocabulary whose ids have other bytes
+    check(e)
+
+
+def test_encoder_asks_the_library_little():
+    e = packing.Encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    given, tokenizer = [], e.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, strings, **options):
+            given.extend(strings)
+            return tokenizer.encode_batch_fast(strings, **options)
+
+    e.tokenizer = Counting()
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
+    ends = [", ", ". ", ".\n", "! ", " "]
+    text = "".join(w + end for end in ends for w in words)
+    ids, _ = e.encode([text.encode()])
+    assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    # a word is encoded once, whatever follows it, and few calls take many words
+    assert sum(map(len, given)) < len(text) and len(given) < len(words) / 5
+
+
 def test_url_rules(spark):
     urls = ["http://www.Example.com/en/a?x", "https://a.www.example.com/en/", "ftp://example.com/en/", "http://example.com/fr/", "http://x.net/es/q", "http://net/fr", "http://net/fr/", None, "nourl", "http://", "http://notexample.com/en/", "a://b://com/"]
     pages = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] + [(1, urls[1], "again")], "page_id long, url string, host string")

@@ -17,6 +17,7 @@ their own. An empty table makes no pieces. Only the id column is carried.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left, insort
@@ -43,17 +44,34 @@ BROADCAST_SLOTS = 100_000
 END = 2
 
 
+#: bytes of strings that the tokenizer takes as one text
+JOINED = 1 << 9
 #: ASCII white space, and first bytes of characters that can be other white space
 _NO_CUT = np.zeros(256, bool)
 _NO_CUT[[0x20, *range(0x09, 0x0E), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+#: second bytes of characters from U+00C0 to U+00FF that are letters
+_LATIN = np.zeros(256, bool)
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+#: ASCII that is no letter and no blank; what is white space for nobody
+_OTHER, _BLACK = np.zeros(256, bool), np.zeros(256, bool)
+_OTHER[:0x80] = ~_LETTER[:0x80]
+_OTHER[0x20] = False
+_BLACK[0x21:0x7F] = True
+#: the characters by which a byte-level vocabulary writes bytes stand for one byte each; this tells such files
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
 class Encoder:
     """Ids of a tokenizer file of the byte-level kind, as the tokenizers library gives them with add_special_tokens=False.
 
-    Its pre-tokenizer puts a space before a word with the word, and ends what stands before. So texts are cut before
-    spaces that no white space follows, and each distinct string of up to SHORT bytes is encoded once and remembered, with
-    its bytes.
+    Its pre-tokenizer puts a space before a word with the word, and ends what stands before; it ends a word where its
+    letters end; and a line feed after a visible character stands alone before a word. So texts are cut before spaces that no
+    white space follows, before what follows a letter and is none, and between such a line feed and a letter. Each distinct
+    string of up to SHORT bytes is encoded once and remembered, with its bytes. New strings are encoded many at once, as one
+    text that is cut between them by the same rules; the bytes of each id tell which are whose.
     """
 
     def __init__(self, path: str):
@@ -62,13 +80,20 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        rules = json.loads(self.tokenizer.to_str())
+        known = rules["normalizer"] is None and rules["pre_tokenizer"] is not None and _BYTES.items() <= rules["pre_tokenizer"].items()
+        vocabulary = self.tokenizer.get_vocab()
+        #: bytes of each id; None: strings are not joined, and texts are cut before spaces alone
+        self.bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64) if known else None
+        for token, i in vocabulary.items() if known else ():
+            self.bytes[i] = len(token)
         self.forget()
 
     def forget(self) -> None:
         self.hash = np.empty(0, np.uint64)
         self.key, self.length = np.empty((0, KEPT), np.uint64), np.empty(0, np.uint8)
         self.start, self.size = np.empty(0, np.int32), np.empty(0, np.int32)
-        self.ids = np.empty(0, np.uint32)
+        self.ids, self.used = np.empty(0, np.uint32), 0  # the first `used` are in use
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""
@@ -80,6 +105,12 @@ class Encoder:
         cut[:-1] = data == 0x20
         cut[: max(0, len(data) - 1)] &= ~_NO_CUT[data[1:]]
         cut[max(0, len(data) - 1) :] = False
+        if self.bytes is not None:
+            letter = _LETTER[data]
+            ends_word = letter.copy()
+            ends_word[1:] |= (data[:-1] == 0xC3) & _LATIN[data[1:]]
+            cut[1 : len(data)] |= ends_word[:-1] & _OTHER[data[1:]]
+            cut[2 : len(data)] |= _BLACK[data[:-2]] & (data[1:-1] == 0x0A) & letter[2:]
         for i, t in enumerate(texts):
             if any(x in t for x in self.special):  # such a text is encoded whole
                 cut[ends[i] - sizes[i] : ends[i]] = False
@@ -96,7 +127,7 @@ class Encoder:
         text = np.searchsorted(ends, start, side="right")
         out = self.ids[ragged(begin, size)], np.bincount(text, size, len(texts)).astype(np.int64)
         if len(long):  # what was not remembered goes
-            self.ids = self.ids[: int(begin[long].min())]
+            self.used = int(begin[long].min())
         return out
 
     def _remembered(self, raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,34 +151,97 @@ class Encoder:
 
     def _add(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Encodes strings and puts their ids at the end of all."""
-        parts, size = [self.ids], []
+        parts, sizes = [], []
         for i in range(0, len(strings), AT_ONCE):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in strings[i : i + AT_ONCE]], add_special_tokens=False)]
-            size += [len(x) for x in found]
-            parts.append(np.fromiter((y for x in found for y in x), np.uint32, sum(size[i:])))
-        size = np.array(size, np.int64)
-        begin = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate(parts)
+            ids, size = self._joined(strings[i : i + AT_ONCE])
+            parts.append(ids)
+            sizes.append(size)
+        size = np.concatenate([np.empty(0, np.int64), *sizes])
+        begin = self.used + np.cumsum(size) - size
+        for ids in parts:
+            if self.used + len(ids) > len(self.ids):
+                more = np.empty(max(self.used + len(ids), len(self.ids) * 3 // 2), np.uint32)
+                more[: self.used] = self.ids[: self.used]
+                self.ids = more
+            self.ids[self.used : self.used + len(ids)] = ids
+            self.used += len(ids)
         return begin, size
 
+    def _joined(self, strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings, one after the other, and how many each has."""
+        blob = b"\n".join(strings)
+        special = [s for s in self.special if s in blob]
+        guards = [self._guard(x) if not any(s in x for s in special) else None for x in strings] if special else [self._guard(x) for x in strings]
+        groups, group, room = [], [], JOINED
+        start, at = [], 0  # of joined strings, in all groups
+        for x, guard in zip(strings, guards, strict=True):
+            if guard is not None:
+                start.append(at + len(guard))
+                at += len(guard) + len(x)
+                group += [guard, x]
+                room -= len(x)
+                if room <= 0:
+                    groups.append(b"".join(group))
+                    group, room = [], JOINED
+        if group:
+            groups.append(b"".join(group))
+        ids = self._library(groups)
+        found = np.concatenate([np.empty(0, np.uint32), *ids])
+        if len(start):
+            ends = np.concatenate([[0], np.cumsum(self.bytes[found])])
+            first = np.array(start)
+            last = first + np.fromiter((len(x) for x, guard in zip(strings, guards, strict=True) if guard is not None), np.int64, len(first))
+            a, b = np.searchsorted(ends, first), np.searchsorted(ends, last)
+            if ends[-1] != at or (ends[a] != first).any() or (ends[b] != last).any():
+                a = None  # the file has rules of its own
+        if not len(start) or a is None:
+            ids = self._library(strings)
+            return np.concatenate([np.empty(0, np.uint32), *ids]), np.array([len(x) for x in ids], np.int64)
+        alone = [k for k, guard in enumerate(guards) if guard is None]
+        own = self._library([strings[k] for k in alone])
+        begin, size = np.empty(len(strings), np.int64), np.empty(len(strings), np.int64)
+        joined = np.array([guard is not None for guard in guards])
+        begin[joined], size[joined] = a, b - a
+        size[alone] = [len(x) for x in own]
+        begin[alone] = len(found) + np.cumsum(size[alone]) - size[alone]
+        return np.concatenate([found, *own])[ragged(begin, size)], size
+
+    def _guard(self, x: bytes) -> bytes | None:
+        """What stands before a string in a joined text, so that the text is cut there; None: it is encoded by itself."""
+        if self.bytes is None or len(x) < 2:
+            return None
+        if x[0] == 0x20:
+            return None if _NO_CUT[x[1]] else b""
+        return b" a\n" if _LETTER[x[0]] else b" a" if _OTHER[x[0]] else None
+
+    def _library(self, strings: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([x.decode("utf-8", "surrogatepass") for x in strings], add_special_tokens=False) if strings else []
+        return [np.array(e.ids, np.uint32) for e in found]
+
     def _learn(self, distinct, raw: bytes, start, end, block, first) -> None:
         at = np.searchsorted(self.hash, distinct)
         known = np.zeros(len(distinct), bool)
         known[at < len(self.hash)] = self.hash[at[at < len(self.hash)]] == distinct[at < len(self.hash)]
         if len(self.hash) + (~known).sum() > MEMORY:
             self.forget()
-            known[:] = False
+            known[:], at[:] = False, 0
         new = np.flatnonzero(~known)
+        if not len(new):
+            return
         length = (end - start)[new]
         key = np.zeros((len(new), KEPT), np.uint64)
         for k in range(KEPT):
             some = np.flatnonzero(length > 8 * k)
             key[some, k] = block(first[new[some]], k)
         begin, size = self._add([raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)])
-        order = np.argsort(h := np.concatenate([self.hash, distinct[new]]), kind="stable")
-        self.hash = h[order]
-        for name, more in (("key", key), ("length", length.astype(np.uint8)), ("start", begin.astype(np.int32)), ("size", size.astype(np.int32))):
-            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+        # new hashes go between the old ones
+        place = at[new] + np.arange(len(new))
+        old = np.ones(len(self.hash) + len(new), bool)
+        old[place] = False
+        for name, more in (("hash", distinct[new]), ("key", key), ("length", length.astype(np.uint8)), ("start", begin.astype(np.int32)), ("size", size.astype(np.int32))):
+            both = np.empty((len(old), *more.shape[1:]), more.dtype)
+            both[old], both[place] = getattr(self, name), more
+            setattr(self, name, both)
 
 
 _encoders: dict[str, Encoder] = {}  # one in each worker
