@@ -127,3 +127,57 @@ def test_outputs_against_plain_softmax():
         for k, v in want.items():
             assert np.allclose(grad[k], v, atol=5e-3 * size), (size, k)
     assert gru_lm.outputs(trainer.m, h[:0], y[:0], learn=True)[2].shape == (0, n)
+
+
+def test_distinct_tokens_are_found_without_sorting_all(monkeypatch):
+    h = np.random.default_rng(3).integers(0, 1 << 64, 500, dtype=np.uint64)[np.random.default_rng(4).integers(0, 500, 20_000)]
+    want = [np.unique(x, return_inverse=True) for x in (h, h[:1], h[:0])]
+    shards = np.searchsorted(((want[0][0] >> np.uint64(32)) * np.uint64(7) >> np.uint64(32)).astype(int), np.arange(8))
+    sorted_sizes, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **b: sorted_sizes.append(len(x)) or argsort(x, *a, **b))
+    monkeypatch.setattr(np, "unique", None)
+    for x, (distinct, where) in zip((h, h[:1], h[:0]), want, strict=True):
+        got = gru_lm._by_shard(x, 7)
+        assert got[0].tolist() == distinct.tolist() and got[2].tolist() == where.tolist()
+        assert len(distinct) < 500 or got[1].tolist() == shards.tolist()
+    assert max(sorted_sizes) <= 500
+
+
+def test_classes_are_computed_for_few_rows_at_a_time(monkeypatch):
+    rng = np.random.default_rng(5)
+    m = gru_lm.initial(3)
+    y = rng.integers(0, gru_lm.WORDS + 4, 3000)
+    h = rng.standard_normal((len(y), gru_lm.HIDDEN)).astype(np.float32)
+    unseen = np.log(np.array([0.5, 0.25, 0.125]))
+    rows, softmax = [], gru_lm._softmax
+    monkeypatch.setattr(gru_lm, "_softmax", lambda a: (rows.append(len(a)) if a.shape[1] > gru_lm.PER_CLASS else None) or softmax(a))
+    results = []
+    for most in (1024, 7, 1 << 20):
+        monkeypatch.setattr(gru_lm, "ROWS", most)
+        rows.clear()
+        lp, _, _ = gru_lm.outputs(m, h, y, unseen=unseen)
+        assert max(rows) <= most and sum(rows) == len(y)
+        seen = y < gru_lm.WORDS + 3
+        results.append((lp, *gru_lm.outputs(m, h[seen], y[seen], learn=True)))
+    for lp, out, grad, back in results[:2]:
+        assert np.allclose(lp, results[2][0], atol=1e-5) and np.allclose(out, results[2][1], atol=1e-5) and np.allclose(back, results[2][3], atol=1e-5)
+        assert all(np.allclose(grad[k], results[2][2][k], atol=2e-3) for k in grad)
+
+
+def test_states_with_large_weights_saturate():
+    rng = np.random.default_rng(6)
+    m = gru_lm.initial(2)
+    for k in ("wx", "wh"):
+        m[k] *= 60
+    word = rng.integers(0, gru_lm.WORDS, 40)
+    lanes = gru_lm.Lanes(word, np.array([0, 40]), 1, len(m["embed"]) - 1)
+    _, states, _ = gru_lm._step_states(m, gru_lm._table(m), lanes, np.zeros((1, gru_lm.HIDDEN), np.float32), 0, 40)
+    n, h = gru_lm.HIDDEN, np.zeros(gru_lm.HIDDEN)
+    sigmoid = lambda x: 0.5 + 0.5 * np.tanh(x / 2)
+    for t in range(40):
+        gx = m["embed"][len(m["embed"]) - 1 if t == 0 else word[t - 1]].astype(float) @ m["wx"] + m["b"]
+        gh = h @ m["wh"]
+        z, q = sigmoid(gx[:n] + gh[:n]), sigmoid(gx[n : 2 * n] + gh[n : 2 * n])
+        c = np.tanh(gx[2 * n :] + q * gh[2 * n :])
+        assert np.isfinite(states[t + 1]).all() and np.abs(states[t + 1][0] - (c + z * (h - c))).max() < 1e-3
+        h = states[t + 1][0].astype(float)
